@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -39,3 +41,14 @@ def decode_events(raw: DataFrame, value: str = "value") -> DataFrame:
         items.alias("items"),
         F.coalesce(is_object, F.lit(False)).alias("is_object"),
     )
+
+
+def counted(rows: DataFrame, *metrics: Column, name: str | None = None) -> DataFrame:
+    """Rows with their number (and other metrics) observed as they pass.
+
+    Use it between a costly projection and a filter on its result. An optimizer that pushes
+    the filter below the projection repeats the projection's expressions in it, here the
+    JSON parse and all rules; an observed row count has to be taken before the filter.
+    """
+    label = name or f"rows-{uuid.uuid4().hex}"
+    return rows.observe(label, F.count(F.lit(1)).alias("rows"), *metrics)

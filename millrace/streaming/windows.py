@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.decode import decode_events
+from millrace.operators.decode import counted, decode_events
 from millrace.operators.validation import classify, to_event_log, valid_events
 from millrace.sources.tables import BATCH
 
@@ -78,8 +78,13 @@ def rate_per_window(stream: DataFrame, time: str, width_seconds: int = 30, delay
 
 
 def valid_order_stream(raw: DataFrame, as_of) -> DataFrame:
-    """Valid orders of a raw event stream, as typed rows."""
-    return valid_events(to_event_log(classify(decode_events(raw), as_of)))
+    """Valid orders of a raw event stream, as typed rows.
+
+    Checked and rejected events are counted on the way and show up in the query's progress.
+    """
+    checked = classify(decode_events(raw), as_of)
+    rejected = F.count("error_code").alias("rejected")
+    return valid_events(to_event_log(counted(checked, rejected, name="order_checks")))
 
 
 def hourly_orders(orders: DataFrame, delay: str = WIDE_DELAY) -> DataFrame:

@@ -12,7 +12,7 @@ from millrace.functions.clock import event_time, latency_ms
 from millrace.functions.rules import CONSTRAINT_PREFIX, DUPLICATE_EVENT_ID, first_item_fault
 from millrace.model import BATCH_METRIC, DIMENSION_UPDATES, TABLES
 from millrace.operators import audits, contract, dimensions as dims, facts, lookup, versions as ver
-from millrace.operators.decode import decode_events
+from millrace.operators.decode import counted, decode_events
 from millrace.operators.validation import classify, quarantine_rows
 from millrace.plans import marts, monitoring, reports
 from millrace.session import scratch_path
@@ -69,7 +69,7 @@ def decoded(w: Warehouse) -> DataFrame:
 
 
 def objects(w: Warehouse) -> DataFrame:
-    return decoded(w).where(F.col("is_object"))
+    return counted(decoded(w)).where(F.col("is_object"))
 
 
 # --- sources and sinks --------------------------------------------------------------------
@@ -233,7 +233,7 @@ def validate_events(w: Warehouse) -> DataFrame:
 @query
 def first_item_error(w: Warehouse) -> DataFrame:
     """The first bad line item of each event that has one."""
-    found = objects(w).withColumn("fault", first_item_fault(F.col("items")))
+    found = counted(objects(w).withColumn("fault", first_item_fault(F.col("items"))))
     return found.where(F.col("fault").isNotNull()).select(
         *PLACE,
         F.col("fault.index").alias("item_index"),
@@ -328,7 +328,8 @@ def parse_event_time(w: Warehouse) -> DataFrame:
 def ingest_latency(w: Warehouse) -> DataFrame:
     """Milliseconds from event to arrival, for events with a readable time."""
     instant = event_time(F.col("order_timestamp"))
-    timed = decoded(w).select(*PLACE, instant.alias("event_time"), "received_at").where("event_time IS NOT NULL")
+    timed = decoded(w).select(*PLACE, instant.alias("event_time"), "received_at")
+    timed = counted(timed).where("event_time IS NOT NULL")
     return timed.select(*PLACE, latency_ms(F.col("event_time"), F.col("received_at")).alias("latency_ms"))
 
 
