@@ -4,19 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from millrace.model import MONEY
-
 
 def missing(column: Column) -> Column:
     """NULL and the empty string both count as not given."""
     return F.coalesce(column, F.lit("")) == ""
 
 
-def money(column: Column) -> Column:
-    """Decimal(12,2), half up; NULL when the value is not finite or does not fit."""
-    return column.try_cast(MONEY)
-
-
 def percent(part: Column, whole: Column, digits: int, empty: float) -> Column:
     """``part / whole * 100`` rounded half up in decimal arithmetic, ``empty`` when whole is 0."""
     ratio = F.try_divide(part.cast("decimal(20,0)") * F.lit(100), whole.cast("decimal(20,0)"))
@@ -28,18 +21,6 @@ def mean(total: Column, count: Column) -> Column:
     return F.try_divide(total.cast("double"), count.cast("double"))
 
 
-def number_text(column: Column) -> Column:
-    """A double as it reads in a rejection reason: plain digits, at least one decimal, None if absent."""
-    plain = F.regexp_replace(column.try_cast("decimal(38,6)").cast("string"), r"(\.\d+?)0+$", "$1")
-    size = F.abs(column)
-    return F.coalesce(
-        F.when(F.isnan(column), F.lit("nan"))
-        .when((size >= 1e7) & (size < 1e16), plain)
-        .otherwise(column.cast("string")),
-        F.lit("None"),
-    )
-
-
 def surrogate_key(*parts: Column) -> Column:
     """A 64-bit key that is the same every time the same batch is written."""
     return F.xxhash64(*parts)

@@ -4,15 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.clock import event_time, latency_ms
-from millrace.functions.rules import (
-    DEFAULT_TOLERANCE,
-    constraint_rules,
-    event_rules,
-    verdict,
-)
-from millrace.functions.values import money, surrogate_key
-from millrace.model import DEFAULT_STATUS, FACT_ITEM, TABLES
+from millrace.functions.clock import EVENT_TIME_SQL, LATENCY_SQL
+from millrace.functions.rules import DEFAULT_TOLERANCE, verdict
+from millrace.functions.values import surrogate_key
+from millrace.model import DEFAULT_STATUS, TABLES
 from millrace.operators.decode import decode_events
 
 VALID, QUARANTINED = "valid", "quarantined"
@@ -25,10 +20,7 @@ def classify(
     check_constraints: bool = True,
 ) -> DataFrame:
     """Add ``error_code`` and ``rejection_reason``; both NULL for a valid event."""
-    rules = event_rules(as_of, tolerance)
-    if check_constraints:
-        rules = rules + constraint_rules()
-    judged = decoded.withColumn("_verdict", verdict(rules))
+    judged = decoded.withColumn("_as_of", as_of).withColumn("_verdict", verdict(tolerance, check_constraints))
     return judged.select(
         *decoded.columns,
         F.col("_verdict.code").alias("error_code"),
@@ -36,61 +28,54 @@ def classify(
     )
 
 
-def fact_items(items: Column) -> Column:
-    """Wire line items as fact line items: money in decimals, absent discount 0."""
-    return F.transform(
-        items,
-        lambda i: F.struct(
-            i["product_id"].alias("product_id"),
-            i["quantity"].alias("quantity"),
-            money(i["unit_price"]).alias("unit_price"),
-            money(i["total_item_price"]).alias("total_item_price"),
-            F.coalesce(money(i["discount_applied"]), F.lit(0).cast("decimal(12,2)")).alias("discount_applied"),
-        ),
-    ).cast(f"array<{FACT_ITEM.simpleString()}>")
-
-
-def _fact_columns(received_at: Column) -> dict[str, Column]:
-    zero = F.lit(0).cast("decimal(12,2)")
-    instant = F.coalesce(event_time(F.col("order_timestamp")), received_at)
-    return {
-        "order_id": F.col("order_id"),
-        "event_id": F.col("event_id"),
-        "customer_id": F.col("customer_id"),
-        "location_id": F.col("location_id"),
-        "payment_method_id": F.col("payment_method_id"),
-        "order_status": F.upper(F.coalesce(F.col("order_status"), F.lit(DEFAULT_STATUS))),
-        "total_amount": money(F.col("total_amount")),
-        "discount_amount": F.coalesce(money(F.col("discount_amount")), zero),
-        "tax_amount": F.coalesce(money(F.col("tax_amount")), zero),
-        "net_amount": money(F.col("net_amount")),
-        "item_count": F.col("item_count"),
-        "order_timestamp": instant,
-        "processed_at": received_at,
-        "ingest_latency_ms": latency_ms(instant, received_at),
-    }
-
-
-def to_event_log(classified: DataFrame, received_at: str = "received_at") -> DataFrame:
+def _money(column: str, absent: str = "NULL") -> str:
+    amount = f"try_cast({column} AS DECIMAL(12,2))"
+    return amount if absent == "NULL" else f"coalesce({amount}, CAST({absent} AS DECIMAL(12,2)))"
+
+
+# Wire line items as fact line items: money in decimals, an absent discount is 0.
+FACT_ITEMS_SQL = f"""transform(items, i -> named_struct(
+    'product_id', i.product_id, 'quantity', i.quantity, 'unit_price', {_money('i.unit_price')},
+    'total_item_price', {_money('i.total_item_price')}, 'discount_applied', {_money('i.discount_applied', '0')}))"""
+
+FACT_COLUMNS_SQL = {
+    "order_id": "order_id",
+    "event_id": "event_id",
+    "customer_id": "customer_id",
+    "location_id": "location_id",
+    "payment_method_id": "payment_method_id",
+    "order_status": f"upper(coalesce(order_status, '{DEFAULT_STATUS}'))",
+    "total_amount": _money("total_amount"),
+    "discount_amount": _money("discount_amount", "0"),
+    "tax_amount": _money("tax_amount", "0"),
+    "net_amount": _money("net_amount"),
+    "item_count": "item_count",
+    "order_timestamp": "_ordered_at",
+    "processed_at": "received_at",
+    "ingest_latency_ms": LATENCY_SQL.format("_ordered_at", "received_at"),
+}
+
+
+def to_event_log(classified: DataFrame) -> DataFrame:
     """One typed row per event: fact columns for a valid one, the payload for a rejected one.
 
     This is the only wide pass over a batch. Facts, line items and quarantine rows are
     projections of its result.
     """
-    ok = F.col("error_code").isNull()
     keep_always = {"order_id", "event_id", "processed_at"}
     facts = [
-        (column if name in keep_always else F.when(ok, column)).alias(name)
-        for name, column in _fact_columns(F.col(received_at)).items()
+        f"{sql} AS {name}" if name in keep_always else f"CASE WHEN error_code IS NULL THEN {sql} END AS {name}"
+        for name, sql in FACT_COLUMNS_SQL.items()
     ]
-    return classified.select(
-        F.col("seq"),
+    instant = EVENT_TIME_SQL.format("order_timestamp")
+    return classified.withColumn("_ordered_at", F.expr(f"coalesce({instant}, received_at)")).selectExpr(
+        "seq",
         *facts,
-        F.when(ok, fact_items(F.col("items"))).alias("items"),
-        F.when(~ok, F.col("value")).alias("raw_payload"),
-        F.col("error_code"),
-        F.col("rejection_reason"),
-        F.when(ok, F.lit(VALID)).otherwise(F.lit(QUARANTINED)).alias("outcome"),
+        f"CASE WHEN error_code IS NULL THEN {FACT_ITEMS_SQL} END AS items",
+        "CASE WHEN error_code IS NOT NULL THEN value END AS raw_payload",
+        "error_code",
+        "rejection_reason",
+        f"CASE WHEN error_code IS NULL THEN '{VALID}' ELSE '{QUARANTINED}' END AS outcome",
     )
 
 

@@ -234,7 +234,7 @@ def latency_histogram(orders: DataFrame, bins: int = 20) -> DataFrame:
     span = orders.agg(F.struct(F.min(latency).alias("low"), F.max(latency).alias("high"))).scalar()
     width = (span["high"] - span["low"]).cast("double") / F.lit(float(bins))
     position = F.floor(F.try_divide((latency - span["low"]).cast("double"), width))
-    bin_no = F.coalesce(F.least(position, F.lit(bins - 1)), F.lit(0)).cast("int")
+    bin_no = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int")
     return (
         orders.where(latency.isNotNull())
         .groupBy((bin_no + 1).alias("bin"))

@@ -36,6 +36,7 @@ def local_session(cores: int | str = "*", app_name: str = "millrace", **settings
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", partitions)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**RUNTIME_SETTINGS, **settings}.items():
         builder = builder.config(key, value)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -104,8 +106,16 @@ class OrderStore:
             "dim_payment_methods": dims.infer_payment_methods(orders, known["dim_payment_methods"]),
             "dim_products": dims.infer_products(items, known["dim_products"]),
         }
-        for name, rows in inferred.items():
-            self.store.write(name, dims.conform(rows, name, now), batch_id)
+        ready = {name: dims.conform(rows, name, now) for name, rows in inferred.items()}
+
+        @inheritable_thread_target(self.spark)
+        def write(name: str) -> None:
+            self.store.write(name, ready[name], batch_id)
+
+        # Four small independent jobs; submitted together they share the executors.
+        with ThreadPoolExecutor(len(ready)) as pool:
+            for done in [pool.submit(write, name) for name in ready]:
+                done.result()
 
     # --- reading ------------------------------------------------------------------------
 

@@ -484,7 +484,7 @@ BODIES: dict[str, str] = {
         ',"avg_latency_ms":' || CAST(CASE WHEN valid = 0 THEN 0.0 ELSE {half_up("latency_total", "greatest(valid, 1)")} END AS DOUBLE) || '}}' AS details
         FROM stats LEFT JOIN dups USING (batch_id)""",
     "latency_histogram": f"""SELECT CAST(b + 1 AS INT) AS bin, low + width * b AS bin_start, count(*) AS order_count FROM
-        (SELECT low, width, coalesce(least(floor(CAST(x - low AS DOUBLE) / nullif(width, 0)), 19), 0) AS b FROM
+        (SELECT low, width, least(coalesce(floor(CAST(x - low AS DOUBLE) / nullif(width, 0)), 0), 19) AS b FROM
           (SELECT ingest_latency_ms AS x, (SELECT min(ingest_latency_ms) FROM fo) AS low,
             {dbl("(SELECT max(ingest_latency_ms) - min(ingest_latency_ms) FROM fo)")} / 20.0 AS width FROM fo) s) t GROUP BY ALL""",
     "payment_share": f"""SELECT method_type, {dbl("sum(net_amount)")} AS total_volume,

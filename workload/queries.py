@@ -233,10 +233,10 @@ def validate_events(w: Warehouse) -> DataFrame:
 @query
 def first_item_error(w: Warehouse) -> DataFrame:
     """The first bad line item of each event that has one."""
-    found = counted(objects(w).withColumn("fault", first_item_fault(F.col("items"))))
+    found = counted(objects(w).withColumn("fault", first_item_fault()))
     return found.where(F.col("fault").isNotNull()).select(
         *PLACE,
-        F.col("fault.index").alias("item_index"),
+        F.col("fault.item_index").alias("item_index"),
         F.col("fault.code").alias("error_code"),
         F.col("fault.reason").alias("reason"),
     )
@@ -320,17 +320,17 @@ def fact_order_items(w: Warehouse) -> DataFrame:
 def parse_event_time(w: Warehouse) -> DataFrame:
     """Event times, falling back to the processing time where none can be read."""
     return decoded(w).select(
-        *PLACE, F.coalesce(event_time(F.col("order_timestamp")), w.as_of).alias("event_time")
+        *PLACE, F.coalesce(event_time("order_timestamp"), w.as_of).alias("event_time")
     )
 
 
 @query
 def ingest_latency(w: Warehouse) -> DataFrame:
     """Milliseconds from event to arrival, for events with a readable time."""
-    instant = event_time(F.col("order_timestamp"))
+    instant = event_time("order_timestamp")
     timed = decoded(w).select(*PLACE, instant.alias("event_time"), "received_at")
     timed = counted(timed).where("event_time IS NOT NULL")
-    return timed.select(*PLACE, latency_ms(F.col("event_time"), F.col("received_at")).alias("latency_ms"))
+    return timed.select(*PLACE, latency_ms("event_time", "received_at").alias("latency_ms"))
 
 
 @query
