@@ -42,6 +42,34 @@ def current_orders(versions: DataFrame) -> DataFrame:
     )
 
 
+def repeated_orders(versions: DataFrame) -> DataFrame:
+    """Ids of orders with more than one version; only this column is shuffled."""
+    return (
+        versions.groupBy("order_id").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("order_id")
+    )
+
+
+def current_orders_given(versions: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``current_orders`` for a log in which few orders repeat.
+
+    Orders with a single version, nearly all of the log, pass through without a shuffle.
+    ``repeated`` is broadcast, so the caller must have checked its size.
+    """
+    keys = F.broadcast(repeated)
+    names = [f.name for f in TABLES["fact_orders"].fields]
+    single = versions.join(keys, "order_id", "left_anti").select(
+        *names, "batch_id", "seq", F.lit(1).cast("long").alias("versions")
+    )
+    return single.unionByName(current_orders(versions.join(keys, "order_id", "left_semi")))
+
+
+def superseded_versions(versions: DataFrame, repeated: DataFrame, orders: DataFrame) -> DataFrame:
+    """Deliveries that a later one of the same order replaced."""
+    latest = orders.where(F.col("versions") > 1).select("order_id", version().alias("_latest"))
+    candidates = versions.select(*VERSION_KEYS).join(repeated, "order_id", "left_semi")
+    return candidates.join(latest, "order_id").where(version() < F.col("_latest")).select(*VERSION_KEYS)
+
+
 def keep_latest(rows: DataFrame, orders: DataFrame) -> DataFrame:
     """Rows of the log that belong to the last version of their order."""
     return rows.join(orders.select(*VERSION_KEYS), VERSION_KEYS, "left_semi")
@@ -139,17 +167,19 @@ def reused_event_ids(log: DataFrame) -> DataFrame:
     source never sends.
     """
     ids = valid_events(log).select("event_id", *VERSION_KEYS)
+    # Pairs first, then pairs per event id: two small hash aggregations, neither of which
+    # gathers the deliveries of one much repeated event.
     shared = (
-        ids.groupBy("event_id")
-        .agg(
-            F.min_by("order_id", version()).alias("owner"),
-            F.min("order_id").alias("_low"),
-            F.max("order_id").alias("_high"),
-        )
-        .where(F.col("_low") != F.col("_high"))
-        .select("event_id", "owner")
+        ids.select("event_id", "order_id")
+        .distinct()
+        .groupBy("event_id")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") > 1)
+        .select("event_id")
     )
-    return ids.join(shared, "event_id").where(F.col("order_id") != F.col("owner"))
+    suspects = ids.join(shared, "event_id", "left_semi")
+    owners = suspects.groupBy("event_id").agg(F.min_by("order_id", version()).alias("owner"))
+    return suspects.join(owners, "event_id").where(F.col("order_id") != F.col("owner"))
 
 
 def without_reused_ids(log: DataFrame, reused: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from millrace.functions.values import mean, percent
 from millrace.model import BATCH_METRIC
 from millrace.operators.lookup import with_dimensions
 from millrace.operators.running import running_total
+from millrace.session import ensure_checkpoint_dir
 
 
 def _count_status(status: str) -> Column:
@@ -69,7 +70,12 @@ def live_ingest_rate(
 def recent_orders_feed(
     orders: DataFrame, customers: DataFrame, locations: DataFrame, payments: DataFrame, limit: int = 50
 ) -> DataFrame:
-    """The newest orders with dimension attributes; only ``limit`` rows reach the joins."""
+    """The newest orders with dimension attributes.
+
+    The newest rows are fixed by a checkpoint. With at most ``limit`` keys to look for, each
+    dimension is scanned past a broadcast of them instead of being shuffled to the join.
+    """
+    ensure_checkpoint_dir(orders.sparkSession)
     newest = (
         orders.select(
             "order_id",
@@ -86,8 +92,19 @@ def recent_orders_feed(
         )
         .orderBy(F.col("order_timestamp").desc(), "order_id")
         .limit(limit)
+        .checkpoint()
     )
-    return with_dimensions(newest, customers, locations, payments).select(
+
+    def needed(dimension: DataFrame, key: str) -> DataFrame:
+        keys = newest.select(key).distinct()
+        return F.broadcast(dimension.join(F.broadcast(keys), key, "left_semi"))
+
+    return with_dimensions(
+        newest,
+        needed(customers, "customer_id"),
+        needed(locations, "location_id"),
+        needed(payments, "payment_method_id"),
+    ).select(
         "order_id",
         "event_id",
         "customer_name",

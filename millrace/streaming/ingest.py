@@ -17,9 +17,12 @@ from millrace.operators.validation import ingest_plan, order_versions_of, quaran
 from millrace.operators.versions import (
     VERSION_KEYS,
     current_orders,
+    current_orders_given,
     keep_latest,
     quarantine_reused_ids,
+    repeated_orders,
     reused_event_ids,
+    superseded_versions,
     without_reused_ids,
 )
 from millrace.plans.monitoring import batch_metrics, batch_stats, no_events
@@ -29,6 +32,9 @@ LOG, METRICS = "event_log", "pipeline_health_metrics"
 DIMENSIONS = ["dim_customers", "dim_locations", "dim_payment_methods", "dim_products"]
 SEED_BATCH = -1
 
+# Id rows (some tens of bytes each) that compaction is willing to broadcast.
+BROADCAST_ROWS = 500_000
+
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("seq", T.LongType()),
@@ -145,6 +151,42 @@ class OrderStore:
         log = self.log()
         return quarantine_rows(log).unionByName(quarantine_reused_ids(log, reused_event_ids(log)))
 
+    # --- compaction ---------------------------------------------------------------------
+
+    def compact(self, target: str, broadcast_rows: int = BROADCAST_ROWS) -> None:
+        """Write the current orders, line items and quarantine as plain tables below ``target``.
+
+        The exceptions in the log (reused event ids, repeated orders, superseded deliveries)
+        are found first, from its id columns, and written down. While they are few, the log
+        streams past a broadcast of them and is never shuffled. Beyond ``broadcast_rows``
+        the same results come from shuffled joins and a map-side combined aggregation.
+        """
+
+        def save(name: str, rows: DataFrame) -> DataFrame:
+            path = f"{target.rstrip('/')}/{name}"
+            rows.write.mode("overwrite").parquet(path)
+            return self.spark.read.schema(rows.schema).parquet(path)
+
+        def few(rows: DataFrame) -> bool:
+            return rows.count() <= broadcast_rows
+
+        log = self.log()
+        reused = save("reused_event_ids", reused_event_ids(log))
+        marks = F.broadcast(reused) if few(reused) else reused
+        events = without_reused_ids(valid_events(log), marks)
+        versions = order_versions_of(events)
+        repeated = save("repeated_orders", repeated_orders(versions))
+        if few(repeated):
+            orders = save("fact_orders", current_orders_given(versions, repeated))
+            old = save("superseded", superseded_versions(versions, F.broadcast(repeated), orders))
+            gone = F.broadcast(old) if few(old) else old
+            current = events.join(gone, VERSION_KEYS, "left_anti")
+        else:
+            orders = save("fact_orders", current_orders(versions))
+            current = keep_latest(events, orders)
+        save("fact_order_items", line_items_of(current))
+        save("quarantine_orders", quarantine_rows(log).unionByName(quarantine_reused_ids(log, marks)))
+
 
 def batch_handler(
     store: OrderStore,

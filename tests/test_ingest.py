@@ -175,3 +175,28 @@ def test_published_events_come_back_as_messages(spark, messages, as_of, store):
     assert {f.name for f in RAW_EVENT.fields} == set(received.columns)
     assert sorted(r["key"] for r in spark.read.parquet(path).collect()) == ["ORD-1", "ORD-2"]
     assert store.write_batch(received, 0, as_of)["valid"] == 2
+
+
+@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
+def test_compaction_equals_the_live_views(spark, store, messages, as_of, broadcast_rows):
+    first = [order_event(n) for n in range(1, 9)] + [order_event(2, order_status="SHIPPED"), "bad"]
+    second = [
+        order_event(3, order_status="DELIVERED", items=[item(product_id="P7"), item(product_id="P8")]),
+        order_event(50, event_id="evt-4"),
+        order_event(9),
+    ]
+    store.write_batch(messages(*first), 0, as_of)
+    store.write_batch(messages(*second, start=100), 1, as_of)
+    target = scratch_path(spark, "compacted")
+    store.compact(target, broadcast_rows)
+    live = {
+        "fact_orders": store.fact_orders(),
+        "fact_order_items": store.fact_order_items(),
+        "quarantine_orders": store.quarantine(),
+    }
+    for name, rows in live.items():
+        stored = spark.read.parquet(f"{target}/{name}").select(rows.columns)
+        assert sorted(map(str, stored.collect())) == sorted(map(str, rows.collect())), name
+    assert live["fact_orders"].count() == 9
+    codes = sorted(r["error_code"] for r in live["quarantine_orders"].collect())
+    assert codes == ["CORRUPT_PAYLOAD", "DUPLICATE_EVENT_ID"]
