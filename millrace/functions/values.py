@@ -22,5 +22,9 @@ def mean(total: Column, count: Column) -> Column:
 
 
 def surrogate_key(*parts: Column) -> Column:
-    """A 64-bit key that is the same every time the same batch is written."""
+    """A 64-bit key that is the same every time the same batch is written.
+
+    Being a hash it may repeat in tables of billions of rows. Nothing here joins on it: the
+    natural keys it is made of stay unique.
+    """
     return F.xxhash64(*parts)

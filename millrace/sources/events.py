@@ -25,15 +25,19 @@ def read_stream(
 
 
 def from_kafka(messages: DataFrame) -> DataFrame:
-    """Topic messages as raw events: text payload, a sequence number and the arrival time.
+    """Topic messages as raw events: text payload, a sequence number and the processing time.
+
+    The processing time is that of the micro-batch. Spark keeps it in the checkpoint, so a
+    batch that runs again gets the same one.
 
     Offsets count up within a topic partition, and a key always goes to the same one, so
-    (offset, partition) orders the versions of an order.
+    they order the versions of an order. The partition number fills the high bits, which
+    keeps sequence numbers unique and those of one partition dense.
     """
     return messages.select(
         F.col("value").cast("string").alias("value"),
-        (F.col("offset") * F.lit(1 << 14) + F.col("partition")).alias("seq"),
-        F.col("timestamp").alias("received_at"),
+        (F.col("partition").cast("long") * F.lit(1 << 48) + F.col("offset")).alias("seq"),
+        F.current_timestamp().alias("received_at"),
     )
 
 

@@ -160,6 +160,8 @@ class OrderStore:
         are found first, from its id columns, and written down. While they are few, the log
         streams past a broadcast of them and is never shuffled. Beyond ``broadcast_rows``
         the same results come from shuffled joins and a map-side combined aggregation.
+        Give every compaction a folder of its own, so that readers of the last one are not
+        disturbed.
         """
 
         def save(name: str, rows: DataFrame) -> DataFrame:

@@ -9,7 +9,9 @@ from millrace.operators.decode import counted, decode_events
 from millrace.operators.validation import classify, to_event_log, valid_events
 from millrace.sources.tables import BATCH
 
-# Order times may lie years apart within one batch, so by default nothing counts as late.
+# Order times may lie years apart within one batch, so by default nothing counts as late and
+# state is kept for good. On an endless stream pass the delay that repeats can really have:
+# it bounds the state to the keys of that span.
 WIDE_DELAY = "36500 days"
 
 

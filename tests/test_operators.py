@@ -213,4 +213,4 @@ def test_kafka_messages_become_raw_events(spark):
         "timestamp", F.lit("2026-01-15 11:00:00").cast("timestamp")
     )
     row = ev.from_kafka(frame).first()
-    assert (row["value"], row["seq"]) == ('{"a":1}', 7 * 16384 + 3)
+    assert (row["value"], row["seq"]) == ('{"a":1}', 3 * 2**48 + 7)

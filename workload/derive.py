@@ -118,7 +118,9 @@ def parcels(lines: DataFrame) -> DataFrame:
     )
 
 
-def base_orders(orders: DataFrame, customer: DataFrame, parcel_rows: DataFrame) -> DataFrame:
+def base_orders(
+    orders: DataFrame, customer: DataFrame, parcel_rows: DataFrame, lineitem: DataFrame
+) -> DataFrame:
     """One row per event before anomalies: order header joined to its parcels."""
     headers = orders.join(
         customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey", "left"
@@ -126,7 +128,8 @@ def base_orders(orders: DataFrame, customer: DataFrame, parcel_rows: DataFrame)
     keyed = parcel_rows.withColumnRenamed("l_orderkey", "o_orderkey")
     with_lines = keyed.join(headers, "o_orderkey")
     zero = F.lit(0).cast("decimal(12,2)")
-    without = headers.join(keyed.select("o_orderkey"), "o_orderkey", "left_anti").select(
+    ordered = lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    without = headers.join(ordered, "o_orderkey", "left_anti").select(
         "*",
         F.lit(0).cast("long").alias("parcel"),
         F.lit(0).alias("item_count"),

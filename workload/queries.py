@@ -622,18 +622,27 @@ def rollup_snapshot(w: Warehouse) -> DataFrame:
 
 @query
 def hourly_mart_upsert(w: Warehouse) -> DataFrame:
-    """The mart of the first batch with the hours that the second one touched replaced."""
-    first = ver.current_orders(w.versions().where(F.col("batch_id") == 0))
-    early = marts.hourly_rollup(first, w.quarantine().where(F.col("batch_id") == 0), w.as_of)
+    """The mart of the first batch with the hours that the second one touched replaced.
+
+    Only orders and rejections of the touched hours are read for the replacement.
+    """
+    versions, quarantine = w.versions(), w.quarantine()
+    early = marts.hourly_rollup(
+        ver.current_orders(versions.where(F.col("batch_id") == 0)), quarantine.where(F.col("batch_id") == 0), w.as_of
+    )
+    ordered_in = F.date_trunc("hour", "order_timestamp")
+    rejected_in = F.date_trunc("hour", "quarantined_at")
     touched = (
-        w.versions().where(F.col("batch_id") == 1).select(F.date_trunc("hour", "order_timestamp").alias("hour"))
-        .unionByName(
-            w.quarantine().where(F.col("batch_id") == 1).select(F.date_trunc("hour", "quarantined_at").alias("hour"))
-        )
+        versions.where(F.col("batch_id") == 1)
+        .select(ordered_in.alias("hour"))
+        .unionByName(quarantine.where(F.col("batch_id") == 1).select(rejected_in.alias("hour")))
         .distinct()
     )
-    full = marts.hourly_rollup(w.orders(), w.quarantine(), w.as_of)
-    fresh = full.join(touched, full["hourly_window_start"] == touched["hour"], "left_semi")
+    fresh = marts.hourly_rollup(
+        w.orders().withColumn("hour", ordered_in).join(touched, "hour", "left_semi"),
+        quarantine.withColumn("hour", rejected_in).join(touched, "hour", "left_semi"),
+        w.as_of,
+    )
     return marts.mart_upsert(early, fresh)
 
 

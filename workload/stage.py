@@ -74,7 +74,9 @@ class Warehouse:
             lineitem = self.given("lineitem")
             crowded = self.written("crowded_orders", lambda: derive.crowded_orders(lineitem))
             lines = derive.order_lines(lineitem, self.given("part"), crowded)
-            base = derive.base_orders(self.given("orders"), self.given("customer"), derive.parcels(lines))
+            base = derive.base_orders(
+                self.given("orders"), self.given("customer"), derive.parcels(lines), lineitem
+            )
             return derive.raw_messages(base)
 
         return self.written("raw_events", make, "batch_id")
@@ -153,7 +155,7 @@ class Warehouse:
             for part in (0, 1):
                 # A later delivery must come after the earlier ones, so the second batch is
                 # only taken up once the first has been read to its end.
-                stream = read_order_stream(self.spark, f"{self.root}/raw_events/batch_id={part}", max_files=16)
+                stream = read_order_stream(self.spark, f"{self.root}/raw_events/batch_id={part}", max_files=4)
                 base = part * 1_000_000
                 self._drain(stream, store, base, f"{self.root}/checkpoint-{part}")
             return store
