@@ -305,10 +305,8 @@ def seeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             (F.col("n_nationkey") * 14 - 170).cast("decimal(9,6)").alias("longitude"),
         )
     )
-    payments = spark.createDataFrame(
-        [r for r in PAYMENT_METHOD_ROWS if r[0] != "PAY-CRYPTO"],
-        "payment_method_id string, method_type string, provider string",
-    )
+    rows = ", ".join(str(r) for r in PAYMENT_METHOD_ROWS if r[0] != "PAY-CRYPTO")
+    payments = spark.sql(f"SELECT * FROM VALUES {rows} AS t(payment_method_id, method_type, provider)")
     return {
         "dim_customers": customers,
         "dim_products": products,

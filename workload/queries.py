@@ -18,7 +18,7 @@ from millrace.plans import marts, monitoring, reports
 from millrace.session import scratch_path
 from millrace.sources import events as ev, tables as tb
 from millrace.streaming import windows
-from millrace.streaming.ingest import DIMENSIONS, LOG, OrderStore
+from millrace.streaming.ingest import LOG, OrderStore
 from workload.stage import Warehouse, warehouse
 
 Query = Callable[[Warehouse], DataFrame]
