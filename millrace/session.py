@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Safe on any session: none of these change results, only how shuffles are sized and split.
@@ -65,3 +68,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable, keeping a folder the cluster already set."""
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_root(spark))
+
+
+def together(spark: SparkSession, *actions: Callable[[], object]) -> list[object]:
+    """Submit independent jobs at once, so that small ones share the executors; results in order."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+        return [job.result() for job in started]

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +25,7 @@ from millrace.operators.versions import (
     without_reused_ids,
 )
 from millrace.plans.monitoring import batch_metrics, batch_stats, no_events
+from millrace.session import together
 from millrace.sources.tables import BATCH, BatchStore
 
 LOG, METRICS = "event_log", "pipeline_health_metrics"
@@ -60,8 +60,13 @@ class OrderStore:
 
     def seed_dimensions(self, seeds: Mapping[str, DataFrame], loaded_at: Column) -> None:
         """Load known dimension rows ahead of the first batch."""
-        for name, rows in seeds.items():
-            self.store.write(name, dims.conform(rows, name, loaded_at), SEED_BATCH)
+        together(
+            self.spark,
+            *[
+                partial(self.store.write, name, dims.conform(rows, name, loaded_at), SEED_BATCH)
+                for name, rows in seeds.items()
+            ],
+        )
         self.store.commit(SEED_BATCH, loaded_at, 0)
 
     def write_batch(
@@ -81,10 +86,14 @@ class OrderStore:
         now = F.current_timestamp() if as_of is None else as_of
         self.store.write(LOG, ingest_plan(raw, now, tolerance), batch_id, ["outcome"])
         log = self.store.batch(LOG, batch_id)
-        if infer_dimensions:
-            self._add_dimensions(log, batch_id, now)
         stats = batch_stats(log, self._duplicates(log, batch_id))
-        summary = stats.take(1)  # one row per batch, none for an empty batch
+        inferred = self._new_dimension_rows(log, batch_id, now) if infer_dimensions else {}
+        # The statistics are one row per batch, none for an empty batch.
+        summary, *_ = together(
+            self.spark,
+            partial(stats.take, 1),
+            *[partial(self.store.write, name, rows, batch_id) for name, rows in inferred.items()],
+        )
         self.store.write(METRICS, batch_metrics(self.spark.createDataFrame(summary, stats.schema)), batch_id)
         result = {k: summary[0][k] if summary else n for k, n in no_events().items()}
         self.store.commit(batch_id, now, result["processed"])
@@ -103,7 +112,7 @@ class OrderStore:
             F.lit(batch_id).cast("long").alias(BATCH), "duplicates"
         )
 
-    def _add_dimensions(self, log: DataFrame, batch_id: int, now: Column) -> None:
+    def _new_dimension_rows(self, log: DataFrame, batch_id: int, now: Column) -> dict[str, DataFrame]:
         orders, items = order_versions_of(log), line_items_of(valid_events(log))
         known = {name: self.store.before(name, batch_id) for name in DIMENSIONS}
         inferred = {
@@ -112,16 +121,7 @@ class OrderStore:
             "dim_payment_methods": dims.infer_payment_methods(orders, known["dim_payment_methods"]),
             "dim_products": dims.infer_products(items, known["dim_products"]),
         }
-        ready = {name: dims.conform(rows, name, now) for name, rows in inferred.items()}
-
-        @inheritable_thread_target(self.spark)
-        def write(name: str) -> None:
-            self.store.write(name, ready[name], batch_id)
-
-        # Four small independent jobs; submitted together they share the executors.
-        with ThreadPoolExecutor(len(ready)) as pool:
-            for done in [pool.submit(write, name) for name in ready]:
-                done.result()
+        return {name: dims.conform(rows, name, now) for name, rows in inferred.items()}
 
     # --- reading ------------------------------------------------------------------------
 
@@ -186,8 +186,12 @@ class OrderStore:
         else:
             orders = save("fact_orders", current_orders(versions))
             current = keep_latest(events, orders)
-        save("fact_order_items", line_items_of(current))
-        save("quarantine_orders", quarantine_rows(log).unionByName(quarantine_reused_ids(log, marks)))
+        rejected = quarantine_rows(log).unionByName(quarantine_reused_ids(log, marks))
+        together(
+            self.spark,
+            partial(save, "fact_order_items", line_items_of(current)),
+            partial(save, "quarantine_orders", rejected),
+        )
 
 
 def batch_handler(
