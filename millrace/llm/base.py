@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Words between ASCII white space.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: str.translate table that lower-cases A-Z alone.
 ASCII_LOWER = {ord(c): c.lower() for c in _UPPER}
@@ -30,14 +33,22 @@ def share_of(key: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def by_text(docs: DataFrame, columns: list[str], schema: str, work: Callable[[pa.Table], pa.Table]) -> DataFrame:
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """df.mapInArrow, with this package on the import path of the Python workers wherever its folder is there."""
+    path = df.sparkSession.sparkContext.environment
+    if _ROOT not in path.get("PYTHONPATH", "").split(os.pathsep):
+        path["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, path.get("PYTHONPATH")]))
+    return df.mapInArrow(run, schema)
+
+
+def by_text(docs: DataFrame, columns: list[str], schema: str | StructType, work: Callable[[pa.Table], pa.Table]) -> DataFrame:
     """work on Arrow tables with the given columns of docs; rows stay where they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from work(pa.Table.from_batches([batch])).to_batches()
 
-    return docs.select(*columns).mapInArrow(run, schema)
+    return mapped(docs.select(*columns), run, schema)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

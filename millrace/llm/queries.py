@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, token_counts
+from . import bpe_automaton, language_id, mixing, token_counts
 from .base import table
 
 
@@ -15,6 +15,14 @@ def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predicted(table(spark, sf_dir, "documents"))
+
+
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -22,9 +30,11 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_bpe_automaton": bpe,
+        "op6_source_mixing": mix,
+        "op8_language_id": languages,
         "op9_token_counts": tokens,
     }
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {"op6_source_mixing": mixing.SQL}
