@@ -31,6 +31,8 @@ from .base import by_text
 
 #: Words kept per worker.
 CACHE = 600_000
+#: Texts encoded at a time.
+ROWS = 200
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -208,28 +210,36 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text."""
+def _digest(text: str) -> str:
+    return hashlib.sha256(text.encode("utf-8")).hexdigest()
+
 
+def _encoded(docs: DataFrame, tokenizer: str, ids: bool) -> DataFrame:
     def work(rows: pa.Table) -> pa.Table:
         c = codec(tokenizer)
-        n, ids, texts = [], [], []
-        for text in rows["text"]:
-            found = c.pieces(text.as_py() or "")
-            n.append(sum([w.n for w in found]))
-            ids.append(hashlib.sha256(" ".join([w.ids for w in found]).encode()).hexdigest())
-            texts.append(hashlib.sha256(" ".join([w.labels for w in found]).encode()).hexdigest())
-        return pa.table({"doc_id": rows["doc_id"], "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array(texts, pa.string())})
+        found = [c.pieces(text.as_py() or "") for text in rows["text"]]
+        spelled = [" ".join([w.ids for w in words]) for words in found]
+        out = {
+            "doc_id": rows["doc_id"],
+            "n_tokens": pa.array([sum([w.n for w in words]) for words in found], pa.int64()),
+            "ids_sha256": pa.array([_digest(s) for s in spelled], pa.string()),
+            "decoded_sha256": pa.array([_digest(" ".join([w.labels for w in words])) for words in found], pa.string()),
+        }
+        if ids:
+            out["ids"] = pa.array([[int(i) for i in s.split()] for s in spelled], pa.list_(pa.int32()))
+        return pa.table(out)
 
-    return by_text(docs, ["doc_id", "text"], SCHEMA, work)
+    def run(rows: pa.Table) -> pa.Table:
+        return pa.concat_tables([work(rows.slice(k, ROWS)) for k in range(0, max(1, rows.num_rows), ROWS)])
 
+    return by_text(docs, ["doc_id", "text"], SCHEMA + ", ids array<int>" * ids, run)
 
-def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """doc_id, the token ids of its text, and the text decoded from them."""
 
-    def work(rows: pa.Table) -> pa.Table:
-        c = codec(tokenizer)
-        ids = [c.encode(text.as_py() or "") for text in rows["text"]]
-        return pa.table({"doc_id": rows["doc_id"], "ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array([c.decode(i) for i in ids], pa.string())})
+def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text."""
+    return _encoded(docs, tokenizer, False)
 
-    return by_text(docs, ["doc_id", "text"], "doc_id long, ids array<int>, decoded string", work)
+
+def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """digests() and the token ids themselves."""
+    return _encoded(docs, tokenizer, True)

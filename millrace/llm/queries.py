@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, language_id, mixing, token_counts
+from . import bpe_automaton, jaccard_join, language_id, mixing, token_counts
 from .base import table
 
 
@@ -19,6 +19,10 @@ def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.joined(table(spark, sf_dir, "documents"))
+
+
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predicted(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_bpe_automaton": bpe,
         "op6_source_mixing": mix,
+        "op7_ngram_jaccard_join": near_copies,
         "op8_language_id": languages,
         "op9_token_counts": tokens,
     }
