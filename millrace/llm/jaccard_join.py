@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from .base import mapped, stored
 from .components import components
+from .text_arrays import BASE, chunks, mixed, words
 
 WORDS, PERCENT = 3, 90
 #: Size classes of the lists: from 9 elements on (smaller sets have no partner but equal ones), each wider by GROWTH.
@@ -40,42 +41,11 @@ LEAST, GROWTH = 9, 1.25
 SMALL, KEY_BYTES, ROUNDS = 40, 24, 2
 #: Bits of the table of sets that are looked up; others pass unseen. A full table lets all pass.
 BITS = 1 << 24
-#: Bytes of text that are cut into words at a time.
-CHUNK = 1 << 20
-
-_RANDOM = np.random.default_rng(20240229)
-_BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
-_BASE = 0x9E3779B97F4A7C15
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-_POWERS: list[np.ndarray] = []
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """_BASE ** i and its inverse, modulo 2 ** 64."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, CHUNK + 1)
-        _POWERS[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, b, np.uint64)]), dtype=np.uint64) for b in (_BASE, pow(_BASE, -1, 1 << 64))]
-    return _POWERS[0], _POWERS[1]
-
-
-def _mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
-    """64-bit finalizer."""
-    x = x + np.uint64(salt * 0xD1B54A32D192ED03 % (1 << 64))
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
 
 def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Digests of the distinct shingles of all texts, sorted within each text, and where each text's begin (one more at the end)."""
-    parts, sizes, k = [], [], 0
-    while k < len(texts):
-        some, weight = [], 0
-        while k < len(texts) and (not some or weight < CHUNK):
-            some.append((texts[k] or "").encode("utf-8", "surrogatepass").lower())
-            weight += len(some[-1]) + 1
-            k += 1
+    parts, sizes = [], []
+    for some in chunks(texts):
         digests, n = _shingles(some)
         parts.append(digests)
         sizes += n
@@ -83,20 +53,12 @@ def shingle_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shingles(texts: list[bytes]) -> tuple[np.ndarray, list[int]]:
-    data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
-    blank = _SPACE[data]
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]])))
-    start, stop = edge[0::2], edge[1::2]
-    power, inverse = _powers(len(data) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * power[: len(data)], dtype=np.uint64)])
-    word = _mix((sums[stop] - sums[start]) * inverse[start])
-    ends = np.cumsum([len(t) + 1 for t in texts])
-    first = np.searchsorted(start, np.concatenate([[0], ends]))
+    word, first = words(texts)
     three = np.zeros(0, np.uint64)
     if len(word) >= WORDS:
         total = np.zeros(len(word) - WORDS + 1, np.uint64)
         for j in range(WORDS):
-            total = _mix(total + word[j : len(word) - WORDS + 1 + j], j + 1)
+            total = mixed(total + word[j : len(word) - WORDS + 1 + j], j + 1)
         three = total
     out, n = [], []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
@@ -106,8 +68,8 @@ def _shingles(texts: list[bytes]) -> tuple[np.ndarray, list[int]]:
         elif b > a:
             whole = np.zeros(1, np.uint64)
             for j in range(a, b):
-                whole = _mix(whole + word[j], 16 + j - a)
-            found = _mix(whole, b - a + 32)
+                whole = mixed(whole + word[j], 16 + j - a)
+            found = mixed(whole, b - a + 32)
         else:
             found = np.zeros(0, np.uint64)
         out.append(found)
@@ -124,7 +86,7 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _names(digests: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two digests of each set."""
     n = np.diff(offsets).astype(np.uint64)
-    return _mix(_sums(_mix(digests, 101), offsets) + n).view(np.int64), _mix(_sums(_mix(digests, 102), offsets) + n).view(np.int64)
+    return mixed(_sums(mixed(digests, 101), offsets) + n).view(np.int64), mixed(_sums(mixed(digests, 102), offsets) + n).view(np.int64)
 
 
 def unshared(total: int) -> int:
@@ -172,14 +134,14 @@ def boundary(sizes: dict[int, int]) -> int:
 def _keys(digests: np.ndarray, offsets: np.ndarray, names: np.ndarray, large: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
     """Signature, set, size and shared size (0: a list's) of all keys of the sets."""
     n = np.diff(offsets)
-    own = _mix(digests, 103)
+    own = mixed(digests, 103)
     total = _sums(own, offsets)
     for k in np.flatnonzero((n >= LEAST) & (n < large)).tolist():
         values = own[offsets[k] : offsets[k + 1]]
         for m in range(dropped(int(n[k])) + 1):
             gone = np.array(list(combinations(range(int(n[k])), m)), np.int64)
             sums = total[k] - values[gone].sum(axis=1, dtype=np.uint64) if m else total[k : k + 1]
-            yield _mix(sums, 1000 + int(n[k]) - m).view(np.int64), np.full(len(sums), names[k]), np.full(len(sums), n[k]), int(n[k]) - m
+            yield mixed(sums, 1000 + int(n[k]) - m).view(np.int64), np.full(len(sums), names[k]), np.full(len(sums), n[k]), int(n[k]) - m
     edges = edges_of_classes(int(n.max(initial=0)))
     for j, (low, high) in enumerate(zip(edges, edges[1:])):
         # Sets of the class, and smaller ones that a set of the class may link with.
@@ -189,13 +151,13 @@ def _keys(digests: np.ndarray, offsets: np.ndarray, names: np.ndarray, large: in
         k = blocks(high)
         at = np.concatenate([np.arange(offsets[s], offsets[s + 1]) for s in here])
         row = np.repeat(np.arange(len(here)), n[here])
-        mixed = _mix(digests[at], 2000 + j)
-        cell = row * k + ((mixed >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(np.int64)
+        dealt = mixed(digests[at], 2000 + j)
+        cell = row * k + ((dealt >> np.uint64(32)) * np.uint64(k) >> np.uint64(32)).astype(np.int64)
         # Halves add up exactly as doubles.
-        value = _mix(digests[at], 104)
+        value = mixed(digests[at], 104)
         filled = np.bincount(cell, minlength=len(here) * k)
         halves = [np.bincount(cell, v.astype(np.float64), len(here) * k).astype(np.uint64) for v in (value >> np.uint64(32), value & np.uint64(0xFFFFFFFF))]
-        sig = _mix(halves[0] * np.uint64(_BASE) + halves[1] + np.tile(np.arange(k, dtype=np.uint64), len(here)) * np.uint64(0xC2B2AE3D27D4EB4F), 3000 + j)
+        sig = mixed(halves[0] * np.uint64(BASE) + halves[1] + np.tile(np.arange(k, dtype=np.uint64), len(here)) * np.uint64(0xC2B2AE3D27D4EB4F), 3000 + j)
         # Two equal blocks are sure; empty ones matter only where a set has two of them.
         empties = (filled.reshape(len(here), k) == 0).sum(axis=1)
         use = np.flatnonzero((filled > 0) | np.repeat(empties >= 2, k))
@@ -306,8 +268,8 @@ def links(docs: DataFrame, large: int) -> DataFrame:
             leader = now.groupBy("sig").agg(F.min(F.struct(F.xxhash64("set", F.lit(turn)).alias("order"), "set", "n", "root")).alias("first"))
             pairs = now.join(leader, "sig").filter(f"root <> first.root AND {_close('n', 'first.n')}").select("set", F.col("first.set").alias("other"))
         else:
-            mixed = now.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-            now = stored(now.join(mixed.select("sig"), "sig", "left_semi"), "mixed-lists")
+            split = now.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+            now = stored(now.join(split.select("sig"), "sig", "left_semi"), "mixed-lists")
             other = now.select("sig", F.col("set").alias("other"), F.col("n").alias("m"), F.col("root").alias("other_root"))
             pairs = now.join(other, "sig").filter(f"root < other_root AND {_close('n', 'm')}").select("set", "other")
         pairs = pairs.select(F.greatest("set", "other").alias("a"), F.least("set", "other").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")

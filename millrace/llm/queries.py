@@ -7,10 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, jaccard_join, language_id, mixing, token_counts
+from . import bpe_automaton, context_tree, jaccard_join, language_id, license_scan, mixing, token_counts
 from .base import table
 
 
+def licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.scored(table(spark, sf_dir, "documents"))
+
+
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -33,6 +41,8 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_scan": licences,
+        "op2_context_tree_score": language_model,
         "op5_bpe_automaton": bpe,
         "op6_source_mixing": mix,
         "op7_ngram_jaccard_join": near_copies,
