@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, context_tree, jaccard_join, language_id, license_scan, mixing, token_counts
+from . import bpe_automaton, context_tree, jaccard_join, language_id, license_scan, mixing, token_counts, topk_search, vector_dedup
 from .base import table
 
 
@@ -19,6 +19,14 @@ def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.scored(table(spark, sf_dir, "documents"))
 
 
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.search(table(spark, sf_dir, "embeddings"))
+
+
+def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.deduplicated(table(spark, sf_dir, "embeddings"))
+
+
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -43,6 +51,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": licences,
         "op2_context_tree_score": language_model,
+        "op3_topk_search": nearest,
+        "op4_vector_dedup": near_vectors,
         "op5_bpe_automaton": bpe,
         "op6_source_mixing": mix,
         "op7_ngram_jaccard_join": near_copies,
@@ -52,4 +62,4 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def statements() -> dict[str, str]:
-    return {"op6_source_mixing": mixing.SQL}
+    return {"op3_topk_search": topk_search.SQL, "op4_vector_dedup": vector_dedup.SQL, "op6_source_mixing": mixing.SQL}
