@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, context_tree, jaccard_join, language_id, license_scan, mixing, token_counts, topk_search, vector_dedup
+from . import bpe_automaton, context_tree, jaccard_join, language_id, license_scan, main_text, mixing, token_counts, topk_search, vector_dedup
 from .base import table
 
 
@@ -47,6 +47,10 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": licences,
@@ -58,6 +62,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_ngram_jaccard_join": near_copies,
         "op8_language_id": languages,
         "op9_token_counts": tokens,
+        "op10_main_text": main_texts,
     }
 
 
