@@ -32,13 +32,15 @@ from pyspark.sql import functions as F
 
 from .base import mapped, stored
 from .components import components
-from .text_arrays import BASE, chunks, mixed, words
+from .text_arrays import BASE, chunks, mixed, runs, words
 
 WORDS, PERCENT = 3, 90
 #: Size classes of the lists: from 9 elements on (smaller sets have no partner but equal ones), each wider by GROWTH.
 LEAST, GROWTH = 9, 1.25
 #: Sizes up to which subsets are considered, bytes of a key, rounds with leaders.
 SMALL, KEY_BYTES, ROUNDS = 40, 24, 2
+#: Columns of a sketch of each set.
+PARITIES = ["p0", "p1", "p2", "p3"]
 #: Bits of the table of sets that are looked up; others pass unseen. A full table lets all pass.
 BITS = 1 << 24
 
@@ -180,14 +182,30 @@ def _pick(digests: np.ndarray, offsets: np.ndarray, places: np.ndarray) -> tuple
     return digests[at], np.concatenate([[0], np.cumsum(n)]).astype(np.int64)
 
 
+def _parities(digests: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """64 bits for each of PARITIES: whether a set has an odd number of elements in each of all those cells.
+
+    Two sets differ in as many elements, at least, as their bits.
+    """
+    cells = 64 * len(PARITIES)
+    n = len(offsets) - 1
+    cell = np.repeat(np.arange(n), np.diff(offsets)) * cells + (mixed(digests, 105) % np.uint64(cells)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=n * cells) & 1).astype(np.uint8)
+    bits = np.packbits(odd.reshape(n, cells), axis=1, bitorder="little")
+    return list(np.ascontiguousarray(bits).view(np.int64).reshape(n, len(PARITIES)).T)
+
+
 def sets(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and the two names (set, set2) of every document's set, stored."""
 
     def run(batches):
         for batch in batches:
-            digests, offsets = shingle_sets(batch.column(1).to_pylist())
-            one, two = _names(digests, offsets)
-            yield pa.record_batch([batch.column(0), pa.array(np.diff(offsets), pa.int64()), pa.array(one), pa.array(two)], ["doc_id", "n_shingles", "set", "set2"])
+            texts = batch.column(1).to_pylist()
+            for first, end in [(0, len(texts))]:
+                digests, offsets = shingle_sets(texts[first:end])
+                one, two = _names(digests, offsets)
+                columns = [batch.column(0).slice(first, end - first), pa.array(np.diff(offsets), pa.int64()), pa.array(one), pa.array(two)]
+                yield pa.record_batch(columns, ["doc_id", "n_shingles", "set", "set2"])
 
     return stored(mapped(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, n_shingles long, set long, set2 long"), "shingle-sets")
 
@@ -197,12 +215,14 @@ def lists(docs: DataFrame, large: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            digests, offsets = shingle_sets(batch.column(0).to_pylist())
-            names = _names(digests, offsets)[0]
-            new = _new(names, set())
-            digests, offsets = _pick(digests, offsets, new)
-            for sig, name, n, shared in _keys(digests, offsets, names[new], large):
-                yield pa.record_batch([pa.array(sig), pa.array(name), pa.array(n.astype(np.int32)), pa.array(np.full(len(sig), shared, np.int32))], ["sig", "set", "n", "shared"])
+            texts, seen = batch.column(0).to_pylist(), set()
+            for first, end in [(0, len(texts))]:
+                digests, offsets = shingle_sets(texts[first:end])
+                names = _names(digests, offsets)[0]
+                new = _new(names, seen)
+                digests, offsets = _pick(digests, offsets, new)
+                for sig, name, n, shared in _keys(digests, offsets, names[new], large):
+                    yield pa.record_batch([pa.array(sig), pa.array(name), pa.array(n.astype(np.int32)), pa.array(np.full(len(sig), shared, np.int32))], ["sig", "set", "n", "shared"])
 
     keys = mapped(docs.select("text"), run, "sig long, set long, n int, shared int")
     of = Window.partitionBy("sig")
@@ -221,16 +241,18 @@ def _looked_up(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            digests, offsets = shingle_sets(batch.column(0).to_pylist())
-            names = _names(digests, offsets)[0]
-            at = names % BITS
-            hit = np.flatnonzero(shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
-            hit = hit[_new(names[hit], set())]
-            for k in range(0, len(hit), 500):
-                found, ends = _pick(digests, offsets, hit[k : k + 500])
-                yield pa.record_batch([pa.array(names[hit[k : k + 500]]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found.view(np.int64)))], ["set", "digests"])
-
-    found = mapped(docs.select("text"), run, "set long, digests array<long>")
+            texts, seen = batch.column(0).to_pylist(), set()
+            for first, end in [(0, len(texts))]:
+                digests, offsets = shingle_sets(texts[first:end])
+                names = _names(digests, offsets)[0]
+                at = names % BITS
+                hit = np.flatnonzero(shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+                hit = hit[_new(names[hit], seen)]
+                found, ends = _pick(digests, offsets, hit)
+                columns = [pa.array(names[hit]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found.view(np.int64)))]
+                yield pa.record_batch([*columns, *map(pa.array, _parities(found, ends))], ["set", "digests", *PARITIES])
+
+    found = mapped(docs.select("text"), run, "set long, digests array<long>, " + ", ".join(f"{p} long" for p in PARITIES))
     return stored(found.join(wanted.select("set"), "set", "left_semi").dropDuplicates(["set"]), "shingle-digests")
 
 
@@ -261,22 +283,46 @@ def links(docs: DataFrame, large: int) -> DataFrame:
     found = stored(found.distinct(), "links-0")
     none = spark.createDataFrame([], "a long, b long")
     tested = none
-    for turn in range(1, ROUNDS + 2):
-        roots = components(found)
-        now = met.join(roots.withColumnRenamed("node", "set"), "set", "left").select("sig", "set", "n", F.coalesce("root", "set").alias("root"))
-        if turn <= ROUNDS:
-            leader = now.groupBy("sig").agg(F.min(F.struct(F.xxhash64("set", F.lit(turn)).alias("order"), "set", "n", "root")).alias("first"))
-            pairs = now.join(leader, "sig").filter(f"root <> first.root AND {_close('n', 'first.n')}").select("set", F.col("first.set").alias("other"))
-        else:
-            split = now.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-            now = stored(now.join(split.select("sig"), "sig", "left_semi"), "mixed-lists")
-            other = now.select("sig", F.col("set").alias("other"), F.col("n").alias("m"), F.col("root").alias("other_root"))
-            pairs = now.join(other, "sig").filter(f"root < other_root AND {_close('n', 'm')}").select("set", "other")
+    for turn in range(1, ROUNDS + 1):
+        now = _rooted(met, found)
+        leader = now.groupBy("sig").agg(F.min(F.struct(F.xxhash64("set", F.lit(turn)).alias("order"), "set", "n", "root")).alias("first"))
+        pairs = now.join(leader, "sig").filter(f"root <> first.root AND {_close('n', 'first.n')}").select("set", F.col("first.set").alias("other"))
         pairs = pairs.select(F.greatest("set", "other").alias("a"), F.least("set", "other").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, f"pairs-{turn}")
         found = found.union(stored(_checked(pairs, digests), f"links-{turn}"))
         tested = tested.union(pairs)
-    return found
+    now = _rooted(met, found)
+    mixed_lists = now.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    left = now.join(mixed_lists.select("sig"), "sig", "left_semi").select("set", "root").distinct()
+    pairs = stored(_sharing_rare(left.join(digests, "set")), "pairs-rare")
+    return found.union(stored(_checked(pairs, digests), "links-rare"))
+
+
+def _rooted(met: DataFrame, found: DataFrame) -> DataFrame:
+    roots = components(found).withColumnRenamed("node", "set")
+    return met.join(roots, "set", "left").select("sig", "set", "n", F.coalesce("root", "set").alias("root"))
+
+
+def _sharing_rare(left: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets of different roots that may link, of left(set, root, digests).
+
+    Ordered by how few of these sets have them, one of the first n - ceil(PERCENT * n / 100) + 1 elements of a set is among
+    those of each set that links with it. What near copies have in common comes last in that order, and elements of one
+    set alone make no list.
+    """
+    left = left.withColumn("n", F.size("digests"))
+    each = left.select("set", "n", F.explode("digests").alias("digest"))
+    many = each.groupBy("digest").agg(F.count("*").alias("sets"))
+    in_order = Window.partitionBy("set").orderBy("sets", "digest")
+    ranked = each.join(many, "digest").withColumn("place", F.row_number().over(in_order))
+    first = ranked.filter(f"sets > 1 AND place <= n - ceil({PERCENT} * n / 100) + 1").select("digest", "set", "place")
+    first = stored(first.join(left.drop("digests"), "set"), "rare-lists")
+    other = first.select("digest", *[F.col(c).alias(f"o_{c}") for c in first.columns if c != "digest"])
+    # Elements before the first common one are not shared, nor are those that the sketches tell apart.
+    most = f"floor((n + o_n) * {100 - PERCENT} / {100 + PERCENT})"
+    apart = " + ".join(f"bit_count({p} ^ o_{p})" for p in PARITIES)
+    pairs = first.join(other, "digest").filter(f"root < o_root AND {_close('n', 'o_n')} AND place + o_place - 2 <= {most} AND {apart} <= {most}")
+    return pairs.select(F.greatest("set", "o_set").alias("a"), F.least("set", "o_set").alias("b")).distinct()
 
 
 def joined(docs: DataFrame) -> DataFrame:

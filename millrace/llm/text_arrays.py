@@ -47,6 +47,18 @@ def chunks(texts: list[str | None], size: int = CHUNK) -> Iterator[list[bytes]]:
         yield some
 
 
+def runs(texts: list[str | None], size: int = CHUNK) -> Iterator[tuple[int, int]]:
+    """First place and end of runs of texts of about size characters."""
+    first = weight = 0
+    for k, text in enumerate(texts):
+        weight += len(text or "")
+        if weight >= size:
+            yield first, k + 1
+            first, weight = k + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
+
+
 def words(texts: list[bytes], between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Digests of the words between the given bytes, and where each text's begin (one more at the end)."""
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
