@@ -5,7 +5,7 @@ hashed into DIMS dimensions. Document frequencies are counted over all training
 centroids per language come from spherical k-means on a bounded sample of labelled training rows
 (PER_LANGUAGE rows expected for each language, chosen by a hash of doc_id). A text gets the language of
 the centroid of highest cosine. It is rejected where that cosine lies below the centroid's own limit, a
-share of the lowest cosine among the sample rows assigned to it, or where it has no letter.
+share of a low quantile of its sample rows' cosines, or where it has no letter.
 
 Rows: a null text counts as empty. Texts without a letter get `und`, score 0, rejected; so do all texts if
 there is nothing to learn from. Equal cosines go to the language first in code-point order. Null languages
@@ -31,8 +31,10 @@ DIMS = 1 << 13
 CENTROIDS = 4
 #: Labelled rows of each language that the centroids are fitted on, about.
 PER_LANGUAGE = 500
-#: Share of the lowest cosine in the sample below which a text is too far away.
-FAR = 0.1
+#: Share of the language's sample that a centroid has at least.
+FEW = 0.02
+#: A text is too far away below FAR times the cosine that LOW of the centroid's sample rows lie under.
+FAR, LOW = 0.1, 0.01
 #: Texts that are turned into vectors at a time.
 ROWS = 256
 UNDETERMINED = "und"
@@ -120,21 +122,19 @@ def centroids(picked: list[tuple[str, list[int], list[float]]], idf: np.ndarray)
         rows = rows[(rows > 0).any(axis=1)]
         if not len(rows):
             continue
-        # Starts spread out: each the row farthest from those before.
-        centres = [_unit(rows.mean(axis=0, keepdims=True))[0]]
-        while len(centres) < min(CENTROIDS, len(rows)):
-            centres.append(rows[int((rows @ np.stack(centres).T).max(axis=1).argmin())])
-        at = np.stack(centres)
+        at = rows[np.linspace(0, len(rows) - 1, min(CENTROIDS, len(rows))).astype(int)]
         for _ in range(10):
             near = (rows @ at.T).argmax(axis=1)
             at = _unit(np.stack([rows[near == c].mean(axis=0) if (near == c).any() else at[c] for c in range(len(at))]))
+        # A few odd rows make no language.
+        share = np.bincount((rows @ at.T).argmax(axis=1), minlength=len(at)) / len(rows)
+        at = at[share >= min(FEW, share.max())]
         cosine = rows @ at.T
         near = cosine.argmax(axis=1)
-        lowest = cosine.max(axis=1).min()
         for c in range(len(at)):
             languages.append(lang)
             columns.append(at[c])
-            limits.append(FAR * (cosine[near == c, c].min() if (near == c).any() else lowest))
+            limits.append(FAR * np.quantile(cosine[near == c, c] if (near == c).any() else cosine[:, c], LOW))
     if not columns:
         return Model([], idf, np.zeros((DIMS, 0), np.float32), np.zeros(0, np.float32))
     return Model(languages, idf, np.stack(columns, axis=1), np.array(limits, np.float32))
