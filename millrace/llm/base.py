@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,9 @@ from pyspark.sql.types import StructType
 #: Words between ASCII white space.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+#: What this worker keeps, and the operator it is kept for.
+_KEPT: list = []
+_SERVED: list[str] = []
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: str.translate table that lower-cases A-Z alone.
 ASCII_LOWER = {ord(c): c.lower() for c in _UPPER}
@@ -33,12 +37,36 @@ def share_of(key: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % parts
 
 
-def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
-    """df.mapInArrow, with this package on the import path of the Python workers wherever its folder is there."""
+def kept_in_worker(function: Callable) -> Callable:
+    """Keep the function's result (a compiled table) while a Python worker serves the same operator."""
+    kept = lru_cache(maxsize=2)(function)
+    _KEPT.append(kept)
+    return kept
+
+
+def serve(owner: str) -> None:
+    """Free what this worker keeps for other operators than owner."""
+    if _SERVED != [owner]:
+        for kept in _KEPT:
+            kept.cache_clear()
+        _SERVED[:] = [owner]
+
+
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType, owner: str = "") -> DataFrame:
+    """df.mapInArrow, with this package on the import path of the Python workers wherever its folder is there.
+
+    A worker that comes to another operator first frees what it keeps for the one before.
+    """
+    owner = owner or run.__module__
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        serve(owner)
+        yield from run(batches)
+
     path = df.sparkSession.sparkContext.environment
     if _ROOT not in path.get("PYTHONPATH", "").split(os.pathsep):
         path["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, path.get("PYTHONPATH")]))
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(alone, schema)
 
 
 def by_text(docs: DataFrame, columns: list[str], schema: str | StructType, work: Callable[[pa.Table], pa.Table]) -> DataFrame:
@@ -48,7 +76,7 @@ def by_text(docs: DataFrame, columns: list[str], schema: str | StructType, work:
         for batch in batches:
             yield from work(pa.Table.from_batches([batch])).to_batches()
 
-    return mapped(docs.select(*columns), run, schema)
+    return mapped(docs.select(*columns), run, schema, work.__module__)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -20,17 +20,16 @@ import hashlib
 import json
 import re
 import unicodedata
-from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .base import by_text
+from .base import by_text, kept_in_worker
 
 #: Words kept per worker.
-CACHE = 600_000
+CACHE = 400_000
 #: Texts encoded at a time.
 ROWS = 200
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -205,7 +204,7 @@ class Codec:
         return " ".join([self.label[i] for i in ids if i in self.label])
 
 
-@lru_cache(maxsize=2)
+@kept_in_worker
 def codec(path: str) -> Codec:
     return Codec(path)
 

@@ -201,7 +201,7 @@ def sets(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for first, end in [(0, len(texts))]:
+            for first, end in runs(texts):
                 digests, offsets = shingle_sets(texts[first:end])
                 one, two = _names(digests, offsets)
                 columns = [batch.column(0).slice(first, end - first), pa.array(np.diff(offsets), pa.int64()), pa.array(one), pa.array(two)]
@@ -216,7 +216,7 @@ def lists(docs: DataFrame, large: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts, seen = batch.column(0).to_pylist(), set()
-            for first, end in [(0, len(texts))]:
+            for first, end in runs(texts):
                 digests, offsets = shingle_sets(texts[first:end])
                 names = _names(digests, offsets)[0]
                 new = _new(names, seen)
@@ -242,7 +242,7 @@ def _looked_up(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts, seen = batch.column(0).to_pylist(), set()
-            for first, end in [(0, len(texts))]:
+            for first, end in runs(texts):
                 digests, offsets = shingle_sets(texts[first:end])
                 names = _names(digests, offsets)[0]
                 at = names % BITS

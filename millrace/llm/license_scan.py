@@ -14,13 +14,12 @@ repeated results, an empty table an empty one. Only doc_id and text are read. Me
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .base import by_text
+from .base import by_text, kept_in_worker
 from .license_templates import PHRASES, TEMPLATES
 from .text_arrays import chunks, words
 
@@ -188,7 +187,7 @@ class Scanner:
         return rows
 
 
-@lru_cache(maxsize=4)
+@kept_in_worker
 def scanner(templates: tuple, phrases: tuple) -> Scanner:
     return Scanner(list(templates), list(phrases))
 

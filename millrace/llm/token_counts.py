@@ -17,14 +17,13 @@ is bounded by the batch, the longest text, and a table of counts that is emptied
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from .base import by_text
+from .base import by_text, kept_in_worker
 
 #: Pre-tokens whose counts a worker keeps.
 CACHE = 1_000_000
@@ -169,7 +168,7 @@ class Counter:
         return [sum([known[w] for w in words]) for words in cuts]
 
 
-@lru_cache(maxsize=2)
+@kept_in_worker
 def counter(path: str) -> Counter:
     return Counter(path)
 
