@@ -57,7 +57,7 @@ FACT_COLUMNS_SQL = {
 
 
 def to_event_log(classified: DataFrame) -> DataFrame:
-    """One typed row per event: fact columns for a valid one, the payload for a rejected one.
+    """One typed row per event: its payload, and fact columns for a valid one.
 
     This is the only wide pass over a batch. Facts, line items and quarantine rows are
     projections of its result.
@@ -72,7 +72,7 @@ def to_event_log(classified: DataFrame) -> DataFrame:
         "seq",
         *facts,
         f"CASE WHEN error_code IS NULL THEN {FACT_ITEMS_SQL} END AS items",
-        "CASE WHEN error_code IS NOT NULL THEN value END AS raw_payload",
+        "value AS raw_payload",
         "error_code",
         "rejection_reason",
         f"CASE WHEN error_code IS NULL THEN '{VALID}' ELSE '{QUARANTINED}' END AS outcome",

@@ -10,9 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.rules import DUPLICATE_EVENT_ID, REASON_DUPLICATE_EVENT, text
-from millrace.functions.values import surrogate_key
 from millrace.model import ORDER_FIXED, ORDER_UPDATES, TABLES
-from millrace.operators.validation import valid_events
+from millrace.operators.validation import QUARANTINED, VALID, valid_events
 
 VERSION_KEYS = ["order_id", "batch_id", "seq"]
 
@@ -52,10 +51,10 @@ def repeated_orders(versions: DataFrame) -> DataFrame:
 def current_orders_given(versions: DataFrame, repeated: DataFrame) -> DataFrame:
     """``current_orders`` for a log in which few orders repeat.
 
-    Orders with a single version, nearly all of the log, pass through without a shuffle.
-    ``repeated`` is broadcast, so the caller must have checked its size.
+    Orders with a single version, nearly all of the log, pass by the repeated ones. Give
+    ``repeated`` as a written table: Spark knows its bytes and decides how to join.
     """
-    keys = F.broadcast(repeated)
+    keys = repeated
     names = [f.name for f in TABLES["fact_orders"].fields]
     single = versions.join(keys, "order_id", "left_anti").select(
         *names, "batch_id", "seq", F.lit(1).cast("long").alias("versions")
@@ -182,35 +181,21 @@ def reused_event_ids(log: DataFrame) -> DataFrame:
     return suspects.join(owners, "event_id").where(F.col("order_id") != F.col("owner"))
 
 
-def without_reused_ids(log: DataFrame, reused: DataFrame) -> DataFrame:
-    """The log with events of a reused id taken out."""
-    return log.join(reused.select(*VERSION_KEYS), VERSION_KEYS, "left_anti")
+def settled(log: DataFrame, reused: DataFrame) -> DataFrame:
+    """The log with events of a reused id moved to quarantine, payload and all.
 
-
-def quarantine_reused_ids(log: DataFrame, reused: DataFrame) -> DataFrame:
-    """Quarantine rows for events of a reused id; the payload is rebuilt from the typed columns."""
-    hit = valid_events(log).join(reused.select(*VERSION_KEYS, "owner"), VERSION_KEYS)
-    payload = F.to_json(
-        F.struct(
-            *[F.col(n) for n in ("event_id", "order_id", "customer_id", "location_id", "payment_method_id")],
-            "order_status",
-            "items",
-            *[F.col(n) for n in ("item_count", "total_amount", "discount_amount", "tax_amount", "net_amount")],
-            "order_timestamp",
-        )
-    )
-    return hit.select(
-        surrogate_key(F.col("order_id"), F.col("event_id"), F.col("batch_id"), F.col("seq")).alias("quarantine_id"),
-        "event_id",
-        "order_id",
-        payload.alias("raw_payload"),
-        F.lit(DUPLICATE_EVENT_ID).alias("error_code"),
-        text(REASON_DUPLICATE_EVENT, F.col("event_id"), F.col("owner")).alias("rejection_reason"),
-        F.lit(f"Rule_{DUPLICATE_EVENT_ID}").alias("failed_validation_rule"),
-        F.col("processed_at").alias("quarantined_at"),
-        "batch_id",
-        "seq",
-    )
+    The outcome is a literal in each part, so that a filter on it still prunes the scan.
+    """
+    valid = valid_events(log)
+    moved = {
+        "outcome": F.lit(QUARANTINED),
+        "error_code": F.lit(DUPLICATE_EVENT_ID),
+        "rejection_reason": text(REASON_DUPLICATE_EVENT, F.col("event_id"), F.col("owner")),
+    }
+    kept = valid.join(reused.select(*VERSION_KEYS), VERSION_KEYS, "left_anti").withColumn("outcome", F.lit(VALID))
+    hit = valid.join(reused.select(*VERSION_KEYS, "owner"), VERSION_KEYS).withColumns(moved).drop("owner")
+    other = log.where(F.col("outcome") == QUARANTINED).withColumn("outcome", F.lit(QUARANTINED))
+    return kept.unionByName(hit).unionByName(other).select(*log.columns)
 
 
 def cascade_delete(children: DataFrame, removed_parents: DataFrame, key: str) -> DataFrame:

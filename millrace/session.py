@@ -49,11 +49,13 @@ def local_session(cores: int | str = "*", app_name: str = "millrace", **settings
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one is chosen only when none is configured."""
+    """The cluster's shared folder; a temporary one is chosen only on a local master."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")

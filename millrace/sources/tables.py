@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.model import TABLES
 
-BATCH = "batch_id"
+BATCH, ATTEMPT = "batch_id", "attempt"
 
 
 def parameter_scan(spark: SparkSession, query: str, tables: Mapping[str, DataFrame], **parameters: object) -> DataFrame:
@@ -29,10 +30,6 @@ def write_counted(rows: DataFrame, path: str, mode: str = "append", partition_by
     return int(seen.get["rows"])
 
 
-def empty_table(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], TABLES[table])
-
-
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored table, or an empty one of its schema where nothing was written yet."""
     try:
@@ -56,15 +53,26 @@ def catalog_columns(spark: SparkSession) -> DataFrame:
 
 
 class BatchStore:
-    """Append-only tables, one folder per batch, made visible by a commit marker.
+    """Append-only tables, one folder per attempt at a batch, made visible by a commit marker.
 
-    Writing a batch again replaces its folders, and readers only see batches whose marker
-    was written, which is done last. So a batch that fails half-way, or is delivered twice,
-    leaves the tables as if it had been written once.
+    Nothing written is ever overwritten: every attempt at a batch has folders of its own, and
+    the marker, written last, names the attempt that counts. Readers take the attempt of each
+    batch's latest marker. So an attempt that fails half-way is never seen, a batch that is
+    delivered twice counts once, and readers keep the old rows until the new attempt is whole.
     """
 
     MARKERS = "commits"
-    MARKER_SCHEMA = T.StructType([T.StructField("committed_at", T.TimestampType()), T.StructField("rows", T.LongType())])
+    MARKER_SCHEMA = T.StructType(
+        [
+            T.StructField(BATCH, T.LongType()),
+            T.StructField("commit_no", T.LongType()),
+            T.StructField(ATTEMPT, T.StringType()),
+            T.StructField("committed_at", T.TimestampType()),
+            T.StructField("rows", T.LongType()),
+            T.StructField("source", T.StringType()),
+            T.StructField("source_batch", T.LongType()),
+        ]
+    )
 
     def __init__(self, spark: SparkSession, root: str, schemas: Mapping[str, T.StructType]):
         self.spark = spark
@@ -74,35 +82,62 @@ class BatchStore:
     def _folder(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def write(self, table: str, rows: DataFrame, batch_id: int, partition_by: list[str] | None = None) -> None:
-        writer = rows.write.mode("overwrite")
+    @staticmethod
+    def new_attempt() -> str:
+        return f"a{uuid.uuid4().hex}"
+
+    def write(self, table: str, rows: DataFrame, batch_id: int, attempt: str, partition_by: list[str] | None = None) -> None:
+        writer = rows.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self._folder(table)}/{BATCH}={batch_id}")
-
-    def commit(self, batch_id: int, committed_at, rows: int) -> None:
-        marker = self.spark.range(1).select(
-            committed_at.alias("committed_at"), F.lit(rows).cast("long").alias("rows")
-        )
-        self.write(self.MARKERS, marker, batch_id)
+        writer.parquet(f"{self._folder(table)}/{BATCH}={batch_id}/{ATTEMPT}={attempt}")
+
+    def _markers(self) -> DataFrame:
+        return read_table(self.spark, self._folder(self.MARKERS), self.MARKER_SCHEMA)
+
+    def commit(
+        self, batch_id: int, attempt: str, committed_at, rows: int, source: str | None = None, source_batch: int | None = None
+    ) -> None:
+        last = self._markers().where(F.col(BATCH) == batch_id).agg(F.max("commit_no")).first()[0]
+        values = {
+            BATCH: F.lit(batch_id),
+            "commit_no": F.lit((last or 0) + 1),
+            ATTEMPT: F.lit(attempt),
+            "committed_at": committed_at,
+            "rows": F.lit(rows),
+            "source": F.lit(source),
+            "source_batch": F.lit(source_batch),
+        }
+        marker = self.spark.range(1).select(*[values[f.name].cast(f.dataType).alias(f.name) for f in self.MARKER_SCHEMA])
+        marker.coalesce(1).write.mode("append").parquet(self._folder(self.MARKERS))
 
     def committed(self) -> DataFrame:
-        """(batch_id, committed_at, rows) of every finished batch."""
-        schema = T.StructType([*self.MARKER_SCHEMA.fields, T.StructField(BATCH, T.LongType())])
-        return read_table(self.spark, self._folder(self.MARKERS), schema).select(BATCH, "committed_at", "rows")
+        """(batch_id, committed_at, rows, attempt, source, source_batch) of every finished batch."""
+        names = ["committed_at", "rows", ATTEMPT, "source", "source_batch"]
+        latest = self._markers().groupBy(BATCH).agg(F.max_by(F.struct(*names), "commit_no").alias("last"))
+        return latest.select(BATCH, "last.*")
+
+    def first_batch_of(self, source: str) -> int:
+        """The batch number of a source's batch 0: as before if it has committed any, else after all others."""
+        done = self.committed()
+        own = done.where(F.col("source") == source).agg(F.max(F.col(BATCH) - F.col("source_batch"))).first()[0]
+        if own is not None:
+            return own
+        last = done.agg(F.max(BATCH)).first()[0]
+        return max(0, last + 1) if last is not None else 0
 
     def raw(self, table: str) -> DataFrame:
-        """All rows of a table, finished batches or not."""
-        schema = T.StructType([*self.schemas[table].fields, T.StructField(BATCH, T.LongType())])
-        return read_table(self.spark, self._folder(table), schema)
+        """All rows of a table with their batch and attempt, finished or not."""
+        own = [*self.schemas[table].fields, T.StructField(BATCH, T.LongType()), T.StructField(ATTEMPT, T.StringType())]
+        return read_table(self.spark, self._folder(table), T.StructType(own))
 
     def read(self, table: str) -> DataFrame:
         """Rows of finished batches; the semi-join prunes the folders that are scanned."""
-        return self.raw(table).join(self.committed().select(BATCH), BATCH, "left_semi")
+        return self.raw(table).join(self.committed().select(BATCH, ATTEMPT), [BATCH, ATTEMPT], "left_semi").drop(ATTEMPT)
 
-    def batch(self, table: str, batch_id: int) -> DataFrame:
-        """Rows just written for one batch."""
-        return self.raw(table).where(F.col(BATCH) == batch_id)
+    def batch(self, table: str, batch_id: int, attempt: str) -> DataFrame:
+        """Rows just written by one attempt at a batch."""
+        return self.raw(table).where((F.col(BATCH) == batch_id) & (F.col(ATTEMPT) == attempt)).drop(ATTEMPT)
 
     def before(self, table: str, batch_id: int) -> DataFrame:
         """Rows of finished batches that precede the given one."""

@@ -18,23 +18,19 @@ from millrace.operators.versions import (
     current_orders,
     current_orders_given,
     keep_latest,
-    quarantine_reused_ids,
     repeated_orders,
     reused_event_ids,
+    settled,
     superseded_versions,
-    without_reused_ids,
 )
 from millrace.plans.monitoring import batch_metrics, batch_stats, no_events
 from millrace.session import together
 from millrace.sources.tables import BATCH, BatchStore
 
-LOG, METRICS = "event_log", "pipeline_health_metrics"
+LOG, REUSED, METRICS = "event_log", "reused_event_ids", "pipeline_health_metrics"
 DIMENSIONS = ["dim_customers", "dim_locations", "dim_payment_methods", "dim_products"]
 SEED_BATCH = -1
 
-# Id rows (some tens of bytes each) that compaction is willing to broadcast.
-BROADCAST_ROWS = 500_000
-
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("seq", T.LongType()),
@@ -47,12 +43,20 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 
+#: Events whose id another order used first, and that order.
+REUSED_SCHEMA = T.StructType(
+    [
+        *[T.StructField(n, T.StringType()) for n in ("event_id", "order_id", "owner")],
+        T.StructField("seq", T.LongType()),
+    ]
+)
+
 
 class OrderStore:
     """The order warehouse: an event log per batch and what is derived from it."""
 
     def __init__(self, spark: SparkSession, root: str):
-        schemas = {LOG: LOG_SCHEMA, METRICS: TABLES[METRICS], **{d: TABLES[d] for d in DIMENSIONS}}
+        schemas = {LOG: LOG_SCHEMA, REUSED: REUSED_SCHEMA, METRICS: TABLES[METRICS], **{d: TABLES[d] for d in DIMENSIONS}}
         self.spark = spark
         self.store = BatchStore(spark, root, schemas)
 
@@ -60,14 +64,15 @@ class OrderStore:
 
     def seed_dimensions(self, seeds: Mapping[str, DataFrame], loaded_at: Column) -> None:
         """Load known dimension rows ahead of the first batch."""
+        attempt = self.store.new_attempt()
         together(
             self.spark,
             *[
-                partial(self.store.write, name, dims.conform(rows, name, loaded_at), SEED_BATCH)
+                partial(self.store.write, name, dims.conform(rows, name, loaded_at), SEED_BATCH, attempt)
                 for name, rows in seeds.items()
             ],
         )
-        self.store.commit(SEED_BATCH, loaded_at, 0)
+        self.store.commit(SEED_BATCH, attempt, loaded_at, 0)
 
     def write_batch(
         self,
@@ -76,36 +81,51 @@ class OrderStore:
         as_of: Column | None = None,
         tolerance: str = DEFAULT_TOLERANCE,
         infer_dimensions: bool = True,
+        source: str | None = None,
+        source_batch: int | None = None,
     ) -> dict[str, int]:
         """Ingest one batch of raw messages and return its statistics.
 
         Messages are decoded and checked once, on their way into the log. Everything else
         reads a few columns of the log folder just written. Running it again with the same
-        ``batch_id`` replaces the batch.
+        ``batch_id`` replaces the batch once the new attempt is whole.
         """
         now = F.current_timestamp() if as_of is None else as_of
-        self.store.write(LOG, ingest_plan(raw, now, tolerance), batch_id, ["outcome"])
-        log = self.store.batch(LOG, batch_id)
+        attempt = self.store.new_attempt()
+        self.store.write(LOG, ingest_plan(raw, now, tolerance), batch_id, attempt, ["outcome"])
+        arrived = self.store.batch(LOG, batch_id, attempt)
+        self.store.write(REUSED, self._reused(arrived, batch_id), batch_id, attempt)
+        log = settled(arrived, self.store.batch(REUSED, batch_id, attempt))
         stats = batch_stats(log, self._duplicates(log, batch_id))
         inferred = self._new_dimension_rows(log, batch_id, now) if infer_dimensions else {}
         # The statistics are one row per batch, none for an empty batch.
         summary, *_ = together(
             self.spark,
             partial(stats.take, 1),
-            *[partial(self.store.write, name, rows, batch_id) for name, rows in inferred.items()],
+            *[partial(self.store.write, name, rows, batch_id, attempt) for name, rows in inferred.items()],
         )
-        self.store.write(METRICS, batch_metrics(self.spark.createDataFrame(summary, stats.schema)), batch_id)
+        metrics = batch_metrics(self.spark.createDataFrame(summary, stats.schema))
+        self.store.write(METRICS, metrics, batch_id, attempt)
         result = {k: summary[0][k] if summary else n for k, n in no_events().items()}
-        self.store.commit(batch_id, now, result["processed"])
+        self.store.commit(batch_id, attempt, now, result["processed"], source, source_batch)
         return result
 
+    def _reused(self, arrived: DataFrame, batch_id: int) -> DataFrame:
+        """Valid events of the batch whose id an earlier event of another order has."""
+        names = ["event_id", *VERSION_KEYS, "outcome"]
+        ids = valid_events(arrived).select(*names)
+        earlier = valid_events(self.store.before(LOG, batch_id)).select(*names)
+        met = earlier.join(ids.select("event_id").distinct(), "event_id", "left_semi")
+        found = reused_event_ids(met.unionByName(ids)).where(F.col("batch_id") == batch_id)
+        return found.select(*[f.name for f in REUSED_SCHEMA])
+
     def _duplicates(self, log: DataFrame, batch_id: int) -> DataFrame:
         """Valid events of the batch beyond the first ever of their order."""
         per_order = valid_events(log).groupBy("order_id").agg(F.count("*").alias("events"))
-        earlier = valid_events(self.store.before(LOG, batch_id)).select("order_id")
+        earlier = valid_events(settled(self.store.before(LOG, batch_id), self.store.before(REUSED, batch_id)))
         # The batch is the small side. Spark broadcasts its ids if they fit, and then only
         # the id column of the older log is scanned, without a shuffle.
-        stored = earlier.join(per_order.select("order_id"), "order_id", "left_semi").distinct()
+        stored = earlier.select("order_id").join(per_order.select("order_id"), "order_id", "left_semi").distinct()
         marked = per_order.join(stored.withColumn("_stored", F.lit(1)), "order_id", "left")
         new = F.col("_stored").isNull().cast("long")
         return marked.agg(F.coalesce(F.sum(F.col("events") - new), F.lit(0)).alias("duplicates")).select(
@@ -113,6 +133,7 @@ class OrderStore:
         )
 
     def _new_dimension_rows(self, log: DataFrame, batch_id: int, now: Column) -> dict[str, DataFrame]:
+        """Rows for keys that orders bring along; events that end in quarantine bring none."""
         orders, items = order_versions_of(log), line_items_of(valid_events(log))
         known = {name: self.store.before(name, batch_id) for name in DIMENSIONS}
         inferred = {
@@ -126,7 +147,8 @@ class OrderStore:
     # --- reading ------------------------------------------------------------------------
 
     def log(self) -> DataFrame:
-        return self.store.read(LOG)
+        """All events of finished batches with their final outcome."""
+        return settled(self.store.read(LOG), self.store.read(REUSED))
 
     def dimension(self, name: str) -> DataFrame:
         return self.store.read(name)
@@ -135,9 +157,8 @@ class OrderStore:
         return self.store.read(METRICS)
 
     def order_log(self) -> DataFrame:
-        """Valid events of the log, less those that reuse the event id of another order."""
-        log = self.log()
-        return without_reused_ids(valid_events(log), reused_event_ids(log))
+        """Valid events of the log."""
+        return valid_events(self.log())
 
     def fact_orders(self) -> DataFrame:
         return current_orders(order_versions_of(self.order_log()))
@@ -145,23 +166,20 @@ class OrderStore:
     def fact_order_items(self, orders: DataFrame | None = None) -> DataFrame:
         """Line items of the current version of each order."""
         current = self.fact_orders() if orders is None else orders
-        return line_items_of(keep_latest(valid_events(self.log()), current.select(*VERSION_KEYS)))
+        return line_items_of(keep_latest(self.order_log(), current.select(*VERSION_KEYS)))
 
     def quarantine(self) -> DataFrame:
-        log = self.log()
-        return quarantine_rows(log).unionByName(quarantine_reused_ids(log, reused_event_ids(log)))
+        return quarantine_rows(self.log())
 
     # --- compaction ---------------------------------------------------------------------
 
-    def compact(self, target: str, broadcast_rows: int = BROADCAST_ROWS) -> None:
+    def compact(self, target: str) -> None:
         """Write the current orders, line items and quarantine as plain tables below ``target``.
 
-        The exceptions in the log (reused event ids, repeated orders, superseded deliveries)
-        are found first, from its id columns, and written down. While they are few, the log
-        streams past a broadcast of them and is never shuffled. Beyond ``broadcast_rows``
-        the same results come from shuffled joins and a map-side combined aggregation.
-        Give every compaction a folder of its own, so that readers of the last one are not
-        disturbed.
+        The exceptions in the log (repeated orders, superseded deliveries) are found first,
+        from its id columns, and written down. Spark knows the size of what is written, and
+        streams the log past a broadcast of it or shuffles both. Give every compaction a
+        folder of its own, so that readers of the last one are not disturbed.
         """
 
         def save(name: str, rows: DataFrame) -> DataFrame:
@@ -169,42 +187,35 @@ class OrderStore:
             rows.write.mode("overwrite").parquet(path)
             return self.spark.read.schema(rows.schema).parquet(path)
 
-        def few(rows: DataFrame) -> bool:
-            return rows.count() <= broadcast_rows
-
-        log = self.log()
-        reused = save("reused_event_ids", reused_event_ids(log))
-        marks = F.broadcast(reused) if few(reused) else reused
-        events = without_reused_ids(valid_events(log), marks)
+        events = self.order_log()
         versions = order_versions_of(events)
         repeated = save("repeated_orders", repeated_orders(versions))
-        if few(repeated):
-            orders = save("fact_orders", current_orders_given(versions, repeated))
-            old = save("superseded", superseded_versions(versions, F.broadcast(repeated), orders))
-            gone = F.broadcast(old) if few(old) else old
-            current = events.join(gone, VERSION_KEYS, "left_anti")
-        else:
-            orders = save("fact_orders", current_orders(versions))
-            current = keep_latest(events, orders)
-        rejected = quarantine_rows(log).unionByName(quarantine_reused_ids(log, marks))
+        orders = save("fact_orders", current_orders_given(versions, repeated))
+        old = save("superseded", superseded_versions(versions, repeated, orders))
+        current = events.join(old, VERSION_KEYS, "left_anti")
         together(
             self.spark,
             partial(save, "fact_order_items", line_items_of(current)),
-            partial(save, "quarantine_orders", rejected),
+            partial(save, "quarantine_orders", self.quarantine()),
         )
 
 
 def batch_handler(
     store: OrderStore,
+    source: str,
     as_of: Column | None = None,
     tolerance: str = DEFAULT_TOLERANCE,
-    first_batch: int = 0,
     infer_dimensions: bool = True,
 ) -> Callable:
-    """The ``foreachBatch`` function that feeds an order store."""
+    """The ``foreachBatch`` function that feeds an order store from the named stream.
+
+    A stream that has committed batches keeps their numbers; a new one begins after all
+    that the store holds, so a lost checkpoint never overwrites older batches.
+    """
+    first = store.store.first_batch_of(source)
 
     def handle(raw: DataFrame, batch_id: int) -> None:
-        store.write_batch(raw, first_batch + batch_id, as_of, tolerance, infer_dimensions)
+        store.write_batch(raw, first + batch_id, as_of, tolerance, infer_dimensions, source, batch_id)
 
     return handle
 
@@ -216,18 +227,19 @@ def ingest_stream(
     as_of: Column | None = None,
     every: str | None = None,
     tolerance: str = DEFAULT_TOLERANCE,
-    first_batch: int = 0,
     infer_dimensions: bool = True,
+    source: str | None = None,
 ):
     """Start ingest of a raw event stream.
 
     ``every`` sets a processing-time trigger for an endless run; without it the query takes
-    all data that is available, in micro-batches as the source caps them, and ends. A new
-    query on an old store starts its numbering at ``first_batch``.
+    all data that is available, in micro-batches as the source caps them, and ends.
+    ``source`` names the stream in the store, by its checkpoint unless given. Give a new name with a new
+    checkpoint: its batches are counted from 0 again and must not replace those of the old one.
     """
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
-        raw.writeStream.foreachBatch(batch_handler(store, as_of, tolerance, first_batch, infer_dimensions))
+        raw.writeStream.foreachBatch(batch_handler(store, source or checkpoint, as_of, tolerance, infer_dimensions))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -11,7 +11,7 @@ from conftest import item, order_event
 from millrace.model import RAW_EVENT
 from millrace.operators import audits, lookup
 from millrace.plans import marts, monitoring, reports
-from millrace.session import scratch_path
+from millrace.session import scratch_path, shared_root
 from millrace.sources import events as ev
 from millrace.streaming.ingest import LOG, OrderStore, ingest_stream
 
@@ -91,13 +91,82 @@ def test_writing_a_batch_again_changes_nothing(store, messages, as_of):
 
 def test_batch_without_marker_is_invisible(store, messages, as_of):
     store.write_batch(messages(order_event(1)), 0, as_of)
-    rows = store.store.batch(LOG, 0).drop("batch_id")
-    store.store.write(LOG, rows, 5, ["outcome"])
+    rows = store.log().drop("batch_id")
+    attempt = store.store.new_attempt()
+    store.store.write(LOG, rows, 5, attempt, ["outcome"])
     assert store.log().count() == 1
-    store.store.commit(5, as_of, 1)
+    store.store.commit(5, attempt, as_of, 1)
     assert store.log().count() == 2
 
 
+def test_failed_replay_leaves_the_committed_rows(store, messages, as_of):
+    store.write_batch(messages(*[order_event(n) for n in range(1, 11)]), 0, as_of)
+    broken = messages(*[order_event(n) for n in range(1, 11)]).withColumn("value", F.expr("if(seq = 7, raise_error('no'), value)"))
+    with pytest.raises(Exception, match="no"):
+        store.write_batch(broken, 0, as_of)
+    assert store.fact_orders().count() == 10
+    assert store.write_batch(messages(order_event(1)), 0, as_of)["processed"] == 1
+    assert store.fact_orders().count() == 1
+
+
+def test_readers_see_the_old_rows_while_a_batch_is_written_again(store, messages, as_of):
+    store.write_batch(messages(order_event(1), order_event(2)), 0, as_of)
+    attempt = store.store.new_attempt()
+    store.store.write(LOG, store.log().drop("batch_id").limit(1), 0, attempt, ["outcome"])
+    assert store.fact_orders().count() == 2
+
+
+def test_replay_under_dynamic_overwrite(spark, store, messages, as_of):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        assert store.write_batch(messages(order_event(1), "bad"), 0, as_of)["quarantined"] == 1
+        stats = store.write_batch(messages(order_event(1)), 0, as_of)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert stats == {"processed": 1, "valid": 1, "quarantined": 0, "duplicates": 0}
+    assert store.quarantine().count() == 0
+
+
+def test_new_stream_on_an_old_store_adds_to_it(spark, store, messages, as_of):
+    folder = scratch_path(spark, "landing")
+    for n in (1, 2):  # the second stream has lost its checkpoint and reads all again
+        messages(order_event(n), start=10 * n).coalesce(1).write.mode("append").parquet(folder)
+        stream = ev.read_order_stream(spark, folder, max_files=1)
+        ingest_stream(stream, store, scratch_path(spark, "checkpoint"), as_of).awaitTermination()
+    assert sorted(r["batch_id"] for r in store.store.committed().collect()) == [0, 1, 2]
+    assert store.fact_orders().count() == 2
+    assert {r["order_id"]: r["versions"] for r in store.fact_orders().collect()} == {"ORD-1": 2, "ORD-2": 1}
+
+
+def test_reused_event_id_agrees_everywhere(store, messages, as_of):
+    store.write_batch(messages(order_event(1)), 0, as_of)
+    stolen = order_event(2, event_id="evt-1", customer_id="GHOST", metadata={"device": "web", "own": "x"})
+    stats = store.write_batch(messages(stolen, order_event(3), start=50), 1, as_of)
+    assert stats == {"processed": 2, "valid": 1, "quarantined": 1, "duplicates": 0}
+    assert "GHOST" not in {r["customer_id"] for r in store.dimension("dim_customers").collect()}
+    row = store.quarantine().first()
+    assert (row["error_code"], json.loads(row["raw_payload"])) == ("DUPLICATE_EVENT_ID", stolen)
+    assert {r["order_id"]: r["outcome"] for r in store.log().collect()} == {"ORD-1": "valid", "ORD-2": "quarantined", "ORD-3": "valid"}
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Session())
+
+
 def test_empty_batch(store, messages, as_of):
     assert store.write_batch(messages(order_event(1)).limit(0), 0, as_of) == monitoring.no_events()
     assert store.fact_orders().count() == 0
@@ -177,8 +246,8 @@ def test_published_events_come_back_as_messages(spark, messages, as_of, store):
     assert store.write_batch(received, 0, as_of)["valid"] == 2
 
 
-@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
-def test_compaction_equals_the_live_views(spark, store, messages, as_of, broadcast_rows):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_compaction_equals_the_live_views(spark, store, messages, as_of, threshold):
     first = [order_event(n) for n in range(1, 9)] + [order_event(2, order_status="SHIPPED"), "bad"]
     second = [
         order_event(3, order_status="DELIVERED", items=[item(product_id="P7"), item(product_id="P8")]),
@@ -188,7 +257,11 @@ def test_compaction_equals_the_live_views(spark, store, messages, as_of, broadca
     store.write_batch(messages(*first), 0, as_of)
     store.write_batch(messages(*second, start=100), 1, as_of)
     target = scratch_path(spark, "compacted")
-    store.compact(target, broadcast_rows)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        store.compact(target)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     live = {
         "fact_orders": store.fact_orders(),
         "fact_order_items": store.fact_order_items(),

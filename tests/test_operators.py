@@ -118,7 +118,7 @@ def test_financial_audit_is_exact_at_the_tolerance(spark):
 
 def test_live_rate_chain(spark, as_of):
     orders = orders_of(spark, *[{"order_id": str(n), "processed_at": "2026-01-15 11:59:50"} for n in range(50)])
-    empty = tb.empty_table(spark, "pipeline_health_metrics")
+    empty = spark.createDataFrame([], TABLES["pipeline_health_metrics"])
     assert reports.live_ingest_rate(orders, empty, as_of).first()[0] == 1.7
     assert reports.live_ingest_rate(orders.limit(0), empty, as_of).first()[0] == 0.0
     stats = spark.createDataFrame(
@@ -132,7 +132,7 @@ def test_live_rate_chain(spark, as_of):
 
 def test_kpis_of_nothing(spark):
     orders = orders_of(spark, {}).limit(0)
-    quarantine = tb.empty_table(spark, "quarantine_orders")
+    quarantine = spark.createDataFrame([], TABLES["quarantine_orders"])
     row = reports.executive_kpis(orders, quarantine).first()
     assert row.asDict() == {
         "total_orders": 0, "total_revenue": 0.0, "avg_order_value": 0.0, "total_items_sold": 0, "delivered_orders": 0,
@@ -146,7 +146,7 @@ def test_hourly_mart_and_replacement(spark, as_of):
         spark, {"order_id": "a", "order_status": "DELIVERED"}, {"order_id": "b", "net_amount": "0.01"},
         {"order_id": "c", "order_timestamp": "2026-01-15 11:00:00", "order_status": "CANCELLED"},
     )
-    quarantine = tb.empty_table(spark, "quarantine_orders")
+    quarantine = spark.createDataFrame([], TABLES["quarantine_orders"])
     mart = marts.hourly_rollup(orders, quarantine, as_of)
     assert mart.schema.simpleString() == TABLES["hourly_order_aggregates"].simpleString()
     rows = {str(r["hourly_window_start"]): r for r in mart.collect()}

@@ -10,10 +10,11 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import GIVEN, canonical
+from workload import oracle, queries as workload_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-STATEMENTS = entry.oracle_sql()
-QUERIES = entry.queries()
+STATEMENTS = oracle.statements()
+QUERIES = workload_queries.registered()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
@@ -66,6 +67,7 @@ def compare(spark, folder, duck, name):
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(STATEMENTS)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

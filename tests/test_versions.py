@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from decimal import Decimal
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import item, order_event
 from millrace.operators import versions as ver
 from millrace.operators.running import running_total
-from millrace.operators.validation import ingest_plan, order_versions_of
+from millrace.operators.validation import quarantine_rows, ingest_plan, order_versions_of
 from millrace.operators.facts import line_items_of
 
 
@@ -56,9 +57,11 @@ def test_event_id_of_another_order_is_quarantined(messages, as_of):
     log = log_of(messages, as_of, [order_event(1), order_event(3)], [stolen, order_event(1)])
     reused = ver.reused_event_ids(log)
     assert [(r["order_id"], r["owner"]) for r in reused.collect()] == [("ORD-2", "ORD-1")]
-    kept = ver.current_orders(order_versions_of(ver.without_reused_ids(log, reused)))
+    done = ver.settled(log, reused)
+    kept = ver.current_orders(order_versions_of(done))
     assert sorted(r["order_id"] for r in kept.collect()) == ["ORD-1", "ORD-3"]
-    row = ver.quarantine_reused_ids(log, reused).first()
+    row = quarantine_rows(done).first()
+    assert json.loads(row["raw_payload"]) == stolen
     assert row["error_code"] == "DUPLICATE_EVENT_ID"
     assert row["rejection_reason"] == "Event id 'evt-1' already belongs to order 'ORD-1'."
 

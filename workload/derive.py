@@ -1,7 +1,6 @@
 """Raw order events and dimension seeds from the given tables.
 
-Every order becomes one JSON event with its line items, or several where it has very many
-lines. A fixed share of orders (by key modulo 200) is broken in one way each, so that every
+Every order becomes one JSON event with all its line items. A fixed share of orders (by key modulo 200) is broken in one way each, so that every
 rule has work to do, and some orders are delivered more than once.
 """
 
@@ -13,8 +12,6 @@ from millrace.model import ORDER_STATUSES, PAYMENT_METHOD_IDS, PAYMENT_METHOD_RO
 from millrace.operators.dimensions import cost_of
 
 AS_OF = "2001-09-01 00:00:00"
-LINES_PER_EVENT = 500
-COPIES_PER_LINE = 100
 ANOMALY_CYCLE = 200
 
 
@@ -26,88 +23,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _div(a: Column, b: int) -> Column:
-    return F.call_function("div", a, F.lit(b).cast("long"))
-
-
-def crowded_orders(lineitem: DataFrame) -> DataFrame:
-    """Orders with more lines than one event takes, and the number of events they need."""
-    return (
-        lineitem.groupBy("l_orderkey")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > LINES_PER_EVENT)
-        .select("l_orderkey", F.ceil(F.col("n") / F.lit(LINES_PER_EVENT)).cast("long").alias("parcels"))
-    )
-
-
-def order_lines(lineitem: DataFrame, part: DataFrame, crowded: DataFrame) -> DataFrame:
-    """Line items with exact money, a parcel number and their unit price.
-
-    Equal lines are merged first (and cut again at ``COPIES_PER_LINE``), lines of crowded
-    orders are dealt out to parcels, so no group of a later step grows without bound.
-    """
-    identity = [
+def order_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """Every given line as an item with exact money and its unit price."""
+    lines = lineitem.select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
         "l_suppkey",
-        F.col("l_quantity").cast("int").alias("qty"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("ext"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("total_item_price"),
         F.col("l_discount").cast("decimal(4,2)").alias("rate"),
         F.col("l_tax").cast("decimal(4,2)").alias("tax_rate"),
-    ]
-    merged = lineitem.select(*identity).groupBy(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "qty", "ext", "rate", "tax_rate"
-    ).agg(F.count("*").alias("copies"))
-    cut = merged.withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0).cast("long"), _div(F.col("copies") - 1, COPIES_PER_LINE)))
-    ).withColumn(
-        "copies", F.least(F.lit(COPIES_PER_LINE).cast("long"), F.col("copies") - F.col("chunk") * COPIES_PER_LINE)
-    )
-    spread = (
-        F.col("l_partkey") * 7919
-        + F.col("l_suppkey") * 104729
-        + F.col("l_linenumber") * 31
-        + F.col("qty") * 17
-        + (F.col("ext") * 100).cast("long")
-        + F.col("chunk") * 13
     )
-    parcel = F.pmod(spread, F.coalesce(F.col("parcels"), F.lit(1).cast("long")))
-    discount = F.round(F.col("ext") * F.col("rate"), 2).cast("decimal(12,2)")
-    tax = F.round((F.col("ext") - discount) * F.col("tax_rate"), 2).cast("decimal(12,2)")
-    copies = F.col("copies").cast("decimal(6,0)")
-    return (
-        cut.join(crowded, "l_orderkey", "left")
-        .join(part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice"), "l_partkey", "left")
-        .select(
-            "l_orderkey",
-            parcel.alias("parcel"),
-            "l_linenumber",
-            "l_partkey",
-            "l_suppkey",
-            "qty",
-            "ext",
-            "rate",
-            "tax_rate",
-            "chunk",
-            F.concat(F.lit("PROD-"), F.col("l_partkey")).alias("product_id"),
-            (F.col("qty") * F.col("copies")).cast("int").alias("quantity"),
-            F.col("p_retailprice").cast("decimal(12,2)").alias("unit_price"),
-            (F.col("ext") * copies).cast("decimal(12,2)").alias("total_item_price"),
-            (discount * copies).cast("decimal(12,2)").alias("discount_applied"),
-            (tax * copies).cast("decimal(12,2)").alias("line_tax"),
-        )
+    discount = F.round(F.col("total_item_price") * F.col("rate"), 2).cast("decimal(12,2)")
+    tax = F.round((F.col("total_item_price") - discount) * F.col("tax_rate"), 2).cast("decimal(12,2)")
+    return lines.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice"), "l_partkey", "left").select(
+        *lines.columns,
+        F.concat(F.lit("PROD-"), F.col("l_partkey")).alias("product_id"),
+        F.col("p_retailprice").cast("decimal(12,2)").alias("unit_price"),
+        discount.alias("discount_applied"),
+        tax.alias("line_tax"),
     )
 
 
-def parcels(lines: DataFrame) -> DataFrame:
-    """Line items of each event as a sorted array, with totals."""
-    rank = ["l_linenumber", "l_partkey", "l_suppkey", "qty", "ext", "rate", "tax_rate", "chunk"]
+def order_items(lines: DataFrame) -> DataFrame:
+    """Line items of each order as a sorted array, with totals; arrays are begun before the shuffle."""
+    rank = ["l_linenumber", "l_partkey", "l_suppkey", "quantity", "total_item_price", "rate", "tax_rate"]
     fields = ["product_id", "quantity", "unit_price", "total_item_price", "discount_applied"]
+    more = [f for f in fields if f not in rank]
     return (
-        lines.groupBy("l_orderkey", "parcel")
+        lines.groupBy("l_orderkey")
         .agg(
-            F.array_sort(F.collect_list(F.struct(*rank, *fields))).alias("sorted"),
+            F.array_sort(F.collect_list(F.struct(*rank, *more))).alias("sorted"),
             F.sum("quantity").cast("int").alias("item_count"),
             F.sum("total_item_price").cast("decimal(12,2)").alias("total"),
             F.sum("discount_applied").cast("decimal(12,2)").alias("discount"),
@@ -118,27 +65,16 @@ def parcels(lines: DataFrame) -> DataFrame:
     )
 
 
-def base_orders(
-    orders: DataFrame, customer: DataFrame, parcel_rows: DataFrame, lineitem: DataFrame
-) -> DataFrame:
-    """One row per event before anomalies: order header joined to its parcels."""
+def base_orders(orders: DataFrame, customer: DataFrame, items: DataFrame) -> DataFrame:
+    """One row per order before anomalies: its header, items (NULL where it has none) and totals."""
     headers = orders.join(
         customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey", "left"
     ).select("o_orderkey", "o_custkey", "c_nationkey", "o_orderdate", "o_orderpriority")
-    keyed = parcel_rows.withColumnRenamed("l_orderkey", "o_orderkey")
-    with_lines = keyed.join(headers, "o_orderkey")
+    joined = headers.join(items.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
     zero = F.lit(0).cast("decimal(12,2)")
-    ordered = lineitem.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-    without = headers.join(ordered, "o_orderkey", "left_anti").select(
-        "*",
-        F.lit(0).cast("long").alias("parcel"),
-        F.lit(0).alias("item_count"),
-        zero.alias("total"),
-        zero.alias("discount"),
-        zero.alias("tax"),
-        F.lit(None).cast(keyed.schema["items"].dataType).alias("items"),
+    return joined.withColumns(
+        {"item_count": F.coalesce("item_count", F.lit(0))} | {c: F.coalesce(c, zero) for c in ("total", "discount", "tax")}
     )
-    return with_lines.select(*keyed.columns, *[c for c in headers.columns if c != "o_orderkey"]).unionByName(without)
 
 
 def _pick(values: list[str], index: Column) -> Column:
@@ -150,8 +86,7 @@ def events(base: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
     k = key % ANOMALY_CYCLE
     empty = F.col("items").isNull()
-    suffix = F.when(F.col("parcel") > 0, F.concat(F.lit("-P"), F.col("parcel"))).otherwise("")
-    name = F.concat(key.cast("string"), suffix)
+    name = key.cast("string")
     status = _pick(ORDER_STATUSES, F.floor(key / 7) % 6)
     ordered_at = (F.col("o_orderdate").cast("timestamp").cast("long") + (key * 37) % 86400).cast("timestamp")
     arrived = F.timestamp_millis(F.unix_millis(ordered_at) + key % 5000)
@@ -178,7 +113,6 @@ def events(base: DataFrame) -> DataFrame:
     base_event = base.select(
         "o_orderkey",
         k.alias("k"),
-        "parcel",
         empty.alias("is_empty"),
         F.when(~at(2), F.concat(F.lit("EVT-"), name)).alias("event_id"),
         F.when(~at(3), F.concat(F.lit("ORD-"), name)).alias("order_id"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from millrace.functions import rules as R
 from millrace.model import ORDER_STATUSES, PAYMENT_METHOD_IDS, PAYMENT_METHOD_ROWS, TABLES
 from millrace.operators import audits as A
-from workload.derive import AS_OF, COPIES_PER_LINE, LINES_PER_EVENT
+from workload.derive import AS_OF
 
 NOW = f"TIMESTAMP '{AS_OF}'"
 
@@ -94,42 +94,28 @@ _PAYMENTS = ", ".join(
 )
 
 CTES = f"""WITH
-crowded AS (
-  SELECT l_orderkey, CAST(ceil(count(*) / {LINES_PER_EVENT}.0) AS BIGINT) AS parcels
-  FROM lineitem GROUP BY l_orderkey HAVING count(*) > {LINES_PER_EVENT}),
-merged AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INT) AS qty,
-    CAST(l_extendedprice AS DECIMAL(12,2)) AS ext, CAST(l_discount AS DECIMAL(4,2)) AS rate,
-    CAST(l_tax AS DECIMAL(4,2)) AS tax_rate, count(*) AS n
-  FROM lineitem GROUP BY ALL),
-cut AS (
-  SELECT m.*, u.c AS chunk, least({COPIES_PER_LINE}, m.n - {COPIES_PER_LINE} * u.c) AS copies
-  FROM merged m, unnest(range(0, (m.n - 1) // {COPIES_PER_LINE} + 1)) AS u(c)),
 ln AS (
-  SELECT c.*, p.p_retailprice,
-    (c.l_partkey * 7919 + c.l_suppkey * 104729 + c.l_linenumber * 31 + qty * 17 + CAST(ext * 100 AS BIGINT) + chunk * 13)
-      % coalesce(w.parcels, 1) AS parcel,
-    CAST(round(ext * rate, 2) AS DECIMAL(12,2)) AS d1
-  FROM cut c LEFT JOIN crowded w USING (l_orderkey) LEFT JOIN part p ON p.p_partkey = c.l_partkey),
+  SELECT *, CAST(round(ext * rate, 2) AS DECIMAL(12,2)) AS d1
+  FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INT) AS qty,
+      CAST(l_extendedprice AS DECIMAL(12,2)) AS ext, CAST(l_discount AS DECIMAL(4,2)) AS rate,
+      CAST(l_tax AS DECIMAL(4,2)) AS tax_rate, p_retailprice
+    FROM lineitem LEFT JOIN part ON p_partkey = l_partkey)),
 it AS (
-  SELECT l_orderkey, parcel, l_partkey,
-    row_number() OVER (PARTITION BY l_orderkey, parcel
-      ORDER BY l_linenumber, l_partkey, l_suppkey, qty, ext, rate, tax_rate, chunk) - 1 AS pos,
-    'PROD-' || l_partkey AS product_id, CAST(qty * copies AS INT) AS quantity,
-    CAST(p_retailprice AS DECIMAL(12,2)) AS unit_price,
-    CAST(ext * copies AS DECIMAL(12,2)) AS total_item_price,
-    CAST(d1 * copies AS DECIMAL(12,2)) AS discount_applied,
-    CAST(CAST(round((ext - d1) * tax_rate, 2) AS DECIMAL(12,2)) * copies AS DECIMAL(12,2)) AS line_tax
+  SELECT l_orderkey, l_partkey,
+    row_number() OVER (PARTITION BY l_orderkey
+      ORDER BY l_linenumber, l_partkey, l_suppkey, qty, ext, rate, tax_rate) - 1 AS pos,
+    'PROD-' || l_partkey AS product_id, qty AS quantity,
+    CAST(p_retailprice AS DECIMAL(12,2)) AS unit_price, ext AS total_item_price, d1 AS discount_applied,
+    CAST(round((ext - d1) * tax_rate, 2) AS DECIMAL(12,2)) AS line_tax
   FROM ln),
 par AS (
-  SELECT l_orderkey, parcel, count(*) AS n_items, CAST(sum(quantity) AS BIGINT) AS item_count,
+  SELECT l_orderkey, count(*) AS n_items, CAST(sum(quantity) AS BIGINT) AS item_count,
     CAST(sum(total_item_price) AS DECIMAL(12,2)) AS total, CAST(sum(discount_applied) AS DECIMAL(12,2)) AS discount,
     CAST(sum(line_tax) AS DECIMAL(12,2)) AS tax, arg_max(product_id, pos) AS last_product, arg_max(unit_price, pos) AS last_price
-  FROM it GROUP BY l_orderkey, parcel),
+  FROM it GROUP BY l_orderkey),
 base AS (
   SELECT o.o_orderkey AS ok, o.o_custkey AS ck, c.c_nationkey AS nk, o.o_orderkey % 200 AS k,
-    coalesce(p.parcel, 0) AS parcel, p.l_orderkey IS NULL AS is_empty,
-    o.o_orderkey || CASE WHEN coalesce(p.parcel, 0) > 0 THEN '-P' || p.parcel ELSE '' END AS nm,
+    p.l_orderkey IS NULL AS is_empty, CAST(o.o_orderkey AS VARCHAR) AS nm,
     list_extract({_list(PAYMENT_METHOD_IDS)}, o.o_orderkey % 9 + 1) AS pay,
     list_extract({_list(ORDER_STATUSES)}, (o.o_orderkey // 7) % 6 + 1) AS st,
     coalesce(p.n_items, 0) AS n_items, coalesce(p.item_count, 0) AS item_count,
@@ -174,36 +160,36 @@ fo AS (
     arg_min(wire_net, seq) AS net_amount, arg_min(wire_count, seq) AS item_count, arg_min(ots, seq) AS order_timestamp,
     arg_max(received_at, seq) AS processed_at, arg_max(latency, seq) AS ingest_latency_ms,
     count(*) AS versions, arg_max(copy, seq) AS last_copy, arg_max(batch_id, seq) AS batch_id, max(seq) AS seq,
-    any_value(k) AS k, any_value(ok) AS ok, any_value(ck) AS ck, any_value(parcel) AS parcel
+    any_value(k) AS k, any_value(ok) AS ok, any_value(ck) AS ck
   FROM v GROUP BY order_id),
 foi AS (
   SELECT f.order_id, i.pos AS line_no, i.product_id, i.l_partkey, i.quantity, i.unit_price, i.total_item_price,
     i.discount_applied, f.processed_at AS created_at, f.batch_id, f.seq
-  FROM fo f JOIN it i ON i.l_orderkey = f.ok AND i.parcel = f.parcel
+  FROM fo f JOIN it i ON i.l_orderkey = f.ok
   WHERE NOT (f.last_copy = 2 AND f.k = 54 AND i.pos > 0)),
 dc AS (
   SELECT 'CUST-' || c_custkey AS customer_id, c_name AS customer_name, c_mktsegment AS segment, false AS inferred
   FROM customer WHERE c_custkey % 97 <> 0
-  UNION ALL SELECT DISTINCT 'CUST-' || ck, 'Customer CUST-' || ck, 'Standard', true FROM vv WHERE ck % 97 = 0),
+  UNION ALL SELECT DISTINCT 'CUST-' || ck, 'Customer CUST-' || ck, 'Standard', true FROM v WHERE ck % 97 = 0),
 dloc AS (
   SELECT 'LOC-' || n_nationkey AS location_id, n_name AS city, n_name AS country, r_name AS region,
     {dbl("n_nationkey * 3 - 36")} AS latitude, {dbl("n_nationkey * 14 - 170")} AS longitude, false AS inferred
   FROM nation LEFT JOIN region ON r_regionkey = n_regionkey WHERE n_nationkey <> 24
-  UNION ALL SELECT DISTINCT 'LOC-24', 'Unknown', 'Unknown', NULL, NULL, NULL, true FROM vv WHERE nk = 24),
+  UNION ALL SELECT DISTINCT 'LOC-24', 'Unknown', 'Unknown', NULL, NULL, NULL, true FROM v WHERE nk = 24),
 dpay AS (
   SELECT * FROM (VALUES {_PAYMENTS}) t(payment_method_id, method_type, provider, inferred)
-  UNION ALL SELECT DISTINCT 'PAY-CRYPTO', 'CRYPTO', 'CRYPTO', true FROM vv WHERE pay = 'PAY-CRYPTO'),
+  UNION ALL SELECT DISTINCT 'PAY-CRYPTO', 'CRYPTO', 'CRYPTO', true FROM v WHERE pay = 'PAY-CRYPTO'),
 dprod AS (
   SELECT 'PROD-' || p_partkey AS product_id, p_name AS product_name, p_type AS category, false AS inferred
   FROM part WHERE p_partkey % 97 <> 0
   UNION ALL SELECT DISTINCT i.product_id, 'Product ' || i.product_id, 'General', true
-  FROM it i JOIN vv ON vv.ok = i.l_orderkey AND vv.parcel = i.parcel WHERE i.l_partkey % 97 = 0),
+  FROM it i JOIN v ON v.ok = i.l_orderkey WHERE i.l_partkey % 97 = 0),
 dups AS (
   SELECT batch_id, CAST(sum(CASE WHEN rn > 1 THEN 1 ELSE 0 END) AS BIGINT) AS duplicates
-  FROM (SELECT batch_id, row_number() OVER (PARTITION BY order_id ORDER BY seq) AS rn FROM vv) GROUP BY batch_id),
+  FROM (SELECT batch_id, row_number() OVER (PARTITION BY order_id ORDER BY seq) AS rn FROM v) GROUP BY batch_id),
 stats AS (
-  SELECT batch_id, count(*) AS processed, count(*) FILTER (WHERE code IS NULL) AS valid,
-    count(*) FILTER (WHERE code IS NOT NULL) AS quarantined, sum(latency) FILTER (WHERE code IS NULL) AS latency_total,
+  SELECT batch_id, count(*) AS processed, count(*) FILTER (WHERE code IS NULL AND copy <> 3) AS valid,
+    count(*) FILTER (WHERE code IS NOT NULL OR copy = 3) AS quarantined, sum(latency) FILTER (WHERE code IS NULL AND copy <> 3) AS latency_total,
     max(received_at) AS finished_at FROM dl GROUP BY batch_id)
 """
 
@@ -341,7 +327,7 @@ BODIES: dict[str, str] = {
         wire_status AS order_status, wire_count AS item_count, {dbl("wire_total")} AS total_amount, {dbl("wire_discount")} AS discount_amount,
         {dbl("wire_tax")} AS tax_amount, {dbl("wire_net")} AS net_amount, wire_time AS order_timestamp,
         CASE WHEN k <> 1 THEN 'd' || ok % 5 END AS device, CASE WHEN k <> 1 THEN channel END AS channel, {_ITEMS_SENT} AS items_decoded FROM dl""",
-    "stream_bounded_ingest": "SELECT CASE WHEN code IS NULL THEN 'valid' ELSE 'quarantined' END AS outcome, count(*) AS events FROM dl GROUP BY 1",
+    "stream_bounded_ingest": "SELECT CASE WHEN code IS NULL AND copy <> 3 THEN 'valid' ELSE 'quarantined' END AS outcome, count(*) AS events FROM dl GROUP BY 1",
     "stream_ingest_orders": f"SELECT {_FACT_COLUMNS} FROM fo",
     "stream_quarantine": f"""SELECT event_id, order_id, code AS error_code, 'Rule_' || code AS failed_validation_rule,
         {ts("received_at")} AS quarantined_at, seq FROM q""",
@@ -357,18 +343,18 @@ BODIES: dict[str, str] = {
     "validate_events": "SELECT batch_id, seq, coalesce(rule_code, 'VALID') AS verdict, rule_code IS NULL AS is_valid FROM dl",
     "first_item_error": f"""SELECT batch_id, seq, CASE WHEN k = 12 THEN 0 ELSE n_items - 1 END AS item_index, code AS error_code,
         {ITEM_REASON} AS reason FROM dl WHERE k BETWEEN 12 AND 15 AND NOT is_empty""",
-    "rejection_reasons": f"SELECT batch_id, seq, {REASON} AS rejection_reason FROM dl WHERE code IS NOT NULL",
-    "route_valid": f"SELECT batch_id, seq, order_id, event_id, {dbl('wire_net')} AS net_amount FROM vv",
+    "rejection_reasons": "SELECT batch_id, seq, reason AS rejection_reason FROM q",
+    "route_valid": f"SELECT batch_id, seq, order_id, event_id, {dbl('wire_net')} AS net_amount FROM v",
     "route_quarantine": """SELECT batch_id, seq, event_id, order_id, code AS error_code, 'Rule_' || code AS failed_validation_rule
-        FROM dl WHERE code IS NOT NULL""",
+        FROM q""",
     "contract_violations": f"SELECT batch_id, seq, {_CONTRACT} AS violations FROM dl WHERE k <> 1",
     "contract_defaults": f"""SELECT batch_id, seq, true AS identified, upper(wire_status) AS order_status,
         {dbl("coalesce(wire_discount, 0)")} AS discount_amount, {dbl("coalesce(wire_tax, 0)")} AS tax_amount,
         coalesce(wire_time, strftime(received_at, '%Y-%m-%dT%H:%M:%SZ')) AS order_timestamp, 2 AS metadata_entries FROM dl WHERE k <> 1""",
     "constraint_violations": f"""SELECT code AS error_code, count(*) AS failure_count FROM q
         WHERE code LIKE 'CONSTRAINT%' OR code = '{R.DUPLICATE_EVENT_ID}' GROUP BY code""",
-    "uniqueness_violations": """SELECT 'order_id' AS key_name, order_id AS key_value, count(*) AS copies FROM vv GROUP BY order_id HAVING count(*) > 1
-        UNION ALL SELECT 'event_id', event_id, count(*) FROM vv GROUP BY event_id HAVING count(*) > 1""",
+    "uniqueness_violations": """SELECT 'order_id' AS key_name, order_id AS key_value, count(*) AS copies FROM v GROUP BY order_id HAVING count(*) > 1
+        UNION ALL SELECT 'event_id', event_id, count(*) FROM v GROUP BY event_id HAVING count(*) > 1""",
     "fact_orders": f"SELECT {_FACT_COLUMNS} FROM fo",
     "fact_order_items": f"""SELECT order_id, line_no, product_id, quantity, {dbl("unit_price")} AS unit_price,
         {dbl("total_item_price")} AS total_item_price, {dbl("discount_applied")} AS discount_applied, {ts("created_at")} AS created_at FROM foi""",
@@ -383,7 +369,7 @@ BODIES: dict[str, str] = {
     "order_totals_in_place": _totals(
         """SELECT v1.batch_id, v1.seq, v1.order_id, CAST(sum(i.quantity) AS BIGINT) AS item_count,
            CAST(sum(i.total_item_price) AS DECIMAL(18,2)) AS total_amount, CAST(sum(i.discount_applied) AS DECIMAL(18,2)) AS discount_amount
-           FROM vv v1 JOIN it i ON i.l_orderkey = v1.ok AND i.parcel = v1.parcel WHERE NOT (v1.copy = 2 AND v1.k = 54 AND i.pos > 0)
+           FROM v v1 JOIN it i ON i.l_orderkey = v1.ok WHERE NOT (v1.copy = 2 AND v1.k = 54 AND i.pos > 0)
            GROUP BY ALL""",
         "batch_id, seq, order_id",
     ),
@@ -431,7 +417,7 @@ BODIES: dict[str, str] = {
         FROM fo JOIN dpay USING (payment_method_id) GROUP BY ALL""",
     "geo_distribution": f"""SELECT city, country, region, latitude, longitude, count(*) AS order_count, {dbl("sum(net_amount)")} AS total_revenue
         FROM fo JOIN dloc USING (location_id) GROUP BY ALL""",
-    "existing_orders": """SELECT order_id, seq FROM vv WHERE batch_id = 1 AND order_id IN (SELECT order_id FROM vv WHERE batch_id = 0)""",
+    "existing_orders": """SELECT order_id, seq FROM v WHERE batch_id = 1 AND order_id IN (SELECT order_id FROM v WHERE batch_id = 0)""",
     "new_dimension_keys": """SELECT 'dim_customers' AS table_name, count(DISTINCT customer_id) AS new_keys FROM fo WHERE ck % 97 = 0
         UNION ALL SELECT 'dim_locations', count(DISTINCT location_id) FROM fo WHERE location_id = 'LOC-24'
         UNION ALL SELECT 'dim_payment_methods', count(DISTINCT payment_method_id) FROM fo WHERE payment_method_id = 'PAY-CRYPTO'
@@ -519,7 +505,7 @@ BODIES: dict[str, str] = {
     "stream_dedup": "SELECT DISTINCT user_id FROM events",
     "stream_hourly_rollup": f"""SELECT {ts("date_trunc('hour', ots)")} AS hourly_window_start, {ts("date_trunc('hour', ots) + INTERVAL 1 HOUR")} AS hourly_window_end,
         count(*) AS total_orders, {dbl("sum(wire_net)")} AS total_revenue, CAST(sum(wire_count) AS BIGINT) AS total_items_sold
-        FROM vv WHERE copy = 0 GROUP BY date_trunc('hour', ots)""",
+        FROM v WHERE copy = 0 GROUP BY date_trunc('hour', ots)""",
     "stream_event_rate": f"""SELECT {ts("time_bucket(INTERVAL 30 SECOND, ts)")} AS window_start, count(*) AS events,
         CAST((2 * 100 * count(*) + 30) // 60 AS DOUBLE) / 100.0 AS events_per_second FROM events GROUP BY time_bucket(INTERVAL 30 SECOND, ts)""",
     "segment_spending": f"""SELECT segment, count(*) AS order_count, count(DISTINCT customer_id) AS customer_count, {dbl("sum(net_amount)")} AS total_spend,

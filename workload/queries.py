@@ -768,7 +768,7 @@ def replay_idempotent(w: Warehouse) -> DataFrame:
     def build() -> OrderStore:
         store = OrderStore(w.spark, f"{w.root}/replayed")
         for batch_id in (0, 1, 0):
-            store.write_batch(w.raw_batch(batch_id), batch_id, w.as_of, infer_dimensions=False)
+            store.write_batch(w.raw_batch(batch_id), batch_id, w.as_of)
         return store
 
     store = w.once("replayed", build)
@@ -786,9 +786,9 @@ def committed_batches(w: Warehouse) -> DataFrame:
 
     def build() -> OrderStore:
         store = OrderStore(w.spark, f"{w.root}/half-written")
-        store.write_batch(w.raw_batch(0), 0, w.as_of, infer_dimensions=False)
+        store.write_batch(w.raw_batch(0), 0, w.as_of)
         unfinished = w.log().where(F.col("batch_id") == 1).drop("batch_id")
-        store.store.write(LOG, unfinished, 1, ["outcome"])
+        store.store.write(LOG, unfinished, 1, store.store.new_attempt(), ["outcome"])
         return store
 
     store = w.once("half-written", build)

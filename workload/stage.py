@@ -71,12 +71,8 @@ class Warehouse:
         """(value, seq, received_at, batch_id) as it lies on the topic."""
 
         def make() -> DataFrame:
-            lineitem = self.given("lineitem")
-            crowded = self.written("crowded_orders", lambda: derive.crowded_orders(lineitem))
-            lines = derive.order_lines(lineitem, self.given("part"), crowded)
-            base = derive.base_orders(
-                self.given("orders"), self.given("customer"), derive.parcels(lines), lineitem
-            )
+            lines = derive.order_lines(self.given("lineitem"), self.given("part"))
+            base = derive.base_orders(self.given("orders"), self.given("customer"), derive.order_items(lines))
             return derive.raw_messages(base)
 
         return self.written("raw_events", make, "batch_id")
@@ -156,12 +152,7 @@ class Warehouse:
                 # A later delivery must come after the earlier ones, so the second batch is
                 # only taken up once the first has been read to its end.
                 stream = read_order_stream(self.spark, f"{self.root}/raw_events/batch_id={part}", max_files=4)
-                base = part * 1_000_000
-                self._drain(stream, store, base, f"{self.root}/checkpoint-{part}")
+                ingest_stream(stream, store, f"{self.root}/checkpoint-{part}", self.as_of).awaitTermination()
             return store
 
         return self.once("streamed", build)
-
-    def _drain(self, stream: DataFrame, store: OrderStore, base: int, checkpoint: str) -> None:
-        query = ingest_stream(stream, store, checkpoint, self.as_of, first_batch=base, infer_dimensions=False)
-        query.awaitTermination()
