@@ -1,4 +1,7 @@
-"""Stateful streams: windowed totals, rates and deduplication."""
+"""Stateful streams: windowed totals, rates and deduplication.
+
+Each takes the delay by which events of one window or repeats of one key can be apart: it bounds the state.
+"""
 
 from __future__ import annotations
 
@@ -9,12 +12,6 @@ from millrace.operators.decode import counted, decode_events
 from millrace.operators.validation import classify, to_event_log, valid_events
 from millrace.sources.tables import BATCH
 
-# Order times may lie years apart within one batch, so by default nothing counts as late and
-# state is kept for good. On an endless stream pass the delay that repeats can really have:
-# it bounds the state to the keys of that span.
-WIDE_DELAY = "36500 days"
-
-
 def append_stream(rows: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Append a stream to a parquet table; the file sink commits each micro-batch once."""
     trigger = {"processingTime": every} if every else {"availableNow": True}
@@ -62,7 +59,7 @@ def distinct_within(stream: DataFrame, keys: list[str], time: str, delay: str) -
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def rate_per_window(stream: DataFrame, time: str, width_seconds: int = 30, delay: str = WIDE_DELAY) -> DataFrame:
+def rate_per_window(stream: DataFrame, time: str, delay: str, width_seconds: int = 30) -> DataFrame:
     """Events and events per second in tumbling windows of event time."""
     window = F.window(F.col(time), f"{width_seconds} seconds")
     return (
@@ -89,7 +86,7 @@ def valid_order_stream(raw: DataFrame, as_of) -> DataFrame:
     return valid_events(to_event_log(counted(checked, rejected, name="order_checks")))
 
 
-def hourly_orders(orders: DataFrame, delay: str = WIDE_DELAY) -> DataFrame:
+def hourly_orders(orders: DataFrame, delay: str) -> DataFrame:
     """Orders, revenue and items per hour of order time, each order counted once.
 
     Measures are those that a repeated delivery cannot change, so it does not matter which

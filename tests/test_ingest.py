@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import item, order_event
 from millrace.model import RAW_EVENT
 from millrace.operators import audits, lookup
-from millrace.plans import marts, monitoring, reports
+from millrace.plans import marts, monitoring, reports, results
 from millrace.session import scratch_path, shared_root
 from millrace.sources import events as ev
 from millrace.streaming.ingest import LOG, OrderStore, ingest_stream
@@ -273,3 +273,19 @@ def test_compaction_equals_the_live_views(spark, store, messages, as_of, thresho
     assert live["fact_orders"].count() == 9
     codes = sorted(r["error_code"] for r in live["quarantine_orders"].collect())
     assert codes == ["CORRUPT_PAYLOAD", "DUPLICATE_EVENT_ID"]
+
+
+def test_stored_results_are_appended_and_hours_replaced(spark, store, messages, as_of):
+    store.write_batch(messages(order_event(1), order_event(2, order_timestamp="2026-01-15T09:10:00+00:00")), 0, as_of)
+    kept = results.ResultStore(spark, scratch_path(spark, "results"))
+    orders, rejected = store.fact_orders(), store.quarantine()
+    kept.replace_hours(marts.hourly_rollup(orders, rejected, as_of), as_of)
+    fresh = marts.hourly_rollup(orders.where("order_id = 'ORD-1'"), rejected, as_of).withColumn("total_orders", F.lit(7).cast("long"))
+    kept.replace_hours(fresh, as_of)
+    assert sorted(r["total_orders"] for r in kept.mart().collect()) == [1, 7]
+    suite = audits.audit_suite(orders, *dimensions(store))
+    for run in range(2):
+        stamp = as_of + F.lit(run) * F.expr("INTERVAL 1 HOUR")
+        kept.append(results.AUDITS, audits.audit_log_rows(suite, stamp), stamp)
+    assert kept.audit_log().count() == 2 * suite.count()
+    assert kept.mart().count() == 2 and kept.metrics().count() == 0

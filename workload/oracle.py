@@ -505,7 +505,7 @@ BODIES: dict[str, str] = {
     "stream_dedup": "SELECT DISTINCT user_id FROM events",
     "stream_hourly_rollup": f"""SELECT {ts("date_trunc('hour', ots)")} AS hourly_window_start, {ts("date_trunc('hour', ots) + INTERVAL 1 HOUR")} AS hourly_window_end,
         count(*) AS total_orders, {dbl("sum(wire_net)")} AS total_revenue, CAST(sum(wire_count) AS BIGINT) AS total_items_sold
-        FROM v WHERE copy = 0 GROUP BY date_trunc('hour', ots)""",
+        FROM (SELECT * FROM dl WHERE code IS NULL) d WHERE copy IN (0, 3) GROUP BY date_trunc('hour', ots)""",
     "stream_event_rate": f"""SELECT {ts("time_bucket(INTERVAL 30 SECOND, ts)")} AS window_start, count(*) AS events,
         CAST((2 * 100 * count(*) + 30) // 60 AS DOUBLE) / 100.0 AS events_per_second FROM events GROUP BY time_bucket(INTERVAL 30 SECOND, ts)""",
     "segment_spending": f"""SELECT segment, count(*) AS order_count, count(DISTINCT customer_id) AS customer_count, {dbl("sum(net_amount)")} AS total_spend,

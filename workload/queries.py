@@ -14,7 +14,7 @@ from millrace.model import BATCH_METRIC, DIMENSION_UPDATES, TABLES
 from millrace.operators import audits, contract, dimensions as dims, facts, lookup, versions as ver
 from millrace.operators.decode import counted, decode_events
 from millrace.operators.validation import classify, quarantine_rows
-from millrace.plans import marts, monitoring, reports
+from millrace.plans import marts, monitoring, reports, results
 from millrace.session import scratch_path
 from millrace.sources import events as ev, tables as tb
 from millrace.streaming import windows
@@ -22,6 +22,9 @@ from millrace.streaming.ingest import LOG, OrderStore
 from workload.stage import Warehouse, warehouse
 
 Query = Callable[[Warehouse], DataFrame]
+# The given orders and events lie less than this apart, and any of them may be repeated.
+SPAN = "3650 days"
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -570,7 +573,9 @@ def table_stats(w: Warehouse) -> DataFrame:
 
 @query
 def warehouse_heartbeat(w: Warehouse) -> DataFrame:
-    return monitoring.warehouse_heartbeat(w.tables(), w.as_of).drop("metric_id")
+    store = results.ResultStore(w.spark, scratch_path(w.spark, "heartbeat"))
+    store.append(results.METRICS, monitoring.warehouse_heartbeat(w.tables(), w.as_of), w.as_of)
+    return store.metrics().drop("metric_id")
 
 
 @query
@@ -589,14 +594,17 @@ def dq_suite(w: Warehouse) -> DataFrame:
 
 
 def _audit_log(w: Warehouse) -> DataFrame:
-    def make() -> DataFrame:
-        suite = audits.audit_suite(w.orders(), *w.order_dimensions())
-        hours = [F.lit(h) for h in range(8)]
-        runs = suite.withColumn("hour", F.explode(F.array(*hours)))
-        stamp = w.as_of - F.col("hour") * F.expr("INTERVAL 1 HOUR")
-        return audits.audit_log_rows(runs, stamp)
+    """The stored log after eight runs, an hour apart, each of which audits the tables and appends."""
+
+    def build() -> results.ResultStore:
+        store = results.ResultStore(w.spark, f"{w.root}/audits")
+        for hour in reversed(range(8)):
+            suite = audits.audit_suite(w.orders(), *w.order_dimensions())
+            stamp = w.as_of - F.lit(hour) * F.expr("INTERVAL 1 HOUR")
+            store.append(results.AUDITS, audits.audit_log_rows(suite, stamp), stamp)
+        return store
 
-    return w.written("data_quality_audit_log", make)
+    return w.once("audit_log", build).audit_log()
 
 
 @query
@@ -622,9 +630,9 @@ def rollup_snapshot(w: Warehouse) -> DataFrame:
 
 @query
 def hourly_mart_upsert(w: Warehouse) -> DataFrame:
-    """The mart of the first batch with the hours that the second one touched replaced.
+    """The stored mart of the first batch after the hours that the second one touched were replaced.
 
-    Only orders and rejections of the touched hours are read for the replacement.
+    Only orders and rejections of the touched hours are summed up for the replacement.
     """
     versions, quarantine = w.versions(), w.quarantine()
     early = marts.hourly_rollup(
@@ -643,7 +651,10 @@ def hourly_mart_upsert(w: Warehouse) -> DataFrame:
         quarantine.withColumn("hour", rejected_in).join(touched, "hour", "left_semi"),
         w.as_of,
     )
-    return marts.mart_upsert(early, fresh)
+    store = results.ResultStore(w.spark, scratch_path(w.spark, "mart"))
+    store.replace_hours(early, w.as_of)
+    store.replace_hours(fresh, w.as_of)
+    return store.mart()
 
 
 @query
@@ -839,19 +850,19 @@ def scalar_functions(w: Warehouse) -> DataFrame:
 def stream_dedup(w: Warehouse) -> DataFrame:
     """Users seen on the event stream, each let through once."""
     path = scratch_path(w.spark, "dedup")
-    once = windows.distinct_within(_event_stream(w), ["user_id"], "ts", windows.WIDE_DELAY)
+    once = windows.distinct_within(_event_stream(w), ["user_id"], "ts", SPAN)
     windows.append_stream(once.select("user_id"), f"{path}/table", f"{path}/checkpoint").awaitTermination()
     return w.spark.read.parquet(f"{path}/table")
 
 
 @query
 def stream_hourly_rollup(w: Warehouse) -> DataFrame:
-    """The hourly mart kept by a stream of raw order events."""
+    """Hourly orders kept by a stream of all raw order events, each order counted once."""
     w.raw()
     path = scratch_path(w.spark, "hourly")
-    raw = ev.read_order_stream(w.spark, f"{w.root}/raw_events/batch_id=0")
+    raw = ev.read_order_stream(w.spark, f"{w.root}/raw_events/*")
     orders = windows.valid_order_stream(raw, w.as_of)
-    windows.update_stream(windows.hourly_orders(orders), f"{path}/updates", f"{path}/checkpoint").awaitTermination()
+    windows.update_stream(windows.hourly_orders(orders, SPAN), f"{path}/updates", f"{path}/checkpoint").awaitTermination()
     return windows.latest_groups(w.spark, f"{path}/updates", ["hourly_window_start", "hourly_window_end"])
 
 
@@ -859,7 +870,7 @@ def stream_hourly_rollup(w: Warehouse) -> DataFrame:
 def stream_event_rate(w: Warehouse) -> DataFrame:
     """Events per second in half-minute windows of the event stream."""
     path = scratch_path(w.spark, "rate")
-    rates = windows.rate_per_window(_event_stream(w), "ts")
+    rates = windows.rate_per_window(_event_stream(w), "ts", SPAN)
     windows.update_stream(rates, f"{path}/updates", f"{path}/checkpoint").awaitTermination()
     return windows.latest_groups(w.spark, f"{path}/updates", ["window_start"])
 
