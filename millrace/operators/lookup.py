@@ -62,9 +62,9 @@ def order_status(
     stored = with_dimensions(matched, customers, locations, payments).drop(
         "customer_id", "location_id", "payment_method_id", "customer_segment"
     )
-    # One row per id, combined before the shuffle, however often an order was rejected.
+    # Only rejections of the requested ids; one row per id, combined before the shuffle.
     rejected = (
-        quarantine.where(F.col("order_id").isNotNull())
+        quarantine.join(ids.select("order_id").distinct(), "order_id", "left_semi")
         .groupBy("order_id")
         .agg(
             F.min_by(

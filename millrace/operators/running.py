@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from millrace.session import ensure_checkpoint_dir
 
+#: Rows of a slice, about; the number of slices follows the table.
+SLICE_ROWS = 500_000
+
 
 def running_total(
     rows: DataFrame, order_by: list[str], value: str, name: str, slices: int | None = None
@@ -19,7 +22,7 @@ def running_total(
     each slice.
     """
     ensure_checkpoint_dir(rows.sparkSession)
-    count = slices or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = slices or -(-rows.count() // SLICE_ROWS) or 1
     sliced = (
         rows.repartitionByRange(count, *order_by)
         .withColumn("_slice", F.spark_partition_id())

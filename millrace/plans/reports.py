@@ -124,14 +124,17 @@ def recent_orders_feed(
 def revenue_by_category(items: DataFrame, products: DataFrame) -> DataFrame:
     """Distinct orders, units and revenue per product category.
 
-    Lines are combined per (category, order) before categories are totalled, which counts
-    each order once and spreads a category that holds most lines over all tasks.
+    Lines are combined per (order, product) before they meet products, so that repeated lines
+    of a product cross the join once, and per (category, order) before categories are
+    totalled, which counts each order once and spreads a category that holds most lines.
     """
+    per_product = items.groupBy("order_id", "product_id").agg(
+        F.sum("quantity").alias("units"), F.sum("total_item_price").alias("revenue")
+    )
     per_order = (
-        items.select("order_id", "product_id", "quantity", "total_item_price")
-        .join(products.select("product_id", "category"), "product_id")
+        per_product.join(products.select("product_id", "category"), "product_id")
         .groupBy("category", "order_id")
-        .agg(F.sum("quantity").alias("units"), F.sum("total_item_price").alias("revenue"))
+        .agg(F.sum("units").alias("units"), F.sum("revenue").alias("revenue"))
     )
     return (
         per_order.groupBy("category")
