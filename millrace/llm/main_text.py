@@ -30,7 +30,7 @@ from .page_samples import MARK, Writer
 from .page_tree import OTHER_GROUPS, OTHER_TOKENS, Node, features, flat, parse
 
 #: Pages learned from, trees, their depth, bins of a feature, share of each tree's step, smoothing of leaves.
-SYNTHETIC, TREES, LEVELS, BINS, STEP, SMOOTH = 700, 50, 4, 32, 0.3, 1.0
+SYNTHETIC, TREES, LEVELS, BINS, STEP, SMOOTH = 1000, 60, 5, 32, 0.3, 1.0
 #: Given pages learned from.
 SAMPLE = 200
 #: Pages whose nodes are judged at a time.

@@ -81,7 +81,9 @@ class Writer:
                 if r.random() < 0.15:
                     text = f"<b>{text}<br>"
                 parts.append(f"<p>{text}{close}")
-            elif kind < 0.82:
+            elif kind < 0.77:
+                parts.append(f'<p><a href="/z">{MARK}{self.words(3, 9)}</a></p>')
+            elif kind < 0.83:
                 parts.append(f"<h{r.choice('23')}>{MARK}{self.words(1, 6)}</h2>".replace("</h2>", "</h2></h3>"))
             elif kind < 0.9:
                 parts.append("<ul>" + "".join(f"<li>{MARK}{r.choice([self.words(1, 8), self.sentences(1, 2)])}</li>" for _ in range(r.randint(2, 5))) + "</ul>")
@@ -90,9 +92,11 @@ class Writer:
             else:
                 parts.append(f"<div>{MARK}{self.sentences(1, 4)}</div>")
         own = self.boiler()
-        for name in ("ad", "share", "form", "side"):
-            if r.random() < 0.12:
+        for name in ("ad", "share", "form", "side", "notice"):
+            if r.random() < 0.15:
                 parts.insert(r.randint(0, len(parts)), own[name])
+        if r.random() < 0.1:
+            parts.append(own["comments"])
         inside = "".join(parts)
         if r.random() < 0.25:
             inside = f"<div>{inside}</div>"

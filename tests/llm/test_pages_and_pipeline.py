@@ -121,3 +121,18 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
     for r in last:
         assert r["ids"] == library.encode(texts[r["doc_id"]], add_special_tokens=False).ids
     assert sorted(map(str, corpus_pipeline.run(spark, sf_dir).collect())) == sorted(map(str, last))
+
+
+@pytest.mark.parametrize(
+    "inside",
+    [
+        '<div class="ad">Xbuy the best thing now. Only today.</div>',
+        '<div class="notice">Xthis was updated. See the terms.</div>',
+        "<aside><h2>Xrelated</h2><p>Xside text of some length. Yes it is.</p></aside>",
+        "<form><p>Xsubscribe to it. It is good.</p><input></form>",
+        '<section id="comments"><h3>Xcomments</h3><div class="comment"><p>Xgood story. I liked it.</p></div></section>',
+    ],
+)
+def test_parts_inside_the_article_go(forest, inside):
+    page = f"<body><nav><ul><li><a href=/>Home</a></li></ul></nav><article>{STORY}{inside}</article><footer>&copy; x</footer></body>"
+    assert extract(forest, page) == TEXT
