@@ -103,6 +103,18 @@ def number_text(number: str) -> str:
     )
 
 
+def as_sent(number: str, path: str) -> str:
+    """A number as the payload has it: whole numbers and texts unchanged, others as doubles, None if absent.
+
+    Only failing branches evaluate this, so the payload is not parsed again for good events.
+    """
+    sent = f"get_json_object(value, {path})"
+    return (
+        f"CASE WHEN {sent} RLIKE '^-?[0-9]+$' THEN {sent} WHEN {number} IS NOT NULL THEN {number_text(f'CAST({number} AS DOUBLE)')} "
+        f"ELSE coalesce({sent}, 'None') END"
+    )
+
+
 def absent(column: str) -> str:
     """NULL and the empty string both count as not given."""
     return f"coalesce({column}, '') = ''"
@@ -125,8 +137,8 @@ def _item_rules(item: str, index: str) -> list[Rule]:
     return [
         _rule(CORRUPT_LINE_ITEM, f"{item} IS NULL", filled(REASON_ITEM_MALFORMED, index)),
         _rule(NULL_PRODUCT_ID, absent(product), filled(REASON_ITEM_PRODUCT, index)),
-        _rule(INVALID_QUANTITY, not_a_quantity(quantity), filled(REASON_ITEM_QUANTITY, product, quantity)),
-        _rule(INVALID_UNIT_PRICE, not_an_amount(price), filled(REASON_ITEM_PRICE, product, number_text(price))),
+        _rule(INVALID_QUANTITY, not_a_quantity(quantity), filled(REASON_ITEM_QUANTITY, product, as_sent(quantity, f"concat('$.items[', {index}, '].quantity')"))),
+        _rule(INVALID_UNIT_PRICE, not_an_amount(price), filled(REASON_ITEM_PRICE, product, as_sent(price, f"concat('$.items[', {index}, '].unit_price')"))),
     ]
 
 
@@ -167,8 +179,8 @@ def header_rules() -> list[Rule]:
             f"coalesce(upper(order_status), '') NOT IN ({literals(ORDER_STATUSES)})",
             filled(REASON_STATUS, "coalesce(upper(order_status), 'NONE')"),
         ),
-        _rule(NEGATIVE_OR_NULL_TOTAL, not_an_amount("total_amount"), filled(REASON_TOTAL, number_text("total_amount"))),
-        _rule(NEGATIVE_OR_NULL_NET, not_an_amount("net_amount"), filled(REASON_NET, number_text("net_amount"))),
+        _rule(NEGATIVE_OR_NULL_TOTAL, not_an_amount("total_amount"), filled(REASON_TOTAL, as_sent("total_amount", literal("$.total_amount")))),
+        _rule(NEGATIVE_OR_NULL_NET, not_an_amount("net_amount"), filled(REASON_NET, as_sent("net_amount", literal("$.net_amount")))),
         _rule(EMPTY_ITEMS_ARRAY, "coalesce(size(items), 0) <= 0", literal(REASON_NO_ITEMS)),
     ]
     return rules

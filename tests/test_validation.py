@@ -95,11 +95,15 @@ REASONS = [
     (order_event(order_status=...), "Order status 'NONE' is not a recognized state."),
     (order_event(total_amount=-49.99), "Gross total amount -49.99 is negative or not a number."),
     (order_event(total_amount=None), "Gross total amount None is negative or not a number."),
-    (order_event(net_amount=-50), "Net amount -50.0 is negative or not a number."),
+    (order_event(net_amount=-50), "Net amount -50 is negative or not a number."),
     (order_event(net_amount=-12345678.5), "Net amount -12345678.5 is negative or not a number."),
     (order_event(items=[item(), 7]), "Line item at index 1 is malformed."),
     (order_event(items=[item(), item(product_id="")]), "Line item at index 1 has missing product_id."),
     (order_event(items=[item(quantity=-3)]), "Line item P1 has invalid quantity: -3."),
+    (order_event(total_amount="abc"), "Gross total amount abc is negative or not a number."),
+    (order_event(items=[item(), item(quantity=1.5)]), "Line item P1 has invalid quantity: 1.5."),
+    (order_event(items=[item(quantity="x")]), "Line item P1 has invalid quantity: x."),
+    (order_event(items=[item(unit_price=None)]), "Line item P1 has negative/null unit price: None."),
     (order_event(items=[item(unit_price=-2.5)]), "Line item P1 has negative/null unit price: -2.5."),
     (
         order_event(order_timestamp="2099-01-01T00:00:00+00:00"),
