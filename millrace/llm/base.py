@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,6 +16,8 @@ from pyspark.sql.types import StructType
 #: Words between ASCII white space.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+#: Rows that a Python worker turns into objects at a time.
+ROWS = 1000
 #: What this worker keeps, and the operator it is kept for.
 _KEPT: list = []
 _SERVED: list[str] = []
@@ -49,19 +52,22 @@ def serve(owner: str) -> None:
     if _SERVED != [owner]:
         for kept in _KEPT:
             kept.cache_clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
         _SERVED[:] = [owner]
 
 
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType, owner: str = "") -> DataFrame:
     """df.mapInArrow, with this package on the import path of the Python workers wherever its folder is there.
 
-    A worker that comes to another operator first frees what it keeps for the one before.
+    run gets at most ROWS rows at a time. A worker that comes to another operator first frees what
+    it keeps for the one before.
     """
     owner = owner or run.__module__
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serve(owner)
-        yield from run(batches)
+        yield from run(batch.slice(k, ROWS) for batch in batches for k in range(0, batch.num_rows, ROWS))
 
     path = df.sparkSession.sparkContext.environment
     if _ROOT not in path.get("PYTHONPATH", "").split(os.pathsep):

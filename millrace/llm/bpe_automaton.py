@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from .base import by_text, kept_in_worker
 
 #: Words kept per worker.
-CACHE = 400_000
+CACHE = 300_000
 #: Texts encoded at a time.
 ROWS = 200
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -167,8 +167,10 @@ def _keys(digests: np.ndarray, offsets: np.ndarray, names: np.ndarray, large: in
 
 
 def _new(names: np.ndarray, seen: set[int]) -> np.ndarray:
-    """Places of the first of each name that isn't in seen yet."""
+    """Places of the first of each name that isn't in seen yet; seen is emptied when full."""
     out = []
+    if len(seen) > 100_000:
+        seen.clear()
     for k, name in enumerate(names.tolist()):
         if name not in seen:
             seen.add(name)
@@ -214,8 +216,9 @@ def lists(docs: DataFrame, large: int) -> DataFrame:
     """sig, set, n and shared of all list and subset entries that sets share with others, stored."""
 
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
-            texts, seen = batch.column(0).to_pylist(), set()
+            texts = batch.column(0).to_pylist()
             for first, end in runs(texts):
                 digests, offsets = shingle_sets(texts[first:end])
                 names = _names(digests, offsets)[0]
@@ -240,8 +243,9 @@ def _looked_up(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
-            texts, seen = batch.column(0).to_pylist(), set()
+            texts = batch.column(0).to_pylist()
             for first, end in runs(texts):
                 digests, offsets = shingle_sets(texts[first:end])
                 names = _names(digests, offsets)[0]

@@ -142,10 +142,11 @@ def centroids(picked: list[tuple[str, list[int], list[float]]], idf: np.ndarray)
 
 def judged(docs: DataFrame, model: Model, columns: list[str], names: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
     """The given columns of docs (text among them or not), then language, cosine and rejection under the given names."""
+    place = columns.index("text") if "text" in columns else len(columns)
     shape = docs.select(*columns, F.lit("").alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(False).alias(names[2])).schema
 
     def work(rows: pa.Table) -> pa.Table:
-        texts = rows[rows.num_columns - 1].to_pylist()
+        texts = rows[place].to_pylist()
         lang, score, out = [], [], []
         for k in range(0, len(texts), ROWS):
             part = texts[k : k + ROWS]
@@ -158,11 +159,10 @@ def judged(docs: DataFrame, model: Model, columns: list[str], names: tuple[str,
                     lang.append(UNDETERMINED), score.append(0.0), out.append(True)
                 else:
                     lang.append(model.languages[best[j]]), score.append(float(top[j])), out.append(bool(top[j] < model.limits[best[j]]))
-        arrays = [*rows.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(out, pa.bool_())]
+        arrays = [*rows.columns[: len(columns)], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(out, pa.bool_())]
         return pa.Table.from_arrays(arrays, names=[f.name for f in shape.fields])
 
-    read = docs.select(*columns, F.col("text").alias("__text"))
-    return by_text(read, ["*"], shape, work)
+    return by_text(docs, columns if "text" in columns else [*columns, "text"], shape, work)
 
 
 def predicted(docs: DataFrame, held_out: int = 2, folds: int = 4) -> DataFrame:
