@@ -144,7 +144,8 @@ def _keys(digests: np.ndarray, offsets: np.ndarray, names: np.ndarray, large: in
             gone = np.array(list(combinations(range(int(n[k])), m)), np.int64)
             sums = total[k] - values[gone].sum(axis=1, dtype=np.uint64) if m else total[k : k + 1]
             yield mixed(sums, 1000 + int(n[k]) - m).view(np.int64), np.full(len(sums), names[k]), np.full(len(sums), n[k]), int(n[k]) - m
-    edges = edges_of_classes(int(n.max(initial=0)))
+    # Up to the class above the largest set's own: partners there may be in other runs.
+    edges = edges_of_classes(int(n.max(initial=0)) * 100 // PERCENT)
     for j, (low, high) in enumerate(zip(edges, edges[1:])):
         # Sets of the class, and smaller ones that a set of the class may link with.
         here = np.flatnonzero((n < high) & (n >= max(LEAST, ceil(low * PERCENT / 100))) & (n >= ceil(large * PERCENT / 100)))

@@ -93,6 +93,42 @@ def test_either_side_of_the_boundary_finds_all(docs, large):
     assert len({next(iter(v)) for v in together.values()}) == len(together)
 
 
+def across_edges(r: random.Random) -> list[str]:
+    """Linked pairs of texts whose sizes lie on both sides of each class edge, near it and as far apart as links allow."""
+    texts = []
+    for edge in jaccard_join.edges_of_classes(150)[1:]:
+        for n, m in {(edge - 1, edge), (-(-edge * 9 // 10), edge), (edge - 1, (edge - 1) * 10 // 9)}:
+            if n < edge <= m:
+                words = [f"w{r.randrange(10**9)}" for _ in range(m + 2)]
+                texts += [" ".join(words[: n + 2]), " ".join(words)]
+    return texts
+
+
+def test_sets_alone_in_their_runs_share_lists():
+    texts = across_edges(random.Random(4))
+    for a, b in zip(texts[::2], texts[1::2]):
+        keys = []
+        for text in (a, b):
+            digests, offsets = jaccard_join.shingle_sets([text])
+            keys.append({int(s) for sig, *_ in jaccard_join._keys(digests, offsets, np.zeros(1, np.int64), 9) for s in sig})
+        assert len(keys[0] & keys[1]) >= 2
+
+
+@pytest.mark.parametrize("large", [None, 9])
+def test_pairs_across_class_edges_link_from_partitions_of_their_own(spark, large):
+    texts = across_edges(random.Random(5))
+    rows = spark.sparkContext.parallelize(list(enumerate(texts)), len(texts))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    if large:
+        names = {r["doc_id"]: r["set"] for r in jaccard_join.sets(frame).collect()}
+        root = {r["node"]: r["root"] for r in components(jaccard_join.links(frame, large)).collect()}
+        got = {k: root.get(names[k], names[k]) for k in names}
+    else:
+        got = {r["doc_id"]: r["component_id"] for r in jaccard_join.joined(frame).collect()}
+    assert len(set(got.values())) == len(texts) // 2
+    assert all(got[k] == got[k + 1] for k in range(0, len(texts), 2))
+
+
 def test_blocks_suffice():
     for n in range(9, 400):
         for m in range(n, int(n / 0.9) + 1):
