@@ -6,11 +6,11 @@ Krichevsky-Trofimov estimator gives them. Its weighted probability is half that
 children's, so all depths up to DEPTH are mixed by how well they have described the corpus. Scoring keeps the
 trees as they were learned: the chance of the next bit is the same mixture of estimates along the path of its context.
 
-Counts of byte DEPTH-grams are summed over all training texts. Contexts that make up less than one in
-CONTEXTS of the corpus have no node of their own: those of one node share a single child, "rest". The counts tell which contexts
-of DEPTH bytes have one; a second pass counts the bytes that follow those. There are at most CONTEXTS nodes of each depth
-whatever the corpus, so the table of log probabilities, a row of 256 for each of them, has at most DEPTH * CONTEXTS + 1 rows
-(335 MB for the values here if all depths were full; a tenth of that is usual), as has the table of children. Both are broadcast.
+Grams of DEPTH bytes and the next are counted over all training texts. A context that occurs LEAST times has a node, however large
+the corpus; the others of one node share a single child, "rest". So the tree grows with the corpus, and it isn't gathered anywhere:
+grams are dealt by the nearest TOP + 1 bytes of their context, whose subtrees are built on the executors, as far as the decisions
+that were met. Only depths up to TOP, at most 65,793 contexts of the alphabet, are put together on the driver and broadcast. The
+log probabilities of all grams of all texts are a stored table; each run of about RUN characters of text joins its distinct grams with it.
 
 A text begins after DEPTH marks and ends with one; the mark is the byte 0xFF, which UTF-8 never has. The score is the base-10 logarithm
 of the probability of all bytes and the end mark.
@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +39,11 @@ from .base import mapped, share_of, stored
 from .text_arrays import chunks, words
 
 DEPTH = 5
-#: A context has a node of its own if it makes up one in CONTEXTS of the corpus, a word is heavy from one in HEAVY on.
-CONTEXTS, HEAVY = 1 << 16, 1 << 20
+#: A context has a node of its own if it occurs LEAST times or, if CONTEXTS is set, makes up one in CONTEXTS of the corpus; a
+#: word is heavy from one in HEAVY on.
+LEAST, CONTEXTS, HEAVY = 2, None, 1 << 20
+#: Depth to which the tree is in all workers, distinct grams that a task works on at a time, characters of a run of texts.
+TOP, BLOCK, RUN = 2, 100_000, 1 << 22
 MARK = 0xFF
 #: Bytes of text in the arrays of a task, distinct grams that it holds before they are passed on.
 CHUNK, HELD = 1 << 21, 3_000_000
@@ -82,8 +86,9 @@ def grams(texts: list[bytes], depth: int) -> np.ndarray:
     return code[np.cumsum(inside[:-1], dtype=np.int8)[DEPTH:] > 0]
 
 
-def _summed(docs: DataFrame, count: Callable[[list[bytes]], dict[bool, tuple[np.ndarray, np.ndarray]]], label: str) -> DataFrame:
-    """word (boolean), key and n: how often each key that count gives for docs(text) occurs, stored."""
+def corpus_counts(docs: DataFrame) -> DataFrame:
+    """word (boolean), key and n: how often each word and each gram of a byte and the DEPTH bytes before it occurs in the
+    rows of docs(text, train) that are to be learned from, stored. Grams of the others are there as well, with 0 at least."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bool, list] = {False: [], True: []}
@@ -97,47 +102,34 @@ def _summed(docs: DataFrame, count: Callable[[list[bytes]], dict[bool, tuple[np.
                     yield pa.record_batch([pa.array(np.full(len(keys[part]), word)), pa.array(keys[part]), pa.array(n[part].astype(np.int64))], ["word", "key", "n"])
 
         for batch in batches:
-            for some in chunks(batch.column(0).to_pylist(), CHUNK):
-                for word, (keys, n) in count(some).items():
-                    parts = held[word]
-                    parts.append((keys, n))
-                    if len(parts) > 4 and sum(len(p[0]) for p in parts) > 2 * len(parts[0][0]):
-                        held[word] = [_merged(parts)]
-                    if sum(len(p[0]) for p in held[word]) > HELD:
-                        yield from out(word)
+            for train in (True, False):
+                for some in chunks(batch.column(0).filter(pc.equal(batch.column(1), train)).to_pylist(), CHUNK):
+                    keys, n = _counted(grams(some, DEPTH))
+                    new = {False: (keys, n if train else np.zeros_like(n))}
+                    if train:
+                        new[True] = _counted(np.concatenate([words(some)[0].view(np.int64), np.full(len(some), END)]))
+                    for word, pair in new.items():
+                        parts = held[word]
+                        parts.append(pair)
+                        if len(parts) > 4 and sum(len(p[0]) for p in parts) > 2 * len(parts[0][0]):
+                            held[word] = [_merged(parts)]
+                        if sum(len(p[0]) for p in held[word]) > HELD:
+                            yield from out(word)
         yield from out(False)
         yield from out(True)
 
-    found = mapped(docs.select("text"), run, "word boolean, key long, n long")
-    return stored(found.groupBy("word", "key").agg(F.sum("n").alias("n")), label)
-
-
-def corpus_counts(docs: DataFrame) -> DataFrame:
-    """How often each word and each gram of a byte and the DEPTH - 1 bytes before it occurs."""
-
-    def count(some: list[bytes]) -> dict[bool, tuple[np.ndarray, np.ndarray]]:
-        found = np.concatenate([words(some)[0].view(np.int64), np.full(len(some), END)])
-        return {False: _counted(grams(some, DEPTH - 1)), True: _counted(found)}
-
-    return _summed(docs, count, "text-counts")
-
-
-def deepest_counts(docs: DataFrame, contexts: np.ndarray) -> DataFrame:
-    """How often each byte follows the given contexts of DEPTH bytes (sorted codes)."""
-
-    def count(some: list[bytes]) -> dict[bool, tuple[np.ndarray, np.ndarray]]:
-        keys, n = _counted(grams(some, DEPTH))
-        at = np.minimum(np.searchsorted(contexts, keys >> 8), len(contexts) - 1)
-        own = contexts[at] == keys >> 8
-        return {False: (keys[own], n[own])}
-
-    return _summed(docs, count, "deepest-counts")
+    found = mapped(docs.select("text", "train"), run, "word boolean, key long, n long")
+    return stored(found.groupBy("word", "key").agg(F.sum("n").alias("n")), "text-counts")
 
 
 @dataclass
-class Tree:
-    logs: np.ndarray  # node x byte: log10 of the chance of the byte where the node is the deepest of its context
-    child: np.ndarray  # node x byte further back: the deeper node, or -1
+class Level:
+    """The contexts of a depth that have a node, and the decisions met there: context << 8 | decision, sorted."""
+
+    kept: np.ndarray
+    ids: np.ndarray
+    counts: np.ndarray  # zeros and ones, and those of contexts below without a node
+    stop: np.ndarray | None  # the share of this depth's own estimate
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -149,16 +141,6 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - shift
 
 
-def _bits(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Zeros and ones at the 255 decisions, from counts of 256 bytes."""
-    zeros, ones = [], []
-    for level in range(8):
-        pair = counts.reshape(len(counts), 1 << level, 2, -1).sum(axis=3)
-        zeros.append(pair[:, :, 0])
-        ones.append(pair[:, :, 1])
-    return np.concatenate(zeros, axis=1), np.concatenate(ones, axis=1)
-
-
 def _kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """ln of the estimator's probability of the counts."""
     return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1) - np.log(np.pi)
@@ -168,155 +150,238 @@ def _one(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return (ones + 0.5) / (zeros + ones + 1)
 
 
-def _byte_logs(one: np.ndarray) -> np.ndarray:
-    """log10 chances of the 256 bytes from those of a one at the 255 decisions."""
-    yes, no = np.log10(one), np.log10(1 - one)
-    out = np.zeros((len(one), 1))
-    at = 0
-    for level in range(8):
-        width = 1 << level
-        out = np.stack([out + no[:, at : at + width], out + yes[:, at : at + width]], axis=2).reshape(len(one), 2 * width)
-        at += width
-    return out
-
-
-def weighted(levels: list[tuple[np.ndarray, np.ndarray]]) -> Tree:
-    """The tree of contexts and byte counts of each depth: sorted codes, and a row of 256 counts for each."""
-    codes = [c for c, _ in levels]
-    parent = [np.zeros(0, np.int64)] + [np.searchsorted(codes[d - 1], codes[d] & ((1 << (8 * (d - 1))) - 1)) for d in range(1, len(levels))]
-    rest: list[np.ndarray | None] = []
-    stop: list[np.ndarray | None] = []
-    below = None  # ln weighted probabilities of the next depth
-    for d in range(len(levels) - 1, -1, -1):
-        zeros, ones = _bits(levels[d][1].astype(np.float64))
-        own = _kt(zeros, ones)
-        if d == len(levels) - 1:
-            rest.insert(0, None), stop.insert(0, None)
-            below = own
-            continue
-        others = levels[d][1].astype(np.float64)
-        np.subtract.at(others, parent[d + 1], levels[d + 1][1])
-        other = _bits(others)
-        split = _kt(*other)
-        np.add.at(split, parent[d + 1], below)
-        below = np.logaddexp(own, split) + np.log(0.5)
-        rest.insert(0, _one(*other).astype(np.float32))
-        stop.insert(0, np.exp(own + np.log(0.5) - below).astype(np.float32))
-    logs, children = [], []
-    base, sum_, left = 0, np.zeros((len(codes[0]), 255), np.float32), np.ones((len(codes[0]), 255), np.float32)
-    for d, (code, counts) in enumerate(levels):
-        one = _one(*_bits(counts.astype(np.float64)))
-        child = np.full((len(code), 256), -1, np.int32)
-        if stop[d] is None:
-            logs.append(_byte_logs(sum_ + left * one).astype(np.float32))
-        else:
-            logs.append(_byte_logs(sum_ + left * (stop[d] * one + (1 - stop[d]) * rest[d])).astype(np.float32))
-            child[parent[d + 1], codes[d + 1] >> (8 * d)] = base + len(code) + np.arange(len(codes[d + 1]))
-            sum_, left = (sum_ + left * stop[d] * one)[parent[d + 1]].astype(np.float32), (left * (1 - stop[d]))[parent[d + 1]]
-        children.append(child)
-        base += len(code)
-    return Tree(np.concatenate(logs), np.concatenate(children))
-
-
-def _level(grams_: DataFrame, depth: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts of depth bytes that occur least times or more, and the counts of the bytes after them."""
-    low = F.shiftright("key", 8).bitwiseAND(F.lit((1 << (8 * depth)) - 1))
-    by_byte = grams_.groupBy(low.alias("context"), F.col("key").bitwiseAND(F.lit(255)).alias("byte")).agg(F.sum("n").alias("n"))
-    rows = by_byte.groupBy("context").agg(F.sum("n").alias("all"), F.collect_list(F.struct("byte", "n")).alias("bytes")).filter(F.col("all") >= least)
-    flat = rows.select("context", F.inline("bytes")).toArrow()
-    context, byte, n = (flat[c].to_numpy() for c in ("context", "byte", "n"))
-    codes, at = np.unique(context, return_inverse=True)
-    table = np.zeros((len(codes), 256))
-    table[at, byte] = n
-    return codes, table
-
-
-def learned(docs: DataFrame, counts: DataFrame) -> Tree:
-    """The tree of docs(text) and their corpus_counts(); nodes are picked on the executors, at most CONTEXTS of a depth."""
+def _context(depth: int) -> int:
+    return (1 << (8 * depth)) - 1
+
+
+def _decisions(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the decisions of the grams, and zeros and ones there."""
+    ids, bits = _asked(keys)
+    ids, at = np.unique(ids.reshape(-1), return_inverse=True)
+    n = np.repeat(n.astype(np.float64), 8)
+    counts = _summed(at, np.stack([n, n * bits.reshape(-1)], axis=1), len(ids))
+    return ids, np.stack([counts[:, 0] - counts[:, 1], counts[:, 1]], axis=1)
+
+
+def _asked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The eight decisions of each gram: ids and bits."""
+    level = np.arange(8)
+    byte = (keys & 255)[:, None]
+    return keys[:, None] >> 8 << 8 | (1 << level) + (byte >> (8 - level)), byte >> (7 - level) & 1
+
+
+def _summed(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    return np.stack([np.bincount(at, v, size).astype(np.float64) for v in values.T], axis=1)
+
+
+def _up(ids: np.ndarray, columns: np.ndarray, depth: int, least: float) -> tuple[Level, np.ndarray, np.ndarray]:
+    """The level of a depth, and ids and columns of the one above.
+
+    Columns are zeros, ones, those of the nodes below, and the sum of the ln weighted probabilities of these.
+    """
+    counts, below, split = columns[:, :2], columns[:, 2:4], columns[:, 4]
+    own = _kt(*counts.T)
+    rest = counts - below
+    if depth == DEPTH:
+        stop, both = None, own
+    else:
+        both = np.logaddexp(own, split + _kt(*rest.T)) + np.log(0.5)
+        stop = np.exp(own + np.log(0.5) - both)
+    root = ids & 255 == 1
+    kept = ids[root][counts[root].sum(axis=1) >= least] >> 8 if depth else np.zeros(1, np.int64)
+    node = np.isin(ids >> 8, kept)
+    above, at = np.unique((ids >> 8 & _context(max(0, depth - 1))) << 8 | ids & 255, return_inverse=True)
+    passed = np.column_stack([counts, counts * node[:, None], both * node])
+    return Level(kept, ids, np.column_stack([counts, rest]), stop), above, _summed(at, passed, len(above))
+
+
+def _deep(keys: np.ndarray, n: np.ndarray, least: float) -> tuple[list[Level], np.ndarray, np.ndarray]:
+    """Levels of the depths beyond TOP, and ids and columns of depth TOP, from all grams of some contexts of TOP + 1 bytes."""
+    seen = n > 0
+    ids, counts = _decisions(keys[seen], n[seen])
+    columns = np.column_stack([counts, np.zeros((len(ids), 3))])
+    levels = []
+    for depth in range(DEPTH, TOP, -1):
+        level, ids, columns = _up(ids, columns, depth, least)
+        levels.insert(0, level)
+    return levels, ids, columns
+
+
+def _gram_logs(keys: np.ndarray, levels: list[Level]) -> np.ndarray:
+    """log10 of the chance of each gram's byte after its context."""
+    ids, bits = _asked(keys)
+    ids, bits = ids.reshape(-1), bits.reshape(-1)
+    sum_, left, on = np.zeros(len(ids)), np.ones(len(ids)), np.arange(len(ids))
+    for depth, level in enumerate(levels):
+        own = (ids[on] >> 8 & _context(depth)) << 8 | ids[on] & 255
+        at = np.minimum(np.searchsorted(level.ids, own), max(0, len(level.ids) - 1))
+        met = level.ids[at] == own if len(level.ids) else np.zeros(len(own), bool)
+        counts = np.zeros((len(own), 4))
+        counts[met] = level.counts[at[met]]
+        one = _one(counts[:, 0], counts[:, 1])
+        if level.stop is None:
+            sum_[on] += left[on] * one
+            break
+        stop = np.full(len(own), 0.5)
+        stop[met] = level.stop[at[met]]
+        sum_[on] += left[on] * stop * one
+        left[on] *= 1 - stop
+        deeper = np.isin(ids[on] >> 8 & _context(depth + 1), levels[depth + 1].kept)
+        sum_[on[~deeper]] += left[on[~deeper]] * _one(counts[~deeper, 2], counts[~deeper, 3])
+        on = on[deeper]
+    return np.log10(np.where(bits == 1, sum_, 1 - sum_)).reshape(-1, 8).sum(axis=1)
+
+
+def _by_subtree(counts: DataFrame, work: Callable[[np.ndarray, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
+    """work on keys and n of counts, all of a context of TOP + 1 bytes at once; distinct grams of one are bounded by the alphabet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for batch in batches:
+            parts.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            size += batch.num_rows
+            if size > BLOCK:
+                keys, n = (np.concatenate(c) for c in zip(*parts))
+                of = keys >> 8 & _context(TOP + 1)
+                end = int(np.searchsorted(of, of[-1]))
+                if end:
+                    yield work(keys[:end], n[:end])
+                # A subtree of more than that is held until it ends, and looked at again after another BLOCK.
+                parts, size = [(keys[end:], n[end:])], (len(keys) - end if end else 0)
+        if parts:
+            yield work(*(np.concatenate(c) for c in zip(*parts)))
+
+    subtree = F.shiftright("key", 8).bitwiseAND(F.lit(_context(TOP + 1)))
+    return mapped(counts.select("key", "n").repartition(subtree).sortWithinPartitions(subtree), run, schema)
+
+
+def gram_logs(counts: DataFrame) -> DataFrame:
+    """key and log: log10 of the chance of each gram of corpus_counts(), by the tree of these counts, stored."""
     counts = counts.filter("NOT word")
-    byte = F.col("key").bitwiseAND(F.lit(255))
-    totals = counts.agg(F.sum("n").alias("all"), F.sum(F.when(byte == MARK, F.col("n"))).alias("texts")).first()
-    if not totals["all"]:
-        return weighted([(np.zeros(1, np.int64), np.zeros((1, 256)))])
-    least = totals["all"] / CONTEXTS
-    levels = [_level(counts, d, least) for d in range(DEPTH)]
-    # What ends in a byte is the context of the next one; each text begins after marks alone.
-    contexts = counts.filter((byte != MARK) & (F.col("n") >= least)).select("key").toArrow()["key"].to_numpy()
-    if totals["texts"] >= least:
-        contexts = np.append(contexts, (1 << (8 * DEPTH)) - 1)
-    if len(contexts):
-        levels.append(_level(deepest_counts(docs, np.sort(contexts)), DEPTH, 0))
-    return weighted(levels)
-
-
-def byte_scores(texts: list[bytes], tree: Tree) -> np.ndarray:
-    """log10 of each text's probability."""
-    data, start, stop = _stream(texts)
-    here = data[DEPTH:]
-    node = np.zeros(len(here), np.int32)
-    at = np.arange(len(here))
-    flat = tree.child.reshape(-1)
-    for d in range(1, DEPTH + 1):
-        deeper = flat[node[at] * np.int64(256) + data[at + (DEPTH - d)]]
-        on = deeper >= 0
-        if not on.all():
-            at, deeper = at[on], deeper[on]
-        node[at] = deeper
-    logs = tree.logs.reshape(-1)[node * np.int64(256) + here].astype(np.float64)
-    sums = np.concatenate([[0.0], np.cumsum(logs)])
-    return sums[stop - DEPTH] - sums[start - DEPTH]
+    least = LEAST if CONTEXTS is None else (counts.agg(F.sum("n")).first()[0] or 0) / CONTEXTS
+    names = ["id", "c0", "c1", "c2", "c3", "c4"]
+
+    def upper(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        _, ids, columns = _deep(keys, n, least)
+        return pa.record_batch([pa.array(ids), *(pa.array(c) for c in columns.T.copy())], names)
+
+    top = _by_subtree(counts, upper, "id long, " + ", ".join(f"{c} double" for c in names[1:]))
+    rows = top.groupBy("id").agg(*[F.sum(c).alias(c) for c in names[1:]]).toArrow().sort_by("id")
+    ids, columns = rows["id"].to_numpy(), np.column_stack([rows[c].to_numpy() for c in names[1:]])
+    levels: list[Level] = []
+    for depth in range(TOP, -1, -1):
+        level, ids, columns = _up(ids, columns, depth, least)
+        levels.insert(0, level)
+    shared = counts.sparkSession.sparkContext.broadcast(levels)
+
+    def logs(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        deep, _, _ = _deep(keys, n, least)
+        return pa.record_batch([pa.array(keys), pa.array(_gram_logs(keys, [*shared.value, *deep]))], ["key", "log"])
+
+    return stored(_by_subtree(counts, logs, "key long, log double"), "gram-logs")
+
+
+def text_runs(docs: DataFrame) -> DataFrame:
+    """docs(doc_id, text, held_out) with run, the same for neighbours of about RUN characters, and row, a number of its own; stored."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
+        name, weight = row, 0
+        for batch in batches:
+            names = []
+            for size in pc.fill_null(pc.utf8_length(batch.column(1)), 0).to_pylist():
+                if weight > RUN:
+                    name, weight = name + 1, 0
+                names.append(name)
+                weight += size + 1
+            yield pa.record_batch([pa.array(names, pa.int64()), pa.array(row + np.arange(len(names))), *batch.columns], ["run", "row", "doc_id", "text", "held_out"])
+            row += len(names)
+
+    return stored(mapped(docs.select(F.col("doc_id").cast("long"), "text", "held_out"), run, "run long, row long, doc_id long, text string, held_out boolean"), "text-runs")
+
+
+def run_grams(texts: DataFrame) -> DataFrame:
+    """run and key of the grams of text_runs(), each once a run and task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, found = None, np.zeros(0, np.int64)
+        for batch in batches:
+            names = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(names)) + 1).tolist(), len(names)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a < b and names[a] != now:
+                    if now is not None:
+                        yield pa.record_batch([pa.array(np.full(len(found), now)), pa.array(found)], ["run", "key"])
+                    now, found = names[a], np.zeros(0, np.int64)
+                for some in chunks(batch.column(1).slice(a, b - a).to_pylist(), CHUNK):
+                    found = np.union1d(found, grams(some, DEPTH))
+        if now is not None:
+            yield pa.record_batch([pa.array(np.full(len(found), now)), pa.array(found)], ["run", "key"])
+
+    return mapped(texts.select("run", "text"), run, "run long, key long")
+
+
+def byte_scores(texts: list[bytes], keys: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """log10 of each text's probability, from the logs of its grams (sorted keys)."""
+    sums = np.concatenate([[0.0], np.cumsum(logs[np.searchsorted(keys, grams(texts, DEPTH))])])
+    ends = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return sums[ends[1:]] - sums[ends[:-1]]
 
 
 def scored(docs: DataFrame, held_out: int = 1, folds: int = 5) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bytes of every document."""
     fold = share_of(F.col("doc_id"), folds)
-    training = docs.filter(fold != held_out)
-    counts = corpus_counts(training)
-    tree = learned(training, counts)
+    counts = corpus_counts(docs.select("text", (fold != held_out).alias("train")))
+    gram_logs_ = gram_logs(counts)
+    texts = text_runs(docs.select("doc_id", "text", (fold == held_out).alias("held_out")))
     word_counts = counts.filter("word")
     sums = word_counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     n, v = sums["n"] or 0, sums["v"]
     heavy = word_counts.filter(F.col("n") * HEAVY >= n).select("key", "n").toArrow()
     order = np.argsort(heavy["key"].to_numpy())
     keys, heavy_n = heavy["key"].to_numpy()[order], heavy["n"].to_numpy()[order]
-    shared = docs.sparkSession.sparkContext.broadcast((tree, keys, np.log10(heavy_n + 0.5)))
+    shared = docs.sparkSession.sparkContext.broadcast((keys, np.log10(heavy_n + 0.5)))
     norm = float(np.log10(n + 0.5 * (v + 1)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, keys, logs = shared.value
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            done = 0
-            for some in chunks(batch.column(1).to_pylist(), CHUNK):
-                found, first = words(some)
-                found, first = found.view(np.int64), first[: len(some) + 1]
-                # The end is a token of each text; it is heavy if there is a training text at all.
-                ends = np.searchsorted(keys, END)
-                end = ends < len(keys) and keys[ends] == END
-                at = np.minimum(np.searchsorted(keys, found), max(0, len(keys) - 1))
-                known = keys[at] == found if len(keys) else np.zeros(len(found), bool)
-                part = np.concatenate([[0.0], np.cumsum(np.where(known, logs[at], 0.0))]) if len(keys) else np.zeros(len(found) + 1)
-                sure = np.concatenate([[0], np.cumsum(known)])
-                size = np.diff(first)
-                rare = found[~known]
-                places = (first - sure[first]).astype(np.int32)
-                one = {
-                    "row": pa.array(row + np.arange(len(some))),
-                    "doc_id": batch.column(0).slice(done, len(some)),
-                    "held_out": batch.column(2).slice(done, len(some)),
-                    "n_tokens": pa.array(size + 1),
-                    "known": pa.array(np.diff(sure[first]) + int(end)),
-                    "part": pa.array(np.diff(part[first]) + (logs[ends] if end else 0.0)),
-                    "ends": pa.array(np.full(len(some), 0 if end else 1)),
-                    "score": pa.array(byte_scores(some, tree)),
-                    "bytes": pa.array(np.array([len(t) for t in some], np.int64)),
-                    "rare": pa.ListArray.from_arrays(pa.array(places), pa.array(rare)),
-                }
-                yield pa.RecordBatch.from_pydict(one)
-                row, done = row + len(some), done + len(some)
+    def run(rows: pa.Table, chances: pa.Table) -> pa.Table:
+        keys, logs = shared.value
+        own, at = np.unique(chances["key"].to_numpy(), return_index=True)
+        chance = chances["log"].to_numpy()[at]
+        out = []
+        done = 0
+        for some in chunks(rows["text"].to_pylist(), CHUNK):
+            found, first = words(some)
+            found, first = found.view(np.int64), first[: len(some) + 1]
+            # The end is a token of each text; it is heavy if there is a training text at all.
+            ends = np.searchsorted(keys, END)
+            end = ends < len(keys) and keys[ends] == END
+            at = np.minimum(np.searchsorted(keys, found), max(0, len(keys) - 1))
+            known = keys[at] == found if len(keys) else np.zeros(len(found), bool)
+            part = np.concatenate([[0.0], np.cumsum(np.where(known, logs[at], 0.0))]) if len(keys) else np.zeros(len(found) + 1)
+            sure = np.concatenate([[0], np.cumsum(known)])
+            size = np.diff(first)
+            rare = found[~known]
+            places = (first - sure[first]).astype(np.int32)
+            one = {
+                "row": rows["row"].slice(done, len(some)),
+                "doc_id": rows["doc_id"].slice(done, len(some)),
+                "held_out": rows["held_out"].slice(done, len(some)),
+                "n_tokens": pa.array(size + 1),
+                "known": pa.array(np.diff(sure[first]) + int(end)),
+                "part": pa.array(np.diff(part[first]) + (logs[ends] if end else 0.0)),
+                "ends": pa.array(np.full(len(some), 0 if end else 1)),
+                "score": pa.array(byte_scores(some, own, chance)),
+                "bytes": pa.array(np.array([len(t) for t in some], np.int64)),
+                "rare": pa.ListArray.from_arrays(pa.array(places), pa.array(rare)),
+            }
+            out.append(pa.table(one))
+            done += len(some)
+        return pa.concat_tables(out)
 
     shape = "row long, doc_id long, held_out boolean, n_tokens long, known long, part double, ends long, score double, bytes long, rare array<long>"
-    rows = stored(mapped(docs.select("doc_id", "text", (fold == held_out).alias("held_out")), run, shape), "text-scores")
+    chances = run_grams(texts).join(gram_logs_, "key").select("run", "key", "log")
+    rows = stored(texts.groupBy("run").cogroup(chances.groupBy("run")).applyInArrow(run, shape), "text-scores")
     rare = rows.select("row", F.explode("rare").alias("key")).join(word_counts.select("key", "n"), "key", "left")
     rare = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"), F.count("n").alias("found"))
     out = rows.drop("rare").join(rare, "row", "left")

@@ -214,6 +214,19 @@ def test_scores_are_the_trees(docs, monkeypatch, contexts):
     assert sum(naive.byte(history, b) for b in range(256)) == pytest.approx(1)
 
 
+def test_rare_contexts_have_nodes_in_a_large_corpus(docs):
+    texts = ["abra cad " * 4000] * 30 + ["xylophone quiz"] * 8 + ["quiz xylophone"]
+    rows = {x["doc_id"]: x["score"] for x in context_tree.scored(docs(texts)).collect()}
+    held = [zlib.crc32(str(k).encode()) % 5 == 1 for k in range(len(texts))]
+    training = [t.encode() for t, h in zip(texts, held) if not h]
+    total = sum(len(t) + 1 for t in training)
+    rare = sum(t.count(b"xylophone") for t in training)
+    assert 2 <= rare < total / (1 << 16)
+    naive = Naive(training, total / 2)
+    for k in (30, len(texts) - 1):
+        assert rows[k] == pytest.approx(naive.score(texts[k].encode()), rel=1e-4)
+
+
 def test_scores_at_the_edges(edges, docs):
     rows = context_tree.scored(edges).collect()
     assert len(rows) == len(EDGES) and all(math.isfinite(r["score"]) for r in rows)
