@@ -236,6 +236,7 @@ def features(nodes: list[Node]) -> list[list[float]]:
     """A row for each of the nodes of one page, as flat() gives them."""
     total = max(1, nodes[0].words)
     above: dict[int, tuple[int, int]] = {}
+    places = {id(child): k for node in nodes for k, child in enumerate(node.children)}
     rows = []
     for node in nodes:
         parent = node.parent
@@ -244,7 +245,7 @@ def features(nodes: list[Node]) -> list[list[float]]:
         siblings = parent.children if parent else [node]
         n, words = len(siblings), node.words
         others = (parent.words - words) / max(1, n - 1) if parent else 0.0
-        place = siblings.index(node) if n <= 200 else 100
+        place = places.get(id(node), 0)
         row = [
             0.0 if node.tag else 1.0,
             log1p(words),

@@ -136,3 +136,12 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
 def test_parts_inside_the_article_go(forest, inside):
     page = f"<body><nav><ul><li><a href=/>Home</a></li></ul></nav><article>{STORY}{inside}</article><footer>&copy; x</footer></body>"
     assert extract(forest, page) == TEXT
+
+
+def test_places_among_many_siblings_are_their_own():
+    nodes = flat(parse("<html><body>" + "".join(f"<p>block {k} here</p>" for k in range(300)) + "</body></html>"))
+    parent = max(nodes, key=lambda node: len(node.children))
+    assert len(parent.children) >= 300
+    rows = {id(node): row for node, row in zip(nodes, features(nodes))}
+    last = len(parent.children) - 1
+    assert [rows[id(child)][8] for child in parent.children] == pytest.approx([k / last for k in range(last + 1)])
