@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, context_tree, jaccard_join, language_id, license_scan, main_text, mixing, token_counts, topk_search, vector_dedup
+from . import bit_planes, bpe_automaton, collocations, context_tree, jaccard_join, language_id, license_scan, main_text, mixing, target_resampling, token_counts, topk_search, vector_dedup
 from .base import table
 
 
@@ -51,6 +51,18 @@ def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extracted(table(spark, sf_dir, "pages"))
 
 
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_planes.written(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(table(spark, sf_dir, "documents"))
+
+
+def like_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": licences,
@@ -63,8 +75,11 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": languages,
         "op9_token_counts": tokens,
         "op10_main_text": main_texts,
+        "op11_bit_planes": token_files,
+        "op12_collocations": phrases,
+        "op13_target_resampling": like_benchmark,
     }
 
 
 def statements() -> dict[str, str]:
-    return {"op3_topk_search": topk_search.SQL, "op4_vector_dedup": vector_dedup.SQL, "op6_source_mixing": mixing.SQL}
+    return {"op3_topk_search": topk_search.SQL, "op4_vector_dedup": vector_dedup.SQL, "op6_source_mixing": mixing.SQL, "op12_collocations": collocations.SQL}
