@@ -121,7 +121,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _framed(shard: int, encoded: Iterator[tuple[list, list, np.ndarray, np.ndarray]], kind: int) -> Iterator[pa.RecordBatch]:
+def _framed(shard: int, encoded: Iterator[tuple[list, list, np.ndarray, np.ndarray]], kind: int, block: int) -> Iterator[pa.RecordBatch]:
     """Frames of a shard, from (rows, doc_ids, ids, bounds) of its texts in order."""
     held: list[np.ndarray] = []
     pieces: list[dict] = []
@@ -146,11 +146,11 @@ def _framed(shard: int, encoded: Iterator[tuple[list, list, np.ndarray, np.ndarr
         for row, doc_id, a, b in zip(rows, doc_ids, bounds[:-1].tolist(), bounds[1:].tolist()):
             at = a
             while at < b:
-                take = min(b - at, BLOCK - size)
+                take = min(b - at, block - size)
                 held.append(ids[at : at + take])
                 pieces.append({"row": row, "doc_id": doc_id, "first": size, "last": size + take, "begins": at == a, "ends": at + take == b})
                 at, size = at + take, size + take
-                if size == BLOCK:
+                if size == block:
                     cut()
                     if len(out) == FRAMES:
                         yield batch()
@@ -166,7 +166,7 @@ FRAME_ARROW = pa.schema(
 )
 
 
-def write(docs: DataFrame, tokenizer: str, kind: int = BYTES) -> DataFrame:
+def write(docs: DataFrame, tokenizer: str, kind: int = BYTES, block: int = BLOCK) -> DataFrame:
     """The frames of all documents, written to the shared folder; texts are dealt by ranges of doc_id, encoded and framed in one go."""
     named = docs.select(F.col("doc_id").cast("long"), "text").withColumn("row", F.monotonically_increasing_id())
     order = [F.asc_nulls_last("doc_id"), F.asc_nulls_first(F.xxhash64("text")), F.asc("row")]
@@ -182,7 +182,7 @@ def write(docs: DataFrame, tokenizer: str, kind: int = BYTES) -> DataFrame:
                     ids, bounds = library.ids([(t or "").encode("utf-8", "surrogatepass") for t in texts[a:b]])
                     yield rows[a:b], doc_ids[a:b], ids, bounds
 
-        yield from _framed(TaskContext.get().partitionId(), encoded(), kind)
+        yield from _framed(TaskContext.get().partitionId(), encoded(), kind, block)
 
     return stored(mapped(dealt, run, FRAME_SCHEMA), "token-frames")
 
@@ -242,6 +242,6 @@ def ids_of(frames: DataFrame, doc_ids: DataFrame) -> DataFrame:
     return mapped(some, run, "doc_id long, row long, start long, ids array<long>")
 
 
-def written(docs: DataFrame, tokenizer: str, kind: int = BYTES) -> DataFrame:
+def written(docs: DataFrame, tokenizer: str, kind: int = BYTES, block: int = BLOCK) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, written and read back."""
-    return read(write(docs, tokenizer, kind)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read(write(docs, tokenizer, kind, block)).select("doc_id", "start", "n_tokens", "ids_crc32")
