@@ -159,43 +159,51 @@ def batch_duplicates(log: DataFrame) -> DataFrame:
     )
 
 
-def reused_event_ids(log: DataFrame) -> DataFrame:
-    """Valid events whose event id was first used by another order.
+def event_keys(log: DataFrame) -> DataFrame:
+    """Each event id with each order that used it, and the first place it did."""
+    ids = valid_events(log).select("event_id", *VERSION_KEYS)
+    return ids.groupBy("event_id", "order_id").agg(F.min(version()).alias("place")).select("event_id", "order_id", "place.*")
+
+
+def reused_event_ids(own: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """Those of ``own`` (rows of ``event_keys``) whose event id another order used first, and that order.
 
-    Owners are looked up only for ids seen with more than one order, which a consistent
-    source never sends.
+    Owners are kept only for ids seen with more than one order, which a consistent source never sends.
     """
-    ids = valid_events(log).select("event_id", *VERSION_KEYS)
-    # Pairs first, then pairs per event id: two small hash aggregations, neither of which
-    # gathers the deliveries of one much repeated event.
-    shared = (
-        ids.select("event_id", "order_id")
-        .distinct()
-        .groupBy("event_id")
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > 1)
-        .select("event_id")
+    names = ["event_id", *VERSION_KEYS]
+    seen = own.select(*names)
+    if earlier is not None:
+        seen = earlier.join(own.select("event_id").distinct(), "event_id", "left_semi").select(*names).unionByName(seen)
+    owners = (
+        seen.groupBy("event_id")
+        .agg(F.min_by("order_id", version()).alias("owner"), F.min("order_id").alias("low"), F.max("order_id").alias("high"))
+        .where(F.col("low") != F.col("high"))
+        .select("event_id", "owner")
     )
-    suspects = ids.join(shared, "event_id", "left_semi")
-    owners = suspects.groupBy("event_id").agg(F.min_by("order_id", version()).alias("owner"))
-    return suspects.join(owners, "event_id").where(F.col("order_id") != F.col("owner"))
+    return own.join(owners, "event_id").where(F.col("order_id") != F.col("owner"))
 
 
 def settled(log: DataFrame, reused: DataFrame) -> DataFrame:
-    """The log with events of a reused id moved to quarantine, payload and all.
+    """The log with events of a reused id moved to quarantine, payload and all; every row is read once.
 
-    The outcome is a literal in each part, so that a filter on it still prunes the scan.
+    ``reused`` has (batch_id, event_id, order_id, owner). Rejected events pass by it, so that a filter on their outcome
+    still prunes the scan. To read valid events alone take ``settled_valid``.
     """
-    valid = valid_events(log)
+    keys = ["batch_id", "event_id", "order_id"]
+    hit = F.col("owner").isNotNull()
     moved = {
-        "outcome": F.lit(QUARANTINED),
-        "error_code": F.lit(DUPLICATE_EVENT_ID),
-        "rejection_reason": text(REASON_DUPLICATE_EVENT, F.col("event_id"), F.col("owner")),
+        "outcome": F.when(hit, QUARANTINED).otherwise(VALID),
+        "error_code": F.when(hit, DUPLICATE_EVENT_ID),
+        "rejection_reason": F.when(hit, text(REASON_DUPLICATE_EVENT, F.col("event_id"), F.col("owner"))),
     }
-    kept = valid.join(reused.select(*VERSION_KEYS), VERSION_KEYS, "left_anti").withColumn("outcome", F.lit(VALID))
-    hit = valid.join(reused.select(*VERSION_KEYS, "owner"), VERSION_KEYS).withColumns(moved).drop("owner")
+    passed = valid_events(log).join(reused.select(*keys, "owner"), keys, "left").withColumns(moved).select(*log.columns)
     other = log.where(F.col("outcome") == QUARANTINED).withColumn("outcome", F.lit(QUARANTINED))
-    return kept.unionByName(hit).unionByName(other).select(*log.columns)
+    return passed.unionByName(other).select(*log.columns)
+
+
+def settled_valid(log: DataFrame, reused: DataFrame) -> DataFrame:
+    """The valid events that ``settled`` leaves valid, from the folders of valid events alone."""
+    return valid_events(log).join(reused.select("batch_id", "event_id", "order_id"), ["batch_id", "event_id", "order_id"], "left_anti")
 
 
 def cascade_delete(children: DataFrame, removed_parents: DataFrame, key: str) -> DataFrame:

@@ -48,7 +48,7 @@ def no_events() -> dict[str, int]:
 
 
 def _metric_rows(
-    rows: DataFrame, stamp: Column, component: str, name: str, value: Column, unit: str, status: Column, details: Column, key: Column
+    rows: DataFrame, stamp: Column, component: str, name: str, value: Column, unit: str, status: Column, details: Column, key: Column, also: tuple[str, ...] = ()
 ) -> DataFrame:
     values = {
         "metric_id": surrogate_key(F.lit(name), key),
@@ -61,7 +61,7 @@ def _metric_rows(
         "details": details,
     }
     schema = TABLES["pipeline_health_metrics"]
-    return rows.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    return rows.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in schema.fields], *also)
 
 
 def batch_metrics(stats: DataFrame) -> DataFrame:
@@ -88,6 +88,7 @@ def batch_metrics(stats: DataFrame) -> DataFrame:
         F.lit("HEALTHY"),
         details,
         F.col("batch_id"),
+        ("batch_id",),
     )
 
 

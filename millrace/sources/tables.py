@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from millrace.model import TABLES
@@ -52,6 +53,12 @@ def catalog_columns(spark: SparkSession) -> DataFrame:
     )
 
 
+def clock_number(last: list[int] = [0]) -> int:  # noqa: B006
+    """Nanoseconds of the clock, never the same or less within this process."""
+    last[0] = max(last[0] + 1, time.time_ns())
+    return last[0]
+
+
 class BatchStore:
     """Append-only tables, one folder per attempt at a batch, made visible by a commit marker.
 
@@ -59,20 +66,25 @@ class BatchStore:
     the marker, written last, names the attempt that counts. Readers take the attempt of each
     batch's latest marker. So an attempt that fails half-way is never seen, a batch that is
     delivered twice counts once, and readers keep the old rows until the new attempt is whole.
+
+    A marker has a folder of its own too, and its number is the time it was written. So nothing
+    is read before a commit, and writers that commit at once neither wait for nor hide each other.
+    Of two attempts at one batch the later one counts; drivers on several machines need
+    clocks that agree better than the time between a batch and its replay.
     """
 
     MARKERS = "commits"
     MARKER_SCHEMA = T.StructType(
         [
-            T.StructField(BATCH, T.LongType()),
             T.StructField("commit_no", T.LongType()),
-            T.StructField(ATTEMPT, T.StringType()),
             T.StructField("committed_at", T.TimestampType()),
             T.StructField("rows", T.LongType()),
             T.StructField("source", T.StringType()),
             T.StructField("source_batch", T.LongType()),
+            T.StructField("details", T.StringType()),
         ]
     )
+    PLACE = [T.StructField(BATCH, T.LongType()), T.StructField(ATTEMPT, T.StringType())]
 
     def __init__(self, spark: SparkSession, root: str, schemas: Mapping[str, T.StructType]):
         self.spark = spark
@@ -93,43 +105,47 @@ class BatchStore:
         writer.parquet(f"{self._folder(table)}/{BATCH}={batch_id}/{ATTEMPT}={attempt}")
 
     def _markers(self) -> DataFrame:
-        return read_table(self.spark, self._folder(self.MARKERS), self.MARKER_SCHEMA)
+        schema = T.StructType([*self.MARKER_SCHEMA.fields, *self.PLACE])
+        return read_table(self.spark, self._folder(self.MARKERS), schema)
 
     def commit(
-        self, batch_id: int, attempt: str, committed_at, rows: int, source: str | None = None, source_batch: int | None = None
+        self,
+        batch_id: int,
+        attempt: str,
+        committed_at: Column,
+        rows: int,
+        source: str | None = None,
+        source_batch: int | None = None,
+        details: str | None = None,
     ) -> None:
-        last = self._markers().where(F.col(BATCH) == batch_id).agg(F.max("commit_no")).first()[0]
         values = {
-            BATCH: F.lit(batch_id),
-            "commit_no": F.lit((last or 0) + 1),
-            ATTEMPT: F.lit(attempt),
+            "commit_no": F.lit(clock_number()),
             "committed_at": committed_at,
             "rows": F.lit(rows),
             "source": F.lit(source),
             "source_batch": F.lit(source_batch),
+            "details": F.lit(details),
         }
         marker = self.spark.range(1).select(*[values[f.name].cast(f.dataType).alias(f.name) for f in self.MARKER_SCHEMA])
-        marker.coalesce(1).write.mode("append").parquet(self._folder(self.MARKERS))
+        self.write(self.MARKERS, marker.coalesce(1), batch_id, attempt)
 
     def committed(self) -> DataFrame:
-        """(batch_id, committed_at, rows, attempt, source, source_batch) of every finished batch."""
-        names = ["committed_at", "rows", ATTEMPT, "source", "source_batch"]
-        latest = self._markers().groupBy(BATCH).agg(F.max_by(F.struct(*names), "commit_no").alias("last"))
+        """(batch_id, committed_at, rows, attempt, source, source_batch, details) of every finished batch."""
+        names = ["committed_at", "rows", ATTEMPT, "source", "source_batch", "details"]
+        latest = self._markers().groupBy(BATCH).agg(F.max_by(F.struct(*names), F.struct("commit_no", ATTEMPT)).alias("last"))
         return latest.select(BATCH, "last.*")
 
     def first_batch_of(self, source: str) -> int:
         """The batch number of a source's batch 0: as before if it has committed any, else after all others."""
-        done = self.committed()
-        own = done.where(F.col("source") == source).agg(F.max(F.col(BATCH) - F.col("source_batch"))).first()[0]
-        if own is not None:
-            return own
-        last = done.agg(F.max(BATCH)).first()[0]
-        return max(0, last + 1) if last is not None else 0
+        own = F.when(F.col("source") == source, F.col(BATCH) - F.col("source_batch"))
+        found = self.committed().agg(F.max(own).alias("own"), F.max(BATCH).alias("last")).first()
+        if found["own"] is not None:
+            return found["own"]
+        return max(0, found["last"] + 1) if found["last"] is not None else 0
 
     def raw(self, table: str) -> DataFrame:
         """All rows of a table with their batch and attempt, finished or not."""
-        own = [*self.schemas[table].fields, T.StructField(BATCH, T.LongType()), T.StructField(ATTEMPT, T.StringType())]
-        return read_table(self.spark, self._folder(table), T.StructType(own))
+        return read_table(self.spark, self._folder(table), T.StructType([*self.schemas[table].fields, *self.PLACE]))
 
     def read(self, table: str) -> DataFrame:
         """Rows of finished batches; the semi-join prunes the folders that are scanned."""
@@ -137,7 +153,8 @@ class BatchStore:
 
     def batch(self, table: str, batch_id: int, attempt: str) -> DataFrame:
         """Rows just written by one attempt at a batch."""
-        return self.raw(table).where((F.col(BATCH) == batch_id) & (F.col(ATTEMPT) == attempt)).drop(ATTEMPT)
+        path = f"{self._folder(table)}/{BATCH}={batch_id}/{ATTEMPT}={attempt}"
+        return read_table(self.spark, path, self.schemas[table]).withColumn(BATCH, F.lit(batch_id).cast("long"))
 
     def before(self, table: str, batch_id: int) -> DataFrame:
         """Rows of finished batches that precede the given one."""

@@ -17,19 +17,26 @@ from millrace.operators.versions import (
     VERSION_KEYS,
     current_orders,
     current_orders_given,
+    event_keys,
     keep_latest,
     repeated_orders,
     reused_event_ids,
     settled,
+    settled_valid,
     superseded_versions,
 )
 from millrace.plans.monitoring import batch_metrics, batch_stats, no_events
 from millrace.session import together
 from millrace.sources.tables import BATCH, BatchStore
 
-LOG, REUSED, METRICS = "event_log", "reused_event_ids", "pipeline_health_metrics"
+LOG, REUSED, KEYS = "event_log", "reused_event_ids", "key_index"
 DIMENSIONS = ["dim_customers", "dim_locations", "dim_payment_methods", "dim_products"]
 SEED_BATCH = -1
+#: Folders that ids are dealt to, by their hash. A store keeps its number for good; choose it so that a folder of all batches
+#: stays near a gigabyte or two of ids.
+BUCKETS = 16
+BUCKET = "bucket"
+EVENT_KEY, ORDER_KEY = "event", "order"
 
 LOG_SCHEMA = T.StructType(
     [
@@ -43,11 +50,25 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 
-#: Events whose id another order used first, and that order.
-REUSED_SCHEMA = T.StructType(
+#: Event ids that another order used first, the order that used them again, and their owner.
+REUSED_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("event_id", "order_id", "owner")])
+
+#: Ids a batch has brought: kind "event" with each order that sent it, kind "order" if a valid event was left of it.
+KEYS_SCHEMA = T.StructType(
     [
-        *[T.StructField(n, T.StringType()) for n in ("event_id", "order_id", "owner")],
+        T.StructField("key", T.StringType()),
+        T.StructField("order_id", T.StringType()),
         T.StructField("seq", T.LongType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField(BUCKET, T.IntegerType()),
+    ]
+)
+
+#: Statistics of a batch, kept with its marker.
+STATS_SCHEMA = T.StructType(
+    [
+        *[T.StructField(n, T.LongType()) for n in ("processed", "valid", "quarantined", "duplicates", "latency_total")],
+        T.StructField("finished_at", T.TimestampType()),
     ]
 )
 
@@ -55,9 +76,10 @@ REUSED_SCHEMA = T.StructType(
 class OrderStore:
     """The order warehouse: an event log per batch and what is derived from it."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        schemas = {LOG: LOG_SCHEMA, REUSED: REUSED_SCHEMA, METRICS: TABLES[METRICS], **{d: TABLES[d] for d in DIMENSIONS}}
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        schemas = {LOG: LOG_SCHEMA, REUSED: REUSED_SCHEMA, KEYS: KEYS_SCHEMA, **{d: TABLES[d] for d in DIMENSIONS}}
         self.spark = spark
+        self.buckets = buckets
         self.store = BatchStore(spark, root, schemas)
 
     # --- writing ------------------------------------------------------------------------
@@ -95,46 +117,64 @@ class OrderStore:
         self.store.write(LOG, ingest_plan(raw, now, tolerance), batch_id, attempt, ["outcome"])
         arrived = self.store.batch(LOG, batch_id, attempt)
         self.store.write(REUSED, self._reused(arrived, batch_id), batch_id, attempt)
-        log = settled(arrived, self.store.batch(REUSED, batch_id, attempt))
-        stats = batch_stats(log, self._duplicates(log, batch_id))
-        inferred = self._new_dimension_rows(log, batch_id, now) if infer_dimensions else {}
+        reused = self.store.batch(REUSED, batch_id, attempt)
+        valid = settled_valid(arrived, reused)
+        stats = batch_stats(settled(arrived, reused), self._duplicates(valid, batch_id))
+        inferred = self._new_dimension_rows(valid, batch_id, now) if infer_dimensions else {}
         # The statistics are one row per batch, none for an empty batch.
         summary, *_ = together(
             self.spark,
-            partial(stats.take, 1),
+            partial(stats.select(*STATS_SCHEMA.fieldNames(), F.to_json(F.struct(*STATS_SCHEMA.fieldNames())).alias("details")).take, 1),
+            partial(self.store.write, KEYS, self._keys(arrived, valid), batch_id, attempt, ["kind", BUCKET]),
             *[partial(self.store.write, name, rows, batch_id, attempt) for name, rows in inferred.items()],
         )
-        metrics = batch_metrics(self.spark.createDataFrame(summary, stats.schema))
-        self.store.write(METRICS, metrics, batch_id, attempt)
         result = {k: summary[0][k] if summary else n for k, n in no_events().items()}
-        self.store.commit(batch_id, attempt, now, result["processed"], source, source_batch)
+        details = summary[0]["details"] if summary else None
+        self.store.commit(batch_id, attempt, now, result["processed"], source, source_batch, details)
         return result
 
+    def _bucket(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def _keys(self, arrived: DataFrame, valid: DataFrame) -> DataFrame:
+        """The batch's rows of the key index. Large buckets are written by several tasks, small ones share one."""
+        events = event_keys(arrived).select(F.col("event_id").alias("key"), "order_id", "seq", F.lit(EVENT_KEY).alias("kind"))
+        firsts = valid.groupBy("order_id").agg(F.min("seq").alias("seq"))
+        orders = firsts.select(F.col("order_id").alias("key"), "order_id", "seq", F.lit(ORDER_KEY).alias("kind"))
+        return events.unionByName(orders).withColumn(BUCKET, self._bucket("key")).hint("rebalance", "kind", BUCKET)
+
+    def earlier_keys(self, kind: str, keys: DataFrame, batch_id: int) -> DataFrame:
+        """Index rows of earlier batches in the buckets that ``keys`` fall in.
+
+        The buckets (no more rows than the index has folders) are broadcast, and Spark prunes the
+        scan to their folders while the query runs. Of an index of any age a small batch thus reads a few folders.
+        """
+        touched = keys.select(self._bucket(keys.columns[0]).alias(BUCKET)).distinct()
+        index = self.store.before(KEYS, batch_id).where(F.col("kind") == kind)
+        return index.join(F.broadcast(touched), BUCKET, "left_semi")
+
     def _reused(self, arrived: DataFrame, batch_id: int) -> DataFrame:
-        """Valid events of the batch whose id an earlier event of another order has."""
-        names = ["event_id", *VERSION_KEYS, "outcome"]
-        ids = valid_events(arrived).select(*names)
-        earlier = valid_events(self.store.before(LOG, batch_id)).select(*names)
-        met = earlier.join(ids.select("event_id").distinct(), "event_id", "left_semi")
-        found = reused_event_ids(met.unionByName(ids)).where(F.col("batch_id") == batch_id)
-        return found.select(*[f.name for f in REUSED_SCHEMA])
-
-    def _duplicates(self, log: DataFrame, batch_id: int) -> DataFrame:
+        """Event ids of the batch that an earlier event of another order has."""
+        own = event_keys(arrived)
+        ids = valid_events(arrived).select("event_id")
+        earlier = self.earlier_keys(EVENT_KEY, ids, batch_id).withColumnRenamed("key", "event_id")
+        return reused_event_ids(own, earlier).select(*REUSED_SCHEMA.fieldNames())
+
+    def _duplicates(self, valid: DataFrame, batch_id: int) -> DataFrame:
         """Valid events of the batch beyond the first ever of their order."""
-        per_order = valid_events(log).groupBy("order_id").agg(F.count("*").alias("events"))
-        earlier = valid_events(settled(self.store.before(LOG, batch_id), self.store.before(REUSED, batch_id)))
-        # The batch is the small side. Spark broadcasts its ids if they fit, and then only
-        # the id column of the older log is scanned, without a shuffle.
-        stored = earlier.select("order_id").join(per_order.select("order_id"), "order_id", "left_semi").distinct()
+        per_order = valid.groupBy("order_id").agg(F.count("*").alias("events"))
+        earlier = self.earlier_keys(ORDER_KEY, valid.select("order_id"), batch_id).select("order_id")
+        # The batch is the small side: if Spark can broadcast its ids, the index isn't shuffled.
+        stored = earlier.join(per_order.select("order_id"), "order_id", "left_semi").distinct()
         marked = per_order.join(stored.withColumn("_stored", F.lit(1)), "order_id", "left")
         new = F.col("_stored").isNull().cast("long")
         return marked.agg(F.coalesce(F.sum(F.col("events") - new), F.lit(0)).alias("duplicates")).select(
             F.lit(batch_id).cast("long").alias(BATCH), "duplicates"
         )
 
-    def _new_dimension_rows(self, log: DataFrame, batch_id: int, now: Column) -> dict[str, DataFrame]:
+    def _new_dimension_rows(self, valid: DataFrame, batch_id: int, now: Column) -> dict[str, DataFrame]:
         """Rows for keys that orders bring along; events that end in quarantine bring none."""
-        orders, items = order_versions_of(log), line_items_of(valid_events(log))
+        orders, items = order_versions_of(valid), line_items_of(valid)
         known = {name: self.store.before(name, batch_id) for name in DIMENSIONS}
         inferred = {
             "dim_customers": dims.infer_customers(orders, known["dim_customers"]),
@@ -154,11 +194,14 @@ class OrderStore:
         return self.store.read(name)
 
     def metrics(self) -> DataFrame:
-        return self.store.read(METRICS)
+        """One health metric per batch that had events, from the statistics in its marker."""
+        stats = F.from_json("details", STATS_SCHEMA).alias("stats")
+        marked = self.store.committed().where(F.col("details").isNotNull()).select(BATCH, stats).select(BATCH, "stats.*")
+        return batch_metrics(marked)
 
     def order_log(self) -> DataFrame:
         """Valid events of the log."""
-        return valid_events(self.log())
+        return settled_valid(self.store.read(LOG), self.store.read(REUSED))
 
     def fact_orders(self) -> DataFrame:
         return current_orders(order_versions_of(self.order_log()))
