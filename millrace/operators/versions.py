@@ -69,6 +69,27 @@ def superseded_versions(versions: DataFrame, repeated: DataFrame, orders: DataFr
     return candidates.join(latest, "order_id").where(version() < F.col("_latest")).select(*VERSION_KEYS)
 
 
+def merged_orders(stored: DataFrame, later: DataFrame) -> DataFrame:
+    """Rows of ``current_orders`` for two logs of which the second came after the first whole.
+
+    A known order keeps its fixed columns and takes status, times and place of the later log; versions add up.
+    """
+    last = [*ORDER_UPDATES, "batch_id", "seq"]
+    rest = [c for c in stored.columns if c != "order_id"]
+    both = stored.select("order_id", F.struct(*rest).alias("_old")).join(
+        later.select("order_id", F.struct(*rest).alias("_new")), "order_id", "full_outer"
+    )
+    known, offered = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+
+    def value(name: str) -> Column:
+        old, new = F.col("_old")[name], F.col("_new")[name]
+        if name == "versions":
+            return F.coalesce(old, F.lit(0).cast("long")) + F.coalesce(new, F.lit(0).cast("long"))
+        return F.when(offered, new).otherwise(old) if name in last else F.when(known, old).otherwise(new)
+
+    return both.select(*[F.col(c) if c == "order_id" else value(c).alias(c) for c in stored.columns])
+
+
 def keep_latest(rows: DataFrame, orders: DataFrame) -> DataFrame:
     """Rows of the log that belong to the last version of their order."""
     return rows.join(orders.select(*VERSION_KEYS), VERSION_KEYS, "left_semi")

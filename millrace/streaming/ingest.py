@@ -19,6 +19,7 @@ from millrace.operators.versions import (
     current_orders_given,
     event_keys,
     keep_latest,
+    merged_orders,
     repeated_orders,
     reused_event_ids,
     settled,
@@ -27,8 +28,9 @@ from millrace.operators.versions import (
 )
 from millrace.plans.monitoring import batch_metrics, batch_stats, no_events
 from millrace.session import together
-from millrace.sources.tables import BATCH, BatchStore
+from millrace.sources.tables import ATTEMPT, BATCH, BatchStore, clock_number, read_table
 
+ORDERS, ITEMS, REJECTED = "fact_orders", "fact_order_items", "quarantine_orders"
 LOG, REUSED, KEYS = "event_log", "reused_event_ids", "key_index"
 DIMENSIONS = ["dim_customers", "dim_locations", "dim_payment_methods", "dim_products"]
 SEED_BATCH = -1
@@ -216,31 +218,159 @@ class OrderStore:
 
     # --- compaction ---------------------------------------------------------------------
 
-    def compact(self, target: str) -> None:
-        """Write the current orders, line items and quarantine as plain tables below ``target``.
+    def _compacted_schemas(self) -> dict[str, T.StructType]:
+        log = self.spark.createDataFrame([], T.StructType([*LOG_SCHEMA.fields, T.StructField(BATCH, T.LongType())]))
+        orders, items = current_orders(order_versions_of(log)), line_items_of(log)
+        tables = {ORDERS: self._bucketed(orders), ITEMS: self._bucketed(items), REJECTED: quarantine_rows(log)}
+        return {name: rows.schema for name, rows in tables.items()}
+
+    def compacted(self, target: str, name: str) -> DataFrame:
+        """A table below a compaction target, empty if it has no rows yet."""
+        return read_table(self.spark, f"{target.rstrip('/')}/{name}", self._compacted_schemas()[name])
+
+    def compact(self, target: str, through: int | None = None) -> dict[str, object]:
+        """Bring the plain tables below ``target`` up to date: current orders, line items and quarantine.
+
+        Orders and line items lie in folders by bucket of the order id, quarantine by batch. The first call writes all
+        of it. Later ones read only the batches since then and the buckets of the orders these touched, and replace just those folders
+        (dynamic partition overwrite). What is replaced is written aside first, so a call that fails while it
+        replaces folders is taken up by the next one. A batch that was written again, or one with a number below those already
+        compacted, has everything written anew. Readers of a folder that is being replaced may have to
+        run again; one that must not be disturbed takes a target of its own. ``through`` leaves out later batches.
+
+        Returns the mode ("full", "delta" or "none") and the number of buckets written.
+        """
+        state = _CompactionState(self.spark, target.rstrip("/"), self._compacted_schemas())
+        state.finish_staged()
+        now = self.store.committed().select(BATCH, ATTEMPT)
+        if through is not None:
+            now = now.where(F.col(BATCH) <= through)
+        number, now = state.begin(now)
+        known = state.included()
+        if known is not None:
+            new = now.join(known, [BATCH, ATTEMPT], "left_anti").collect()
+            gone = known.join(now, [BATCH, ATTEMPT], "left_anti").count()
+            last = known.agg(F.max(BATCH)).first()[0]
+            if not gone and not new:
+                return {"mode": "none", "buckets": 0}
+            if not gone and min(r[BATCH] for r in new) > last:
+                return self._compact_delta(state, number, [tuple(r) for r in new])
+        self._compact_all(state, number, now)
+        return {"mode": "full", "buckets": self.buckets}
+
+    def _bucketed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(BUCKET, self._bucket("order_id")).hint("rebalance", BUCKET)
+
+    def _compact_all(self, state: "_CompactionState", number: int, batches: DataFrame) -> None:
+        """All tables from the log.
 
         The exceptions in the log (repeated orders, superseded deliveries) are found first,
         from its id columns, and written down. Spark knows the size of what is written, and
-        streams the log past a broadcast of it or shuffles both. Give every compaction a
-        folder of its own, so that readers of the last one are not disturbed.
+        streams the log past a broadcast of it or shuffles both.
         """
-
-        def save(name: str, rows: DataFrame) -> DataFrame:
-            path = f"{target.rstrip('/')}/{name}"
-            rows.write.mode("overwrite").parquet(path)
-            return self.spark.read.schema(rows.schema).parquet(path)
-
-        events = self.order_log()
+        arrived, reused = (
+            self.store.raw(t).join(batches, [BATCH, ATTEMPT], "left_semi").drop(ATTEMPT) for t in (LOG, REUSED)
+        )
+        events = settled_valid(arrived, reused)
         versions = order_versions_of(events)
-        repeated = save("repeated_orders", repeated_orders(versions))
-        orders = save("fact_orders", current_orders_given(versions, repeated))
-        old = save("superseded", superseded_versions(versions, repeated, orders))
+        repeated = state.save(number, "repeated_orders", repeated_orders(versions))
+        orders = state.replace(ORDERS, self._bucketed(current_orders_given(versions, repeated)), BUCKET, whole=True)
+        old = state.save(number, "superseded", superseded_versions(versions, repeated, orders))
         current = events.join(old, VERSION_KEYS, "left_anti")
         together(
             self.spark,
-            partial(save, "fact_order_items", line_items_of(current)),
-            partial(save, "quarantine_orders", self.quarantine()),
+            partial(state.replace, ITEMS, self._bucketed(line_items_of(current)), BUCKET, whole=True),
+            partial(state.replace, REJECTED, quarantine_rows(settled(arrived, reused)), BATCH, whole=True),
+        )
+        state.done(number)
+
+    def _compact_delta(self, state: "_CompactionState", number: int, batches: list[tuple[int, str]]) -> dict[str, object]:
+        """The buckets of the orders in later batches, merged with what they hold."""
+        mine = F.col(BATCH).isin([b for b, _ in batches]) & F.col(ATTEMPT).isin([a for _, a in batches])
+        arrived, reused = (self.store.raw(t).where(mine).drop(ATTEMPT) for t in (LOG, REUSED))
+        events = settled_valid(arrived, reused)
+        changed = state.save(number, "changed_orders", self._bucketed(current_orders(order_versions_of(events))))
+        # No more rows than the tables have buckets.
+        touched = [r[0] for r in changed.select(BUCKET).distinct().collect()]
+        kept = {t: state.table(t).where(F.col(BUCKET).isin(touched)) for t in (ORDERS, ITEMS)}
+        orders = merged_orders(kept[ORDERS].drop(BUCKET), changed.drop(BUCKET))
+        fresh = line_items_of(keep_latest(events, changed))
+        old = kept[ITEMS].drop(BUCKET).join(changed.select("order_id"), "order_id", "left_anti")
+        together(
+            self.spark,
+            partial(state.stage, number, ORDERS, self._bucketed(orders), BUCKET),
+            partial(state.stage, number, ITEMS, self._bucketed(old.select(fresh.columns).unionByName(fresh)), BUCKET),
+            partial(state.stage, number, REJECTED, quarantine_rows(settled(arrived, reused)), BATCH),
         )
+        state.staged(number)
+        state.finish_staged()
+        return {"mode": "delta", "buckets": len(touched)}
+
+
+class _CompactionState:
+    """What a compaction target holds: its tables, the batches in them, and changes that are written but not yet in place."""
+
+    DONE, STAGED = "done", "staged"
+    STEP = T.StructType([T.StructField("number", T.LongType()), T.StructField("step", T.StringType())])
+    INCLUDED = T.StructType([T.StructField(BATCH, T.LongType()), T.StructField(ATTEMPT, T.StringType())])
+    KEYS = {ORDERS: BUCKET, ITEMS: BUCKET, REJECTED: BATCH}
+
+    def __init__(self, spark: SparkSession, target: str, schemas: Mapping[str, T.StructType]):
+        self.spark, self.target, self.root, self.schemas = spark, target, f"{target}/_state", schemas
+
+    def _mark(self, number: int, step: str) -> None:
+        row = self.spark.range(1).select(F.lit(number).cast("long").alias("number"), F.lit(step).alias("step"))
+        row.write.mode("overwrite").parquet(f"{self.root}/steps/{number}-{step}")
+
+    def _last(self, *steps: str) -> int | None:
+        rows = read_table(self.spark, f"{self.root}/steps/*", self.STEP)
+        return rows.where(F.col("step").isin(*steps)).agg(F.max("number")).first()[0]
+
+    def begin(self, batches: DataFrame) -> tuple[int, DataFrame]:
+        """The number of a new compaction, and the batches that it is to hold, written down."""
+        number = clock_number()
+        return number, self.save(number, "included", batches)
+
+    def included(self) -> DataFrame | None:
+        last = self._last(self.DONE)
+        return None if last is None else self.spark.read.schema(self.INCLUDED).parquet(f"{self.root}/{last}/included")
+
+    def save(self, number: int, name: str, rows: DataFrame) -> DataFrame:
+        path = f"{self.root}/{number}/{name}"
+        rows.write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def table(self, name: str) -> DataFrame:
+        return read_table(self.spark, f"{self.target}/{name}", self.schemas[name])
+
+    def replace(self, name: str, rows: DataFrame, key: str, whole: bool = False) -> DataFrame:
+        """Write rows over the folders of their keys, or over the whole table."""
+        mode = "static" if whole else "dynamic"
+        path = f"{self.target}/{name}"
+        rows.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(key).parquet(path)
+        return self.table(name)
+
+    def stage(self, number: int, name: str, rows: DataFrame, key: str) -> None:
+        rows.write.mode("errorifexists").partitionBy(key).parquet(f"{self.root}/{number}/{name}")
+
+    def staged(self, number: int) -> None:
+        self._mark(number, self.STAGED)
+
+    def done(self, number: int) -> None:
+        self._mark(number, self.DONE)
+
+    def finish_staged(self) -> None:
+        """Put changes in place that were written aside whole; doing so twice changes nothing."""
+        number = self._last(self.STAGED)
+        if number is None or number <= (self._last(self.DONE) or 0):
+            return
+
+        def put(name: str) -> None:
+            rows = read_table(self.spark, f"{self.root}/{number}/{name}", self.schemas[name])
+            self.replace(name, rows, self.KEYS[name])
+
+        together(self.spark, *[partial(put, name) for name in self.KEYS])
+        self.done(number)
 
 
 def batch_handler(

@@ -13,6 +13,7 @@ from millrace.operators import audits, lookup
 from millrace.plans import marts, monitoring, reports, results
 from millrace.session import scratch_path, shared_root
 from millrace.sources import events as ev
+from millrace.streaming import ingest
 from millrace.streaming.ingest import LOG, OrderStore, ingest_stream
 
 
@@ -268,7 +269,7 @@ def test_compaction_equals_the_live_views(spark, store, messages, as_of, thresho
         "quarantine_orders": store.quarantine(),
     }
     for name, rows in live.items():
-        stored = spark.read.parquet(f"{target}/{name}").select(rows.columns)
+        stored = store.compacted(target, name).select(rows.columns)
         assert sorted(map(str, stored.collect())) == sorted(map(str, rows.collect())), name
     assert live["fact_orders"].count() == 9
     codes = sorted(r["error_code"] for r in live["quarantine_orders"].collect())
@@ -289,3 +290,102 @@ def test_stored_results_are_appended_and_hours_replaced(spark, store, messages,
         kept.append(results.AUDITS, audits.audit_log_rows(suite, stamp), stamp)
     assert kept.audit_log().count() == 2 * suite.count()
     assert kept.mart().count() == 2 and kept.metrics().count() == 0
+
+
+def same_as_live(spark, store, target):
+    live = {"fact_orders": store.fact_orders(), "fact_order_items": store.fact_order_items(), "quarantine_orders": store.quarantine()}
+    for name, rows in live.items():
+        stored = store.compacted(target, name).select(rows.columns)
+        assert sorted(map(str, stored.collect())) == sorted(map(str, rows.collect())), name
+
+
+def folders(spark, target, table):
+    """Files of a table's partition folders."""
+    rows = spark.read.parquet(f"{target}/{table}").select("bucket", F.col("_metadata.file_path").alias("file")).distinct().collect()
+    return {(r["bucket"], r["file"]) for r in rows}
+
+
+def test_second_compaction_touches_only_the_buckets_of_new_batches(spark, messages, as_of):
+    store, target = OrderStore(spark, scratch_path(spark, "store"), buckets=64), scratch_path(spark, "compacted")
+    store.write_batch(messages(*[order_event(n) for n in range(1, 201)], "bad"), 0, as_of)
+    assert store.compact(target) == {"mode": "full", "buckets": 64}
+    same_as_live(spark, store, target)
+    before = folders(spark, target, "fact_orders")
+    changed = order_event(5, order_status="SHIPPED", items=[item(product_id="P7"), item(product_id="P8")])
+    store.write_batch(messages(changed, order_event(900), order_event(901, event_id="evt-9"), "bad", start=500), 1, as_of)
+    done = store.compact(target)
+    assert done["mode"] == "delta" and 1 <= done["buckets"] <= 2
+    same_as_live(spark, store, target)
+    after = folders(spark, target, "fact_orders")
+    assert len({b for b, _ in before}) > 50
+    assert {b for b, _ in after - before} == {b for b, _ in before - after} and len({b for b, _ in after - before}) == done["buckets"]
+    assert store.compact(target) == {"mode": "none", "buckets": 0}
+    # A batch written again has everything written anew.
+    store.write_batch(messages(order_event(900), start=500), 1, as_of)
+    assert store.compact(target)["mode"] == "full"
+    same_as_live(spark, store, target)
+
+
+def test_compaction_that_failed_half_way_is_taken_up(spark, store, messages, as_of, monkeypatch):
+    target = scratch_path(spark, "compacted")
+    store.write_batch(messages(*[order_event(n) for n in range(1, 30)]), 0, as_of)
+    store.compact(target)
+    store.write_batch(messages(order_event(3, order_status="SHIPPED"), order_event(99), start=100), 1, as_of)
+    replace = ingest._CompactionState.replace
+
+    def failing(self, name, *args, **options):
+        if name == "fact_order_items":
+            raise RuntimeError("lost")
+        return replace(self, name, *args, **options)
+
+    monkeypatch.setattr(ingest._CompactionState, "replace", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        store.compact(target)
+    monkeypatch.undo()
+    assert store.compact(target)["mode"] == "none"  # after the staged changes were put in place
+    same_as_live(spark, store, target)
+    assert {r["order_id"]: r["versions"] for r in spark.read.parquet(f"{target}/fact_orders").collect()}["ORD-3"] == 2
+
+
+def test_late_batch_number_has_everything_written_anew(spark, store, messages, as_of):
+    target = scratch_path(spark, "compacted")
+    store.write_batch(messages(order_event(1, order_status="SHIPPED"), start=50), 5, as_of)
+    store.compact(target)
+    store.write_batch(messages(order_event(1), order_event(2)), 3, as_of)
+    assert store.compact(target)["mode"] == "full"
+    same_as_live(spark, store, target)
+
+
+def files_read(rows):
+    """Files opened by the scans of a query that has run."""
+    plan, found = rows._jdf.queryExecution().executedPlan(), 0
+    pending = [plan]
+    while pending:
+        node = pending.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            pending.append(node.executedPlan())
+        elif "QueryStage" in name:
+            pending.append(node.plan())
+        else:
+            if name.startswith("Scan parquet"):
+                found += node.metrics().apply("numFiles").value()
+            children = node.children()
+            pending += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_key_probe_reads_the_touched_buckets_alone(spark, messages, as_of):
+    store = OrderStore(spark, scratch_path(spark, "store"), buckets=64)
+    store.write_batch(messages(*[order_event(n) for n in range(1, 401)]), 0, as_of)
+    ids = messages(order_event(7)).select(F.lit("ORD-7").alias("order_id")).where(F.col("order_id") == "ORD-7")
+    all_rows = store.store.before(ingest.KEYS, 1)
+    all_rows.collect()
+    assert files_read(all_rows) > 100
+    path = scratch_path(spark, "ids")
+    ids.write.parquet(path)
+    probe = store.earlier_keys("order", spark.read.parquet(path).where(F.col("order_id") == "ORD-7"), 1)
+    found = {r["key"] for r in probe.collect()}
+    assert "ORD-7" in found and len(found) < 40
+    # One bucket of the index, the ids themselves and the markers.
+    assert files_read(probe) <= 4

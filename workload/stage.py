@@ -15,7 +15,7 @@ from millrace.model import RAW_EVENT
 from millrace.operators.validation import order_versions_of
 from millrace.session import prepare, scratch_path
 from millrace.sources.events import read_order_stream
-from millrace.streaming.ingest import DIMENSIONS, OrderStore, ingest_stream
+from millrace.streaming.ingest import BUCKET, DIMENSIONS, OrderStore, ingest_stream
 from workload import derive
 
 _cache: dict[tuple[str, str], "Warehouse"] = {}
@@ -105,13 +105,14 @@ class Warehouse:
         return order_versions_of(self.store().order_log())
 
     def compacted(self, name: str) -> DataFrame:
-        """A table of the compacted store; compaction runs once."""
+        """A table of the compacted store: the first batch is compacted, then the second is merged in."""
 
         def build() -> str:
+            self.store().compact(f"{self.root}/compacted", through=0)
             self.store().compact(f"{self.root}/compacted")
             return f"{self.root}/compacted"
 
-        return self.spark.read.parquet(f"{self.once('compacted', build)}/{name}")
+        return self.store().compacted(self.once("compacted", build), name).drop(BUCKET)
 
     def orders(self) -> DataFrame:
         return self.compacted("fact_orders")
