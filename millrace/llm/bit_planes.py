@@ -14,7 +14,8 @@ the documents that have ids in it and where these begin and end. Spark's committ
 a file. Readers need just the frames they want: read() takes all, ids_of() those of some documents.
 
 The library encodes distinct words only. White space parts words for it (it drops blanks, and neither its normalizer nor its pattern
-goes across them), so the ids of a text are those of its words between blanks, one after the other. Ids of up to KEPT words are kept in a worker.
+goes across them), and so do the borders of ASCII digits and those between ASCII letters and stops (no pre-token has both sides). So the ids of
+a text are those of its words, one after the other. Ids of about KEPT words are kept in a worker.
 
 Rows: a null text counts as empty; an empty text has the end id alone. Repeated rows are documents of their own. Of rows with the same doc_id the one
 whose text has the smaller hash comes first, then the earlier in the table; null ids come last. An empty table gives no frames and an empty result. Only
@@ -27,6 +28,8 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
+from string import ascii_letters
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +40,13 @@ from pyspark.sql import functions as F
 
 from .base import kept_in_worker, mapped, stored
 from .target_resampling import joined_crc
-from .text_arrays import SPACE, runs
-from .word_codes import coded
+from .text_arrays import SPACE
+from .word_codes import byte_class, coded
 
-#: Ids of a frame, words a worker keeps the ids of, frames that a task passes on at a time.
-BLOCK, KEPT, FRAMES = 1 << 16, 300_000, 16
+#: Ids of a frame, words whose ids a worker keeps, frames that a task passes on at a time.
+BLOCK, KEPT, FRAMES = 1 << 16, 600_000, 16
+#: Bytes of text that are encoded at a time.
+RUN = 1 << 22
 END_ID = 1
 MAGIC, HEAD = b"PLN1", struct.Struct("<4sB3xII")
 BYTES, BITS = 8, 1
@@ -78,8 +83,23 @@ def unpacked(frame: bytes) -> np.ndarray:
     return np.ascontiguousarray(rows).reshape(-1).view("<u4") if n else np.zeros(0, "<u4")
 
 
+def _apart() -> np.ndarray:
+    """Pairs of ASCII bytes that are never in one pre-token: a digit and anything, a letter and a stop."""
+    pairs = np.zeros((256, 256), bool)
+    digit, letter, stop = (byte_class([(ord(c), ord(c)) for c in some]) for some in ("0123456789", ascii_letters, ".,;:!?"))
+    pairs[digit, :128] = pairs[:128, digit] = True
+    pairs |= letter[:, None] & stop | stop[:, None] & letter
+    return pairs
+
+
+APART = _apart()
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library, each distinct word once."""
+    """Ids of texts by the tokenizers library, each distinct word once.
+
+    Ids of the words met lie one after the other in pool, those of word k from begin[k] on, size[k] of them; slot has k by word.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
@@ -88,31 +108,42 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def _of_words(self, words: list[bytes]) -> list[np.ndarray]:
-        known = self.known
-        new = [w for w in words if w not in known]
-        ids = self.library.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in new], add_special_tokens=False)
-        met = {w: np.array(e.ids, np.uint32) for w, e in zip(new, ids)}
-        found = [met[w] if w in met else known[w] for w in words]
-        if len(known) + len(met) > KEPT:
-            known.clear()
-        known.update({w: e for w, e in met.items() if len(w) <= 64})
-        return found
+        self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        # Slot 0 is the end of a text.
+        self.slot: dict[bytes, int] = {}
+        self.pool, self.begin, self.size = np.array([END_ID], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
+
+    def _forget(self, first: int) -> None:
+        """Keep the slots below first alone: frequent words are met early."""
+        self.slot = {w: k for w, k in self.slot.items() if k < first}
+        self.pool, self.begin, self.size = self.pool[: self.begin[first]].copy(), self.begin[:first], self.size[:first]
+
+    def _slots(self, words: list[bytes]) -> np.ndarray:
+        if len(self.size) > KEPT:
+            self._forget(KEPT // 2)
+        slots = np.array([self.slot.get(w, 0) for w in words], np.int64)
+        new = np.flatnonzero(slots == 0)
+        if len(new):
+            unknown = [words[k] for k in new.tolist()]
+            each = [e.ids for e in self.library.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in unknown], add_special_tokens=False)]
+            sizes = np.array([len(ids) for ids in each], np.int64)
+            slots[new] = len(self.size) + np.arange(len(new))
+            self.slot.update(zip(unknown, slots[new].tolist()))
+            self.begin = np.concatenate([self.begin, len(self.pool) + np.cumsum(sizes) - sizes])
+            self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(each), np.uint32, int(sizes.sum()))])
+            self.size = np.concatenate([self.size, sizes])
+        return slots
 
     def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, an end id after each, and where each text's begin (one more at the end)."""
-        words = coded([t + b"\n" for t in texts], SPACE)
-        each = self._of_words(words.distinct)
-        size = np.array([len(e) for e in each], np.int64)
-        pool = np.concatenate([*each, np.array([END_ID], np.uint32)]).astype(np.uint32)
-        begin = np.concatenate([np.cumsum(size) - size, [len(pool) - 1]]).astype(np.int64)
+        # A-Z may be lower-cased beforehand but in the names of special tokens.
+        words = coded([t if any(s[:1] in t for s in self.special) else t.lower() for t in texts], SPACE, APART)
+        slots = self._slots(words.distinct)
         # The end of a text is one more word, of one id.
-        codes = np.insert(words.codes, words.first[1:], len(each))
-        n = np.concatenate([size, [1]])[codes]
+        word = np.insert(slots[words.codes], words.first[1:], 0)
+        n = self.size[word]
         ends = np.cumsum(n)
-        ids = pool[np.repeat(begin[codes] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        ids = self.pool[np.repeat(self.begin[word] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
         return ids, np.concatenate([[0], ends])[words.first + np.arange(len(texts) + 1)]
 
 
@@ -176,11 +207,18 @@ def write(docs: DataFrame, tokenizer: str, kind: int = BYTES, block: int = BLOCK
         library = encoder(tokenizer)
 
         def encoded() -> Iterator[tuple[list, list, np.ndarray, np.ndarray]]:
+            held: list[list] = [[], [], []]
+            weight = 0
             for batch in batches:
-                doc_ids, texts, rows = (c.to_pylist() for c in batch.columns)
-                for a, b in runs(texts):
-                    ids, bounds = library.ids([(t or "").encode("utf-8", "surrogatepass") for t in texts[a:b]])
-                    yield rows[a:b], doc_ids[a:b], ids, bounds
+                for doc_id, text, row in zip(*(c.to_pylist() for c in batch.columns)):
+                    for some, value in zip(held, (doc_id, (text or "").encode("utf-8", "surrogatepass"), row)):
+                        some.append(value)
+                    weight += len(held[1][-1])
+                    if weight >= RUN:
+                        yield held[2], held[0], *library.ids(held[1])
+                        held, weight = [[], [], []], 0
+            if held[0]:
+                yield held[2], held[0], *library.ids(held[1])
 
         yield from _framed(TaskContext.get().partitionId(), encoded(), kind, block)
 

@@ -26,13 +26,20 @@ def byte_class(ranges: list[tuple[int, int]]) -> np.ndarray:
     return found
 
 
-def coded(texts: list[bytes], between: np.ndarray) -> Words:
-    """The words between bytes of the class between, which has the line feed. No word goes on in the next text."""
+def coded(texts: list[bytes], between: np.ndarray, cut: np.ndarray | None = None) -> Words:
+    """The words between bytes of the class between, which has the line feed. No word goes on in the next text.
+
+    cut: 256 x 256, the pairs of neighbouring bytes between which a word ends and the next begins.
+    """
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     inside = ~between[data]
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]])))
-    start, stop = edge[0::2], edge[1::2]
-    offsets = np.concatenate([[0], np.cumsum(stop - start)]).astype(np.int64)
+    begins = inside.copy()
+    if len(data):
+        ahead = ~inside[:-1]
+        begins[1:] &= ahead if cut is None else ahead | cut[data[:-1], data[1:]]
+    start = np.flatnonzero(begins)
+    place = np.cumsum(inside)
+    offsets = np.concatenate([place[start] - 1, place[-1:] if len(place) else [0]]).astype(np.int64)
     letters = np.ascontiguousarray(data[inside])
     words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
     found = words.dictionary_encode()
