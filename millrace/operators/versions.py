@@ -181,9 +181,9 @@ def batch_duplicates(log: DataFrame) -> DataFrame:
 
 
 def event_keys(log: DataFrame) -> DataFrame:
-    """Each event id with each order that used it, and the first place it did."""
-    ids = valid_events(log).select("event_id", *VERSION_KEYS)
-    return ids.groupBy("event_id", "order_id").agg(F.min(version()).alias("place")).select("event_id", "order_id", "place.*")
+    """Each event id of a batch with each order that used it, and the first place it did."""
+    ids = valid_events(log).groupBy("batch_id", "event_id", "order_id").agg(F.min("seq").alias("seq"))
+    return ids.select("event_id", *VERSION_KEYS)
 
 
 def reused_event_ids(own: DataFrame, earlier: DataFrame | None = None) -> DataFrame:

@@ -1,10 +1,12 @@
-"""The hourly mart: true hourly windows, the all-time snapshot, and keyed replacement."""
+"""The hourly mart: true hourly windows, the all-time snapshot, and the changes that batches make to it."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from millrace.model import TABLES
+from millrace.operators.validation import QUARANTINED
 
 
 def _measures() -> list[Column]:
@@ -67,8 +69,49 @@ def rollup_snapshot(orders: DataFrame, quarantine: DataFrame, as_of: Column) ->
     )
 
 
-def mart_upsert(stored: DataFrame, fresh: DataFrame) -> DataFrame:
-    """The mart with the windows of ``fresh`` replaced or added; both have one row per window."""
-    kept = stored.join(fresh.select("hourly_window_start"), "hourly_window_start", "left_anti")
-    return kept.select(*stored.columns).unionByName(fresh)
+#: What a batch of events did to an hour.
+MART_CHANGE = T.StructType(
+    [
+        T.StructField("start", T.TimestampType()),
+        T.StructField("total_orders", T.LongType()),
+        T.StructField("_revenue", T.DecimalType(22, 2)),
+        *[T.StructField(n, T.LongType()) for n in ("total_items_sold", "successful_orders", "cancelled_orders", "quarantined_orders")],
+        T.StructField("updated_at", T.TimestampType()),
+    ]
+)
+
+
+def mart_changes(orders: DataFrame, log: DataFrame, now: Column) -> DataFrame:
+    """Changes of the mart's sums, one row per hour that a batch touched.
 
+    A new order adds all it has to the hour of its first event. Of a known one the batch takes back
+    its earlier status and adds the later one; whatever else a repeated delivery says doesn't count.
+    """
+    new = ~F.col("known")
+
+    def change(status: str) -> Column:
+        after, before = ((F.coalesce(F.col(c), F.lit("")) == status).cast("long") for c in ("order_status", "status_before"))
+        return F.sum(after - before)
+
+    facts = orders.groupBy(F.date_trunc("hour", "order_timestamp").alias("start")).agg(
+        F.sum(new.cast("long")).alias("total_orders"),
+        F.sum(F.when(new, F.col("net_amount"))).alias("_revenue"),
+        F.sum(F.when(new, F.col("item_count"))).alias("total_items_sold"),
+        change("DELIVERED").alias("successful_orders"),
+        change("CANCELLED").alias("cancelled_orders"),
+    )
+    rejected = log.where(F.col("outcome") == QUARANTINED).groupBy(F.date_trunc("hour", "processed_at").alias("start")).agg(
+        F.count("*").alias("quarantined_orders")
+    )
+    both = facts.join(rejected, "start", "full_outer").withColumn("updated_at", now)
+    zero = {f.name: F.coalesce(F.col(f.name), F.lit(0)) for f in MART_CHANGE.fields[1:-1]}
+    return both.select(*[zero.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in MART_CHANGE.fields])
+
+
+def mart_of_changes(changes: DataFrame) -> DataFrame:
+    """The mart that changes of any number of batches add up to."""
+    sums = changes.groupBy("start").agg(
+        *[F.sum(f.name).alias(f.name) for f in MART_CHANGE.fields[1:-1]], F.max("updated_at").alias("updated_at")
+    )
+    start = F.col("start")
+    return sums.select(*_mart_row(start, start + F.expr("INTERVAL 1 HOUR"), F.col("updated_at")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -31,6 +31,11 @@ def write_counted(rows: DataFrame, path: str, mode: str = "append", partition_by
     return int(seen.get["rows"])
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table that the optimizer knows to be empty, so that joins and unions with it fall away."""
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]).where(F.lit(False))
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored table, or an empty one of its schema where nothing was written yet."""
     try:
@@ -38,7 +43,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
 
 
 def catalog_columns(spark: SparkSession) -> DataFrame:
@@ -98,11 +103,18 @@ class BatchStore:
     def new_attempt() -> str:
         return f"a{uuid.uuid4().hex}"
 
+    def _place(self, table: str, batch_id: int, attempt: str) -> str:
+        return f"{self._folder(table)}/{BATCH}={batch_id}/{ATTEMPT}={attempt}"
+
     def write(self, table: str, rows: DataFrame, batch_id: int, attempt: str, partition_by: list[str] | None = None) -> None:
         writer = rows.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{self._folder(table)}/{BATCH}={batch_id}/{ATTEMPT}={attempt}")
+        writer.parquet(self._place(table, batch_id, attempt))
+
+    def write_counted(self, table: str, rows: DataFrame, batch_id: int, attempt: str) -> int:
+        """As write, and how many rows there were."""
+        return write_counted(rows, self._place(table, batch_id, attempt), "errorifexists")
 
     def _markers(self) -> DataFrame:
         schema = T.StructType([*self.MARKER_SCHEMA.fields, *self.PLACE])
@@ -129,6 +141,10 @@ class BatchStore:
         marker = self.spark.range(1).select(*[values[f.name].cast(f.dataType).alias(f.name) for f in self.MARKER_SCHEMA])
         self.write(self.MARKERS, marker.coalesce(1), batch_id, attempt)
 
+    def runs(self) -> DataFrame:
+        """Every marker with its place, those of replaced attempts too."""
+        return self._markers()
+
     def committed(self) -> DataFrame:
         """(batch_id, committed_at, rows, attempt, source, source_batch, details) of every finished batch."""
         names = ["committed_at", "rows", ATTEMPT, "source", "source_batch", "details"]
@@ -153,9 +169,14 @@ class BatchStore:
 
     def batch(self, table: str, batch_id: int, attempt: str) -> DataFrame:
         """Rows just written by one attempt at a batch."""
-        path = f"{self._folder(table)}/{BATCH}={batch_id}/{ATTEMPT}={attempt}"
-        return read_table(self.spark, path, self.schemas[table]).withColumn(BATCH, F.lit(batch_id).cast("long"))
+        return read_table(self.spark, self._place(table, batch_id, attempt), self.schemas[table]).withColumn(BATCH, F.lit(batch_id).cast("long"))
+
+    def attempts_before(self, batch_id: int) -> dict[int, str]:
+        """The attempts that count of the batches before the given one: one name per batch."""
+        return dict(self.committed().where(F.col(BATCH) < batch_id).select(BATCH, ATTEMPT).collect())
 
-    def before(self, table: str, batch_id: int) -> DataFrame:
-        """Rows of finished batches that precede the given one."""
-        return self.read(table).where(F.col(BATCH) < batch_id)
+    def of_attempts(self, table: str, attempts: Collection[str]) -> DataFrame:
+        """Rows of the given attempts, from their folders alone."""
+        if not attempts:
+            return no_rows(self.spark, T.StructType([*self.schemas[table].fields, self.PLACE[0]]))
+        return self.raw(table).where(F.col(ATTEMPT).isin(list(attempts))).drop(ATTEMPT)

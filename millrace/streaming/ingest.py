@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -26,19 +26,20 @@ from millrace.operators.versions import (
     settled_valid,
     superseded_versions,
 )
+from millrace.plans.marts import MART_CHANGE, mart_changes, mart_of_changes
 from millrace.plans.monitoring import batch_metrics, batch_stats, no_events
 from millrace.session import together
-from millrace.sources.tables import ATTEMPT, BATCH, BatchStore, clock_number, read_table
+from millrace.sources.tables import ATTEMPT, BATCH, BatchStore, clock_number, no_rows, read_table
 
 ORDERS, ITEMS, REJECTED = "fact_orders", "fact_order_items", "quarantine_orders"
-LOG, REUSED, KEYS = "event_log", "reused_event_ids", "key_index"
+LOG, REUSED, CHANGES = "event_log", "reused_event_ids", "hourly_mart_changes"
+EVENT_KEYS, ORDER_KEYS = "event_index", "order_index"
 DIMENSIONS = ["dim_customers", "dim_locations", "dim_payment_methods", "dim_products"]
 SEED_BATCH = -1
 #: Folders that ids are dealt to, by their hash. A store keeps its number for good; choose it so that a folder of all batches
 #: stays near a gigabyte or two of ids.
 BUCKETS = 16
 BUCKET = "bucket"
-EVENT_KEY, ORDER_KEY = "event", "order"
 
 LOG_SCHEMA = T.StructType(
     [
@@ -55,16 +56,25 @@ LOG_SCHEMA = T.StructType(
 #: Event ids that another order used first, the order that used them again, and their owner.
 REUSED_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("event_id", "order_id", "owner")])
 
-#: Ids a batch has brought: kind "event" with each order that sent it, kind "order" if a valid event was left of it.
-KEYS_SCHEMA = T.StructType(
+#: The key index: event ids a batch has brought, with each order that sent them;
+EVENT_SCHEMA = T.StructType(
+    [*[T.StructField(n, T.StringType()) for n in ("event_id", "order_id")], T.StructField("seq", T.LongType()), T.StructField(BUCKET, T.IntegerType())]
+)
+#: and orders of which a batch left a valid event, with the number of these, whether an earlier batch knew the order, what its first event
+#: ever fixed, and its status before and after the batch.
+ORDER_SCHEMA = T.StructType(
     [
-        T.StructField("key", T.StringType()),
         T.StructField("order_id", T.StringType()),
         T.StructField("seq", T.LongType()),
-        T.StructField("kind", T.StringType()),
+        T.StructField("events", T.LongType()),
+        T.StructField("known", T.BooleanType()),
+        *[f for f in TABLES["fact_orders"].fields if f.name in ("order_timestamp", "net_amount", "item_count", "order_status")],
+        T.StructField("status_before", T.StringType()),
         T.StructField(BUCKET, T.IntegerType()),
     ]
 )
+#: Columns of an order that its first event fixes and that the mart is made of.
+FIXED = ["order_timestamp", "net_amount", "item_count"]
 
 #: Statistics of a batch, kept with its marker.
 STATS_SCHEMA = T.StructType(
@@ -79,7 +89,7 @@ class OrderStore:
     """The order warehouse: an event log per batch and what is derived from it."""
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
-        schemas = {LOG: LOG_SCHEMA, REUSED: REUSED_SCHEMA, KEYS: KEYS_SCHEMA, **{d: TABLES[d] for d in DIMENSIONS}}
+        schemas = {LOG: LOG_SCHEMA, REUSED: REUSED_SCHEMA, EVENT_KEYS: EVENT_SCHEMA, ORDER_KEYS: ORDER_SCHEMA, CHANGES: MART_CHANGE, **{d: TABLES[d] for d in DIMENSIONS}}
         self.spark = spark
         self.buckets = buckets
         self.store = BatchStore(spark, root, schemas)
@@ -116,19 +126,33 @@ class OrderStore:
         """
         now = F.current_timestamp() if as_of is None else as_of
         attempt = self.store.new_attempt()
+        attempts = self.store.attempts_before(batch_id)
+        # Seeds bring no events.
+        earlier = [name for number, name in attempts.items() if number != SEED_BATCH]
         self.store.write(LOG, ingest_plan(raw, now, tolerance), batch_id, attempt, ["outcome"])
         arrived = self.store.batch(LOG, batch_id, attempt)
-        self.store.write(REUSED, self._reused(arrived, batch_id), batch_id, attempt)
-        reused = self.store.batch(REUSED, batch_id, attempt)
-        valid = settled_valid(arrived, reused)
-        stats = batch_stats(settled(arrived, reused), self._duplicates(valid, batch_id))
-        inferred = self._new_dimension_rows(valid, batch_id, now) if infer_dimensions else {}
+        self.store.write(EVENT_KEYS, self._bucketed(event_keys(arrived), "event_id", EVENT_SCHEMA), batch_id, attempt, [BUCKET])
+        if self.store.write_counted(REUSED, self._reused(batch_id, attempt, earlier), batch_id, attempt):
+            reused = self.store.batch(REUSED, batch_id, attempt)
+            log, valid = settled(arrived, reused), settled_valid(arrived, reused)
+        else:  # as in a consistent source
+            log, valid = arrived, valid_events(arrived)
+        inferred = self._new_dimension_rows(valid, attempts.values(), now) if infer_dimensions else {}
+        orders = self._bucketed(self._order_keys(valid, earlier), "order_id", ORDER_SCHEMA)
+        together(
+            self.spark,
+            partial(self.store.write, ORDER_KEYS, orders, batch_id, attempt, [BUCKET]),
+            *[partial(self.store.write, name, rows, batch_id, attempt) for name, rows in inferred.items()],
+        )
+        # What the batch did to its orders is in its part of the index.
+        orders = self.store.batch(ORDER_KEYS, batch_id, attempt)
+        repeats = F.coalesce(F.sum(F.col("events") - (~F.col("known")).cast("long")), F.lit(0)).alias("duplicates")
+        stats = batch_stats(log, orders.agg(repeats).withColumn(BATCH, F.lit(batch_id).cast("long")))
         # The statistics are one row per batch, none for an empty batch.
         summary, *_ = together(
             self.spark,
             partial(stats.select(*STATS_SCHEMA.fieldNames(), F.to_json(F.struct(*STATS_SCHEMA.fieldNames())).alias("details")).take, 1),
-            partial(self.store.write, KEYS, self._keys(arrived, valid), batch_id, attempt, ["kind", BUCKET]),
-            *[partial(self.store.write, name, rows, batch_id, attempt) for name, rows in inferred.items()],
+            partial(self.store.write, CHANGES, mart_changes(orders, log, now).coalesce(1), batch_id, attempt),
         )
         result = {k: summary[0][k] if summary else n for k, n in no_events().items()}
         details = summary[0]["details"] if summary else None
@@ -138,46 +162,60 @@ class OrderStore:
     def _bucket(self, key: str) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
-    def _keys(self, arrived: DataFrame, valid: DataFrame) -> DataFrame:
-        """The batch's rows of the key index. Large buckets are written by several tasks, small ones share one."""
-        events = event_keys(arrived).select(F.col("event_id").alias("key"), "order_id", "seq", F.lit(EVENT_KEY).alias("kind"))
-        firsts = valid.groupBy("order_id").agg(F.min("seq").alias("seq"))
-        orders = firsts.select(F.col("order_id").alias("key"), "order_id", "seq", F.lit(ORDER_KEY).alias("kind"))
-        return events.unionByName(orders).withColumn(BUCKET, self._bucket("key")).hint("rebalance", "kind", BUCKET)
+    def _bucketed(self, rows: DataFrame, key: str = "order_id", schema: T.StructType | None = None) -> DataFrame:
+        """rows by bucket of their key; large buckets are written by several tasks, small ones share one."""
+        placed = rows.withColumn(BUCKET, self._bucket(key))
+        return (placed.select(*schema.fieldNames()) if schema else placed).hint("rebalance", BUCKET)
 
-    def earlier_keys(self, kind: str, keys: DataFrame, batch_id: int) -> DataFrame:
-        """Index rows of earlier batches in the buckets that ``keys`` fall in.
+    def earlier_keys(self, table: str, keys: DataFrame, attempts: list[str]) -> DataFrame:
+        """Index rows of earlier batches in the buckets that ``keys`` (one column) fall in.
 
         The buckets (no more rows than the index has folders) are broadcast, and Spark prunes the
         scan to their folders while the query runs. Of an index of any age a small batch thus reads a few folders.
         """
         touched = keys.select(self._bucket(keys.columns[0]).alias(BUCKET)).distinct()
-        index = self.store.before(KEYS, batch_id).where(F.col("kind") == kind)
-        return index.join(F.broadcast(touched), BUCKET, "left_semi")
+        return self.store.of_attempts(table, attempts).join(F.broadcast(touched), BUCKET, "left_semi")
 
-    def _reused(self, arrived: DataFrame, batch_id: int) -> DataFrame:
+    def _reused(self, batch_id: int, attempt: str, earlier: list[str]) -> DataFrame:
         """Event ids of the batch that an earlier event of another order has."""
-        own = event_keys(arrived)
-        ids = valid_events(arrived).select("event_id")
-        earlier = self.earlier_keys(EVENT_KEY, ids, batch_id).withColumnRenamed("key", "event_id")
-        return reused_event_ids(own, earlier).select(*REUSED_SCHEMA.fieldNames())
-
-    def _duplicates(self, valid: DataFrame, batch_id: int) -> DataFrame:
-        """Valid events of the batch beyond the first ever of their order."""
-        per_order = valid.groupBy("order_id").agg(F.count("*").alias("events"))
-        earlier = self.earlier_keys(ORDER_KEY, valid.select("order_id"), batch_id).select("order_id")
+        own = self.store.batch(EVENT_KEYS, batch_id, attempt)
+        # Any bucket with a row is read by this filter's sake alone: it tells Spark that the buckets are few.
+        index = self.earlier_keys(EVENT_KEYS, own.where(F.col("event_id") != "").select("event_id"), earlier) if earlier else None
+        return reused_event_ids(own, index).select(*REUSED_SCHEMA.fieldNames())
+
+    def _order_keys(self, valid: DataFrame, earlier: list[str]) -> DataFrame:
+        """Each order of the batch with its state before and after. Earlier batches have one row of it each, of which the last one counts."""
+        own = valid.groupBy("order_id").agg(
+            F.count("*").alias("events"),
+            F.min("seq").alias("seq"),
+            F.min_by(F.struct(*FIXED), "seq").alias("first"),
+            F.max_by("order_status", "seq").alias("order_status"),
+        )
+        if not earlier:
+            return own.select(
+                "order_id", "seq", "events", F.lit(False).alias("known"), "first.*", "order_status", F.lit(None).cast("string").alias("status_before")
+            )
+        index = self.earlier_keys(ORDER_KEYS, valid.select("order_id"), earlier)
         # The batch is the small side: if Spark can broadcast its ids, the index isn't shuffled.
-        stored = earlier.join(per_order.select("order_id"), "order_id", "left_semi").distinct()
-        marked = per_order.join(stored.withColumn("_stored", F.lit(1)), "order_id", "left")
-        new = F.col("_stored").isNull().cast("long")
-        return marked.agg(F.coalesce(F.sum(F.col("events") - new), F.lit(0)).alias("duplicates")).select(
-            F.lit(batch_id).cast("long").alias(BATCH), "duplicates"
+        met = index.select("order_id", F.col(BATCH).alias("_batch"), *FIXED, F.col("order_status").alias("_status")).join(
+            own.select("order_id"), "order_id", "left_semi"
+        )
+        before = met.groupBy("order_id").agg(F.max_by(F.struct(*FIXED, "_status"), "_batch").alias("before"))
+        known = F.col("before").isNotNull()
+        return own.join(before, "order_id", "left").select(
+            "order_id",
+            "seq",
+            "events",
+            known.alias("known"),
+            *[F.when(known, F.col("before")[c]).otherwise(F.col("first")[c]).alias(c) for c in FIXED],
+            "order_status",
+            F.col("before._status").alias("status_before"),
         )
 
-    def _new_dimension_rows(self, valid: DataFrame, batch_id: int, now: Column) -> dict[str, DataFrame]:
+    def _new_dimension_rows(self, valid: DataFrame, attempts: Collection[str], now: Column) -> dict[str, DataFrame]:
         """Rows for keys that orders bring along; events that end in quarantine bring none."""
         orders, items = order_versions_of(valid), line_items_of(valid)
-        known = {name: self.store.before(name, batch_id) for name in DIMENSIONS}
+        known = {name: self.store.of_attempts(name, attempts) for name in DIMENSIONS}
         inferred = {
             "dim_customers": dims.infer_customers(orders, known["dim_customers"]),
             "dim_locations": dims.infer_locations(orders, known["dim_locations"]),
@@ -201,6 +239,21 @@ class OrderStore:
         marked = self.store.committed().where(F.col("details").isNotNull()).select(BATCH, stats).select(BATCH, "stats.*")
         return batch_metrics(marked)
 
+    def hourly_mart(self) -> DataFrame:
+        """The hourly mart as the batches have kept it, one small row per batch and hour it touched."""
+        return mart_of_changes(self.store.read(CHANGES))
+
+    def orders_since(self, moment: Column) -> DataFrame:
+        """Orders with a valid event processed at the moment or later, and the last such time.
+
+        The markers know the latest time of each batch, so only folders of batches that reach the moment are scanned.
+        """
+        finished = F.from_json("details", STATS_SCHEMA)["finished_at"]
+        recent = self.store.committed().where(finished >= moment).select(BATCH, ATTEMPT)
+        log, reused = (self.store.raw(t).join(F.broadcast(recent), [BATCH, ATTEMPT], "left_semi").drop(ATTEMPT) for t in (LOG, REUSED))
+        events = settled_valid(log, reused).where(F.col("processed_at") >= moment)
+        return events.groupBy("order_id").agg(F.max("processed_at").alias("processed_at"))
+
     def order_log(self) -> DataFrame:
         """Valid events of the log."""
         return settled_valid(self.store.read(LOG), self.store.read(REUSED))
@@ -219,7 +272,7 @@ class OrderStore:
     # --- compaction ---------------------------------------------------------------------
 
     def _compacted_schemas(self) -> dict[str, T.StructType]:
-        log = self.spark.createDataFrame([], T.StructType([*LOG_SCHEMA.fields, T.StructField(BATCH, T.LongType())]))
+        log = no_rows(self.spark, T.StructType([*LOG_SCHEMA.fields, T.StructField(BATCH, T.LongType())]))
         orders, items = current_orders(order_versions_of(log)), line_items_of(log)
         tables = {ORDERS: self._bucketed(orders), ITEMS: self._bucketed(items), REJECTED: quarantine_rows(log)}
         return {name: rows.schema for name, rows in tables.items()}
@@ -258,9 +311,6 @@ class OrderStore:
         self._compact_all(state, number, now)
         return {"mode": "full", "buckets": self.buckets}
 
-    def _bucketed(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn(BUCKET, self._bucket("order_id")).hint("rebalance", BUCKET)
-
     def _compact_all(self, state: "_CompactionState", number: int, batches: DataFrame) -> None:
         """All tables from the log.
 

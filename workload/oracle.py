@@ -462,6 +462,11 @@ BODIES: dict[str, str] = {
         count(*) FILTER (WHERE order_status = 'CANCELLED') AS cancelled, (SELECT count(*) FROM q) AS rejected FROM fo) m""",
     "hourly_mart_upsert": f"""SELECT {_MART_COLUMNS} FROM ({_mart(_EARLY, '(SELECT * FROM q WHERE batch_id = 0)')}) m WHERE start NOT IN {_TOUCHED}
         UNION ALL SELECT {_MART_COLUMNS} FROM ({_mart('fo', 'q')}) m WHERE start IN {_TOUCHED}""",
+    "mart_month": f"""SELECT {_MART_COLUMNS} FROM ({_mart('fo', 'q')}) m
+        WHERE strftime(start, '%Y-%m') = (SELECT strftime(max(order_timestamp), '%Y-%m') FROM fo)""",
+    "orders_after_merge": f"SELECT {_FACT_COLUMNS}, versions FROM fo",
+    "items_after_merge": f"""SELECT order_id, count(*) AS lines, {dbl("sum(total_item_price)")} AS total, CAST(sum(quantity) AS BIGINT) AS units
+        FROM foi GROUP BY order_id""",
     "batch_stats": f"""SELECT batch_id, processed, valid, quarantined, coalesce(duplicates, 0) AS duplicates, {ts("finished_at")} AS finished_at
         FROM stats LEFT JOIN dups USING (batch_id)""",
     "batch_health_metric": f"""SELECT batch_id, {ts("finished_at")} AS timestamp, 'SPARK' AS component, 'BATCH_RECORDS_PROCESSED' AS metric_name,
@@ -503,7 +508,8 @@ BODIES: dict[str, str] = {
         quarter(order_timestamp) AS quarter, {ts("date_trunc('hour', order_timestamp)")} AS hour_start,
         {ts("date_trunc('hour', order_timestamp) - INTERVAL 1 HOUR")} AS previous_hour, 'Customer ' || customer_id AS label, item_count AS json_count FROM fo""",
     "stream_dedup": "SELECT DISTINCT user_id FROM events",
-    "stream_hourly_rollup": f"""SELECT {ts("date_trunc('hour', ots)")} AS hourly_window_start, {ts("date_trunc('hour', ots) + INTERVAL 1 HOUR")} AS hourly_window_end,
+    "stream_hourly_rollup": f"SELECT {_MART_COLUMNS} FROM ({_mart('fo', 'q')}) m",
+    "stream_hourly_once": f"""SELECT {ts("date_trunc('hour', ots)")} AS hourly_window_start, {ts("date_trunc('hour', ots) + INTERVAL 1 HOUR")} AS hourly_window_end,
         count(*) AS total_orders, {dbl("sum(wire_net)")} AS total_revenue, CAST(sum(wire_count) AS BIGINT) AS total_items_sold
         FROM (SELECT * FROM dl WHERE code IS NULL) d WHERE copy IN (0, 3) GROUP BY date_trunc('hour', ots)""",
     "stream_event_rate": f"""SELECT {ts("time_bucket(INTERVAL 30 SECOND, ts)")} AS window_start, count(*) AS events,

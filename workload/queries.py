@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -15,10 +15,10 @@ from millrace.operators import audits, contract, dimensions as dims, facts, look
 from millrace.operators.decode import counted, decode_events
 from millrace.operators.validation import classify, quarantine_rows
 from millrace.plans import marts, monitoring, reports, results
-from millrace.session import scratch_path
+from millrace.session import scratch_path, together
 from millrace.sources import events as ev, tables as tb
 from millrace.streaming import windows
-from millrace.streaming.ingest import LOG, OrderStore
+from millrace.streaming.ingest import CHANGES, LOG, OrderStore
 from workload.stage import Warehouse, warehouse
 
 Query = Callable[[Warehouse], DataFrame]
@@ -546,8 +546,12 @@ def live_ingest_rate(w: Warehouse) -> DataFrame:
     """The rate at the time of the newest order, and the fallback long after it."""
     newest = w.orders().agg(F.max("processed_at")).scalar()
     much_later = w.as_of + F.expr("INTERVAL 100 DAYS")
-    now = reports.live_ingest_rate(w.orders(), w.metrics(), newest)
-    later = reports.live_ingest_rate(w.orders(), w.metrics(), much_later)
+
+    def rate(moment: Column) -> DataFrame:
+        recent = w.store().orders_since(moment - F.expr("INTERVAL 30 SECONDS"))
+        return reports.live_ingest_rate(recent, w.metrics(), moment)
+
+    now, later = rate(newest), rate(much_later)
     return now.withColumn("moment", F.lit("newest order")).unionByName(later.withColumn("moment", F.lit("idle")))
 
 
@@ -594,16 +598,20 @@ def dq_suite(w: Warehouse) -> DataFrame:
 
 
 def _audit_log(w: Warehouse) -> DataFrame:
-    """The stored log after eight runs, an hour apart, each of which audits the tables and appends."""
+    """The stored log after eight runs, each of which audits the tables and appends; all at once."""
 
     def build() -> results.ResultStore:
         store = results.ResultStore(w.spark, f"{w.root}/audits")
-        for hour in reversed(range(8)):
+
+        def audit(hour: int) -> None:
             suite = audits.audit_suite(w.orders(), *w.order_dimensions())
             stamp = w.as_of - F.lit(hour) * F.expr("INTERVAL 1 HOUR")
             store.append(results.AUDITS, audits.audit_log_rows(suite, stamp), stamp)
+
+        together(w.spark, *[partial(audit, hour) for hour in range(8)])
         return store
 
+    w.orders()
     return w.once("audit_log", build).audit_log()
 
 
@@ -634,27 +642,40 @@ def hourly_mart_upsert(w: Warehouse) -> DataFrame:
 
     Only orders and rejections of the touched hours are summed up for the replacement.
     """
-    versions, quarantine = w.versions(), w.quarantine()
-    early = marts.hourly_rollup(
-        ver.current_orders(versions.where(F.col("batch_id") == 0)), quarantine.where(F.col("batch_id") == 0), w.as_of
-    )
-    ordered_in = F.date_trunc("hour", "order_timestamp")
-    rejected_in = F.date_trunc("hour", "quarantined_at")
-    touched = (
-        versions.where(F.col("batch_id") == 1)
-        .select(ordered_in.alias("hour"))
-        .unionByName(quarantine.where(F.col("batch_id") == 1).select(rejected_in.alias("hour")))
-        .distinct()
-    )
+    orders, quarantine = w.orders(), w.quarantine()
+    changes = w.store().store.read(CHANGES)
+    touched = changes.where(F.col("batch_id") == 1).select(F.col("start").alias("hour"))
     fresh = marts.hourly_rollup(
-        w.orders().withColumn("hour", ordered_in).join(touched, "hour", "left_semi"),
-        quarantine.withColumn("hour", rejected_in).join(touched, "hour", "left_semi"),
+        orders.withColumn("hour", F.date_trunc("hour", "order_timestamp")).join(touched, "hour", "left_semi"),
+        quarantine.withColumn("hour", F.date_trunc("hour", "quarantined_at")).join(touched, "hour", "left_semi"),
         w.as_of,
     )
-    store = results.ResultStore(w.spark, scratch_path(w.spark, "mart"))
-    store.replace_hours(early, w.as_of)
-    store.replace_hours(fresh, w.as_of)
-    return store.mart()
+    w.results().replace_hours(marts.mart_of_changes(changes.where(F.col("batch_id") == 0)), w.as_of)
+    w.results().replace_hours(fresh, w.as_of)
+    return w.results().mart()
+
+
+@query
+def mart_month(w: Warehouse) -> DataFrame:
+    """Hours of the stored mart in the month of the newest order, from that month's folders."""
+    newest = w.orders().agg(F.date_format(F.max("order_timestamp"), "yyyy-MM")).first()[0]
+    store = results.ResultStore(w.spark, scratch_path(w.spark, "month"))
+    store.replace_hours(marts.hourly_rollup(w.orders(), w.quarantine(), w.as_of), w.as_of)
+    return store.mart([newest])
+
+
+@query
+def orders_after_merge(w: Warehouse) -> DataFrame:
+    """Orders compacted after the first batch, with the second one merged into their buckets."""
+    return w.merged("fact_orders").select(*ORDER_COLUMNS, "versions")
+
+
+@query
+def items_after_merge(w: Warehouse) -> DataFrame:
+    """Line items of the same, by order."""
+    return w.merged("fact_order_items").groupBy("order_id").agg(
+        F.count("*").alias("lines"), F.sum("total_item_price").alias("total"), F.sum("quantity").cast("long").alias("units")
+    )
 
 
 @query
@@ -857,7 +878,13 @@ def stream_dedup(w: Warehouse) -> DataFrame:
 
 @query
 def stream_hourly_rollup(w: Warehouse) -> DataFrame:
-    """Hourly orders kept by a stream of all raw order events, each order counted once."""
+    """The hourly mart as stream ingest keeps it, repeated deliveries taken back."""
+    return w.streamed().hourly_mart()
+
+
+@query
+def stream_hourly_once(w: Warehouse) -> DataFrame:
+    """Hourly orders kept by a windowed stream of all raw order events, each order counted once."""
     w.raw()
     path = scratch_path(w.spark, "hourly")
     raw = ev.read_order_stream(w.spark, f"{w.root}/raw_events/*")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.model import RAW_EVENT
 from millrace.operators.validation import order_versions_of
+from millrace.plans.results import ResultStore
 from millrace.session import prepare, scratch_path
 from millrace.sources.events import read_order_stream
 from millrace.streaming.ingest import BUCKET, DIMENSIONS, OrderStore, ingest_stream
@@ -105,15 +106,28 @@ class Warehouse:
         return order_versions_of(self.store().order_log())
 
     def compacted(self, name: str) -> DataFrame:
-        """A table of the compacted store: the first batch is compacted, then the second is merged in."""
+        """A table of the compacted store; compaction runs once."""
 
         def build() -> str:
-            self.store().compact(f"{self.root}/compacted", through=0)
             self.store().compact(f"{self.root}/compacted")
             return f"{self.root}/compacted"
 
         return self.store().compacted(self.once("compacted", build), name).drop(BUCKET)
 
+    def merged(self, name: str) -> DataFrame:
+        """The same where the first batch was compacted and the second one merged in."""
+
+        def build() -> str:
+            for through in (0, None):
+                self.store().compact(f"{self.root}/merged", through)
+            return f"{self.root}/merged"
+
+        return self.store().compacted(self.once("merged", build), name).drop(BUCKET)
+
+    def results(self) -> ResultStore:
+        """Stored results."""
+        return ResultStore(self.spark, f"{self.root}/results")
+
     def orders(self) -> DataFrame:
         return self.compacted("fact_orders")
 
