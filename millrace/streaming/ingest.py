@@ -131,8 +131,13 @@ class OrderStore:
         earlier = [name for number, name in attempts.items() if number != SEED_BATCH]
         self.store.write(LOG, ingest_plan(raw, now, tolerance), batch_id, attempt, ["outcome"])
         arrived = self.store.batch(LOG, batch_id, attempt)
-        self.store.write(EVENT_KEYS, self._bucketed(event_keys(arrived), "event_id", EVENT_SCHEMA), batch_id, attempt, [BUCKET])
-        if self.store.write_counted(REUSED, self._reused(batch_id, attempt, earlier), batch_id, attempt):
+        own = event_keys(arrived)
+        _, repeated_ids = together(
+            self.spark,
+            partial(self.store.write, EVENT_KEYS, self._bucketed(own, "event_id", EVENT_SCHEMA), batch_id, attempt, [BUCKET]),
+            partial(self.store.write_counted, REUSED, self._reused(own, earlier), batch_id, attempt),
+        )
+        if repeated_ids:
             reused = self.store.batch(REUSED, batch_id, attempt)
             log, valid = settled(arrived, reused), settled_valid(arrived, reused)
         else:  # as in a consistent source
@@ -176,11 +181,9 @@ class OrderStore:
         touched = keys.select(self._bucket(keys.columns[0]).alias(BUCKET)).distinct()
         return self.store.of_attempts(table, attempts).join(F.broadcast(touched), BUCKET, "left_semi")
 
-    def _reused(self, batch_id: int, attempt: str, earlier: list[str]) -> DataFrame:
+    def _reused(self, own: DataFrame, earlier: list[str]) -> DataFrame:
         """Event ids of the batch that an earlier event of another order has."""
-        own = self.store.batch(EVENT_KEYS, batch_id, attempt)
-        # Any bucket with a row is read by this filter's sake alone: it tells Spark that the buckets are few.
-        index = self.earlier_keys(EVENT_KEYS, own.where(F.col("event_id") != "").select("event_id"), earlier) if earlier else None
+        index = self.earlier_keys(EVENT_KEYS, own.select("event_id"), earlier) if earlier else None
         return reused_event_ids(own, index).select(*REUSED_SCHEMA.fieldNames())
 
     def _order_keys(self, valid: DataFrame, earlier: list[str]) -> DataFrame:
