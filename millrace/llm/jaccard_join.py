@@ -198,8 +198,8 @@ def _parities(digests: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return list(np.ascontiguousarray(bits).view(np.int64).reshape(n, len(PARITIES)).T)
 
 
-def sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and the two names (set, set2) of every document's set, stored."""
+def sets(docs: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, the two names (set, set2) of every document's set, and columns of longs that go along; stored."""
 
     def run(batches):
         for batch in batches:
@@ -207,10 +207,12 @@ def sets(docs: DataFrame) -> DataFrame:
             for first, end in runs(texts):
                 digests, offsets = shingle_sets(texts[first:end])
                 one, two = _names(digests, offsets)
-                columns = [batch.column(0).slice(first, end - first), pa.array(np.diff(offsets), pa.int64()), pa.array(one), pa.array(two)]
-                yield pa.record_batch(columns, ["doc_id", "n_shingles", "set", "set2"])
+                rest = [batch.column(2 + k).slice(first, end - first) for k in range(len(also))]
+                columns = [batch.column(0).slice(first, end - first), pa.array(np.diff(offsets), pa.int64()), pa.array(one), pa.array(two), *rest]
+                yield pa.record_batch(columns, ["doc_id", "n_shingles", "set", "set2", *also])
 
-    return stored(mapped(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, n_shingles long, set long, set2 long"), "shingle-sets")
+    shape = ", ".join(f"{c} long" for c in ["doc_id", "n_shingles", "set", "set2", *also])
+    return stored(mapped(docs.select(F.col("doc_id").cast("long"), "text", *also), run, shape), "shingle-sets")
 
 
 def lists(docs: DataFrame, large: int) -> DataFrame:
@@ -330,12 +332,17 @@ def _sharing_rare(left: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("set", "o_set").alias("a"), F.least("set", "o_set").alias("b")).distinct()
 
 
+def _roots(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """node and root of the sets that link with others."""
+    sizes = named.filter(f"n_shingles BETWEEN {LEAST} AND {SMALL}").groupBy("n_shingles").count().collect()
+    large = boundary({r["n_shingles"]: r["count"] for r in sizes})
+    return components(links(docs, large))
+
+
 def joined(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     named = sets(docs)
-    sizes = named.filter(f"n_shingles BETWEEN {LEAST} AND {SMALL}").groupBy("n_shingles").count().collect()
-    large = boundary({r["n_shingles"]: r["count"] for r in sizes})
-    roots = components(links(docs, large))
+    roots = _roots(docs, named)
     equal = named.filter("n_shingles > 0").groupBy("set", "set2", "n_shingles").agg(F.min("doc_id").alias("first"))
     equal = equal.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     linked = roots.select("root").distinct()
@@ -347,10 +354,22 @@ def joined(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """docs without the near copies: of each component the document of smallest doc_id.
+    """docs without the near copies: one row of each component, that of the smallest doc_id.
 
-    Of several rows with that doc_id one stays; rows with a null doc_id all stay.
+    Of rows with that doc_id (nulls come last) the one with the smallest digest of all its columns stays, so reruns agree; of rows that are the same in
+    every column one stays. Rows that link with nothing all stay, whatever their doc_id, and so do those without a shingle.
     """
-    kept = joined(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
-    return rows.union(docs.filter("doc_id IS NULL"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    names = ("__row", "__row2")
+    rows = docs.withColumns({"__row": F.xxhash64(*columns), "__row2": F.xxhash64(F.lit(1), *columns)})
+    named = sets(rows, names)
+    alone = named.filter("n_shingles = 0").select(*names)
+    roots = _roots(docs, named)
+    of = named.filter("n_shingles > 0").join(roots.withColumnRenamed("node", "set"), "set", "left")
+    # Equal sets are a component of their own where no other set links with them.
+    single = F.col("root").isNull()
+    group = [F.coalesce("root", "set").alias("g"), F.when(single, F.col("set2")).alias("g2"), F.when(single, F.col("n_shingles")).alias("g3")]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *names)).alias("first")
+    kept = of.groupBy(*group).agg(first).select(*[F.col(f"first.{n}") for n in names])
+    stay = rows.join(kept, list(names), "left_semi").dropDuplicates(list(names))
+    return stay.union(rows.join(alone.distinct(), list(names), "left_semi")).select(*columns)

@@ -16,11 +16,11 @@ bounded rows, each whole.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +33,18 @@ CENTROIDS = 4
 PER_LANGUAGE = 500
 #: Share of the language's sample that a centroid has at least.
 FEW = 0.02
-#: A text is too far away below FAR times the cosine that LOW of the centroid's sample rows lie under.
-FAR, LOW = 0.1, 0.01
+#: Numbers of n-grams for which limits are set. A text is too far from a language if its cosine lies below the limit for the largest of these that it reaches:
+#: APART of the way from the cosine that HIGH of texts of random letters stay under to the one that all but LOW of the language's sample
+#: reach, both with as many n-grams. Where the two overlap the limit is FAR times the latter, and shorter texts have none.
+LENGTHS = tuple(1 << k for k in range(5, 13))
+APART, LOW, HIGH, FAR = 0.1, 0.01, 0.99, 0.1
+#: Texts of random letters, and sample rows of a language, that a limit is set by.
+NOISE, TRIED = 200, 120
 #: Texts that are turned into vectors at a time.
 ROWS = 256
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _BLANKED = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
@@ -48,7 +53,7 @@ class Model:
     languages: list[str]  # one for each centroid
     idf: np.ndarray
     centroids: np.ndarray  # DIMS x centroids, columns of length 1
-    limits: np.ndarray
+    limits: np.ndarray  # centroids x LENGTHS
 
 
 def counts(texts: list[str | None]) -> np.ndarray:
@@ -110,15 +115,49 @@ def fit(docs: DataFrame) -> Model:
     return centroids(picked, idf)
 
 
+def _noise(n: int, r: np.random.Generator) -> list[str]:
+    """NOISE texts of random letters, of about n n-grams each."""
+    out = []
+    for _ in range(NOISE):
+        letters = r.integers(97, 123, n // 2 + 1).astype(np.uint8)
+        letters[np.cumsum(r.integers(3, 11, len(letters)))[: len(letters) // 10] % len(letters)] = 32
+        out.append(letters.tobytes().decode())
+    return out
+
+
+def _drawn(rows: np.ndarray, n: int, r: np.random.Generator) -> np.ndarray:
+    """n n-grams out of each of rows (counts) that has as many."""
+    rows = rows[rows.sum(axis=1) >= n][:TRIED].astype(np.float64)
+    shares = rows / rows.sum(axis=1, keepdims=True)
+    return np.stack([r.multinomial(n, p) for p in shares]).astype(np.float32) if len(rows) else np.zeros((0, DIMS), np.float32)
+
+
+def _limits(rows: np.ndarray, own: np.ndarray, noise: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
+    """The limits of a language with sample rows (counts) and centroids own (rows), given unit vectors of random letters for each length."""
+    r = np.random.default_rng(7)
+    out = []
+    for n, far in zip(LENGTHS, noise):
+        some = _drawn(rows, n, r)
+        if not len(some):
+            out.append(out[-1] if out else 0.0)
+            continue
+        low = np.quantile((_unit(some * idf) @ own.T).max(axis=1), LOW)
+        high = np.quantile((far @ own.T).max(axis=1), HIGH)
+        out.append(float(high + APART * (low - high) if low > high else FAR * low))
+    return np.array(out, np.float32)
+
+
 def centroids(picked: list[tuple[str, list[int], list[float]]], idf: np.ndarray) -> Model:
     """Spherical k-means within each language."""
     languages, columns, limits = [], [], []
+    r = np.random.default_rng(11)
+    noise = [_unit(counts(_noise(n, r)) * idf) for n in LENGTHS] if picked else []
     for lang in sorted({p[0] for p in picked}):
         own = [p for p in picked if p[0] == lang]
-        rows = np.zeros((len(own), DIMS), np.float32)
+        raw = np.zeros((len(own), DIMS), np.float32)
         for k, (_, dims, values) in enumerate(own):
-            rows[k, dims] = values
-        rows = _unit(rows * idf)
+            raw[k, dims] = values
+        rows = _unit(raw * idf)
         rows = rows[(rows > 0).any(axis=1)]
         if not len(rows):
             continue
@@ -129,15 +168,14 @@ def centroids(picked: list[tuple[str, list[int], list[float]]], idf: np.ndarray)
         # A few odd rows make no language.
         share = np.bincount((rows @ at.T).argmax(axis=1), minlength=len(at)) / len(rows)
         at = at[share >= min(FEW, share.max())]
-        cosine = rows @ at.T
-        near = cosine.argmax(axis=1)
+        limit = _limits(raw, at, noise, idf)
         for c in range(len(at)):
             languages.append(lang)
             columns.append(at[c])
-            limits.append(FAR * np.quantile(cosine[near == c, c] if (near == c).any() else cosine[:, c], LOW))
+            limits.append(limit)
     if not columns:
-        return Model([], idf, np.zeros((DIMS, 0), np.float32), np.zeros(0, np.float32))
-    return Model(languages, idf, np.stack(columns, axis=1), np.array(limits, np.float32))
+        return Model([], idf, np.zeros((DIMS, 0), np.float32), np.zeros((0, len(LENGTHS)), np.float32))
+    return Model(languages, idf, np.stack(columns, axis=1), np.stack(limits))
 
 
 def judged(docs: DataFrame, model: Model, columns: list[str], names: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
@@ -151,14 +189,18 @@ def judged(docs: DataFrame, model: Model, columns: list[str], names: tuple[str,
         for k in range(0, len(texts), ROWS):
             part = texts[k : k + ROWS]
             if model.languages:
-                cosine = _unit(counts(part) * model.idf) @ model.centroids
+                found = counts(part)
+                size = found.sum(axis=1)
+                cosine = _unit(found * model.idf) @ model.centroids
                 best = cosine.argmax(axis=1)
+                step = np.searchsorted(LENGTHS, size, side="right") - 1
+                limit = np.where(step >= 0, model.limits[best, np.maximum(step, 0)], 0)
                 top = np.clip(cosine[np.arange(len(part)), best], 0, 1)
             for j, text in enumerate(part):
                 if not model.languages or not text or not _LETTER.search(text):
                     lang.append(UNDETERMINED), score.append(0.0), out.append(True)
                 else:
-                    lang.append(model.languages[best[j]]), score.append(float(top[j])), out.append(bool(top[j] < model.limits[best[j]]))
+                    lang.append(model.languages[best[j]]), score.append(float(top[j])), out.append(bool(top[j] < limit[j]))
         arrays = [*rows.columns[: len(columns)], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(out, pa.bool_())]
         return pa.Table.from_arrays(arrays, names=[f.name for f in shape.fields])
 

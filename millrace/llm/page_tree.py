@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from math import log1p
 
 # Element names of HTML by what they are.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg object textarea select title head math canvas audio video".split())
+RAW = frozenset("script style template textarea select title head".split())
+#: Of these a page that ends within one has nothing more to say; other unclosed ones go on after their start tag.
+TO_THE_END = frozenset("script style".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter output q ruby rp rt s samp small span strike strong "
-    "sub sup time tt u var wbr br button input nobr picture progress".split()
+    "sub sup time tt u var wbr br button input nobr picture progress "
+    "noscript iframe object embed canvas audio video map slot "
+    "math mi mo mn ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mtable mtr mtd mspace mstyle mpadded semantics annotation "
+    "svg g path rect circle ellipse line polygon polyline text tspan defs use symbol".split()
 )
 #: Elements that end open ones of the kinds named when they begin.
 CLOSES = {
@@ -61,7 +67,8 @@ _SEMANTIC = range(5, 11)
 OTHER_GROUPS = frozenset((6, 7, 8, 9, 10))
 OTHER_TOKENS = sum(1 << t for t in (1, 4, 5, 6, 7, 8, 9))
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"</?([a-zA-Z][^\s/<>]*)")
+_STOP = re.compile("[>\"']")
 _NAMED = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"\shidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
@@ -97,6 +104,37 @@ def _tokens(attributes: str) -> int:
     return out
 
 
+class _Tags:
+    """Where the tags of a page end; each part of the page is looked at once, however many tags never end."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.barren = len(page) + 1  # from here on there is neither a quote nor a >
+        self.lone: dict[str, int] = {}  # from here on the quote has no partner
+        self.dead: set[int] = set()  # quotes after which no tag ends
+
+    def end(self, at: int) -> int:
+        """The place after the > that ends the tag whose name ends at at, or -1. Quoted parts don't count; a quote without a partner is a sign like others."""
+        seen: list[int] = []
+        while at < self.barren:
+            stop = _STOP.search(self.page, at)
+            if stop is None:
+                self.barren = at
+                break
+            k, sign = stop.start(), stop[0]
+            if sign == ">":
+                return k + 1
+            if k in self.dead:
+                break
+            seen.append(k)
+            close = self.page.find(sign, k + 1) if k < self.lone.get(sign, len(self.page)) else -1
+            if close < 0:
+                self.lone[sign] = min(k, self.lone.get(sign, k))
+            at = (close if close >= 0 else k) + 1
+        self.dead.update(seen)
+        return -1
+
+
 def parse(page: str) -> Node:
     """The tree of a page; elements without text are left out. Blocks are in page order."""
     root = Node("html", None)
@@ -125,38 +163,64 @@ def parse(page: str) -> Node:
                 link_words[0] += len(text.split())
 
     at, end = 0, len(page)
-    search = _MARKUP.search
+    tags, unclosed, open_ = _Tags(page), set(), Counter()
+
+    def cut(k: int) -> None:
+        """Elements from the k-th on end."""
+        for node in stack[k:]:
+            open_[node.tag] -= 1
+        del stack[k:]
+
     while at < end:
-        m = search(page, at)
-        if m is None:
+        less = page.find("<", at)
+        if less < 0:
             say(page[at:])
             break
-        say(page[at : m.start()])
-        at = m.end()
-        name = m[2]
-        if name is None:
-            if m[0].startswith("<![CDATA["):
-                say(m[0][9:].removesuffix("]]>"))
+        say(page[at:less])
+        if page.startswith("<!--", less):
+            close = page.find("-->", less + 4)
+            at = close + 3 if close >= 0 else end
+            continue
+        if page.startswith("<![CDATA[", less):
+            close = page.find("]]>", less)
+            say(page[less + 9 : close if close >= 0 else end])
+            at = close + 3 if close >= 0 else end
+            continue
+        if page.startswith(("<!", "<?"), less):
+            close = page.find(">", less)
+            at = close + 1 if close >= 0 else end
+            continue
+        m = _NAME.match(page, less)
+        at = tags.end(m.end()) if m else -1
+        if at < 0:  # no tag
+            say("<")
+            at = less + 1
             continue
-        name = name.lower()
-        if m[1]:
+        name = m[1].lower()
+        if page[less + 1] == "/":
             if name in INLINE:
                 if name == "a" and in_link:
                     in_link -= 1
-            elif any(n.tag == name for n in stack[1:]):
+            elif open_[name]:
                 flush()
-                while stack.pop().tag != name:
-                    pass
+                k = len(stack) - 1
+                while stack[k].tag != name:
+                    k -= 1
+                cut(k)
                 here, in_link = stack[-1], 0
             elif name == "p":
                 flush()
             continue
-        attributes = m[3] or ""
+        attributes = page[m.end() : at - 1]
         if name in RAW and not attributes.endswith("/"):
-            close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
-            if name == "head" and close is None:
-                continue
-            at = close.end() if close else end
+            close = None if name in unclosed else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            if close is None:
+                # It isn't looked for again.
+                unclosed.add(name)
+                if name in TO_THE_END:
+                    break
+            else:
+                at = close.end()
             if name in ("select", "textarea"):
                 here.inputs += 1
             continue
@@ -177,12 +241,13 @@ def parse(page: str) -> Node:
         closes = CLOSES.get(name, {"p"})
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in closes:
-                del stack[k:]
+                cut(k)
             elif stack[k].tag in SCOPE or name not in CLOSES:
                 break
         node = Node(name, stack[-1], _tokens(attributes))
         node.hidden = bool(_HIDDEN.search(attributes)) if attributes else False
         stack.append(node)
+        open_[name] += 1
         here = node
     flush()
     _sum(root)

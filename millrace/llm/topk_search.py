@@ -7,9 +7,9 @@ candidate whose sum plus that bound stays under the k-th best of the sums minus
 before the next group. Queries are packed too and meet every block of rows; each pair of blocks gives k
 rows per query, of which the best k are kept.
 
-Rows: vectors that are null or hold null or non-finite components take no part, nor do rows with a null vec_id. Of rows with
-the same vec_id the one whose vector sorts first counts. Vectors meet only vectors of as many components. Equal scores go to the smaller
-vec_id. A query alone, or an empty table, gives no rows. Only vec_id and embedding are read. |SCALE * x| must stay
+Rows: vectors that are null or hold null or non-finite components take no part, nor do rows with a null vec_id. Rows are told apart by
+a number of their own, so rows with the same vec_id are all candidates, meet each other, and each asks for itself if its vec_id is a query's.
+Vectors meet only vectors of as many components. Equal scores go to the smaller vec_id. A query alone, or an empty table, gives no rows. Only vec_id and embedding are read. |SCALE * x| must stay
 below 2 ** 31 and the sum of products below 2 ** 53.
 """
 
@@ -36,19 +36,18 @@ def usable(vectors: DataFrame) -> DataFrame:
     return vectors.select("vec_id", vector.alias("vector")).filter(F.col("vector").isNotNull() & fine)
 
 
-def unpacked(ids: pa.ListArray, vectors: pa.ListArray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors (rows) of the k-th block."""
-    i = ids[k].values.to_numpy(zero_copy_only=False)
-    v = vectors[k].values
-    return i, v.flatten().to_numpy(zero_copy_only=False).reshape(len(i), -1)
+def unpacked(rows: pa.ListArray, ids: pa.ListArray, vectors: pa.ListArray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, ids and vectors of the k-th block."""
+    r, i = (c[k].values.to_numpy(zero_copy_only=False) for c in (rows, ids))
+    return r, i, vectors[k].values.flatten().to_numpy(zero_copy_only=False).reshape(len(i), -1)
 
 
-def best(query: np.ndarray, own: int, ids: np.ndarray, columns: np.ndarray, left: list[np.ndarray], first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the k best rows of a block for one query, but for the row named own.
+def best(query: np.ndarray, own: int, rows: np.ndarray, ids: np.ndarray, columns: np.ndarray, left: list[np.ndarray], first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of the k best rows of a block for one query, but for the row numbered own.
 
     columns: dimension x row. left[g]: lengths of the rows without the first g groups of dimensions. first: sums over the first group.
     """
-    at = np.flatnonzero(ids != own)
+    at = np.flatnonzero(rows != own)
     sums = first[at]
     for g, d in enumerate(range(DIMS, len(query), DIMS), 1):
         if len(at) > k:
@@ -63,49 +62,52 @@ def best(query: np.ndarray, own: int, ids: np.ndarray, columns: np.ndarray, left
 
 def search(vectors: DataFrame, every: int = 50, k: int = K) -> DataFrame:
     """query_id, rank, vec_id and score of the k rows that score highest with each row whose vec_id is divisible by every."""
-    rows = usable(vectors).filter("vec_id IS NOT NULL").groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    rows = rows.select(F.col("vec_id").cast("long"), F.size("vector").alias("n"), F.transform("vector", lambda x: F.floor(x * SCALE).cast("double")).alias("vector"))
+    rows = usable(vectors).filter("vec_id IS NOT NULL")
+    whole = F.transform("vector", lambda x: F.floor(x * SCALE).cast("double")).alias("vector")
+    rows = rows.select(F.col("vec_id").cast("long"), F.size("vector").alias("n"), whole, F.monotonically_increasing_id().alias("row"))
+    # Written down, so that a row keeps its number.
     rows = stored(rows, "search-rows")
     size = rows.agg(F.count("*").alias("rows"), F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("queries")).first()
     blocks, query_blocks = -(-size["rows"] // ROWS) or 1, -(-size["queries"] // QUERIES) or 1
-    place = F.xxhash64("vec_id")
-    packed = rows.groupBy("n", F.pmod(place, F.lit(blocks)).alias("block")).agg(*_lists("vec_id", "vector"))
-    asked = rows.filter(F.col("vec_id") % every == 0).groupBy("n", F.pmod(place, F.lit(query_blocks)).alias("part")).agg(*_lists("query_id", "query"))
+    place = F.xxhash64("row")
+    packed = rows.groupBy("n", F.pmod(place, F.lit(blocks)).alias("block")).agg(*_lists("row", "vec_id", "vector"))
+    asked = rows.filter(F.col("vec_id") % every == 0).groupBy("n", F.pmod(place, F.lit(query_blocks)).alias("part")).agg(*_lists("query_row", "query_id", "query"))
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    pairs = packed.join(asked, ["n", "block"]).select("vec_id", "vector", "query_id", "query")
+    pairs = packed.join(asked, ["n", "block"]).select("row", "vec_id", "vector", "query_row", "query_id", "query")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in range(batch.num_rows):
-                ids, data = unpacked(batch.column(0), batch.column(1), b)
-                query_ids, queries = unpacked(batch.column(2), batch.column(3), b)
+                numbers, ids, data = unpacked(*batch.columns[:3], b)
+                query_rows, query_ids, queries = unpacked(*batch.columns[3:], b)
                 columns = np.ascontiguousarray(data.T)
                 squares = columns**2
                 left = [np.sqrt(squares[d:].sum(axis=0)) for d in range(0, len(columns), DIMS)]
                 sums = queries[:, :DIMS] @ columns[:DIMS]
-                for q, own, first in zip(queries, query_ids, sums):
-                    found, scores = best(q, own, ids, columns, left, first, k)
-                    yield pa.record_batch([pa.array(np.full(len(found), own)), pa.array(found), pa.array(scores.astype(np.int64))], ["query_id", "vec_id", "score"])
+                for q, own, name, first in zip(queries, query_rows, query_ids, sums):
+                    found, scores = best(q, own, numbers, ids, columns, left, first, k)
+                    made = [np.full(len(found), own), np.full(len(found), name), found, scores.astype(np.int64)]
+                    yield pa.record_batch([pa.array(c) for c in made], ["query_row", "query_id", "vec_id", "score"])
 
-    found = mapped(pairs, run, "query_id long, vec_id long, score long")
-    in_order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = mapped(pairs, run, "query_row long, query_id long, vec_id long, score long")
+    in_order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(in_order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _lists(one: str, other: str) -> list:
-    """Ids and vectors of a block in the same order, under the given names."""
-    both = F.collect_list(F.struct("vec_id", "vector"))
-    return [both["vec_id"].alias(one), both["vector"].alias(other)]
+def _lists(number: str, one: str, other: str) -> list:
+    """Row numbers, ids and vectors of a block in the same order, under the given names."""
+    both = F.collect_list(F.struct("row", "vec_id", "vector"))
+    return [both["row"].alias(number), both["vec_id"].alias(one), both["vector"].alias(other)]
 
 
 SQL = f"""
 WITH rows_ AS (
-  SELECT vec_id, min([x::DOUBLE for x in embedding]) AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 GROUP BY vec_id),
-v AS (SELECT vec_id, [floor({SCALE} * x) for x in e] AS e FROM rows_),
+  SELECT vec_id, [x::DOUBLE for x in embedding] AS e, row_number() OVER () AS row_no FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+v AS (SELECT vec_id, row_no, [floor({SCALE} * x) for x in e] AS e FROM rows_),
 scores AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
+  SELECT q.vec_id AS query_id, q.row_no, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.row_no <> c.row_no AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY row_no ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= {K}
 """

@@ -153,6 +153,22 @@ def test_edges(edges, docs):
     assert kept.filter("doc_id IS NULL").count() == 1
 
 
+def test_one_row_of_each_component_whatever_the_ids(docs):
+    long = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu " * 2
+    near = long + "nu"
+    texts = [long, "totally other words that nobody else has here", near, long, long, None, None, "", "x y z one two three four five six seven"]
+    ids = [1, 1, 2, 1, None, 3, 3, None, 1]
+    table = docs(texts, ids=ids)
+    rows = [(r["doc_id"], r["text"]) for r in jaccard_join.one_of_each(table.repartition(4)).collect()]
+    again = [(r["doc_id"], r["text"]) for r in jaccard_join.one_of_each(table.repartition(3)).collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    assert sorted(rows, key=key) == sorted(again, key=key)
+    # One of the four near copies; each other text under the same id; every row without a shingle.
+    assert [r for r in rows if r[1] in (long, near)] == [(1, long)]
+    assert {(1, texts[1]), (1, texts[8])} <= set(rows)
+    assert sum(r[1] in (None, "") for r in rows) == 3 and len(rows) == 6
+
+
 def test_parities_bound_the_difference():
     r = np.random.default_rng(3)
     pool = r.integers(0, 1 << 62, 400).astype(np.uint64)

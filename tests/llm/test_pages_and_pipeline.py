@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -53,6 +54,29 @@ def test_parts_around_the_article_go(forest, around):
     assert extract(forest, page) == TEXT
 
 
+@pytest.mark.parametrize(
+    "inside, text",
+    [
+        ("<p>Formula <math><mi>x</mi><mo>=</mo><mn>3</mn></math> holds.</p>", ["Formula x=3 holds."]),
+        ("<p>one</p><object data=x>two</object><p>three</p>", ["one", "two", "three"]),
+        ("<p>one</p><noscript><p>two</p><p>three</p>", ["one", "two", "three"]),
+        ("<p>one</p><select><option>two<p>three</p>", ["one", "two", "three"]),
+        ("<p>a &lt; b < c <d</p>", ["a < b < c <d"]),
+        ('<p class="x>one</p><p>two</p>', ["one", "two"]),
+    ],
+)
+def test_nothing_is_dropped_inside_an_article(inside, text):
+    blocks = [n.text for n in flat(parse(f"<article>{inside}</article>")) if not n.tag]
+    assert [b for b in blocks if b] == text
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a", '<a "', "<a '", '<a ">" ', "<!-", "</", "<div>", "<li>", "<textarea>", "<select>", "<a <b> ", "</div>", "<td><p>", "<!"])
+def test_pages_take_time_in_proportion(part):
+    start = time.process_time()
+    parse(part * (1_000_000 // len(part)))
+    assert time.process_time() - start < 15
+
+
 def test_malformed_pages(forest):
     for page in ["", "   ", "<", "<p", "<!-- never closed <p>x</p>", "<script>never closed", "</p></div>", "<a <b> c", "a < b", "<p><b>x<br><p>y", "<table><tr><td>1<tr><td>2", "<div>" * 3000 + "deep", "&#xD800; &nosuch; &amp"]:
         text = extract(forest, page)

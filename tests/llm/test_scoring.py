@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import math
 import random
 import re
@@ -33,6 +34,52 @@ def test_held_out_accuracy(spark, sf_dir):
     assert sum(r["lang_pred"] == langs[r["doc_id"]] for r in out) >= 0.97 * len(out)
 
 
+def test_nearest_centroid_and_limits_by_hand(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language_id.fit(given)
+    rows = language_id.judged(given, model, ["doc_id", "text"]).collect()
+    salts = (0x9E3779B1, 0x85EBCA6B)
+    for r in rows[:60]:
+        data = b" " + bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in (r["text"] or "").lower().encode()) + b" "
+        vector = [0.0] * language_id.DIMS
+        for n, salt in ((2, salts[0]), (3, salts[1])):
+            for i in range(len(data) - n + 1):
+                if data[i + n - 2 : i + n] != b"  ":
+                    vector[(int.from_bytes(data[i : i + n], "big") * salt % (1 << 32)) >> 19] += 1
+        weighed = np.array(vector) * model.idf
+        cosine = weighed @ model.centroids / (np.linalg.norm(weighed) or 1)
+        best = int(cosine.argmax())
+        if r["lang_pred"] != "und":
+            assert r["lang_pred"] == model.languages[best] and abs(r["score"] - min(1, max(0, cosine[best]))) < 1e-4
+            reached = [k for k, n in enumerate(language_id.LENGTHS) if sum(vector) >= n]
+            limit = model.limits[best][reached[-1]] if reached else 0
+            assert r["rejected"] == (r["score"] < limit) or abs(r["score"] - limit) < 1e-4
+
+
+def test_random_letters_and_other_languages_are_rejected(spark, docs):
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    given = spark.read.parquet(f"{folder}/documents.parquet")
+    model = language_id.fit(given)
+    r = random.Random(1)
+    odd = [" ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(n)) for n in (10, 20, 40, 100, 200, 500)]
+    odd += [
+        "Wczoraj wieczorem poszliśmy do lasu, aby zobaczyć stare drzewa, które rosną tam od bardzo dawna i nikt ich nie ścina.",
+        "Eilen illalla menimme metsään katsomaan vanhoja puita, jotka ovat kasvaneet siellä hyvin kauan eikä kukaan kaada niitä.",
+    ]
+    assert all(x["rejected"] for x in language_id.judged(docs(odd), model, ["doc_id"]).collect())
+    kept = language_id.judged(given, model, ["doc_id"]).filter("NOT rejected").count()
+    assert kept >= 0.995 * given.count()
+
+
+def test_numbers_and_marks_are_no_letters(docs):
+    table = docs(["der die das und ist nicht ein eine zu von " * 20, "½ ² Ⅷ ①", "١٢٣", "a"], langs=["de"] * 4)
+    rows = {r["doc_id"]: r for r in language_id.judged(table, language_id.fit(table), ["doc_id"]).collect()}
+    assert [rows[k]["lang_pred"] for k in range(4)] == ["de", "und", "und", "de"]
+    assert rows[1]["rejected"] and not rows[0]["rejected"]
+
+
 def test_languages_at_the_edges(edges, docs):
     rows = language_id.predicted(edges).collect()
     assert len(rows) == len(EDGES)
