@@ -365,10 +365,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     named = sets(rows, names)
     alone = named.filter("n_shingles = 0").select(*names)
     roots = _roots(docs, named)
-    of = named.filter("n_shingles > 0").join(roots.withColumnRenamed("node", "set"), "set", "left")
+    of = named.filter("n_shingles > 0").join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
+    of = of.join(roots.select("root", F.lit(True).alias("linked")).distinct(), "root", "left")
     # Equal sets are a component of their own where no other set links with them.
-    single = F.col("root").isNull()
-    group = [F.coalesce("root", "set").alias("g"), F.when(single, F.col("set2")).alias("g2"), F.when(single, F.col("n_shingles")).alias("g3")]
+    single = F.col("linked").isNull()
+    group = [F.col("root").alias("g"), F.when(single, F.col("set2")).alias("g2"), F.when(single, F.col("n_shingles")).alias("g3")]
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *names)).alias("first")
     kept = of.groupBy(*group).agg(first).select(*[F.col(f"first.{n}") for n in names])
     stay = rows.join(kept, list(names), "left_semi").dropDuplicates(list(names))
