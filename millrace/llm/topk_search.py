@@ -36,10 +36,11 @@ def usable(vectors: DataFrame) -> DataFrame:
     return vectors.select("vec_id", vector.alias("vector")).filter(F.col("vector").isNotNull() & fine)
 
 
-def unpacked(rows: pa.ListArray, ids: pa.ListArray, vectors: pa.ListArray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row numbers, ids and vectors of the k-th block."""
-    r, i = (c[k].values.to_numpy(zero_copy_only=False) for c in (rows, ids))
-    return r, i, vectors[k].values.flatten().to_numpy(zero_copy_only=False).reshape(len(i), -1)
+def unpacked(ids: pa.ListArray, vectors: pa.ListArray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors (rows) of the k-th block."""
+    i = ids[k].values.to_numpy(zero_copy_only=False)
+    v = vectors[k].values
+    return i, v.flatten().to_numpy(zero_copy_only=False).reshape(len(i), -1)
 
 
 def best(query: np.ndarray, own: int, rows: np.ndarray, ids: np.ndarray, columns: np.ndarray, left: list[np.ndarray], first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -78,8 +79,9 @@ def search(vectors: DataFrame, every: int = 50, k: int = K) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in range(batch.num_rows):
-                numbers, ids, data = unpacked(*batch.columns[:3], b)
-                query_rows, query_ids, queries = unpacked(*batch.columns[3:], b)
+                numbers, query_rows = (batch.column(c)[b].values.to_numpy(zero_copy_only=False) for c in (0, 3))
+                ids, data = unpacked(batch.column(1), batch.column(2), b)
+                query_ids, queries = unpacked(batch.column(4), batch.column(5), b)
                 columns = np.ascontiguousarray(data.T)
                 squares = columns**2
                 left = [np.sqrt(squares[d:].sum(axis=0)) for d in range(0, len(columns), DIMS)]
