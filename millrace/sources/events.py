@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from millrace.model import RAW_EVENT
@@ -63,10 +63,23 @@ def publish(events: DataFrame, sink: str, options: Mapping[str, str], path: str
     writer.save(path) if path else writer.save()
 
 
-def publish_report(events: DataFrame, topic: str, mode: str) -> DataFrame:
-    """What was published, one row per event."""
-    return events.select(
-        F.lit(True).alias("success"),
+def _name_of(value: Column) -> list[Column]:
+    """Two digests that stand for a message, so that payloads needn't travel."""
+    return [F.xxhash64(value).alias("_one"), F.xxhash64(F.lit(1), value).alias("_two")]
+
+
+def publish_report(events: DataFrame, topic: str, mode: str, received: DataFrame, key: str = "order_id") -> DataFrame:
+    """What became of each event, given what the sink holds: success is whether its message has come back.
+
+    ``received`` has (key, value), as a reader of the topic or of the written files gives them.
+    """
+    value = F.to_json(F.struct(*events.columns))
+    named = events.withColumns({"_key": F.col(key).cast("string"), "_one": F.xxhash64(value), "_two": F.xxhash64(F.lit(1), value)})
+    held = received.select(F.col("key").cast("string").alias("_held_key"), *_name_of(F.col("value").cast("string"))).distinct()
+    held = held.withColumn("_back", F.lit(True))
+    same = (named["_one"] == held["_one"]) & (named["_two"] == held["_two"]) & named["_key"].eqNullSafe(held["_held_key"])
+    return named.join(held, same, "left").select(
+        F.coalesce("_back", F.lit(False)).alias("success"),
         F.lit(mode).alias("mode"),
         F.lit(topic).alias("topic"),
         "order_id",

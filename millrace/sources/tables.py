@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from millrace.model import TABLES
+from millrace.model import COLUMN_DEFAULTS, PRIMARY_KEYS, TABLES
 
 BATCH, ATTEMPT = "batch_id", "attempt"
 
@@ -47,14 +47,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def catalog_columns(spark: SparkSession) -> DataFrame:
-    """Every table column with its position, type and whether it may be NULL."""
+    """Every table column with its position, type, default and whether it is the table's key."""
     rows = [
-        (table, position, field.name, field.dataType.simpleString(), field.nullable)
+        (table, field.name, position, field.dataType.simpleString(), None if default is None else str(default).lower(), PRIMARY_KEYS.get(table) == field.name)
         for table, schema in TABLES.items()
         for position, field in enumerate(schema.fields, 1)
+        for default in [COLUMN_DEFAULTS.get(table, {}).get(field.name)]
     ]
     return spark.createDataFrame(
-        rows, "table_name string, position int, column_name string, data_type string, nullable boolean"
+        rows, "table_name string, column_name string, position int, data_type string, default_value string, is_key boolean"
     )
 
 

@@ -15,6 +15,7 @@ from millrace.plans import marts, monitoring, reports, results
 from millrace.session import scratch_path, shared_root, together
 from millrace.sources import events as ev
 from millrace.streaming import ingest
+from millrace.streaming.telemetry import RATE_METRIC, ROWS_METRIC, ProgressMetrics
 from millrace.streaming.ingest import LOG, OrderStore, ingest_stream
 
 
@@ -450,3 +451,23 @@ def test_mart_months_are_pruned(spark, as_of):
     assert [r["total_orders"] for r in one.collect()] == [11]
     assert "PartitionFilters: [isnotnull(month" in one._jdf.queryExecution().toString() or "month#" in one._jdf.queryExecution().toString().split("PartitionFilters: [")[1].split("]")[0]
     assert sorted(r["total_orders"] for r in kept.mart().collect()) == [10, 11, 12]
+
+
+def test_progress_of_a_stream_is_stored(spark, messages, as_of):
+    folder, store = scratch_path(spark, "landing"), OrderStore(spark, scratch_path(spark, "store"))
+    for n in (1, 2):
+        messages(order_event(n), "bad", start=10 * n).coalesce(1).write.mode("append").parquet(folder)
+    heard, kept = ProgressMetrics(spark), results.ResultStore(spark, scratch_path(spark, "results"))
+    spark.streams.addListener(heard)
+    try:
+        query = ingest_stream(ev.read_order_stream(spark, folder, max_files=1), store, scratch_path(spark, "checkpoint"), as_of)
+        query.awaitTermination()
+        heard.wait_for(query)
+    finally:
+        spark.streams.removeListener(heard)
+    assert heard.store(kept, as_of) >= 4 and heard.store(kept, as_of) == 0
+    rows = kept.metrics().collect()
+    taken = {json.loads(r["details"])["trigger"]: r["metric_value"] for r in rows if r["metric_name"] == ROWS_METRIC and r["metric_value"]}
+    assert taken == {0: 2.0, 1: 2.0}
+    assert all(r["metric_value"] > 0 for r in rows if r["metric_name"] == RATE_METRIC and json.loads(r["details"])["trigger"] in taken)
+    assert len({r["metric_id"] for r in rows}) == len(rows)

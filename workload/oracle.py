@@ -7,7 +7,7 @@ the expected verdict of each anomaly, so they check the decode and rule path fro
 from __future__ import annotations
 
 from millrace.functions import rules as R
-from millrace.model import ORDER_STATUSES, PAYMENT_METHOD_IDS, PAYMENT_METHOD_ROWS, TABLES
+from millrace.model import COLUMN_DEFAULTS, ORDER_STATUSES, PAYMENT_METHOD_IDS, PAYMENT_METHOD_ROWS, PRIMARY_KEYS, TABLES
 from millrace.operators import audits as A
 from workload.derive import AS_OF
 
@@ -93,6 +93,8 @@ _PAYMENTS = ", ".join(
     f"({quoted(i)}, {quoted(m)}, {quoted(p)}, false)" for i, m, p in PAYMENT_METHOD_ROWS if i != "PAY-CRYPTO"
 )
 
+_ALL_PAYMENTS = ", ".join(f"({quoted(i)}, {quoted(m)}, {quoted(p)})" for i, m, p in PAYMENT_METHOD_ROWS)
+
 CTES = f"""WITH
 ln AS (
   SELECT *, CAST(round(ext * rate, 2) AS DECIMAL(12,2)) AS d1
@@ -306,17 +308,25 @@ _PROFILES = {
     "dim_payment_methods": ("dpay", {}),
     "dim_products": ("dprod", {"supplier_id": "NOT inferred"}),
     "quarantine_orders": ("q", {"event_id": "event_id IS NULL", "order_id": "order_id IS NULL"}),
+    "dim_dates": ("(SELECT unnest(generate_series(min(CAST(order_timestamp AS DATE)), max(CAST(order_timestamp AS DATE)), INTERVAL 1 DAY)) FROM fo) d", {}),
+    "data_quality_audit_log": (f"({_AUDIT_LOG}) a", {}),
+    "pipeline_health_metrics": ("stats", {}),
+    "hourly_order_aggregates": (f"({_mart('fo', 'q')}) m", {}),
 }
 
 
 def _catalog() -> str:
     parts = []
     for table, (source, empty) in _PROFILES.items():
-        for field in TABLES[table].fields:
+        for position, field in enumerate(TABLES[table].fields, 1):
+            default = COLUMN_DEFAULTS.get(table, {}).get(field.name)
+            shown = "NULL" if default is None else quoted(str(default).lower())
             rule = empty.get(field.name)
             nulls = "count(*)" if rule is True else f"count(*) FILTER (WHERE {rule})" if rule else "0"
             parts.append(
-                f"SELECT '{table}' AS table_name, '{field.name}' AS column_name, count(*) AS row_count, {nulls} AS null_count FROM {source}"
+                f"SELECT '{table}' AS table_name, '{field.name}' AS column_name, count(*) AS row_count, {nulls} AS null_count, "
+                f"{position} AS position, '{field.dataType.simpleString()}' AS data_type, CAST({shown} AS VARCHAR) AS default_value, "
+                f"{'true' if PRIMARY_KEYS.get(table) == field.name else 'false'} AS is_key FROM {source}"
             )
     return " UNION ALL ".join(parts)
 
@@ -332,7 +342,7 @@ BODIES: dict[str, str] = {
     "stream_quarantine": f"""SELECT event_id, order_id, code AS error_code, 'Rule_' || code AS failed_validation_rule,
         {ts("received_at")} AS quarantined_at, seq FROM q""",
     "publish_keyed_events": f"SELECT order_id AS key, seq, order_id, event_id, {dbl('wire_total')} AS total_amount FROM dl WHERE k <> 1",
-    "publish_report": """SELECT true AS success, 'FILES' AS mode, 'raw_orders' AS topic, order_id, event_id, wire_time AS timestamp
+    "publish_report": """SELECT ok % 7 <> 0 OR order_id IS NULL AS success, 'FILES' AS mode, 'raw_orders' AS topic, order_id, event_id, wire_time AS timestamp
         FROM dl WHERE k <> 1""",
     "param_scan": f"SELECT order_id, order_status, {dbl('net_amount')} AS net_amount FROM fo WHERE order_status = 'DELIVERED' AND net_amount >= 100000",
     "write_rowcount": """SELECT 'fact_orders' AS table_name, count(*) AS rows_written FROM fo
@@ -391,7 +401,15 @@ BODIES: dict[str, str] = {
         CASE WHEN c_custkey % 97 <> 0 THEN c_name ELSE 'Reloaded ' || c_custkey END AS name, lower(c_mktsegment) AS label,
         'r' || c_custkey || '@customers.invalid' AS detail, CAST(NULL AS DOUBLE) AS price FROM customer
         UNION ALL SELECT 'dim_products', 'PROD-' || p_partkey, CASE WHEN p_partkey % 97 <> 0 THEN p_name ELSE 'Reloaded ' || p_partkey END,
-        p_type, '500', {dbl("CAST(p_retailprice AS DECIMAL(12,2)) + 1")} FROM part""",
+        p_type, '500', {dbl("CAST(p_retailprice AS DECIMAL(12,2)) + 1")} FROM part
+        UNION ALL SELECT 'dim_locations', 'LOC-' || n_nationkey, 'New ' || n_name, lower(n_name),
+        'S/' || CASE WHEN n_nationkey <> 24 THEN r_name ELSE 'Elsewhere' END, NULL FROM nation LEFT JOIN region ON r_regionkey = n_regionkey
+        UNION ALL SELECT 'dim_payment_methods', id, lower(method), 'by ' || provider, CASE WHEN id = 'PAY-CRYPTO' THEN 'false' ELSE 'true' END, NULL
+        FROM (VALUES {_ALL_PAYMENTS}) t(id, method, provider)
+        UNION ALL SELECT 'dim_dates', strftime(d, '%Y%m%d'), CASE WHEN d <= last_day THEN dayname(d) ELSE 'again' END, monthname(d),
+        CASE WHEN isodow(d) >= 6 THEN 'true' ELSE 'false' END, NULL
+        FROM (SELECT unnest(generate_series(first_day, last_day + 30, INTERVAL 1 DAY)) AS d, last_day FROM
+          (SELECT min(CAST(order_timestamp AS DATE)) AS first_day, max(CAST(order_timestamp AS DATE)) AS last_day FROM fo))""",
     "recent_orders_feed": f"""SELECT fo.order_id, event_id, customer_name, segment AS customer_segment, city, country, method_type AS payment_method,
         order_status, item_count, {dbl("net_amount")} AS net_amount, ingest_latency_ms, {ts("order_timestamp")} AS order_timestamp,
         {ts("processed_at")} AS processed_at FROM fo LEFT JOIN dc USING (customer_id) LEFT JOIN dloc USING (location_id)
@@ -512,6 +530,8 @@ BODIES: dict[str, str] = {
     "stream_hourly_once": f"""SELECT {ts("date_trunc('hour', ots)")} AS hourly_window_start, {ts("date_trunc('hour', ots) + INTERVAL 1 HOUR")} AS hourly_window_end,
         count(*) AS total_orders, {dbl("sum(wire_net)")} AS total_revenue, CAST(sum(wire_count) AS BIGINT) AS total_items_sold
         FROM (SELECT * FROM dl WHERE code IS NULL) d WHERE copy IN (0, 3) GROUP BY date_trunc('hour', ots)""",
+    "stream_progress": """SELECT 'SPARK' AS component, 'STREAM_TRIGGER_ROWS' AS metric_name, 'records' AS metric_unit,
+        CAST(count(*) AS DOUBLE) AS rows FROM events""",
     "stream_event_rate": f"""SELECT {ts("time_bucket(INTERVAL 30 SECOND, ts)")} AS window_start, count(*) AS events,
         CAST((2 * 100 * count(*) + 30) // 60 AS DOUBLE) / 100.0 AS events_per_second FROM events GROUP BY time_bucket(INTERVAL 30 SECOND, ts)""",
     "segment_spending": f"""SELECT segment, count(*) AS order_count, count(DISTINCT customer_id) AS customer_count, {dbl("sum(net_amount)")} AS total_spend,

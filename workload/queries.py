@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.clock import event_time, latency_ms
 from millrace.functions.rules import CONSTRAINT_PREFIX, DUPLICATE_EVENT_ID, first_item_fault
-from millrace.model import BATCH_METRIC, DIMENSION_UPDATES, TABLES
+from millrace.model import BATCH_METRIC, DIMENSION_UPDATES, PAYMENT_METHOD_ROWS, PRIMARY_KEYS, TABLES
 from millrace.operators import audits, contract, dimensions as dims, facts, lookup, versions as ver
 from millrace.operators.decode import counted, decode_events
 from millrace.operators.validation import classify, quarantine_rows
@@ -18,6 +18,7 @@ from millrace.plans import marts, monitoring, reports, results
 from millrace.session import scratch_path, together
 from millrace.sources import events as ev, tables as tb
 from millrace.streaming import windows
+from millrace.streaming.telemetry import ROWS_METRIC, ProgressMetrics
 from millrace.streaming.ingest import CHANGES, LOG, OrderStore
 from workload.stage import Warehouse, warehouse
 
@@ -159,8 +160,11 @@ def publish_keyed_events(w: Warehouse) -> DataFrame:
 
 @query
 def publish_report(w: Warehouse) -> DataFrame:
-    """What publishing reports for each event."""
-    return ev.publish_report(objects(w), "raw_orders", "FILES").select(
+    """What became of each published event, by what the sink gives back; every seventh order is not sent."""
+    path = scratch_path(w.spark, "reported")
+    events = objects(w)
+    ev.publish(events.where(F.coalesce(F.regexp_extract("order_id", r"^ORD-(\d+)", 1).cast("long"), F.lit(1)) % 7 != 0), "parquet", {}, path)
+    return ev.publish_report(events, "raw_orders", "FILES", w.spark.read.parquet(path)).select(
         "success", "mode", "topic", "order_id", "event_id", "timestamp"
     )
 
@@ -188,7 +192,7 @@ def write_rowcount(w: Warehouse) -> DataFrame:
 
 @query
 def catalog_columns(w: Warehouse) -> DataFrame:
-    """Stored columns of the main tables with their row and NULL counts."""
+    """Stored columns of all tables with their types, defaults, row and NULL counts."""
 
     def profile(name: str, rows: DataFrame) -> DataFrame:
         columns = [f.name for f in TABLES[name].fields]
@@ -200,7 +204,14 @@ def catalog_columns(w: Warehouse) -> DataFrame:
             "table_name", "column_name", "row_count", (F.col("row_count") - F.col("filled")).alias("null_count")
         )
 
-    return reduce(DataFrame.unionByName, [profile(n, t) for n, t in w.tables().items()])
+    others = {
+        "dim_dates": dim_dates(w),
+        results.AUDITS: _audit_log(w),
+        results.METRICS: w.metrics(),
+        results.MART: w.store().hourly_mart(),
+    }
+    counts = reduce(DataFrame.unionByName, [profile(n, t) for n, t in (w.tables() | others).items()])
+    return counts.join(tb.catalog_columns(w.spark), ["table_name", "column_name"])
 
 
 @query
@@ -386,48 +397,63 @@ def dim_dates(w: Warehouse) -> DataFrame:
 
 @query
 def seed_dim_upsert(w: Warehouse) -> DataFrame:
-    """Customers and products loaded again with changed values."""
-    stored = {n: dims.conform(w.seeds()[n], n, w.as_of) for n in ("dim_customers", "dim_products")}
-    customers = w.given("customer").select(
-        F.concat(F.lit("CUST-"), F.col("c_custkey")).alias("customer_id"),
-        F.concat(F.lit("Reloaded "), F.col("c_custkey")).alias("customer_name"),
-        F.concat(F.lit("r"), F.col("c_custkey"), F.lit("@customers.invalid")).alias("email"),
-        F.lower("c_mktsegment").alias("segment"),
-    )
+    """All five dimensions loaded again with changed values: each refreshes its own columns, new keys come whole."""
+    seeds, now = w.seeds(), w.as_of
     price = (F.col("p_retailprice").cast("decimal(12,2)") + 1).cast("decimal(12,2)")
-    products = w.given("part").select(
-        F.concat(F.lit("PROD-"), F.col("p_partkey")).alias("product_id"),
-        F.concat(F.lit("Reloaded "), F.col("p_partkey")).alias("product_name"),
-        F.col("p_type").alias("category"),
-        price.alias("base_price"),
-        dims.cost_of(price).alias("cost_price"),
-        F.lit(500).alias("inventory_count"),
-    )
-    incoming = {
-        "dim_customers": dims.conform(customers, "dim_customers", w.as_of),
-        "dim_products": dims.conform(products, "dim_products", w.as_of),
+    nation = w.given("nation")
+    again = {
+        "dim_customers": w.given("customer").select(
+            F.concat(F.lit("CUST-"), F.col("c_custkey")).alias("customer_id"),
+            F.concat(F.lit("Reloaded "), F.col("c_custkey")).alias("customer_name"),
+            F.concat(F.lit("r"), F.col("c_custkey"), F.lit("@customers.invalid")).alias("email"),
+            F.lower("c_mktsegment").alias("segment"),
+        ),
+        "dim_products": w.given("part").select(
+            F.concat(F.lit("PROD-"), F.col("p_partkey")).alias("product_id"),
+            F.concat(F.lit("Reloaded "), F.col("p_partkey")).alias("product_name"),
+            F.col("p_type").alias("category"),
+            price.alias("base_price"),
+            dims.cost_of(price).alias("cost_price"),
+            F.lit(500).alias("inventory_count"),
+        ),
+        "dim_locations": nation.select(
+            F.concat(F.lit("LOC-"), F.col("n_nationkey")).alias("location_id"),
+            F.concat(F.lit("New "), F.col("n_name")).alias("city"),
+            F.lit("S").alias("state"),
+            F.lower("n_name").alias("country"),
+            F.lit("Elsewhere").alias("region"),
+        ),
+        "dim_payment_methods": w.spark.createDataFrame(PAYMENT_METHOD_ROWS, "payment_method_id string, method_type string, provider string").select(
+            "payment_method_id", F.lower("method_type").alias("method_type"), F.concat(F.lit("by "), F.col("provider")).alias("provider"), F.lit(False).alias("is_active")
+        ),
     }
+    stored = {n: dims.conform(seeds[n], n, now) for n in again}
+    merged = {n: ver.upsert(stored[n], dims.conform(again[n], n, now), PRIMARY_KEYS[n], DIMENSION_UPDATES[n]) for n in again}
+    # The calendar of the order dates, then a month more of it: days that are there stay as they are.
+    days = dim_dates(w)
+    end = F.max("full_date")
+    more = dims.calendar(days.agg(F.date_sub(end, 9).alias("first"), F.date_add(end, 30).alias("last")), "first", "last").withColumn("day_name", F.lit("again"))
+    merged["dim_dates"] = ver.upsert(days, more, "date_key", DIMENSION_UPDATES["dim_dates"])
+
+    def shown(table: str, name: Column, label: Column, detail: Column, amount: Column | None = None) -> DataFrame:
+        return merged[table].select(
+            F.lit(table).alias("table_name"),
+            F.col(PRIMARY_KEYS[table]).cast("string").alias("key"),
+            name.alias("name"),
+            label.alias("label"),
+            detail.cast("string").alias("detail"),
+            (F.lit(None) if amount is None else amount).cast("decimal(12,2)").alias("price"),
+        )
 
-    def merged(name: str, key: str) -> DataFrame:
-        return ver.upsert(stored[name], incoming[name], key, DIMENSION_UPDATES[name])
-
-    people = merged("dim_customers", "customer_id").select(
-        F.lit("dim_customers").alias("table_name"),
-        F.col("customer_id").alias("key"),
-        F.col("customer_name").alias("name"),
-        F.col("segment").alias("label"),
-        F.col("email").alias("detail"),
-        F.lit(None).cast("decimal(12,2)").alias("price"),
-    )
-    goods = merged("dim_products", "product_id").select(
-        F.lit("dim_products").alias("table_name"),
-        F.col("product_id").alias("key"),
-        F.col("product_name").alias("name"),
-        F.col("category").alias("label"),
-        F.col("inventory_count").cast("string").alias("detail"),
-        F.col("base_price").alias("price"),
-    )
-    return people.unionByName(goods)
+    col = F.col
+    parts = [
+        shown("dim_customers", col("customer_name"), col("segment"), col("email")),
+        shown("dim_products", col("product_name"), col("category"), col("inventory_count"), col("base_price")),
+        shown("dim_locations", col("city"), col("country"), F.concat_ws("/", "state", "region")),
+        shown("dim_payment_methods", col("method_type"), col("provider"), col("is_active")),
+        shown("dim_dates", col("day_name"), col("month_name"), col("is_weekend")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- joins --------------------------------------------------------------------------------
@@ -902,6 +928,23 @@ def stream_event_rate(w: Warehouse) -> DataFrame:
     return windows.latest_groups(w.spark, f"{path}/updates", ["window_start"])
 
 
+@query
+def stream_progress(w: Warehouse) -> DataFrame:
+    """Rows that the triggers of a stream took in, from the metric rows that its progress was stored as."""
+    path = scratch_path(w.spark, "progress")
+    heard, kept = ProgressMetrics(w.spark), results.ResultStore(w.spark, f"{path}/results")
+    w.spark.streams.addListener(heard)
+    try:
+        stream = windows.append_stream(_event_stream(w).select("event_id"), f"{path}/table", f"{path}/checkpoint")
+        stream.awaitTermination()
+        heard.wait_for(stream)
+    finally:
+        w.spark.streams.removeListener(heard)
+    heard.store(kept, w.as_of)
+    rows = kept.metrics().where(F.col("metric_name") == ROWS_METRIC)
+    return rows.groupBy("component", "metric_name", "metric_unit").agg(F.sum("metric_value").alias("rows"))
+
+
 # --- further reports ----------------------------------------------------------------------
 
 
