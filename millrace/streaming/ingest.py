@@ -372,11 +372,11 @@ class _CompactionState:
         self.spark, self.target, self.root, self.schemas = spark, target, f"{target}/_state", schemas
 
     def _mark(self, number: int, step: str) -> None:
-        row = self.spark.range(1).select(F.lit(number).cast("long").alias("number"), F.lit(step).alias("step"))
-        row.write.mode("overwrite").parquet(f"{self.root}/steps/{number}-{step}")
+        row = self.spark.range(1).select(F.lit(number).cast("long").alias("number"))
+        row.write.mode("overwrite").parquet(f"{self.root}/steps/step={step}/at={number}")
 
     def _last(self, *steps: str) -> int | None:
-        rows = read_table(self.spark, f"{self.root}/steps/*", self.STEP)
+        rows = read_table(self.spark, f"{self.root}/steps", self.STEP)
         return rows.where(F.col("step").isin(*steps)).agg(F.max("number")).first()[0]
 
     def begin(self, batches: DataFrame) -> tuple[int, DataFrame]:

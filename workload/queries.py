@@ -628,16 +628,17 @@ def _audit_log(w: Warehouse) -> DataFrame:
 
     def build() -> results.ResultStore:
         store = results.ResultStore(w.spark, f"{w.root}/audits")
+        # Made before: only one thread at a time may make tables.
+        orders, dimensions = w.orders(), w.order_dimensions()
 
         def audit(hour: int) -> None:
-            suite = audits.audit_suite(w.orders(), *w.order_dimensions())
+            suite = audits.audit_suite(orders, *dimensions)
             stamp = w.as_of - F.lit(hour) * F.expr("INTERVAL 1 HOUR")
             store.append(results.AUDITS, audits.audit_log_rows(suite, stamp), stamp)
 
         together(w.spark, *[partial(audit, hour) for hour in range(8)])
         return store
 
-    w.orders()
     return w.once("audit_log", build).audit_log()
 
 
