@@ -47,15 +47,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def catalog_columns(spark: SparkSession) -> DataFrame:
-    """Every table column with its position, type, default and whether it is the table's key."""
+    """Every table column with its position, type, whether it may be NULL, default and whether it is the table's key."""
     rows = [
-        (table, field.name, position, field.dataType.simpleString(), None if default is None else str(default).lower(), PRIMARY_KEYS.get(table) == field.name)
+        (table, field.name, position, field.dataType.simpleString(), field.nullable, None if default is None else str(default).lower(), PRIMARY_KEYS.get(table) == field.name)
         for table, schema in TABLES.items()
         for position, field in enumerate(schema.fields, 1)
         for default in [COLUMN_DEFAULTS.get(table, {}).get(field.name)]
     ]
     return spark.createDataFrame(
-        rows, "table_name string, column_name string, position int, data_type string, default_value string, is_key boolean"
+        rows, "table_name string, column_name string, position int, data_type string, nullable boolean, default_value string, is_key boolean"
     )
 
 

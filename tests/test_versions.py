@@ -55,7 +55,7 @@ def test_duplicates_are_counted_in_the_batch_they_arrive_in(messages, as_of):
 def test_event_id_of_another_order_is_quarantined(messages, as_of):
     stolen = order_event(2, event_id="evt-1")
     log = log_of(messages, as_of, [order_event(1), order_event(3)], [stolen, order_event(1)])
-    reused = ver.reused_event_ids(log)
+    reused = ver.reused_event_ids(ver.event_keys(log))
     assert [(r["order_id"], r["owner"]) for r in reused.collect()] == [("ORD-2", "ORD-1")]
     done = ver.settled(log, reused)
     kept = ver.current_orders(order_versions_of(done))

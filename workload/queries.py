@@ -211,7 +211,7 @@ def catalog_columns(w: Warehouse) -> DataFrame:
         results.MART: w.store().hourly_mart(),
     }
     counts = reduce(DataFrame.unionByName, [profile(n, t) for n, t in (w.tables() | others).items()])
-    return counts.join(tb.catalog_columns(w.spark), ["table_name", "column_name"])
+    return counts.join(tb.catalog_columns(w.spark).drop("nullable"), ["table_name", "column_name"])
 
 
 @query
