@@ -99,9 +99,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """df written to the shared folder and read again: lineage ends there and executors may go."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/llm/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)

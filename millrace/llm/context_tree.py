@@ -10,7 +10,9 @@ Grams of DEPTH bytes and the next are counted over all training texts. A context
 the corpus; the others of one node share a single child, "rest". So the tree grows with the corpus, and it isn't gathered anywhere:
 grams are dealt by the nearest TOP + 1 bytes of their context, whose subtrees are built on the executors, as far as the decisions
 that were met. Only depths up to TOP, at most 65,793 contexts of the alphabet, are put together on the driver and broadcast. The
-log probabilities of all grams of all texts are a stored table; each run of about RUN characters of text joins its distinct grams with it.
+log probabilities of all grams of all texts are a stored table, in buckets by a hash of the context. Each run of about RUN characters of
+text sends its distinct grams, sorted and compressed, to these buckets and gets them back with their logs, so that a gram travels once a
+run and not as a row. A bucket's logs come first and the runs' grams stream past them; contexts spread evenly over buckets, however common one is.
 
 A text begins after DEPTH marks and ends with one; the mark is the byte 0xFF, which UTF-8 never has. The score is the base-10 logarithm
 of the probability of all bytes and the end mark.
@@ -29,21 +31,25 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import mapped, share_of, stored
-from .text_arrays import chunks, words
+from .text_arrays import chunks, mixed, words
 
 DEPTH = 5
 #: A context has a node of its own if it occurs LEAST times or, if CONTEXTS is set, makes up one in CONTEXTS of the corpus; a
 #: word is heavy from one in HEAVY on.
 LEAST, CONTEXTS, HEAVY = 2, None, 1 << 20
 #: Depth to which the tree is in all workers, distinct grams that a task works on at a time, characters of a run of texts.
-TOP, BLOCK, RUN = 2, 100_000, 1 << 22
+TOP, BLOCK, RUN = 2, 100_000, 1 << 24
+#: Fewest buckets of log probabilities, distinct grams of a bucket beyond that, bytes that a task passes on at a time.
+BUCKETS, BUCKET, PASSED = 64, 500_000, 1 << 23
 MARK = 0xFF
 #: Bytes of text in the arrays of a task, distinct grams that it holds before they are passed on.
 CHUNK, HELD = 1 << 21, 3_000_000
@@ -232,7 +238,7 @@ def _gram_logs(keys: np.ndarray, levels: list[Level]) -> np.ndarray:
     return np.log10(np.where(bits == 1, sum_, 1 - sum_)).reshape(-1, 8).sum(axis=1)
 
 
-def _by_subtree(counts: DataFrame, work: Callable[[np.ndarray, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
+def _by_subtree(counts: DataFrame, work: Callable[[np.ndarray, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """work on keys and n of counts, all of a context of TOP + 1 bytes at once; distinct grams of one are bounded by the alphabet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,25 +252,59 @@ def _by_subtree(counts: DataFrame, work: Callable[[np.ndarray, np.ndarray], pa.R
                 of = keys >> 8 & _context(TOP + 1)
                 end = int(np.searchsorted(of, of[-1]))
                 if end:
-                    yield work(keys[:end], n[:end])
+                    yield from work(keys[:end], n[:end])
                 # A subtree of more than that is held until it ends, and looked at again after another BLOCK.
                 parts, size = [(keys[end:], n[end:])], (len(keys) - end if end else 0)
         if parts:
-            yield work(*(np.concatenate(c) for c in zip(*parts)))
+            yield from work(*(np.concatenate(c) for c in zip(*parts)))
 
     subtree = F.shiftright("key", 8).bitwiseAND(F.lit(_context(TOP + 1)))
     return mapped(counts.select("key", "n").repartition(subtree).sortWithinPartitions(subtree), run, schema)
 
 
-def gram_logs(counts: DataFrame) -> DataFrame:
-    """key and log: log10 of the chance of each gram of corpus_counts(), by the tree of these counts, stored."""
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted keys as compressed byte planes of their differences."""
+    return zstandard.compress(np.diff(keys, prepend=0).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).reshape(-1).view(np.int64))
+
+
+PACKED = "bucket int, run long, keys binary, logs binary"
+
+
+def _dealt(run: int, keys: np.ndarray, buckets: int, logs: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Sorted keys, and their logs if given, as a PACKED row a bucket."""
+    of = (mixed((keys >> 8).view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(of, kind="stable")
+    names, first = np.unique(of[order], return_index=True)
+    held, size = [], 0
+    for name, at in zip(names.tolist(), np.split(order, first[1:])):
+        held.append((name, run, _packed(keys[at]), None if logs is None else logs[at].tobytes()))
+        size += len(at) * 9
+        if size > PASSED:
+            yield _rows(held)
+            held, size = [], 0
+    if held:
+        yield _rows(held)
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["bucket", "run", "keys", "logs"])
+
+
+def gram_logs(counts: DataFrame, buckets: int) -> DataFrame:
+    """PACKED rows of run -1: log10 of the chance of each gram of corpus_counts(), by the tree of these counts, stored."""
     counts = counts.filter("NOT word")
     least = LEAST if CONTEXTS is None else (counts.agg(F.sum("n")).first()[0] or 0) / CONTEXTS
     names = ["id", "c0", "c1", "c2", "c3", "c4"]
 
-    def upper(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    def upper(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         _, ids, columns = _deep(keys, n, least)
-        return pa.record_batch([pa.array(ids), *(pa.array(c) for c in columns.T.copy())], names)
+        yield pa.record_batch([pa.array(ids), *(pa.array(c) for c in columns.T.copy())], names)
 
     top = _by_subtree(counts, upper, "id long, " + ", ".join(f"{c} double" for c in names[1:]))
     rows = top.groupBy("id").agg(*[F.sum(c).alias(c) for c in names[1:]]).toArrow().sort_by("id")
@@ -275,11 +315,12 @@ def gram_logs(counts: DataFrame) -> DataFrame:
         levels.insert(0, level)
     shared = counts.sparkSession.sparkContext.broadcast(levels)
 
-    def logs(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    def logs(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         deep, _, _ = _deep(keys, n, least)
-        return pa.record_batch([pa.array(keys), pa.array(_gram_logs(keys, [*shared.value, *deep]))], ["key", "log"])
+        found, order = _gram_logs(keys, [*shared.value, *deep]), np.argsort(keys)
+        yield from _dealt(-1, keys[order], buckets, found[order])
 
-    return stored(_by_subtree(counts, logs, "key long, log double"), "gram-logs")
+    return stored(_by_subtree(counts, logs, PACKED), "gram-logs")
 
 
 def text_runs(docs: DataFrame) -> DataFrame:
@@ -298,33 +339,61 @@ def text_runs(docs: DataFrame) -> DataFrame:
             yield pa.record_batch([pa.array(names, pa.int64()), pa.array(row + np.arange(len(names))), *batch.columns], ["run", "row", "doc_id", "text", "held_out"])
             row += len(names)
 
-    return stored(mapped(docs.select(F.col("doc_id").cast("long"), "text", "held_out"), run, "run long, row long, doc_id long, text string, held_out boolean"), "text-runs")
+    return stored(mapped(docs.select(F.col("doc_id").cast("long"), "text", "held_out"), run, "run long, row long, doc_id long, text string, held_out boolean"), "text-runs", "zstd")
 
 
-def run_grams(texts: DataFrame) -> DataFrame:
-    """run and key of the grams of text_runs(), each once a run and task."""
+def run_grams(texts: DataFrame, buckets: int) -> DataFrame:
+    """PACKED rows without logs: the grams of text_runs(), each once a run and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, found = None, np.zeros(0, np.int64)
+        now, found = None, pa.array([], pa.int64())
         for batch in batches:
             names = batch.column(0).to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(names)) + 1).tolist(), len(names)]
             for a, b in zip(cuts, cuts[1:]):
                 if a < b and names[a] != now:
-                    if now is not None:
-                        yield pa.record_batch([pa.array(np.full(len(found), now)), pa.array(found)], ["run", "key"])
-                    now, found = names[a], np.zeros(0, np.int64)
+                    yield from _dealt(now, np.sort(found.to_numpy()), buckets)
+                    now, found = int(names[a]), pa.array([], pa.int64())
                 for some in chunks(batch.column(1).slice(a, b - a).to_pylist(), CHUNK):
-                    found = np.union1d(found, grams(some, DEPTH))
-        if now is not None:
-            yield pa.record_batch([pa.array(np.full(len(found), now)), pa.array(found)], ["run", "key"])
+                    found = pc.unique(pa.concat_arrays([found, pa.array(grams(some, DEPTH))]))
+        yield from _dealt(now, np.sort(found.to_numpy()), buckets)
 
-    return mapped(texts.select("run", "text"), run, "run long, key long")
+    return mapped(texts.select("run", "text"), run, PACKED)
 
 
-def byte_scores(texts: list[bytes], keys: np.ndarray, logs: np.ndarray) -> np.ndarray:
-    """log10 of each text's probability, from the logs of its grams (sorted keys)."""
-    sums = np.concatenate([[0.0], np.cumsum(logs[np.searchsorted(keys, grams(texts, DEPTH))])])
+def looked_up(logs: DataFrame, asked: DataFrame) -> DataFrame:
+    """asked, PACKED rows of runs, with the logs of their keys; a bucket's logs are held while the runs' keys pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, known, chance = None, [], np.zeros(0, np.int64), np.zeros(0)
+        held, size = [], 0
+        for batch in batches:
+            for k in range(batch.num_rows):
+                bucket, name, sent, logs = (batch.column(c)[k].as_py() for c in range(4))
+                if bucket != now:
+                    now, parts = bucket, []
+                keys = _unpacked(sent)
+                if name < 0:
+                    parts.append((keys, np.frombuffer(logs)))
+                    continue
+                if parts:
+                    known, chance = (np.concatenate(c) for c in zip(*parts))
+                    order, parts = np.argsort(known), []
+                    known, chance = known[order], chance[order]
+                held.append((bucket, name, sent, chance[np.searchsorted(known, keys)].tobytes()))
+                size += len(keys) * 9
+                if size > PASSED:
+                    yield _rows(held)
+                    held, size = [], 0
+        if held:
+            yield _rows(held)
+
+    return mapped(logs.unionByName(asked).repartition("bucket").sortWithinPartitions("bucket", "run"), run, PACKED)
+
+
+def byte_scores(texts: list[bytes], keys: pd.Index, logs: np.ndarray) -> np.ndarray:
+    """log10 of each text's probability, from the logs of its grams."""
+    sums = np.concatenate([[0.0], np.cumsum(logs[keys.get_indexer(grams(texts, DEPTH))])])
     ends = np.cumsum([0, *(len(t) + 1 for t in texts)])
     return sums[ends[1:]] - sums[ends[:-1]]
 
@@ -333,7 +402,8 @@ def scored(docs: DataFrame, held_out: int = 1, folds: int = 5) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bytes of every document."""
     fold = share_of(F.col("doc_id"), folds)
     counts = corpus_counts(docs.select("text", (fold != held_out).alias("train")))
-    gram_logs_ = gram_logs(counts)
+    buckets = max(BUCKETS, counts.filter("NOT word").count() // BUCKET)
+    logs_of = gram_logs(counts, buckets)
     texts = text_runs(docs.select("doc_id", "text", (fold == held_out).alias("held_out")))
     word_counts = counts.filter("word")
     sums = word_counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
@@ -346,8 +416,8 @@ def scored(docs: DataFrame, held_out: int = 1, folds: int = 5) -> DataFrame:
 
     def run(rows: pa.Table, chances: pa.Table) -> pa.Table:
         keys, logs = shared.value
-        own, at = np.unique(chances["key"].to_numpy(), return_index=True)
-        chance = chances["log"].to_numpy()[at]
+        own = pd.Index(np.concatenate([_unpacked(k) for k in chances["keys"].to_pylist()]))
+        chance = np.concatenate([np.frombuffer(x) for x in chances["logs"].to_pylist()])
         out = []
         done = 0
         for some in chunks(rows["text"].to_pylist(), CHUNK):
@@ -380,7 +450,7 @@ def scored(docs: DataFrame, held_out: int = 1, folds: int = 5) -> DataFrame:
         return pa.concat_tables(out)
 
     shape = "row long, doc_id long, held_out boolean, n_tokens long, known long, part double, ends long, score double, bytes long, rare array<long>"
-    chances = run_grams(texts).join(gram_logs_, "key").select("run", "key", "log")
+    chances = looked_up(logs_of, run_grams(texts, buckets)).select("run", "keys", "logs")
     rows = stored(texts.groupBy("run").cogroup(chances.groupBy("run")).applyInArrow(run, shape), "text-scores")
     rare = rows.select("row", F.explode("rare").alias("key")).join(word_counts.select("key", "n"), "key", "left")
     rare = rare.groupBy("row").agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"), F.count("n").alias("found"))
