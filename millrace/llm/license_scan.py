@@ -1,11 +1,14 @@
 """Licence scan with a generalised suffix automaton of licence words.
 
 The templates, as sequences of words, make one suffix automaton. A text is streamed through it: at every word the
-automaton holds the longest run of words ending there that occurs in some template (matching statistics). Words that
-form no pair of neighbours of any template are passed over in bulk, since no run of two words goes across them. Maximal
-runs are chained, template by template, into spans: a run continues a span if it lies
-after it in text and template with at most GAP words between. A span counts when its runs cover SHARE of the template.
-Places of the base phrases, which are templates too, are read from the automaton's state at each word.
+automaton holds the longest run of words ending there that occurs in some template, and by its links the longest one of
+each template (matching statistics). Words that form no pair of neighbours of any template are passed over in bulk, since no
+run of two words goes across them. A template's runs that go on no further, at all places it has them, are chained into the
+chain that covers most: a run may follow another if it lies after it in text and template with at most GAP words between;
+words they share count once. A chain is a span when it covers SHARE of the template; of a template's chains that
+overlap in the text, the one that covers most stays, then the first.
+Places of the base phrases, which are templates too, are read from the automaton's state at each word; a phrase inside a
+longer run of another template is no span of its own.
 
 Rows: a null text counts as empty: no words, no labels, score 0, null places. Labels are distinct, sorted, joined by commas,
 empty if none. The score is the largest covered share of a template, 1 at most. Repeated rows give
@@ -14,6 +17,7 @@ repeated results, an empty table an empty one. Only doc_id and text are read. Me
 
 from __future__ import annotations
 
+import bisect
 
 import numpy as np
 import pyarrow as pa
@@ -40,17 +44,22 @@ class Automaton:
     def __init__(self, sequences: list[list[int]]):
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        #: For each state, the sequences its runs occur in, each with the place after the first of them.
-        self.places: list[dict[int, int]] = [{}]
+        #: For each state, the sequences its runs occur in, each with the places after all of them.
+        self.places: list[dict[int, set[int]]] = [{}]
         for k, sequence in enumerate(sequences):
             last = 0
             for at, word in enumerate(sequence, 1):
                 last = self._extend(last, word)
-                self.places[last].setdefault(k, at)
-        for state in sorted(range(1, len(self.next)), key=lambda s: -self.length[s]):
+                self.places[last].setdefault(k, set()).add(at)
+        #: For each state, the sequences that some of its suffixes occur in, each with the state of the longest.
+        self.suffixes: list[dict[int, int]] = [{} for _ in self.next]
+        order = sorted(range(1, len(self.next)), key=lambda s: -self.length[s])
+        for state in order:
             up = self.places[self.link[state]]
-            for k, at in self.places[state].items():
-                up[k] = min(up.get(k, at), at)
+            for k, ends in self.places[state].items():
+                up.setdefault(k, set()).update(ends)
+        for state in reversed(order):
+            self.suffixes[state] = {**self.suffixes[self.link[state]], **dict.fromkeys(self.places[state], state)}
 
     def _add(self, length: int, nxt: dict[int, int], link: int) -> int:
         self.next.append(nxt), self.length.append(length), self.link.append(link), self.places.append({})
@@ -99,6 +108,7 @@ class Scanner:
         ids = np.searchsorted(self.known, digests) + 1
         sequences = [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])]
         self.sizes = [len(s) for s in sequences]
+        self.least = [min(LEAST, n) for n in self.sizes]
         self.automaton = Automaton(sequences)
         self.pairs = np.zeros((len(self.known) + 1,) * 2, bool)
         for s in sequences:
@@ -119,55 +129,71 @@ class Scanner:
             self.phrases.append(own)
         self.plain = len(templates)
 
-    def runs(self, ids: np.ndarray) -> tuple[list[tuple[int, int, int]], list[tuple[int, str]]]:
-        """Maximal runs (first word, words, state) of two or more, and places (first word, label) of phrases."""
+    def runs(self, ids: np.ndarray) -> tuple[dict[int, list[tuple[int, int, int]]], list[tuple[int, str]]]:
+        """By template, its runs (first word, words, state) that go on no further, and places (first word, label) of phrases."""
         pair = np.flatnonzero(self.pairs[ids[:-1], ids[1:]])
+        found: dict[int, list[tuple[int, int, int]]] = {}
+        places: list[tuple[int, str]] = []
         if not len(pair):
-            return [], []
+            return found, places
         breaks = np.flatnonzero(np.diff(pair) > 1) + 1
         starts, stops = pair[np.concatenate([[0], breaks])], pair[np.concatenate([breaks - 1, [len(pair) - 1]])] + 2
-        found, places = [], []
-        step, phrases = self.automaton.step, self.phrases
+        step, phrases, lengths, suffixes = self.automaton.step, self.phrases, self.automaton.length, self.automaton.suffixes
+        least, plain = self.least, self.plain
         for a, b in zip(starts.tolist(), stops.tolist()):
             state = length = 0
+            open_: dict[int, tuple[int, int]] = {}
             for i, word in enumerate(ids[a:b].tolist(), a):
-                now, longer = step(state, length, word)
-                if longer <= length and length >= 2:
-                    found.append((i - length, length, state))
-                state, length = now, longer
+                before = length
+                state, length = step(state, length, word)
                 for label, size in phrases[state]:
                     if size <= length:
                         places.append((i + 1 - size, label))
-            if length >= 2:
-                found.append((b - length, length, state))
+                now = {}
+                if length >= 2:
+                    for k, at in suffixes[state].items():
+                        own = length if at == state else lengths[at]
+                        if own >= least[k]:
+                            now[k] = (own, at)
+                for k, (own, at) in open_.items():
+                    if (k not in now or now[k][0] != own + 1) and (k < plain or own == before >= length):
+                        found.setdefault(k, []).append((i - own, own, at))
+                open_ = now
+            for k, (own, at) in open_.items():
+                if k < plain or own == length:
+                    found.setdefault(k, []).append((b - own, own, at))
         return found, places
 
-    def spans(self, runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-        """Covered template spans: template, first and last word, covered words."""
-        open_: dict[int, list[int]] = {}
-        out = []
-
-        def close(k: int) -> None:
-            first, last, _, covered = open_.pop(k)
-            if covered >= SHARE * self.sizes[k]:
-                out.append((k, first, last, covered))
-
+    def chains(self, k: int, runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+        """First word, last word and covered words of the chains of a template's runs that cover enough of it."""
+        # Runs come by first and last word, both ascending; those too far before the current one are left behind.
+        recent: list[tuple[int, int, int, int, int]] = []  # first word, word after, place after, chain's first word, covered
+        ends = []
         for first, length, state in runs:
-            for k, end in self.automaton.places[state].items():
-                if length < min(LEAST, self.sizes[k]):
-                    continue
-                begin = end - length
-                if (chain := open_.get(k)) is not None:
-                    # What overlaps the words already covered counts once.
-                    lap = max(0, chain[1] + 1 - first, chain[2] - begin)
-                    if lap < length and first - chain[1] - 1 <= GAP and begin - chain[2] <= GAP:
-                        open_[k] = [chain[0], first + length - 1, end, chain[3] + length - lap]
-                        continue
-                    close(k)
-                open_[k] = [first, first + length - 1, end, length]
-        for k in list(open_):
-            close(k)
-        return sorted(out, key=lambda s: (s[1], s[2], s[0]))
+            stop = first + length
+            recent = [r for r in recent if r[1] >= first - GAP]
+            new = []
+            for end in self.automaton.places[state][k]:
+                start, covered = first, length
+                for _, after, place, since, before in recent:
+                    lap = max(0, after - first, place - (end - length))
+                    if lap < length and end - length - place <= GAP and (before + length - lap, -since) > (covered, -start):
+                        start, covered = since, before + length - lap
+                new.append((first, stop, end, start, covered))
+            recent += new
+            ends += [(-covered, start, stop) for _, stop, _, start, covered in new if covered >= SHARE * self.sizes[k]]
+        taken: list[tuple[int, int]] = []
+        out = []
+        for covered, start, stop in sorted(ends):
+            at = bisect.bisect(taken, (start, stop))
+            if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or taken[at][0] >= stop):
+                taken.insert(at, (start, stop))
+                out.append((start, stop - 1, -covered))
+        return out
+
+    def spans(self, runs: dict[int, list[tuple[int, int, int]]]) -> list[tuple[int, int, int, int]]:
+        """Covered template spans: template, first and last word, covered words."""
+        return sorted(((k, *chain) for k, own in runs.items() for chain in self.chains(k, own)), key=lambda s: (s[1], s[2], s[0]))
 
     def scan(self, texts: list[bytes]) -> list[tuple]:
         """n_words and the columns after it, for each text in lower case."""
@@ -176,7 +202,7 @@ class Scanner:
         ids = np.where(self.known[at] == digests, at + 1, 0)
         rows = []
         for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-            found, places = self.runs(ids[a:b]) if b - a > 1 else ([], [])
+            found, places = self.runs(ids[a:b]) if b - a > 1 else ({}, [])
             spans = self.spans(found)
             base = sorted({label for _, label in places})
             labels = sorted({*base, *(self.labels[s[0]] for s in spans)})

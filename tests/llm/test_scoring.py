@@ -138,15 +138,66 @@ def test_base_columns():
 def test_matching_statistics():
     scanner = license_scan.Scanner(TEMPLATES, PHRASES)
     named = [words(t) for _, _, t in TEMPLATES] + [p.split() for _, p in PHRASES]
-    runs = {tuple(s[i:j]) for s in named for i in range(len(s)) for j in range(i + 1, len(s) + 1)}
+    runs = [{tuple(s[i:j]) for i in range(len(s)) for j in range(i + 1, len(s) + 1)} for s in named]
     for text in licence_texts()[:120]:
         own = words(text)
-        known, first = digests([(text or "").encode().lower()], license_scan.BETWEEN)
-        ids = np.where(np.isin(known, scanner.known), np.searchsorted(scanner.known, known) + 1, 0)
-        found = {(i, n) for i, n, _ in scanner.runs(ids)[0]} if len(ids) > 1 else set()
-        longest = [max((n for n in range(1, i + 2) if tuple(own[i + 1 - n : i + 1]) in runs), default=0) for i in range(len(own))]
-        ends = [i for i in range(len(own)) if longest[i] >= 2 and (i + 1 == len(own) or longest[i + 1] <= longest[i])]
-        assert found == {(i + 1 - longest[i], longest[i]) for i in ends}
+        found = scanner.runs(ids_of(scanner, text))[0] if len(own) > 1 else {}
+        statistics = [[max((n for n in range(1, i + 2) if tuple(own[i + 1 - n : i + 1]) in known), default=0) for i in range(len(own))] for known in runs]
+        top = [max(m) for m in zip(*statistics)] + [0]
+        for k, longest in enumerate(statistics):
+            ends = [i for i in range(len(own)) if longest[i] >= scanner.least[k] and (i + 1 == len(own) or longest[i + 1] <= longest[i])]
+            if k >= len(TEMPLATES):
+                ends = [i for i in ends if longest[i] == top[i] >= top[i + 1]]
+            assert [(i, n) for i, n, _ in found.get(k, [])] == [(i + 1 - longest[i], longest[i]) for i in ends]
+
+
+def ids_of(scanner: license_scan.Scanner, text: str | None) -> np.ndarray:
+    known, _ = digests([(text or "").encode().lower()], license_scan.BETWEEN)
+    return np.where(np.isin(known, scanner.known), np.searchsorted(scanner.known, known) + 1, 0)
+
+
+def best_chain(template: list[str], text: list[str], least: int) -> int:
+    """Most words of the template that a chain of runs covers, each run against all before it."""
+    longest = [[0] * (len(template) + 1) for _ in range(len(text) + 1)]
+    for i, word in enumerate(text):
+        for j, own in enumerate(template):
+            longest[i + 1][j + 1] = longest[i][j] + 1 if word == own else 0
+    top = [max(row) for row in longest] + [0]
+    runs = [(i, j, top[i]) for i in range(1, len(text) + 1) if top[i] >= least and top[i + 1] <= top[i] for j in range(1, len(template) + 1) if longest[i][j] == top[i]]
+    covered = []
+    for n, (i, j, size) in enumerate(runs):
+        best = size
+        for m, (a, b, _) in enumerate(runs[:n]):
+            lap = max(0, a - (i - size), b - (j - size))
+            if a < i and lap < size and i - size - a <= license_scan.GAP and j - size - b <= license_scan.GAP:
+                best = max(best, covered[m] + size - lap)
+        covered.append(best)
+    return max(covered, default=0)
+
+
+def test_chains_cover_as_much_as_by_brute_force():
+    scanner = license_scan.Scanner(TEMPLATES, PHRASES)
+    r = random.Random(3)
+    for k, (label, _, text) in enumerate(TEMPLATES):
+        own = words(text)
+        for every in range(4, 13):
+            for shift in range(0, every, 3):
+                changed = [f"changed{n}" if n % every == shift else w for n, w in enumerate(own)]
+                given = " ".join(["before", "it", *changed, "after", *r.sample(own, min(9, len(own)))])
+                found = scanner.runs(ids_of(scanner, given))[0]
+                best = best_chain(own, words(given), scanner.least[k])
+                spans = scanner.chains(k, found.get(k, []))
+                assert max((s[2] for s in spans), default=0) == (best if best >= license_scan.SHARE * len(own) else 0)
+                if len(own) > 30:
+                    assert label in scanner.scan([given.encode()])[0][5].split(",")
+
+
+def test_copies_of_a_template_are_spans_of_their_own():
+    scanner = license_scan.Scanner(TEMPLATES, PHRASES)
+    k = next(k for k, t in enumerate(TEMPLATES) if t[1] == "bsd-conditions")
+    size = len(words(TEMPLATES[k][2]))
+    found = scanner.chains(k, scanner.runs(ids_of(scanner, " ".join([TEMPLATES[k][2]] * 40)))[0][k])
+    assert sorted(found) == [(n * size, (n + 1) * size - 1, size) for n in range(40)]
 
 
 def test_spans_of_whole_and_edited_templates(docs):
