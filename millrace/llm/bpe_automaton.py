@@ -6,7 +6,10 @@ merge (u, v) -> w gives every state with an arc u an arc w to the place where v
 copy of its target that lacks the arc v. An arc's target depends on its label alone, so a state is
 kept as "after token t"; a copy is kept as its original, the rank at which it was made and the arc it
 lacks, instead of as a full row of arcs. A word is encoded by walking arcs whose labels spell it,
-longest label first, dead places remembered; the path is unique. Decoding emits the labels.
+longest label first, with dead places remembered; the path is unique. Arcs once asked for stay in a transition table.
+Decoding emits the labels. Which characters beyond ASCII are letters, numbers or blanks is taken from the
+tokenizer's own pre-split, character by character as they are met, since Unicode versions differ on it; so is the lower
+case of characters that Python's tables don't know.
 
 Rows: a null text counts as empty; an empty text has no tokens, an empty decoded text and the digests
 of the empty string. Repeated rows give repeated results, an empty table an empty one; other columns of
@@ -25,11 +28,14 @@ from typing import NamedTuple
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from .base import by_text, kept_in_worker
 
-#: Words kept per worker.
-CACHE = 300_000
+#: Words kept per worker, arcs kept in its transition table.
+CACHE, ARCS = 300_000, 2_000_000
+#: Letters with cases lie below.
+UNKNOWN = 0x20000
 #: Texts encoded at a time.
 ROWS = 200
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -44,6 +50,7 @@ class Automaton:
         self.parts: dict[int, tuple[int, int]] = {}
         self.born: dict[int, int] = {}
         self.lacks: dict[int, dict[int, int]] = {}
+        self.arcs: dict[tuple[int, int], bool] = {}
         for rank, (left, right) in enumerate(merges, 1):
             u, v, w = vocab[left], vocab[right], vocab[left + right]
             if w in self.born or not self._arc(u, v, rank, False):
@@ -75,7 +82,12 @@ class Automaton:
 
     def follows(self, t: int, label: int) -> bool:
         """Whether label may follow t in a correct tokenization."""
-        return self._arc(t, label, 1 << 60, True)
+        found = self.arcs.get((t, label))
+        if found is None:
+            if len(self.arcs) >= ARCS:
+                self.arcs.clear()
+            found = self.arcs[t, label] = self._arc(t, label, 1 << 60, True)
+        return found
 
     def _spell(self, base: dict[str, int], vocab: dict[str, int]) -> None:
         """Paths of base symbols to tokens, as one transition table."""
@@ -112,11 +124,12 @@ class Automaton:
         path: list[int] = []
         ends = [0]
         open_ = [labels(0)]
+        dead: set[tuple[int, int]] = set()
         while True:
             here = open_[-1]
             while here:
                 end, token = here.pop()
-                if not path or self.follows(path[-1], token):
+                if (end, token) not in dead and (not path or self.follows(path[-1], token)):
                     path.append(token)
                     if end == n:
                         return path
@@ -125,8 +138,7 @@ class Automaton:
                     break
             else:
                 open_.pop()
-                ends.pop()
-                path.pop()
+                dead.add((ends.pop(), path.pop()))
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -136,6 +148,28 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(0x100 + k) for k, b in enumerate(hidden)}
 
 
+class Classes(dict):
+    """str.translate table: a character beyond ASCII to one that the pattern takes as the tokenizer's pre-split takes it."""
+
+    LETTER, NUMBER, BLANK, OTHER = "é", "²", "\u2003", "…"
+
+    def __init__(self, path: str):
+        split = Tokenizer.from_file(path).pre_tokenizer
+        self.cuts = lambda text: len(split.pre_tokenize_str(text))
+        super().__init__({c: chr(c) for c in range(128)})
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        if self.cuts(f"a{c}a") == 1:
+            found = self.LETTER
+        elif self.cuts(f"!{c}!") == 1:
+            found = self.OTHER
+        else:
+            found = self.NUMBER if self.cuts(c) else self.BLANK
+        self[code] = found
+        return found
+
+
 class Word(NamedTuple):
     ids: str
     labels: str
@@ -158,6 +192,11 @@ class Codec:
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(pattern)
+        self.classes = Classes(path)
+        lower = Tokenizer.from_file(path).normalizer.normalize_str
+        unknown = (chr(c) for c in range(0x80, UNKNOWN) if unicodedata.category(chr(c)) == "Cn")
+        self.newer = {ord(c): low for c in unknown if (low := lower(c)) != c}
+        self.has_newer = re.compile("[" + "".join(map(chr, self.newer)) + "]" if self.newer else r"(?!)")
         # The same cuts for texts of letters below U+0250, digits, and marks and blanks below U+0080.
         self.plain = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^\sa-z0-9ß-öø-ɏ]+")
         self.not_plain = re.compile(r"[^\t-\r -~ß-öø-ſ]")
@@ -170,7 +209,8 @@ class Codec:
         """NFC and lower case character by character (no rule for a final sigma)."""
         if text.isascii():
             return text.lower()
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return text.translate(self.newer) if self.has_newer.search(text) else text
 
     def word(self, word: str) -> Word:
         found = self.known.get(word)
@@ -191,7 +231,10 @@ class Codec:
                 out.append(Word(str(i), self.label[i], 1))
             elif part:
                 part = self.normal(part)
-                words = (self.words if self.not_plain.search(part) else self.plain).findall(part)
+                if self.not_plain.search(part):
+                    words = [part[m.start() : m.end()] for m in self.words.finditer(part.translate(self.classes))]
+                else:
+                    words = self.plain.findall(part)
                 known = self.known.get
                 out += [known(w) or self.word(w) for w in words]
         return out

@@ -40,6 +40,21 @@ def test_ids_and_decoded_text_are_the_librarys(spark, sf_dir):
         assert codec.decode(ids) == library.decode(ids, skip_special_tokens=False), text
 
 
+def test_every_character_is_taken_as_the_library_takes_it():
+    own, library = bpe_automaton.Codec(WORDS), Tokenizer.from_file(WORDS)
+    texts = [f"ab{chr(c)}cd {chr(c)} !{chr(c)}!" for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    for text, found in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        assert own.encode(text) == found.ids, ascii(text)
+
+
+def test_long_words_end():
+    own, library = bpe_automaton.Codec(WORDS), Tokenizer.from_file(WORDS)
+    r = random.Random(2)
+    for alphabet in ("a", "ab", "etaoinshr", "é日"):
+        word = "".join(r.choice(alphabet) for _ in range(20_000))
+        assert own.encode(word) == library.encode(word, add_special_tokens=False).ids
+
+
 def test_automaton_accepts_the_correct_tokenization_alone():
     merges = [("a", "a"), ("a", "b"), ("aa", "ab"), ("b", "aa"), ("b", "b")]
     vocab = {t: i for i, t in enumerate(["a", "b", *("".join(m) for m in merges)])}
