@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +24,7 @@ def _measures() -> list[Column]:
     ]
 
 
-def _mart_row(start: Column, end: Column, updated_at: Column) -> list[Column]:
+def _mart_row(start: Column, end: Column, updated_at: Column, types: Mapping[str, T.DataType] = {}) -> list[Column]:
     zero = F.lit(0).cast("long")
     revenue = F.coalesce(F.col("_revenue"), F.lit(0).cast("decimal(22,2)"))
     orders = F.coalesce(F.col("total_orders"), zero)
@@ -40,7 +42,11 @@ def _mart_row(start: Column, end: Column, updated_at: Column) -> list[Column]:
         "updated_at": updated_at,
     }
     schema = TABLES["hourly_order_aggregates"]
-    return [values[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]
+    return [values[f.name].cast(types.get(f.name, f.dataType)).alias(f.name) for f in schema.fields]
+
+
+#: Revenue of all time, which the type of an hour's is too small for.
+ALL_TIME = {"total_revenue": T.DecimalType(22, 2)}
 
 
 def hourly_rollup(orders: DataFrame, quarantine: DataFrame, updated_at: Column) -> DataFrame:
@@ -61,11 +67,11 @@ def hourly_rollup(orders: DataFrame, quarantine: DataFrame, updated_at: Column)
 
 
 def rollup_snapshot(orders: DataFrame, quarantine: DataFrame, as_of: Column) -> DataFrame:
-    """All-time totals, labelled with the hour before ``as_of``."""
+    """All-time totals, labelled with the hour before ``as_of``; revenue is as wide as its sum."""
     start = F.date_trunc("hour", as_of - F.expr("INTERVAL 1 HOUR"))
     rejected = quarantine.agg(F.count("*")).scalar()
     return orders.agg(*_measures()).withColumn("quarantined_orders", rejected).select(
-        *_mart_row(start, start + F.expr("INTERVAL 1 HOUR"), as_of)
+        *_mart_row(start, start + F.expr("INTERVAL 1 HOUR"), as_of, ALL_TIME)
     )
 
 

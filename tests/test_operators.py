@@ -154,6 +154,14 @@ def test_hourly_mart(spark, as_of):
     assert (first["total_orders"], str(first["avg_order_value"]), first["successful_orders"]) == (2, "5.01", 1)
 
 
+def test_snapshot_of_more_revenue_than_an_hour_can_hold(spark, as_of):
+    orders = spark.range(200).selectExpr(
+        "concat('ORD-', id) AS order_id", "CAST('9999999999.99' AS DECIMAL(12,2)) AS net_amount", "1 AS item_count", "'DELIVERED' AS order_status"
+    )
+    row = marts.rollup_snapshot(orders, spark.range(3), as_of).first()
+    assert (row["total_orders"], str(row["total_revenue"]), str(row["avg_order_value"])) == (200, "1999999999998.00", "9999999999.99")
+
+
 def test_histogram_edges(spark):
     rows = [{"order_id": str(n), "ingest_latency_ms": n} for n in range(101)]
     bins = {r["bin"]: r["order_count"] for r in reports.latency_histogram(orders_of(spark, *rows)).collect()}
