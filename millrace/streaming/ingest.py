@@ -157,7 +157,7 @@ class OrderStore:
         summary, *_ = together(
             self.spark,
             partial(stats.select(*STATS_SCHEMA.fieldNames(), F.to_json(F.struct(*STATS_SCHEMA.fieldNames())).alias("details")).take, 1),
-            partial(self.store.write, CHANGES, mart_changes(orders, log, now).coalesce(1), batch_id, attempt),
+            partial(self.store.write, CHANGES, mart_changes(orders, log, now).repartition(1), batch_id, attempt),
         )
         result = {k: summary[0][k] if summary else n for k, n in no_events().items()}
         details = summary[0]["details"] if summary else None

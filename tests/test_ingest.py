@@ -471,3 +471,16 @@ def test_progress_of_a_stream_is_stored(spark, messages, as_of):
     assert taken == {0: 2.0, 1: 2.0}
     assert all(r["metric_value"] > 0 for r in rows if r["metric_name"] == RATE_METRIC and json.loads(r["details"])["trigger"] in taken)
     assert len({r["metric_id"] for r in rows}) == len(rows)
+
+
+def test_changes_of_the_mart_are_summed_up_in_many_tasks(store, messages, as_of, monkeypatch):
+    plans, write = {}, store.store.write
+
+    def noted(table, rows, *more):
+        plans[table] = rows._jdf.queryExecution().optimizedPlan().toString()
+        write(table, rows, *more)
+
+    monkeypatch.setattr(store.store, "write", noted)
+    store.write_batch(messages(order_event(1), "bad"), 0, as_of)
+    # One file, but not one task for the groups and joins before it.
+    assert plans[ingest.CHANGES].startswith("Repartition 1, true")
