@@ -10,7 +10,9 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import GIVEN, canonical
+from pyspark.sql import functions as F
 from workload import oracle, queries as workload_queries
+from workload.stage import STREAM_FILES, Warehouse
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 STATEMENTS = oracle.statements()
@@ -100,3 +102,17 @@ def test_query_on_skewed_data(spark, skewed, name):
 def test_entry_runs(spark):
     rows = entry.entry(spark).collect()
     assert rows and {"category", "order_count", "total_units_sold", "category_revenue"} == set(rows[0].asDict())
+
+
+def test_raw_batches_dont_fall_into_more_files_with_more_partitions(spark):
+    finer = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    kept = {k: spark.conf.get(k, None) for k in finer}
+    try:
+        for k, v in finer.items():
+            spark.conf.set(k, v)
+        w = Warehouse(spark, SF_DIR)
+        files = [len(w.raw().where(F.col("batch_id") == n).select(F.input_file_name()).distinct().collect()) for n in (0, 1)]
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert 1 <= files[0] <= spark.sparkContext.defaultParallelism and 1 <= files[1] <= STREAM_FILES

@@ -13,6 +13,8 @@ from millrace.operators.dimensions import cost_of
 
 AS_OF = "2001-09-01 00:00:00"
 ANOMALY_CYCLE = 200
+#: Line items in a file of raw messages, some 100 MB; a stream that is capped by files takes as many in at a time.
+FILE_LINES = 4_000_000
 
 
 def as_of() -> Column:
@@ -23,8 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def order_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Every given line as an item with exact money and its unit price."""
+def sent_again(order_key: Column) -> Column:
+    """Whether an order is delivered once more in the second batch."""
+    return (order_key % ANOMALY_CYCLE).between(50, 55)
+
+
+def order_lines(lineitem: DataFrame, part: DataFrame, parts: int) -> DataFrame:
+    """Every given line as an item with exact money and its unit price, in so many parts by order.
+
+    What follows from other columns is added once the lines lie there.
+    """
     lines = lineitem.select(
         "l_orderkey",
         "l_linenumber",
@@ -37,40 +47,41 @@ def order_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     )
     discount = F.round(F.col("total_item_price") * F.col("rate"), 2).cast("decimal(12,2)")
     tax = F.round((F.col("total_item_price") - discount) * F.col("tax_rate"), 2).cast("decimal(12,2)")
-    return lines.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice"), "l_partkey", "left").select(
-        *lines.columns,
-        F.concat(F.lit("PROD-"), F.col("l_partkey")).alias("product_id"),
-        F.col("p_retailprice").cast("decimal(12,2)").alias("unit_price"),
-        discount.alias("discount_applied"),
-        tax.alias("line_tax"),
+    priced = lines.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice"), "l_partkey", "left").select(
+        *lines.columns, F.col("p_retailprice").cast("decimal(12,2)").alias("unit_price")
     )
+    return priced.repartition(parts, "l_orderkey").withColumns({"discount_applied": discount, "line_tax": tax})
 
 
 def order_items(lines: DataFrame) -> DataFrame:
-    """Line items of each order as a sorted array, with totals; arrays are begun before the shuffle."""
+    """Line items of each order as a sorted array, with totals."""
     rank = ["l_linenumber", "l_partkey", "l_suppkey", "quantity", "total_item_price", "rate", "tax_rate"]
-    fields = ["product_id", "quantity", "unit_price", "total_item_price", "discount_applied"]
-    more = [f for f in fields if f not in rank]
+    more = ["unit_price", "discount_applied"]
+
+    def item(x: Column) -> Column:
+        product = F.concat(F.lit("PROD-"), x["l_partkey"]).alias("product_id")
+        return F.struct(product, *[x[f].alias(f) for f in ("quantity", "unit_price", "total_item_price", "discount_applied")])
+
     return (
         lines.groupBy("l_orderkey")
         .agg(
-            F.array_sort(F.collect_list(F.struct(*rank, *more))).alias("sorted"),
+            F.sort_array(F.collect_list(F.struct(*rank, *more))).alias("sorted"),
             F.sum("quantity").cast("int").alias("item_count"),
             F.sum("total_item_price").cast("decimal(12,2)").alias("total"),
             F.sum("discount_applied").cast("decimal(12,2)").alias("discount"),
             F.sum("line_tax").cast("decimal(12,2)").alias("tax"),
         )
-        .withColumn("items", F.transform("sorted", lambda x: F.struct(*[x[f].alias(f) for f in fields])))
+        .withColumn("items", F.transform("sorted", item))
         .drop("sorted")
     )
 
 
-def base_orders(orders: DataFrame, customer: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per order before anomalies: its header, items (NULL where it has none) and totals."""
+def base_orders(orders: DataFrame, customer: DataFrame, items: DataFrame, parts: int) -> DataFrame:
+    """One row per order before anomalies: its header, items (NULL where it has none) and totals, in the same parts."""
     headers = orders.join(
         customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey", "left"
     ).select("o_orderkey", "o_custkey", "c_nationkey", "o_orderdate", "o_orderpriority")
-    joined = headers.join(items.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
+    joined = headers.repartition(parts, "o_orderkey").join(items.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left")
     zero = F.lit(0).cast("decimal(12,2)")
     return joined.withColumns(
         {"item_count": F.coalesce("item_count", F.lit(0))} | {c: F.coalesce(c, zero) for c in ("total", "discount", "tax")}

@@ -8,17 +8,21 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.model import RAW_EVENT
 from millrace.operators.validation import order_versions_of
 from millrace.plans.results import ResultStore
-from millrace.session import prepare, scratch_path
+from millrace.session import prepare, scratch_path, together
 from millrace.sources.events import read_order_stream
 from millrace.streaming.ingest import BUCKET, DIMENSIONS, OrderStore, ingest_stream
 from workload import derive
 
+#: Files that a micro-batch of the order stream takes in.
+STREAM_FILES = 4
+
 _cache: dict[tuple[str, str], "Warehouse"] = {}
 _lock = threading.RLock()
 
@@ -46,19 +50,6 @@ class Warehouse:
                 self._made[name] = make()
             return self._made[name]
 
-    def written(self, name: str, make: Callable[[], DataFrame], partition_by: str | None = None) -> DataFrame:
-        """A table that is written on first use and read from then on."""
-
-        def build() -> str:
-            path = f"{self.root}/{name}"
-            writer = make().write.mode("overwrite")
-            if partition_by:
-                writer = writer.partitionBy(partition_by)
-            writer.parquet(path)
-            return path
-
-        return self.spark.read.parquet(self.once(name, build))
-
     def given(self, name: str) -> DataFrame:
         return derive.table(self.spark, self.sf_dir, name)
 
@@ -69,14 +60,27 @@ class Warehouse:
     # --- raw messages -------------------------------------------------------------------
 
     def raw(self) -> DataFrame:
-        """(value, seq, received_at, batch_id) as it lies on the topic."""
+        """(value, seq, received_at, batch_id) as it lies on the topic.
+
+        Each batch is a folder of its own, whose files grow with the input before their number does, so that a
+        stream which takes a number of files at a time isn't cut into ever more of them.
+        """
+
+        def write(batch_id: int) -> None:
+            lineitem, orders, least = self.given("lineitem"), self.given("orders"), self.spark.sparkContext.defaultParallelism
+            if batch_id == 1:
+                lineitem, orders = lineitem.where(derive.sent_again(F.col("l_orderkey"))), orders.where(derive.sent_again(F.col("o_orderkey")))
+                least = STREAM_FILES
+            parts = max(least, -(-lineitem.count() // derive.FILE_LINES))
+            items = derive.order_items(derive.order_lines(lineitem, self.given("part"), parts))
+            messages = derive.raw_messages(derive.base_orders(orders, self.given("customer"), items, parts))
+            messages.where(F.col("batch_id") == batch_id).drop("batch_id").write.mode("overwrite").parquet(f"{self.root}/raw_events/batch_id={batch_id}")
 
-        def make() -> DataFrame:
-            lines = derive.order_lines(self.given("lineitem"), self.given("part"))
-            base = derive.base_orders(self.given("orders"), self.given("customer"), derive.order_items(lines))
-            return derive.raw_messages(base)
+        def build() -> str:
+            together(self.spark, *[partial(write, batch_id) for batch_id in (0, 1)])
+            return f"{self.root}/raw_events"
 
-        return self.written("raw_events", make, "batch_id")
+        return self.spark.read.parquet(self.once("raw_events", build))
 
     def raw_batch(self, batch_id: int) -> DataFrame:
         names = [f.name for f in RAW_EVENT.fields]
@@ -166,7 +170,7 @@ class Warehouse:
             for part in (0, 1):
                 # A later delivery must come after the earlier ones, so the second batch is
                 # only taken up once the first has been read to its end.
-                stream = read_order_stream(self.spark, f"{self.root}/raw_events/batch_id={part}", max_files=4)
+                stream = read_order_stream(self.spark, f"{self.root}/raw_events/batch_id={part}", max_files=STREAM_FILES)
                 ingest_stream(stream, store, f"{self.root}/checkpoint-{part}", self.as_of).awaitTermination()
             return store
 
