@@ -6,7 +6,7 @@ import json
 from functools import partial
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from conftest import item, order_event
 from millrace.model import RAW_EVENT, TABLES
@@ -484,3 +484,35 @@ def test_changes_of_the_mart_are_summed_up_in_many_tasks(store, messages, as_of,
     store.write_batch(messages(order_event(1), "bad"), 0, as_of)
     # One file, but not one task for the groups and joins before it.
     assert plans[ingest.CHANGES].startswith("Repartition 1, true")
+
+
+def test_compaction_shuffles_events_rather_than_lines_and_leaves_kept_rows_in_place(spark, store, messages, as_of, monkeypatch):
+    plans, target = {}, scratch_path(spark, "plans")
+
+    def noted(step, wrapped):
+        def run(self, *given, **more):
+            name, rows = [g for g in given if isinstance(g, (str, DataFrame))][:2]
+            plans[step, name] = rows._jdf.queryExecution().optimizedPlan().toString()
+            return wrapped(self, *given, **more)
+
+        return run
+
+    for step in ("replace", "stage"):
+        monkeypatch.setattr(ingest._CompactionState, step, noted(step, getattr(ingest._CompactionState, step)))
+    store.write_batch(messages(order_event(1), order_event(2)), 0, as_of)
+    assert store.compact(target)["mode"] == "full"
+    whole = plans["replace", ingest.ITEMS]
+    assert 0 <= whole.index("Generate") < whole.index("RebalancePartitions")
+    store.write_batch(messages(order_event(2), order_event(3), start=50), 1, as_of)
+    assert store.compact(target)["mode"] == "delta"
+    for name in (ingest.ORDERS, ingest.ITEMS):
+        assert plans["stage", name].startswith("Union")
+    orders, items = (store.compacted(target, t) for t in (ingest.ORDERS, ingest.ITEMS))
+    assert sorted((r["order_id"], r["versions"]) for r in orders.collect()) == [("ORD-1", 1), ("ORD-2", 2), ("ORD-3", 1)]
+    assert sorted((r["order_id"], r["batch_id"]) for r in items.collect()) == [("ORD-1", 0), ("ORD-2", 1), ("ORD-3", 1)]
+
+
+def test_stored_tables_are_packed_with_zstd(spark, store, messages, as_of):
+    store.write_batch(messages(order_event(1)), 0, as_of)
+    files = store.store.raw(LOG).inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
