@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from millrace.functions.clock import EVENT_TIME_SQL, LOCAL_TIME_SQL
+from millrace.functions.clock import LOCAL_TIME_SQL
 from millrace.model import ORDER_STATUSES, PAYMENT_METHOD_IDS
 
 # --- Fixed values: error codes and reason texts -------------------------------------------
@@ -150,9 +150,22 @@ def _case(rules: list[Rule], index: str) -> str:
     return f"CASE {branches} END"
 
 
-# True for an element that breaks any line-item rule; cheap enough to run on every event.
-BAD_ITEM = " OR ".join(r.fails for r in _item_rules("item", "0"))
-HAS_BAD_ITEM = f"exists(items, item -> {BAD_ITEM})"
+def _any_absent(field: str, bad: str) -> str:
+    """Whether a field of any element is NULL or has the given bad value."""
+    return f"coalesce(array_contains(items.{field}, {bad}), true)"
+
+
+def _any_unfit(field: str) -> str:
+    """Whether an amount of any element doesn't fit its column; NaN is the largest double, NULL is passed over."""
+    return f"array_max(items.{field}) >= {MONEY_LIMIT} OR array_min(items.{field}) <= -{MONEY_LIMIT}"
+
+
+# True if an element breaks any line-item rule. It runs on every event, so it is made of array functions that are compiled
+# instead of a lambda that is interpreted for each element. Fields of a NULL element are NULL.
+HAS_BAD_ITEM = (
+    f"({_any_absent('product_id', literal(''))} OR {_any_absent('quantity', '0')} OR array_min(items.quantity) <= 0 "
+    f"OR {_any_absent('unit_price', '-1D')} OR array_min(items.unit_price) < 0 OR isnan(array_max(items.unit_price)))"
+)
 FIRST_ITEM_FAULT = (
     f"try_element_at(filter(transform(items, (item, i) -> {_case(_item_rules('item', 'i'), 'i')}), "
     "fault -> fault IS NOT NULL), 1)"
@@ -187,9 +200,9 @@ def header_rules() -> list[Rule]:
 
 
 def time_rules(tolerance: str) -> list[Rule]:
-    """Rules on the order time; ``_as_of`` is the current instant."""
-    stamp = "order_timestamp"
-    instant, local = EVENT_TIME_SQL.format(stamp), LOCAL_TIME_SQL.format(stamp)
+    """Rules on the order time; ``_instant`` is the instant it names, ``_as_of`` the current one."""
+    stamp, instant = "order_timestamp", "_instant"
+    local = LOCAL_TIME_SQL.format(stamp)
     not_iso = filled(DETAIL_NOT_ISO, f"replace({stamp}, 'Z', '+00:00')")
     return [
         _rule(NULL_TIMESTAMP, absent(stamp), literal(REASON_NO_TIMESTAMP)),
@@ -221,9 +234,9 @@ def constraint_rules() -> list[Rule]:
         ("tax_amount", f"tax_amount IS NOT NULL AND {outside('tax_amount')}"),
         ("net_amount", outside("net_amount")),
         ("item_count", "coalesce(item_count <= 0, true)"),
-        ("unit_price", f"exists(items, i -> {unfit('i.unit_price')})"),
-        ("total_item_price", f"exists(items, i -> {outside('i.total_item_price')})"),
-        ("discount_applied", f"exists(items, i -> i.discount_applied IS NOT NULL AND {unfit('i.discount_applied')})"),
+        ("unit_price", _any_unfit("unit_price")),
+        ("total_item_price", f"{_any_absent('total_item_price', '-1D')} OR {_any_unfit('total_item_price')} OR array_min(items.total_item_price) < 0"),
+        ("discount_applied", _any_unfit("discount_applied")),
     ]
     return [
         _rule(f"{CONSTRAINT_PREFIX}{column.upper()}", fails, literal(REASON_CONSTRAINT % column))

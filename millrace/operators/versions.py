@@ -186,17 +186,28 @@ def event_keys(log: DataFrame) -> DataFrame:
     return ids.select("event_id", *VERSION_KEYS)
 
 
+def _seen(own: DataFrame, earlier: DataFrame | None) -> DataFrame:
+    """Rows of ``own`` and those of earlier batches with one of its event ids."""
+    names = ["event_id", *VERSION_KEYS]
+    seen = own.select(*names)
+    if earlier is None:
+        return seen
+    return earlier.join(own.select("event_id").distinct(), "event_id", "left_semi").select(*names).unionByName(seen)
+
+
+def met_event_ids(own: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """Event ids of ``own`` with several rows (of orders or batches): all that can be reused, found by a count, without comparing texts."""
+    return _seen(own, earlier).groupBy("event_id").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("event_id")
+
+
 def reused_event_ids(own: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
     """Those of ``own`` (rows of ``event_keys``) whose event id another order used first, and that order.
 
     Owners are kept only for ids seen with more than one order, which a consistent source never sends.
     """
-    names = ["event_id", *VERSION_KEYS]
-    seen = own.select(*names)
-    if earlier is not None:
-        seen = earlier.join(own.select("event_id").distinct(), "event_id", "left_semi").select(*names).unionByName(seen)
     owners = (
-        seen.groupBy("event_id")
+        _seen(own, earlier)
+        .groupBy("event_id")
         .agg(F.min_by("order_id", version()).alias("owner"), F.min("order_id").alias("low"), F.max("order_id").alias("high"))
         .where(F.col("low") != F.col("high"))
         .select("event_id", "owner")

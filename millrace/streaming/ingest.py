@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.rules import DEFAULT_TOLERANCE
-from millrace.model import FACT_ITEM, TABLES
+from millrace.model import FACT_ITEM, ORDER_STATUSES, TABLES
 from millrace.operators import dimensions as dims
 from millrace.operators.facts import line_items_of
 from millrace.operators.validation import ingest_plan, order_versions_of, quarantine_rows, valid_events
@@ -20,6 +20,7 @@ from millrace.operators.versions import (
     event_keys,
     keep_latest,
     merged_orders,
+    met_event_ids,
     repeated_orders,
     reused_event_ids,
     settled,
@@ -32,7 +33,7 @@ from millrace.session import together
 from millrace.sources.tables import ATTEMPT, BATCH, BatchStore, clock_number, no_rows, read_table
 
 ORDERS, ITEMS, REJECTED = "fact_orders", "fact_order_items", "quarantine_orders"
-LOG, REUSED, CHANGES = "event_log", "reused_event_ids", "hourly_mart_changes"
+LOG, MET, REUSED, CHANGES = "event_log", "met_event_ids", "reused_event_ids", "hourly_mart_changes"
 EVENT_KEYS, ORDER_KEYS = "event_index", "order_index"
 DIMENSIONS = ["dim_customers", "dim_locations", "dim_payment_methods", "dim_products"]
 SEED_BATCH = -1
@@ -53,6 +54,9 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 
+#: Event ids that several events have, of the batch or earlier ones.
+MET_SCHEMA = T.StructType([T.StructField("event_id", T.StringType())])
+
 #: Event ids that another order used first, the order that used them again, and their owner.
 REUSED_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("event_id", "order_id", "owner")])
 
@@ -89,7 +93,7 @@ class OrderStore:
     """The order warehouse: an event log per batch and what is derived from it."""
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
-        schemas = {LOG: LOG_SCHEMA, REUSED: REUSED_SCHEMA, EVENT_KEYS: EVENT_SCHEMA, ORDER_KEYS: ORDER_SCHEMA, CHANGES: MART_CHANGE, **{d: TABLES[d] for d in DIMENSIONS}}
+        schemas = {LOG: LOG_SCHEMA, MET: MET_SCHEMA, REUSED: REUSED_SCHEMA, EVENT_KEYS: EVENT_SCHEMA, ORDER_KEYS: ORDER_SCHEMA, CHANGES: MART_CHANGE, **{d: TABLES[d] for d in DIMENSIONS}}
         self.spark = spark
         self.buckets = buckets
         self.store = BatchStore(spark, root, schemas)
@@ -134,7 +138,7 @@ class OrderStore:
         self.store.write(EVENT_KEYS, self._bucketed(event_keys(arrived), "event_id", EVENT_SCHEMA), batch_id, attempt, [BUCKET])
         # Grouped and written once, read from then on.
         own = self.store.batch(EVENT_KEYS, batch_id, attempt).select("event_id", *VERSION_KEYS)
-        repeated_ids = self.store.write_counted(REUSED, self._reused(own, earlier), batch_id, attempt)
+        repeated_ids = self._write_reused(own, earlier, batch_id, attempt)
         if repeated_ids:
             reused = self.store.batch(REUSED, batch_id, attempt)
             log, valid = settled(arrived, reused), settled_valid(arrived, reused)
@@ -184,18 +188,32 @@ class OrderStore:
         touched = keys.select(self._bucket(keys.columns[0]).alias(BUCKET)).distinct()
         return self.store.of_attempts(table, attempts).join(F.broadcast(touched), BUCKET, "left_semi")
 
-    def _reused(self, own: DataFrame, earlier: list[str]) -> DataFrame:
-        """Event ids of the batch that an earlier event of another order has."""
+    def _write_reused(self, own: DataFrame, earlier: list[str], batch_id: int, attempt: str) -> int:
+        """Write the event ids of the batch that an earlier event of another order has; returns their number.
+
+        Ids met more than once are written first, so that Spark knows their size when the others are left out; most sources have none.
+        """
         index = self.earlier_keys(EVENT_KEYS, own.select("event_id"), earlier) if earlier else None
-        return reused_event_ids(own, index).select(*REUSED_SCHEMA.fieldNames())
+        if self.store.write_counted(MET, met_event_ids(own, index), batch_id, attempt):
+            met = self.store.batch(MET, batch_id, attempt).select("event_id")
+            own, index = (rows if rows is None else rows.join(met, "event_id", "left_semi") for rows in (own, index))
+            reused = reused_event_ids(own, index).select(*REUSED_SCHEMA.fieldNames())
+        else:
+            reused = no_rows(self.spark, REUSED_SCHEMA)
+        return self.store.write_counted(REUSED, reused, batch_id, attempt)
 
     def _order_keys(self, valid: DataFrame, earlier: list[str]) -> DataFrame:
         """Each order of the batch with its state before and after. Earlier batches have one row of it each, of which the last one counts."""
+        # Each value is of fixed width, the status as its number, so that rows are grouped by hash and not sorted. Valid events have a known status.
+        codes = F.array(*[F.lit(s) for s in ORDER_STATUSES])
+        status = F.array_position(codes, F.col("order_status")).cast("int")
         own = valid.groupBy("order_id").agg(
             F.count("*").alias("events"),
             F.min("seq").alias("seq"),
-            F.min_by(F.struct(*FIXED), "seq").alias("first"),
-            F.max_by("order_status", "seq").alias("order_status"),
+            *[F.min_by(c, "seq").alias(f"_{c}") for c in FIXED],
+            F.max_by(status, F.col("seq")).alias("_code"),
+        ).select(
+            "order_id", "events", "seq", F.struct(*[F.col(f"_{c}").alias(c) for c in FIXED]).alias("first"), F.try_element_at(codes, F.col("_code")).alias("order_status")
         )
         if not earlier:
             return own.select(
