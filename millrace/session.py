@@ -12,7 +12,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Safe on any session: none of these change results, only how shuffles are sized and split and how tables are packed and written
-# (a task whose rows go to two or three folders, as those of the log do, keeps all open instead of sorting; with more it sorts).
+# (a task whose rows go to two or three folders, as those of the log do, keeps all open instead of sorting; with more it sorts), and that rows
+# which lie sorted by their key are grouped as they come.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,6 +21,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.maxConcurrentOutputFileWriters": "4",
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
 }
 
 

@@ -10,6 +10,7 @@ from millrace.operators.validation import VALID, ingest_plan, valid_events
 from millrace.operators.versions import event_keys, met_event_ids, reused_event_ids
 from millrace.session import scratch_path
 from millrace.streaming.ingest import LOG, MET, REUSED, OrderStore
+from workload import derive
 
 
 def plan_of(rows) -> str:
@@ -78,3 +79,20 @@ def test_met_ids_hold_all_reused_ones(messages, as_of):
     raw = messages(order_event(1), order_event(2, event_id="evt-1"), order_event(3), order_event(3))
     own = event_keys(ingest_plan(raw, as_of).withColumn("batch_id", F.lit(0).cast("long")))
     assert [r[0] for r in met_event_ids(own).collect()] == ["evt-1"] == [r["event_id"] for r in reused_event_ids(own).collect()]
+
+
+def test_lines_are_sorted_once_and_grouped_as_they_come(spark):
+    lineitem = spark.createDataFrame(
+        [(k, n, n * 3, 1, 2.0, 10.0 * n, 0.1, 0.05) for k in (2, 1, None, 2) for n in (10, 9, 1)],
+        "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double",
+    )
+    part = spark.createDataFrame([(3, 1.5), (27, 2.25)], "p_partkey long, p_retailprice double")
+    items = derive.order_items(derive.order_lines(lineitem, part, 2))
+    items.collect()
+    plan = plan_of(items)
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" in plan
+    rows = {r["l_orderkey"]: r for r in items.collect()}
+    assert [x["product_id"] for x in rows[1]["items"]] == ["PROD-3", "PROD-27", "PROD-30"]
+    assert [x["product_id"] for x in rows[2]["items"]] == ["PROD-3", "PROD-3", "PROD-27", "PROD-27", "PROD-30", "PROD-30"]
+    assert [str(x["unit_price"]) for x in rows[1]["items"]] == ["1.50", "2.25", "None"]
+    assert rows[None]["item_count"] == 6 and str(rows[2]["total"]) == "400.00"

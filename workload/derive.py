@@ -50,18 +50,16 @@ def order_lines(lineitem: DataFrame, part: DataFrame, parts: int) -> DataFrame:
     priced = lines.join(part.select(F.col("p_partkey").alias("l_partkey"), "p_retailprice"), "l_partkey", "left").select(
         *lines.columns, F.col("p_retailprice").cast("decimal(12,2)").alias("unit_price")
     )
-    return priced.repartition(parts, "l_orderkey").withColumns({"discount_applied": discount, "line_tax": tax})
+    # Sorted once, while rows are short: lines are grouped as they come, and what they are grouped to is joined in that order.
+    placed = priced.repartition(parts, "l_orderkey").sortWithinPartitions("l_orderkey")
+    return placed.withColumns({"discount_applied": discount, "line_tax": tax, "product_id": F.concat(F.lit("PROD-"), "l_partkey")})
 
 
 def order_items(lines: DataFrame) -> DataFrame:
     """Line items of each order as a sorted array, with totals."""
     rank = ["l_linenumber", "l_partkey", "l_suppkey", "quantity", "total_item_price", "rate", "tax_rate"]
-    more = ["unit_price", "discount_applied"]
-
-    def item(x: Column) -> Column:
-        product = F.concat(F.lit("PROD-"), x["l_partkey"]).alias("product_id")
-        return F.struct(product, *[x[f].alias(f) for f in ("quantity", "unit_price", "total_item_price", "discount_applied")])
-
+    more = ["unit_price", "discount_applied", "product_id"]
+    item = ["product_id", "quantity", "unit_price", "total_item_price", "discount_applied"]
     return (
         lines.groupBy("l_orderkey")
         .agg(
@@ -71,7 +69,7 @@ def order_items(lines: DataFrame) -> DataFrame:
             F.sum("discount_applied").cast("decimal(12,2)").alias("discount"),
             F.sum("line_tax").cast("decimal(12,2)").alias("tax"),
         )
-        .withColumn("items", F.transform("sorted", item))
+        .withColumn("items", F.expr(f"arrays_zip({', '.join(f'sorted.{f}' for f in item)})"))
         .drop("sorted")
     )
 
@@ -98,7 +96,8 @@ def events(base: DataFrame) -> DataFrame:
     k = key % ANOMALY_CYCLE
     empty = F.col("items").isNull()
     name = key.cast("string")
-    status = _pick(ORDER_STATUSES, F.floor(key / 7) % 6)
+    place = F.floor(key / 7) % 6
+    status, lower = _pick(ORDER_STATUSES, place), _pick([s.lower() for s in ORDER_STATUSES], place)
     ordered_at = (F.col("o_orderdate").cast("timestamp").cast("long") + (key * 37) % 86400).cast("timestamp")
     arrived = F.timestamp_millis(F.unix_millis(ordered_at) + key % 5000)
     net = (F.col("total") - F.col("discount") + F.col("tax")).cast("decimal(12,2)")
@@ -130,7 +129,7 @@ def events(base: DataFrame) -> DataFrame:
         F.when(at(4), "").otherwise(F.concat(F.lit("CUST-"), F.col("o_custkey"))).alias("customer_id"),
         F.when(~at(5), F.concat(F.lit("LOC-"), F.col("c_nationkey"))).alias("location_id"),
         F.when(at(7), "PAY-UNRECOGNIZED-X").when(~at(6), _pick(PAYMENT_METHOD_IDS, key % 9)).alias("payment_method_id"),
-        F.when(at(8), "MAGIC_DELIVERY").when(key % 2 == 1, F.lower(status)).otherwise(status).alias("order_status"),
+        F.when(at(8), "MAGIC_DELIVERY").when(key % 2 == 1, lower).otherwise(status).alias("order_status"),
         items.alias("items"),
         F.when(at(21), F.lit(0)).otherwise(F.col("item_count")).alias("item_count"),
         F.when(at(9), money("-150.00")).otherwise(F.col("total")).alias("total_amount"),
