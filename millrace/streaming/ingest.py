@@ -12,7 +12,7 @@ from millrace.functions.rules import DEFAULT_TOLERANCE
 from millrace.model import FACT_ITEM, ORDER_STATUSES, TABLES
 from millrace.operators import dimensions as dims
 from millrace.operators.facts import line_items_of
-from millrace.operators.validation import ingest_plan, order_versions_of, quarantine_rows, valid_events
+from millrace.operators.validation import QUARANTINED, ingest_plan, order_versions_of, quarantine_rows, valid_events
 from millrace.operators.versions import (
     VERSION_KEYS,
     current_orders,
@@ -351,10 +351,13 @@ class OrderStore:
         orders = state.replace(ORDERS, self._bucketed(current_orders_given(versions, repeated)), BUCKET, whole=True)
         old = state.save(number, "superseded", superseded_versions(versions, repeated, orders))
         current = events.join(old, VERSION_KEYS, "left_anti")
+        # Payloads of valid events are read only from batches with reused ids (one number per batch).
+        met = [r[0] for r in reused.select(BATCH).distinct().collect()]
+        rejected = arrived.where((F.col("outcome") == QUARANTINED) | F.col(BATCH).isin(met))
         together(
             self.spark,
             partial(state.replace, ITEMS, self._bucketed_items(current), BUCKET, whole=True),
-            partial(state.replace, REJECTED, quarantine_rows(settled(arrived, reused)), BATCH, whole=True),
+            partial(state.replace, REJECTED, quarantine_rows(settled(rejected, reused)), BATCH, whole=True),
         )
         state.done(number)
 

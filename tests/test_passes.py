@@ -9,6 +9,7 @@ from conftest import item, order_event
 from millrace.operators.validation import VALID, ingest_plan, valid_events
 from millrace.operators.versions import event_keys, met_event_ids, reused_event_ids
 from millrace.session import scratch_path
+from millrace.streaming import ingest
 from millrace.streaming.ingest import LOG, MET, REUSED, OrderStore
 from workload import derive
 
@@ -96,3 +97,22 @@ def test_lines_are_sorted_once_and_grouped_as_they_come(spark):
     assert [x["product_id"] for x in rows[2]["items"]] == ["PROD-3", "PROD-3", "PROD-27", "PROD-27", "PROD-30", "PROD-30"]
     assert [str(x["unit_price"]) for x in rows[1]["items"]] == ["1.50", "2.25", "None"]
     assert rows[None]["item_count"] == 6 and str(rows[2]["total"]) == "400.00"
+
+
+def test_payloads_of_batches_without_reused_ids_are_not_scanned(store, messages, as_of, monkeypatch):
+    store.write_batch(messages(order_event(1), "broken"), 0, as_of)
+    store.write_batch(messages(order_event(2, event_id="evt-1"), order_event(3), start=10), 1, as_of)
+    plans = {}
+    replace = ingest._CompactionState.replace
+
+    def seen(self, name, rows, key, whole=False):
+        plans[name] = plan_of(rows)
+        return replace(self, name, rows, key, whole)
+
+    monkeypatch.setattr(ingest._CompactionState, "replace", seen)
+    target = f"{store.store.root}-compacted"
+    store.compact(target)
+    assert "batch_id#" in plans[ingest.REJECTED].split("PartitionFilters: [", 1)[1].split("]")[0] and "= 1)" in plans[ingest.REJECTED]
+    codes = sorted(r["error_code"] for r in store.compacted(target, ingest.REJECTED).collect())
+    assert codes == ["CORRUPT_PAYLOAD", "DUPLICATE_EVENT_ID"]
+    assert codes == sorted(r["error_code"] for r in store.quarantine().collect())
