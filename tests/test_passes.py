@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import item, order_event
+from millrace.operators import dimensions
+from millrace.operators.few import within, without
 from millrace.operators.validation import VALID, ingest_plan, valid_events
 from millrace.operators.versions import event_keys, met_event_ids, reused_event_ids
 from millrace.session import scratch_path
@@ -116,3 +118,49 @@ def test_payloads_of_batches_without_reused_ids_are_not_scanned(store, messages,
     codes = sorted(r["error_code"] for r in store.compacted(target, ingest.REJECTED).collect())
     assert codes == ["CORRUPT_PAYLOAD", "DUPLICATE_EVENT_ID"]
     assert codes == sorted(r["error_code"] for r in store.quarantine().collect())
+
+
+def test_a_long_table_that_packs_well_is_not_broadcast(spark):
+    path = scratch_path(spark, "known")
+    # A million keys in a few megabytes; Spark takes the packed bytes of the columns read for their size.
+    spark.range(1_000_000).select(F.concat(F.lit("CUST-"), "id").alias("customer_id"), F.concat(F.lit("c"), "id").alias("email"), F.lit("a").alias("segment")).write.parquet(path)
+    orders = spark.createDataFrame([("CUST-7",), ("CUST-X",)], "customer_id string")
+    new = dimensions.infer_customers(orders, spark.read.parquet(path))
+    assert "Broadcast" not in plan_of(new)
+    assert [r["customer_id"] for r in new.collect()] == ["CUST-X"]
+    numbers = spark.range(600_000).select(F.col("id").alias("p_partkey"), F.lit(1.5).alias("p_retailprice"))
+    numbers.write.parquet(f"{path}-numbers")
+    lines = spark.createDataFrame([(1, 1, 599_999, 1, 2.0, 3.0, 0.0, 0.0)], "l_orderkey long, l_linenumber long, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double")
+    priced = derive.order_lines(lines, spark.read.parquet(f"{path}-numbers"), 2)
+    assert "Broadcast" not in plan_of(priced)
+    assert [float(r["unit_price"]) for r in priced.collect()] == [1.5]
+
+
+@pytest.mark.parametrize("short", [1000, 0])
+def test_rows_are_parted_by_few_keys(spark, short):
+    path = scratch_path(spark, "few")
+    rows = spark.range(5000).select(F.when(F.col("id") % 7 != 0, F.concat(F.lit("K"), F.col("id") % 900)).alias("key"), (F.col("id") % 11).alias("place"), "id")
+    keyed = spark.range(100).select(F.concat(F.lit("K"), F.col("id") * 3).alias("key"), (F.col("id") % 11).alias("place"))
+    keyed.unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS key, 1L AS place")).write.parquet(path)
+    for keys in (["key"], ["key", "place"]):
+        stored = spark.read.parquet(path).select(*keys)
+        for parted, how in ((within, "left_semi"), (without, "left_anti")):
+            found = parted(rows, stored, keys, short)
+            assert found.columns == rows.columns
+            assert sorted(map(str, found.collect())) == sorted(map(str, rows.join(stored, keys, how).select(rows.columns).collect()))
+            assert ("SortMergeJoin" in plan_of(found)) == (not short)
+
+
+def test_compaction_by_a_map_of_repeated_orders(spark, store, messages, as_of, monkeypatch):
+    for parted in (within, without):
+        monkeypatch.setattr(parted, "__defaults__", (0,))
+    first = [order_event(n) for n in range(1, 30)] + [order_event(n, order_status="SHIPPED", items=[item(product_id="P9")]) for n in range(1, 8)]
+    store.write_batch(messages(*first), 0, as_of)
+    target, whole = scratch_path(spark, "merged"), scratch_path(spark, "whole")
+    store.compact(target)
+    store.write_batch(messages(*[order_event(n, order_status="DELIVERED", items=[item(), item()]) for n in (3, 20, 40)], start=100), 1, as_of)
+    assert store.compact(target)["mode"] == "delta"
+    assert store.compact(whole)["mode"] == "full"
+    for name, live in (("fact_orders", store.fact_orders()), ("fact_order_items", store.fact_order_items())):
+        for at in (target, whole):
+            assert sorted(map(str, store.compacted(at, name).select(live.columns).collect())) == sorted(map(str, live.collect()))
