@@ -4,8 +4,8 @@ Components become integers, floor(SCALE * x), so inner products are exact. Rows
 layout, one array per dimension. For a query, products are added up one group of dimensions after another; what the
 dimensions still to come can add is at most the product of both vectors' remaining lengths (Cauchy-Schwarz), so a
 candidate whose sum plus that bound stays under the k-th best of the sums minus it is dropped, and the survivors are compacted
-before the next group. Queries are packed too and meet every block of rows; each pair of blocks gives k
-rows per query, of which the best k are kept.
+before the next group. Queries are packed too and meet every block of rows, which a task holds while blocks of queries pass; each pair of blocks
+gives k rows per query, of which the best k are kept.
 
 Rows: vectors that are null or hold null or non-finite components take no part, nor do rows with a null vec_id. Rows are told apart by
 a number of their own, so rows with the same vec_id are all candidates, meet each other, and each asks for itself if its vec_id is a query's.
@@ -71,35 +71,45 @@ def search(vectors: DataFrame, every: int = 50, k: int = K) -> DataFrame:
     size = rows.agg(F.count("*").alias("rows"), F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("queries")).first()
     blocks, query_blocks = -(-size["rows"] // ROWS) or 1, -(-size["queries"] // QUERIES) or 1
     place = F.xxhash64("row")
-    packed = rows.groupBy("n", F.pmod(place, F.lit(blocks)).alias("block")).agg(*_lists("row", "vec_id", "vector"))
-    asked = rows.filter(F.col("vec_id") % every == 0).groupBy("n", F.pmod(place, F.lit(query_blocks)).alias("part")).agg(*_lists("query_row", "query_id", "query"))
+    packed = _packed(rows.withColumn("block", F.pmod(place, F.lit(blocks))).withColumn("part", F.lit(-1).cast("long")))
+    asked = _packed(rows.filter(F.col("vec_id") % every == 0).withColumn("part", F.pmod(place, F.lit(query_blocks))).withColumn("block", F.lit(0).cast("long")))
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    pairs = packed.join(asked, ["n", "block"]).select("row", "vec_id", "vector", "query_row", "query_id", "query")
+    # A block of rows, then the queries' blocks one after another: none is joined, so none is broadcast or held with others.
+    pairs = packed.unionByName(asked).repartition("n", "block").sortWithinPartitions("n", "block", "part")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
             for b in range(batch.num_rows):
-                numbers, query_rows = (batch.column(c)[b].values.to_numpy(zero_copy_only=False) for c in (0, 3))
-                ids, data = unpacked(batch.column(1), batch.column(2), b)
-                query_ids, queries = unpacked(batch.column(4), batch.column(5), b)
-                columns = np.ascontiguousarray(data.T)
-                squares = columns**2
-                left = [np.sqrt(squares[d:].sum(axis=0)) for d in range(0, len(columns), DIMS)]
-                sums = queries[:, :DIMS] @ columns[:DIMS]
-                for q, own, name, first in zip(queries, query_rows, query_ids, sums):
-                    found, scores = best(q, own, numbers, ids, columns, left, first, k)
-                    made = [np.full(len(found), own), np.full(len(found), name), found, scores.astype(np.int64)]
-                    yield pa.record_batch([pa.array(c) for c in made], ["query_row", "query_id", "vec_id", "score"])
+                n, block, part = (batch.column(c)[b].as_py() for c in range(3))
+                numbers, (ids, data) = batch.column(3)[b].values.to_numpy(zero_copy_only=False), unpacked(batch.column(4), batch.column(5), b)
+                if part < 0:
+                    columns = np.ascontiguousarray(data.T)
+                    squares = columns**2
+                    left = [np.sqrt(squares[d:].sum(axis=0)) for d in range(0, len(columns), DIMS)]
+                    # Copies, as the batch goes before its block is done with.
+                    held = (n, block), numbers.copy(), ids.copy(), columns, left
+                    continue
+                if held is None or held[0] != (n, block):
+                    continue
+                _, rows_, ids_, columns, left = held
+                sums = data[:, :DIMS] @ columns[:DIMS]
+                made = []
+                for q, own, name, first in zip(data, numbers, ids, sums):
+                    found, scores = best(q, own, rows_, ids_, columns, left, first, k)
+                    made.append([np.full(len(found), own), np.full(len(found), name), found, scores.astype(np.int64)])
+                yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*made)], ["query_row", "query_id", "vec_id", "score"])
 
     found = mapped(pairs, run, "query_row long, query_id long, vec_id long, score long")
     in_order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(in_order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _lists(number: str, one: str, other: str) -> list:
-    """Row numbers, ids and vectors of a block in the same order, under the given names."""
+def _packed(rows: DataFrame) -> DataFrame:
+    """Rows of a block with their numbers, ids and vectors in the same order; rows are dealt to blocks before they are put into lists."""
     both = F.collect_list(F.struct("row", "vec_id", "vector"))
-    return [both["row"].alias(number), both["vec_id"].alias(one), both["vector"].alias(other)]
+    lists = rows.repartition("n", "block", "part").groupBy("n", "block", "part").agg(both.alias("rows"))
+    return lists.select("n", "block", "part", *[F.col("rows")[c].alias(c) for c in ("row", "vec_id", "vector")])
 
 
 SQL = f"""
