@@ -1,6 +1,7 @@
 """Near-duplicate vectors by int8 tile products with error bounds.
 
-Equal vectors are one from the start. The others are dealt to tiles, and every tile meets itself and those after it. Each vector,
+Equal vectors are one from the start. The others are dealt to tiles, and every tile meets itself and all others; tiles of two groups come to a task
+one after another, so that it holds one group. Each vector,
 of length 1, is quantised to its own scale times int8 numbers; the length of what that leaves out is known, so a product of two
 quantised vectors tells the cosine up to e1 + (1 + e1) * e2. Tile products are matrix products of the int8 numbers,
 exact in the floating-point type used. Only pairs that may reach the threshold within that bound are computed again in double
@@ -28,6 +29,8 @@ from .topk_search import unpacked, usable
 THRESHOLD = 0.95
 #: Vectors of a tile, rows of a tile multiplied at a time, pairs computed again at a time.
 TILE, STRIP, AGAIN = 4096, 512, 100_000
+#: Tiles of a group at most; groups at least, while there are as many tiles.
+GROUP, PARTS = 16, 6
 #: Components up to which a product of int8 vectors is exact in float32.
 EXACT = (1 << 24) // (127 * 127)
 
@@ -82,29 +85,48 @@ def _links(vectors: DataFrame) -> DataFrame:
     tiles = -(-vectors.count() // TILE) or 1
     rows = vectors.withColumn("n", F.size("vector")).withColumn("tile", F.pmod(F.xxhash64("vec_id"), F.lit(tiles)).cast("int"))
     one = F.collect_list(F.struct("vec_id", "vector", "copies"))
-    packed = rows.groupBy("n", "tile").agg(one["vec_id"].alias("id"), one["vector"].alias("v"), one["copies"].alias("m"))
+    packed = rows.repartition("n", "tile").groupBy("n", "tile").agg(one["vec_id"].alias("id"), one["vector"].alias("v"), one["copies"].alias("m"))
     packed = stored(packed, "vector-tiles")
-    other = packed.withColumnsRenamed({"id": "id2", "v": "v2", "m": "m2", "tile": "tile2"}).withColumn("tile", F.explode(F.sequence(F.lit(0), "tile2")))
-    pairs = packed.join(other, ["n", "tile"]).select("id", "v", "m", "id2", "v2", "m2", (F.col("tile") == F.col("tile2")).alias("same"))
+    # Tiles meet by groups: a tile travels once for each group, and a task holds the tiles of one group and one more.
+    size = max(1, min(GROUP, tiles // PARTS))
+    groups = -(-tiles // size)
+    group = F.floor(F.col("tile") / size).cast("int")
+    first = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("other")
+    pairs = packed.withColumn("group", group).select("n", "tile", "group", first, "id", "v", "m")
+    pairs = pairs.select("n", F.least("group", "other").alias("low"), F.greatest("group", "other").alias("high"), (F.col("group") > F.col("other")).alias("second"), "tile", "id", "v", "m")
+    pairs = pairs.repartition("n", "low", "high").sortWithinPartitions("n", "low", "high", "second", "tile")
+
+    def met(ids: np.ndarray, a: np.ndarray, copies: np.ndarray, ids2: np.ndarray, b: np.ndarray, copies2: np.ndarray, same: bool) -> Iterator[pa.RecordBatch]:
+        i, j = linked(a, b, same)
+        if not len(i):
+            return
+        if not same:
+            ids, copies, j = np.concatenate([ids, ids2]), np.concatenate([copies, copies2]), j + len(ids)
+        # Places in the order of the ids: the smallest place is the smallest id.
+        place = np.argsort(np.argsort(ids))
+        by_id = np.sort(ids)
+        links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
+        root = by_id[_smallest(len(ids), place[i], place[j])][place]
+        some = links > 0
+        yield pa.record_batch([pa.array(ids[some]), pa.array(links[some].astype(np.int64)), pa.array(root[some])], ["vec_id", "links", "other"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
         for batch in batches:
             for k in range(batch.num_rows):
-                (ids, a), (ids2, b) = (unpacked(batch.column(c), batch.column(c + 1), k) for c in (0, 3))
-                copies, copies2 = (batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in (2, 5))
-                same = batch.column(6)[k].as_py()
-                i, j = linked(a, b, same)
-                if not len(i):
-                    continue
-                if not same:
-                    ids, copies, j = np.concatenate([ids, ids2]), np.concatenate([copies, copies2]), j + len(ids)
-                # Places in the order of the ids: the smallest place is the smallest id.
-                place = np.argsort(np.argsort(ids))
-                by_id = np.sort(ids)
-                links = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
-                root = by_id[_smallest(len(ids), place[i], place[j])][place]
-                some = links > 0
-                yield pa.record_batch([pa.array(ids[some]), pa.array(links[some].astype(np.int64)), pa.array(root[some])], ["vec_id", "links", "other"])
+                n, low, high, second = (batch.column(c)[k].as_py() for c in range(4))
+                ids, vectors_ = unpacked(batch.column(5), batch.column(6), k)
+                # Copies, as the batch goes before its tiles are done with.
+                tile = ids.copy(), vectors_.copy(), batch.column(7)[k].values.to_numpy(zero_copy_only=False).copy()
+                if at != (n, low, high):
+                    at, held = (n, low, high), []
+                if second or low == high:
+                    for earlier in held:
+                        yield from met(*earlier, *tile, False)
+                if low == high:
+                    yield from met(*tile, *tile, True)
+                if not second:
+                    held.append(tile)
 
     return stored(mapped(pairs, run, "vec_id long, links long, other long"), "vector-links")
 

@@ -50,6 +50,19 @@ def test_top_k_edges(spark):
     assert topk_search.search(table(spark, [None, [float("nan")]])).collect() == []
 
 
+def plan_of(rows) -> str:
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_query_blocks_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "ROWS", 50)
+    # Copies of the queries for every block are never joined: Spark would take them for as few as they were before the copies, and broadcast them.
+    found = topk_search.search(table(spark, clusters(3, 400, 20) + [[1.0] * 4] * 60))
+    found.collect()
+    assert "Join" not in plan_of(found)
+    assert found.groupBy("query_id").count().where("count != 5").count() == 0
+
+
 def brute(vectors, threshold):
     n = len(vectors)
     x = [None if v is None or any(c is None or not np.isfinite(c) for c in v) or not any(v) else np.array(v, np.float32).astype(float) for v in vectors]
@@ -77,6 +90,19 @@ def test_near_vectors(spark, monkeypatch, tile):
     assert max(e[0] for e in expected.values()) > 5
 
 
+def test_tiles_travel_by_groups(spark, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "TILE", 10)
+    seen, mapped = [], vector_dedup.mapped
+    monkeypatch.setattr(vector_dedup, "mapped", lambda rows, run, schema: (seen.append(rows), mapped(rows, run, schema))[1])
+    vectors = clusters(4, 300, 9) + ODD
+    got = {r[0]: tuple(r)[1:] for r in vector_dedup.deduplicated(table(spark, vectors)).collect()}
+    assert got == brute(vectors, 0.95)
+    # Some 30 tiles of nine components in groups of five: each travels six or seven times, and no row holds two.
+    tiles = seen[0].where("n = 9").groupBy("tile").count().collect()
+    assert len(tiles) >= 28 and {r["count"] for r in tiles} <= {6, 7}
+    assert "Join" not in plan_of(seen[0])
+
+
 def test_quantisation_bound_is_rigorous():
     r = np.random.default_rng(5)
     a, b = r.normal(size=(300, 12)), r.normal(size=(300, 12))
